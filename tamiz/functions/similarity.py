@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from .text import SPACE, strip
 
+# Ship the scorer with the task, so that workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def token_sort(col: Column) -> Column:
     """Whitespace tokens in code-point order, joined by one space."""
@@ -29,7 +35,7 @@ def lcs_length(a: str, b: str) -> int:
     return len(a) - open_bits.bit_count()
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def indel_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """100 * 2 * LCS / (len(a) + len(b)) for each pair of strings; 100 for two empty ones."""
     return pd.Series(

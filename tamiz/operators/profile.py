@@ -218,10 +218,9 @@ def shape(df: DataFrame) -> DataFrame:
 
 def preview(df: DataFrame, row_col: str, n: int = 5) -> DataFrame:
     """First ``n`` rows in row order; each row says how many rows follow the preview."""
-    total = df.agg(F.count("*").alias("_n"))
+    total = df.agg(F.count("*")).scalar()
     head = df.orderBy(row_col).limit(n)
-    more = total.select(F.greatest(F.col("_n") - n, F.lit(0)).alias("filas_adicionales"))
-    return head.join(more, F.lit(True))
+    return head.withColumn("filas_adicionales", F.greatest(total - n, F.lit(0).cast("long")))
 
 
 def stack_reports(parts: list[DataFrame]) -> DataFrame:

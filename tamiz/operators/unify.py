@@ -12,41 +12,52 @@ def accent_count(col: Column) -> Column:
     return F.length(col) - F.length(F.translate(col, "ÁÉÍÓÚ", ""))
 
 
-def variant_map(df: DataFrame, col: str) -> DataFrame:
-    """(variant, canonical) for each value that another spelling replaces.
+def canonical_variants(df: DataFrame, col: str) -> DataFrame:
+    """(key, canonical) for each accent-folded key written in more than one way.
 
-    Works on distinct values: two partially aggregated shuffles of one column.
     The canonical spelling has most acute vowels, then the highest code points.
+    One shuffle of one column, aggregated before it; a group has several
+    spellings exactly when its smallest and largest differ.
     """
-    values = df.select(F.col(col).alias("variant")).filter(F.col("variant").isNotNull()).distinct()
-    keyed = values.withColumn("_key", fold_ascii(F.col("variant")))
-    best = keyed.groupBy("_key").agg(
-        F.max(F.struct(accent_count(F.col("variant")).alias("n"), F.col("variant").alias("v"))).alias(
-            "best"
-        ),
-        F.count("*").alias("_variants"),
+    value = F.col(col)
+    return (
+        df.select(value)
+        .filter(value.isNotNull())
+        .groupBy(fold_ascii(value).alias("key"))
+        .agg(
+            F.max(F.struct(accent_count(value).alias("n"), value.alias("v"))).alias("best"),
+            F.min(value).alias("low"),
+            F.max(value).alias("high"),
+        )
+        .filter("low <> high")
+        .select("key", F.col("best.v").alias("canonical"))
     )
-    best = best.filter("_variants > 1").select("_key", F.col("best.v").alias("canonical"))
+
+
+def variant_map(df: DataFrame, col: str) -> DataFrame:
+    """(variant, canonical) for each value that another spelling replaces."""
+    values = df.select(F.col(col).alias("variant")).distinct()
     return (
-        keyed.join(best, "_key")
+        values.withColumn("key", fold_ascii(F.col("variant")))
+        .join(canonical_variants(df, col), "key")
         .filter(F.col("variant") != F.col("canonical"))
         .select("variant", "canonical")
     )
 
 
-def apply_variant_map(df: DataFrame, col: str, mapping: DataFrame) -> DataFrame:
-    """Replace the mapped values of ``col``; NULL and unmapped values stay.
+def apply_canonical(df: DataFrame, col: str, canonical: DataFrame) -> DataFrame:
+    """Replace values whose folded key has a canonical spelling; others and NULL stay.
 
-    No broadcast is forced: Spark broadcasts the map when its size allows and
+    No broadcast is forced: Spark broadcasts the table when its size allows and
     splits skewed partitions of the fact side otherwise.
     """
-    m = mapping.select(F.col("variant").alias("_variant"), F.col("canonical").alias("_canonical"))
+    m = canonical.select(F.col("key").alias("_key"), F.col("canonical").alias("_canonical"))
     return (
-        df.join(m, F.col(col) == F.col("_variant"), "left")
+        df.join(m, fold_ascii(F.col(col)) == F.col("_key"), "left")
         .withColumn(col, F.coalesce("_canonical", col))
-        .drop("_variant", "_canonical")
+        .drop("_key", "_canonical")
     )
 
 
 def unify_variants(df: DataFrame, col: str) -> DataFrame:
-    return apply_variant_map(df, col, variant_map(df, col))
+    return apply_canonical(df, col, canonical_variants(df, col))
