@@ -45,7 +45,7 @@ SINGLE_CHAR_FOLDS = {
     "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "ı": "i",
     "º": "o", "ª": "a", "¹": "1", "²": "2", "³": "3", "¿": "?", "¡": "!", "·": "*",
     "´": "'", "‘": "'", "’": "'", "“": '"', "”": '"', "‐": "-", "‑": "-", "–": "-",
-    " ": " ",
+    "\u00a0": " ",
 }
 
 
@@ -68,7 +68,7 @@ def _fold_tables() -> tuple[str, str, str]:
     for ch, base in SINGLE_CHAR_FOLDS.items():
         src.append(ch)
         dst.append(base)
-    vanish = [chr(cp) for cp in range(0x0300, 0x0370)] + list("​‌‍⁠﻿")
+    vanish = [chr(cp) for cp in range(0x0300, 0x0370)] + list("\u200b\u200c\u200d\u2060\ufeff")
     return "".join(src), "".join(dst), "".join(vanish)
 
 
