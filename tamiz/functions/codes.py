@@ -6,12 +6,12 @@ from pyspark.sql import Column, functions as F
 
 from .text import clean_spaces
 
-# The identifier formats. (?U) makes \d cover every decimal digit.
-CODE_PATTERN = r"(?U)^\d{2}-\d{2}-\d{4}-\d{2}$"
-CODE_ANYWHERE = r"(?U)\d{2}-\d{2}-\d{4}-\d{2}"
-DISTRICT_DETAILED = r"(?U)^\d{2}-\d{2}-\d{4}$"
-DISTRICT_SHORT = r"(?U)^\d{2}-\d{3}$"
-DISTRICT_TRUNCATED = r"(?U)^\d{2}-$"
+# The identifier formats; \p{Nd} is every decimal digit, as \d in Python.
+CODE_PATTERN = r"^\p{Nd}{2}-\p{Nd}{2}-\p{Nd}{4}-\p{Nd}{2}$"
+CODE_ANYWHERE = r"\p{Nd}{2}-\p{Nd}{2}-\p{Nd}{4}-\p{Nd}{2}"
+DISTRICT_DETAILED = r"^\p{Nd}{2}-\p{Nd}{2}-\p{Nd}{4}$"
+DISTRICT_SHORT = r"^\p{Nd}{2}-\p{Nd}{3}$"
+DISTRICT_TRUNCATED = r"^\p{Nd}{2}-$"
 
 # Ordered format classes, first match wins.
 DISTRICT_CLASSES = [

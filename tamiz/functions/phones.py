@@ -10,16 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import clean_spaces, normalize_text, strip
-
-# Marker and separator patterns. U: word boundaries, digits and
-# spaces as in Unicode, on every Java version.
-FAX_MARK = r"(?iU)\bFAX\b"
-EXT_MARK = r"(?iU)\bEST[XA]?\.?\b|\bEXT\.?\b"
-RANGE_MARK = r"(?iU)\bAL\b"
-SEPARATOR = r"(?iU)\s*(?:,|/|\bY\b)\s*"
-NUMBER_TOKEN = r"(?U)^[\d\- ]+\z"
+from .text import clean_spaces, let, normalize_text, strip
+
+# Marker and separator patterns. U: word boundaries as in Unicode,
+# on every Java version. The words go with the patterns that need them, as a
+# cheap test before the regex.
+FAX_MARK, FAX_WORDS = r"(?iU)\bFAX\b", ["FAX"]
+EXT_MARK, EXT_WORDS = r"(?iU)\bEST[XA]?\.?\b|\bEXT\.?\b", ["EST", "EXT"]
+RANGE_MARK, RANGE_WORDS = r"(?iU)\bAL\b", ["AL"]
+SEPARATOR = r"(?iU)[,/]|\bY\b"
+NUMBER_TOKEN = r"^[\p{Nd}\- ]+\z"
 ONLY_DIGITS = r"^[0-9]+$"
+PLAIN_NUMBER = r"^[0-9]{7,8}\z"
+USUAL_LENGTH = r"^(?:[0-9]{7,12})?\z"
 
 # Observation notes, in output order.
 NOTE_EMPTY = "vacio"
@@ -34,21 +37,49 @@ NOTE_OK = "ok"
 FULL_NUMBER_LENGTH = 6  # a dash part this long is a number by itself
 
 
+def has_mark(text: Column, pattern: str, words: list[str]) -> Column:
+    upper = F.upper(text)
+    maybe = F.contains(upper, F.lit(words[0]))
+    for word in words[1:]:
+        maybe = maybe | F.contains(upper, F.lit(word))
+    return maybe & text.rlike(pattern)
+
+
+def _cut(state: Column, pattern: str, words: list[str]) -> Column:
+    """struct(text before the mark, was the mark there)."""
+    return let(
+        has_mark(state, pattern, words),
+        lambda found: F.struct(
+            F.when(found, F.get(F.split(state, pattern, 2), F.lit(0))).otherwise(state).alias("text"),
+            found.alias("found"),
+        ),
+    )
+
+
 def phone_markers(col: Column) -> Column:
     """struct(text before the first marker, has_fax, has_ext, has_range)."""
-    text = clean_spaces(col)
-    has_range = text.rlike(RANGE_MARK)
-    has_fax = ~has_range & text.rlike(FAX_MARK)
-    before_fax = F.when(has_fax, F.get(F.split(text, FAX_MARK, 2), F.lit(0))).otherwise(text)
-    has_ext = ~has_range & before_fax.rlike(EXT_MARK)
-    before_ext = F.when(
-        has_ext, F.get(F.split(before_fax, EXT_MARK, 2), F.lit(0))
-    ).otherwise(before_fax)
-    return F.struct(
-        F.when(has_range, F.lit("")).otherwise(clean_spaces(before_ext)).alias("text"),
-        has_fax.alias("has_fax"),
-        has_ext.alias("has_ext"),
-        has_range.alias("has_range"),
+
+    def flags(fax: Column, ext: Column) -> Column:
+        return F.struct(
+            clean_spaces(ext["text"]).alias("text"),
+            fax["found"].alias("has_fax"), ext["found"].alias("has_ext"),
+            F.lit(False).alias("has_range"),
+        )
+
+    no = F.lit(False)
+    stop = F.struct(
+        F.lit("").alias("text"), no.alias("has_fax"), no.alias("has_ext"), F.lit(True).alias("has_range")
+    )
+    return let(
+        clean_spaces(col),
+        lambda t: F.when(has_mark(t, RANGE_MARK, RANGE_WORDS), stop).otherwise(
+            let(
+                _cut(t, FAX_MARK, FAX_WORDS),
+                lambda fax: let(
+                    _cut(fax["text"], EXT_MARK, EXT_WORDS), lambda ext: flags(fax, ext)
+                ),
+            )
+        ),
     )
 
 
@@ -60,36 +91,38 @@ def split_tokens(text: Column) -> Column:
 
 def expand_dashes(sub: Column) -> Column:
     """Numbers written in one dash-joined piece, abbreviated suffixes completed."""
-    parts = F.filter(F.split(sub, "-"), lambda p: p != "")
-    first = F.get(parts, F.lit(0))
-    second = F.get(parts, F.lit(1))
-    joined_length = F.length(first) + F.length(second)
-
-    def complete(part: Column) -> Column:
-        gap = F.length(first) - F.length(part)
-        # A suffix longer than the first number counts the cut from the right end.
-        keep = F.when(gap >= 0, gap).otherwise(F.greatest(F.lit(0), F.length(first) + gap))
-        return F.when(F.length(part) >= FULL_NUMBER_LENGTH, part).otherwise(
-            F.concat(F.substring(first, F.lit(1), keep), part)
-        )
 
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return (
-        F.when(F.size(parts) <= 1, parts)
-        .when(F.forall(parts, lambda p: F.length(p) >= FULL_NUMBER_LENGTH), parts)
-        .when(
-            (F.size(parts) == 2) & joined_length.isin(7, 8) & F.length(first).isin(3, 4),
-            F.array(F.concat(first, second)),
+    def expand(parts: Column) -> Column:
+        first = F.get(parts, F.lit(0))
+        second = F.get(parts, F.lit(1))
+        joined_length = F.length(first) + F.length(second)
+
+        def complete(part: Column, i: Column) -> Column:
+            gap = F.length(first) - F.length(part)
+            # A suffix longer than the first number counts the cut from the right end.
+            keep = F.when(gap >= 0, gap).otherwise(F.greatest(F.lit(0), F.length(first) + gap))
+            return F.when((i == 0) | (F.length(part) >= FULL_NUMBER_LENGTH), part).otherwise(
+                F.concat(F.substring(first, F.lit(1), keep), part)
+            )
+
+        return (
+            F.when(F.size(parts) <= 1, parts)
+            .when(F.forall(parts, lambda p: F.length(p) >= FULL_NUMBER_LENGTH), parts)
+            .when(
+                (F.size(parts) == 2) & joined_length.isin(7, 8) & F.length(first).isin(3, 4),
+                F.array(F.concat(first, second)),
+            )
+            .otherwise(F.transform(parts, complete))
         )
-        .otherwise(F.concat(F.array(first), F.transform(rest, complete)))
-    )
+
+    return let(F.filter(F.split(sub, "-"), lambda p: p != ""), expand)
 
 
 def classify_items(tokens: Column) -> Column:
     """array<struct(v, ok)>: every number or rejected piece, in reading order."""
 
     def token_items(token: Column) -> Column:
-        subs = F.filter(F.split(token, " +"), lambda s: s != "")
+        subs = F.filter(F.split(token, " "), lambda s: s != "")
         numbers = F.flatten(F.transform(subs, expand_dashes))
         return F.when(
             token.rlike(NUMBER_TOKEN),
@@ -101,6 +134,12 @@ def classify_items(tokens: Column) -> Column:
     return F.flatten(F.transform(tokens, token_items))
 
 
+def phone_items(text: Column) -> Column:
+    """Items of the text before the markers; one plain number needs no splitting."""
+    plain = F.array(F.struct(text.alias("v"), F.lit(True).alias("ok")))
+    return F.when(text.rlike(PLAIN_NUMBER), plain).otherwise(classify_items(split_tokens(text)))
+
+
 def is_valid(numbers: Column, bad: Column, has_range: Column) -> Column:
     return (
         (F.size(numbers) > 0)
@@ -136,40 +175,33 @@ def parse_phones(df: DataFrame, col: str = "TELEFONO", into: str = "phone") -> D
     """Add struct column ``into``: numbers, bad (arrays), has_fax, has_ext, has_range."""
     marks, items = f"{into}__marks", f"{into}__items"
     m = F.col(marks)
+    parsed = F.struct(
+        F.transform(F.filter(items, lambda i: i["ok"]), lambda i: i["v"]).alias("numbers"),
+        F.transform(F.filter(items, lambda i: ~i["ok"]), lambda i: i["v"]).alias("bad"),
+        m["has_fax"].alias("has_fax"),
+        m["has_ext"].alias("has_ext"),
+        m["has_range"].alias("has_range"),
+    )
     return (
-        df.withColumn(marks, phone_markers(F.col(col)))
-        .withColumn(items, classify_items(split_tokens(F.col(f"{marks}.text"))))
-        .withColumn(
-            into,
-            F.struct(
-                F.transform(F.filter(items, lambda i: i["ok"]), lambda i: i["v"]).alias("numbers"),
-                F.transform(F.filter(items, lambda i: ~i["ok"]), lambda i: i["v"]).alias("bad"),
-                m["has_fax"].alias("has_fax"),
-                m["has_ext"].alias("has_ext"),
-                m["has_range"].alias("has_range"),
-            ),
-        )
-        .drop(marks, items)
+        df.select("*", phone_markers(F.col(col)).alias(marks))
+        .select("*", phone_items(m["text"]).alias(items))
+        .select(*df.columns, parsed.alias(into))
     )
 
 
 def clean_phones(df: DataFrame, col: str = "TELEFONO") -> DataFrame:
     """Replace ``col`` by its joined numbers and add ORIGINAL, CANTIDAD, VALIDO, OBSERVACION."""
-    parsed = parse_phones(df, col, f"{col}__parsed")
-    p = F.col(f"{col}__parsed")
+    p, original = F.col(f"{col}__parsed"), F.col(col)
     numbers, bad = p["numbers"], p["bad"]
-    return (
-        parsed.withColumn(f"{col}_ORIGINAL", F.col(col))
-        .withColumn(f"{col}_CANTIDAD", F.size(numbers))
-        .withColumn(f"{col}_VALIDO", is_valid(numbers, bad, p["has_range"]))
-        .withColumn(
-            f"{col}_OBSERVACION",
-            observation(
-                F.col(f"{col}_ORIGINAL"), numbers, bad, p["has_fax"], p["has_ext"], p["has_range"]
-            ),
-        )
-        .withColumn(col, F.when(F.size(numbers) > 0, F.array_join(numbers, "; ")))
-        .drop(f"{col}__parsed")
+    joined = F.when(F.size(numbers) > 0, F.array_join(numbers, "; ")).alias(col)
+    return parse_phones(df, col, f"{col}__parsed").select(
+        *[joined if c == col else F.col(c) for c in df.columns],
+        original.alias(f"{col}_ORIGINAL"),
+        F.size(numbers).alias(f"{col}_CANTIDAD"),
+        is_valid(numbers, bad, p["has_range"]).alias(f"{col}_VALIDO"),
+        observation(original, numbers, bad, p["has_fax"], p["has_ext"], p["has_range"]).alias(
+            f"{col}_OBSERVACION"
+        ),
     )
 
 
@@ -182,13 +214,9 @@ def explode_phones(df: DataFrame, id_col: str, col: str = "TELEFONO") -> DataFra
 def suspicious_phones(df: DataFrame, row_col: str, col: str = "TELEFONO") -> DataFrame:
     """Non-empty phones that are not 7 to 12 plain digits."""
     value = normalize_text(F.col(col))
-    rows = df.select(
-        F.col(row_col),
-        value.alias(col),
-        F.length(value).alias("length"),
-        value.rlike(ONLY_DIGITS).alias("has_digits_only"),
-    )
-    return rows.filter(
-        (F.col(col) != "")
-        & (~F.col("has_digits_only") | (F.col("length") < 7) | (F.col("length") > 12))
+    return df.select(F.col(row_col), value.alias(col)).filter(~F.col(col).rlike(USUAL_LENGTH)).select(
+        row_col,
+        col,
+        F.length(col).alias("length"),
+        F.col(col).rlike(ONLY_DIGITS).alias("has_digits_only"),
     )

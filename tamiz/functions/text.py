@@ -5,24 +5,32 @@ Raw text columns use ``''`` for "missing"; functions that accept NULL say so.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column, functions as F
 
-# Whitespace as Python's str.strip / \s see it, spelled out so that Java and RE2
-# regular expressions agree on it.
+# Whitespace as Python's str.strip / \\s see it, as a character list and as a regex
+# class that Java and RE2 read alike.
+SPACE_CHARS = "".join(
+    chr(cp)
+    for lo, hi in (
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+        (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    )
+    for cp in range(lo, hi + 1)
+)
 SPACE = (
     r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
-EDGE_SPACE = rf"^{SPACE}+|{SPACE}+\z"
 
 # Fixed value: characters replaced by one space before spaces are collapsed
 # (no-break space, zero-width space / non-joiner / joiner, word joiner, BOM, tab).
-INVISIBLE = r"[\x{A0}\x{200B}\x{200C}\x{200D}\x{2060}\x{FEFF}\x{9}]"
+INVISIBLE = "\u00a0\u200b\u200c\u200d\u2060\ufeff\t"
 
-# Fixed value: separators dropped at both ends of free text.
-EDGE_PUNCT_CLASS = SPACE[:-1] + ",;:]"
+# Fixed value: separators dropped, with whitespace, at both ends of free text.
+EDGE_PUNCT = ",;:"
 
 # Grave vowels and the acute vowels they stand for.
 GRAVE = "àèìòùÀÈÌÒÙ"
@@ -75,14 +83,25 @@ def _fold_tables() -> tuple[str, str, str]:
 FOLD_FROM, FOLD_TO, FOLD_DROP = _fold_tables()
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, for use inside array expressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     """Trim all Unicode whitespace at both ends."""
-    return F.regexp_replace(col, EDGE_SPACE, "")
+    return F.btrim(col, F.lit(SPACE_CHARS))
+
+
+def collapse_spaces(col: Column) -> Column:
+    """Runs of the space character become one."""
+    return F.regexp_replace(col, " {2,}", " ")
 
 
 def normalize_text(col: Column) -> Column:
     """Strip, then turn each whitespace run into one space; NULL becomes ``''``."""
-    return F.regexp_replace(strip(F.coalesce(col, F.lit(""))), SPACE + "+", " ")
+    stripped = strip(F.coalesce(col, F.lit("")))
+    return collapse_spaces(F.translate(stripped, SPACE_CHARS, " " * len(SPACE_CHARS)))
 
 
 def is_blank(col: Column) -> Column:
@@ -98,8 +117,8 @@ def clean_spaces(col: Column) -> Column:
 
     Line breaks inside the text are kept, unlike in :func:`normalize_text`.
     """
-    spaced = F.regexp_replace(F.coalesce(col, F.lit("")), INVISIBLE, " ")
-    return strip(F.regexp_replace(spaced, " {2,}", " "))
+    spaced = F.translate(F.coalesce(col, F.lit("")), INVISIBLE, " " * len(INVISIBLE))
+    return strip(collapse_spaces(spaced))
 
 
 def fix_grave_accents(col: Column) -> Column:
@@ -108,13 +127,12 @@ def fix_grave_accents(col: Column) -> Column:
 
 def strip_wrapping_quotes(col: Column) -> Column:
     """Drop double quotes that wrap the whole value and contain no other one."""
-    inner = F.regexp_replace(col, r'^"([^"]*)"\z', "$1")
-    return F.when(col.rlike(r'^"[^"]*"\z'), strip(inner)).otherwise(col)
+    return F.regexp_replace(col, rf'^"{SPACE}*([^"]*?){SPACE}*"\z', "$1")
 
 
 def strip_edge_punct(col: Column) -> Column:
     """Drop commas, semicolons, colons and whitespace at both ends; a final dot stays."""
-    return F.regexp_replace(col, rf"^{EDGE_PUNCT_CLASS}+|{EDGE_PUNCT_CLASS}+\z", "")
+    return F.btrim(col, F.lit(SPACE_CHARS + EDGE_PUNCT))
 
 
 def clean_text(col: Column) -> Column:
@@ -122,15 +140,16 @@ def clean_text(col: Column) -> Column:
     return strip_edge_punct(strip_wrapping_quotes(fix_grave_accents(clean_spaces(col))))
 
 
+_PLACEHOLDER = r"^(?:[-.,_]*|[xX0]+|(?iu:{}))\z".format("|".join(map(re.escape, MISSING_LITERALS)))
+
+
 def is_placeholder(col: Column) -> Column:
-    """True for values that stand for "no data" (NULL gives NULL)."""
-    t = strip(col)
-    return (
-        (t == "")
-        | t.rlike(r"^[-.,_]+\z")
-        | t.rlike(r"^[xX0]+\z")
-        | F.upper(t).isin(MISSING_LITERALS)
-    )
+    """True for values that stand for "no data" (NULL gives NULL).
+
+    Empty, only dashes, dots, commas or underscores, only X and 0, or one of
+    the literals in any case; one regex, so that ``col`` is used once.
+    """
+    return strip(col).rlike(_PLACEHOLDER)
 
 
 def is_diagnosis_placeholder(col: Column) -> Column:

@@ -17,7 +17,7 @@ from .duplicates import count_duplicates
 
 RESULT = "rule string, column string, failures bigint, example string"
 # Fixed value: one usable number of a multi-valued phone cell.
-SINGLE_PHONE = r"(?U)^\d{7,8}$"
+SINGLE_PHONE = r"^\p{Nd}{7,8}$"
 
 
 @dataclass

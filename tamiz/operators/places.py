@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import clean_spaces, fold_key, strip
+from ..functions.text import clean_spaces, fold_key
 
 
 @dataclass(frozen=True)
@@ -63,43 +63,35 @@ def standardize_places(
         F.col("muni_key").alias("_mk"),
         F.col("muni_canonical").alias("_mc"),
     )
-    zoned = F.col("_dept_key") == rules.zoned_department
-    out = (
-        df.withColumn("_dept_raw", F.col(rules.department))
-        .withColumn("_dept_key", fold_key(clean_spaces(F.col(rules.department))))
-        .withColumn("_muni_text", clean_spaces(F.col(rules.municipality)))
-        .withColumn("_muni_key", fold_key(F.col("_muni_text")))
+    dept, muni = F.col(rules.department), F.col(rules.municipality)
+    keyed = df.select(
+        "*",
+        fold_key(clean_spaces(dept)).alias("_dept_key"),
+        fold_key(clean_spaces(muni)).alias("_muni_key"),
     )
-    out = out.join(departments, F.col("_dept_key") == F.col("_dk"), "left").join(
+    joined = keyed.join(departments, F.col("_dept_key") == F.col("_dk"), "left").join(
         munis, (F.col("_dept_key") == F.col("_mdk")) & (F.col("_muni_key") == F.col("_mk")), "left"
     )
-    plain = F.upper(strip(F.col("_muni_text")))
-    out = (
-        out.withColumn(
-            rules.department,
-            F.when(zoned, F.lit(rules.zoned_department)).otherwise(
-                F.coalesce("_dc", "_dept_key")
-            ),
-        )
-        .withColumn(
-            rules.municipality, F.when(zoned, plain).otherwise(F.coalesce(F.col("_mc"), plain))
-        )
-        .withColumn(
-            rules.valid_flag,
-            F.when(zoned, plain.rlike(rules.zone_pattern)).otherwise(F.col("_mc").isNotNull()),
-        )
-    )
+    zoned = F.col("_dept_key") == rules.zoned_department
+    plain = F.upper(clean_spaces(muni))
+    new = {
+        rules.department: F.when(zoned, F.lit(rules.zoned_department)).otherwise(
+            F.coalesce("_dc", "_dept_key")
+        ),
+        rules.municipality: F.when(zoned, plain).otherwise(F.coalesce(F.col("_mc"), plain)),
+        rules.valid_flag: F.when(zoned, plain.rlike(rules.zone_pattern)).otherwise(
+            F.col("_mc").isNotNull()
+        ),
+    }
     if department_flag:
         # The raw value is checked as it came, before invisible characters are replaced.
-        raw_key = fold_key(F.col("_dept_raw"))
-        out = out.withColumn(
-            department_flag,
-            (raw_key == rules.zoned_department)
-            | (F.col("_dc").isNotNull() & (raw_key == F.col("_dept_key"))),
+        raw_key = fold_key(dept)
+        new[department_flag] = (raw_key == rules.zoned_department) | (
+            F.col("_dc").isNotNull() & (raw_key == F.col("_dept_key"))
         )
-    return out.drop(
-        "_dept_raw", "_dept_key", "_muni_text", "_muni_key", "_dk", "_dc", "_mdk", "_mk", "_mc"
-    )
+    kept = [new[c].alias(c) if c in new else F.col(c) for c in df.columns]
+    added = [v.alias(c) for c, v in new.items() if c not in df.columns]
+    return joined.select(*kept, *added)
 
 
 def catalog_rejects(df: DataFrame, cols: list[str], flag: str = "MUNICIPIO_VALIDO") -> DataFrame:

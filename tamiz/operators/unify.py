@@ -52,10 +52,9 @@ def apply_canonical(df: DataFrame, col: str, canonical: DataFrame) -> DataFrame:
     splits skewed partitions of the fact side otherwise.
     """
     m = canonical.select(F.col("key").alias("_key"), F.col("canonical").alias("_canonical"))
-    return (
-        df.join(m, fold_ascii(F.col(col)) == F.col("_key"), "left")
-        .withColumn(col, F.coalesce("_canonical", col))
-        .drop("_key", "_canonical")
+    merged = F.coalesce("_canonical", col).alias(col)
+    return df.join(m, fold_ascii(F.col(col)) == F.col("_key"), "left").select(
+        *[merged if c == col else F.col(c) for c in df.columns]
     )
 
 

@@ -41,21 +41,29 @@ def clean_aligned(
     Steps are projections, the catalogue lookup and one join per free-text
     column. ``keep`` names further columns, such as a row id, to carry along.
     """
-    out = df.select(*keep, *COLUMNS, F.struct(*COLUMNS).alias(RAW))
-    out = out.withColumn("CODIGO", clean_spaces(F.col("CODIGO")))
-    out = out.withColumn("DISTRITO_FORMATO", classify_format(F.col("DISTRITO")))
-    out = out.withColumn("DISTRITO", district_value(F.col("DISTRITO")))
-    out = out.withColumn("DISTRITO_VALIDO", F.col("DISTRITO_FORMATO").isin(VALID_CLASSES))
+    simple = {
+        "CODIGO": clean_spaces(F.col("CODIGO")),
+        "DISTRITO": district_value(F.col("DISTRITO")),
+        **{c: clean_text(F.col(c)) for c in FREE_TEXT},
+        **{c: normalize_category(F.col(c)) for c in SIMPLE_CATEGORIES},
+    }
+    kind = classify_format(F.col("DISTRITO"))
+    out = df.select(
+        *keep,
+        *[simple[c].alias(c) if c in simple else F.col(c) for c in COLUMNS],
+        kind.alias("DISTRITO_FORMATO"),
+        kind.isin(VALID_CLASSES).alias("DISTRITO_VALIDO"),
+        F.struct(*COLUMNS).alias(RAW),
+    )
     out = standardize_places(out, dim, rules)
     for col in FREE_TEXT:
-        out = out.withColumn(col, clean_text(F.col(col)))
         out = _unified(out, df, col)
-        missing = is_placeholder(F.col(col)) if col in PLACEHOLDER_TEXT else F.col(col) == ""
-        out = out.withColumn(col, null_where(F.col(col), missing))
     out = clean_phones(out, "TELEFONO")
-    for col in SIMPLE_CATEGORIES:
-        out = out.withColumn(col, normalize_category(F.col(col)))
-    return out.select(*keep, *COLUMNS, *DERIVED, RAW)
+    masked = {c: null_where(F.col(c), is_placeholder(F.col(c))) for c in PLACEHOLDER_TEXT}
+    masked["ESTABLECIMIENTO"] = F.nullif(F.col("ESTABLECIMIENTO"), F.lit(""))
+    return out.select(
+        *keep, *[masked[c].alias(c) if c in masked else F.col(c) for c in COLUMNS], *DERIVED, RAW
+    )
 
 
 def clean(

@@ -23,10 +23,14 @@ def cases(selector: str, branches: list[str]) -> str:
     return f"CASE ({selector}) % {len(branches)} {whens} END"
 
 
-def dirty(word: str, k: str) -> str:
-    """A name with one of 16 kinds of defect; the clean base repeats every 640 keys."""
+def base_name(word: str, k: str) -> str:
+    """A clean name that repeats every 640 keys."""
     g = f"(CAST(floor(({k}) / 16) AS BIGINT) % 40)"
-    base = f"concat('{word} JOSE ', chr(CAST(65 + {g} % 26 AS INT)), ' ', CAST({g} AS STRING))"
+    return f"concat('{word} JOSE ', chr(CAST(65 + {g} % 26 AS INT)), ' ', CAST({g} AS STRING))"
+
+
+def dirty(base: str, k: str) -> str:
+    """The name in column ``base`` with one of 16 kinds of defect."""
     return cases(k, [
         base,
         f"concat('  ', {base}, '  ')",
@@ -47,53 +51,66 @@ def dirty(word: str, k: str) -> str:
     ])
 
 
-def phone(k: str, c: str) -> str:
-    """A phone cell in one of 24 layouts, digits from ``c``."""
-    d8 = f"concat('2', lpad(CAST(({c}) % 10000000 AS STRING), 7, '0'))"
-    e8 = f"concat('5', lpad(CAST(({c}) % 10000000 AS STRING), 7, '0'))"
-    d7 = f"concat('3', lpad(CAST(({c}) % 1000000 AS STRING), 6, '0'))"
-    e7 = f"concat('4', lpad(CAST(({c}) % 1000000 AS STRING), 6, '0'))"
-    d6 = f"concat('6', lpad(CAST(({c}) % 100000 AS STRING), 5, '0'))"
+def phone_parts(c: str) -> str:
+    """Columns d8, e8, d7, e7, d6: numbers of that many digits from ``c``."""
+    digits = [("d8", "2", 7), ("e8", "5", 7), ("d7", "3", 6), ("e7", "4", 6), ("d6", "6", 5)]
+    return ", ".join(
+        f"concat('{lead}', lpad(CAST(({c}) % {10 ** n} AS STRING), {n}, '0')) AS {name}"
+        for name, lead, n in digits
+    )
+
+
+def phone(k: str) -> str:
+    """A phone cell in one of 24 layouts, from the columns of :func:`phone_parts`."""
     return cases(k, [
-        d8,
-        d7,
-        d6,
-        f"concat({d8}, '-', {e8})",
-        f"concat({d7}, '- ', {e7})",
-        f"concat(substr({d8}, 1, 4), '-', substr({d8}, 5, 4))",
-        f"concat(substr({d7}, 1, 3), '-', substr({d7}, 4, 4))",
-        f"concat({d8}, '-73')",
-        f"concat({d8}, '-73-81')",
-        f"concat(substr({d8}, 1, 4), '-', substr({d8}, 4, 5))",
-        f"concat({d8}, '-', {e8}, '-', {d7})",
-        f"concat({d8}, ',', {e8})",
-        f"concat(' ', {d8}, ', ', {e7})",
-        f"concat({d8}, '/', {e8}, '/43')",
-        f"concat({d8}, ' Y ', {e8})",
-        f"concat({d7}, ' y ', {e7})",
-        f"concat({d8}, '  ', {e8})",
-        f"concat({d8}, ' FAX ', {e8})",
-        f"concat('FAX ', {d8})",
-        f"concat({d8}, ' EXT. 12')",
-        f"concat({d6}, ' ESTX. 225-250')",
-        f"concat({d8}, ' AL 40')",
-        f"concat({d8}, ', casa')",
+        "d8",
+        "d7",
+        "d6",
+        "concat(d8, '-', e8)",
+        "concat(d7, '- ', e7)",
+        "concat(substr(d8, 1, 4), '-', substr(d8, 5, 4))",
+        "concat(substr(d7, 1, 3), '-', substr(d7, 4, 4))",
+        "concat(d8, '-73')",
+        "concat(d8, '-73-81')",
+        "concat(substr(d8, 1, 4), '-', substr(d8, 4, 5))",
+        "concat(d8, '-', e8, '-', d7)",
+        "concat(d8, ',', e8)",
+        "concat(' ', d8, ', ', e7)",
+        "concat(d8, '/', e8, '/43')",
+        "concat(d8, ' Y ', e8)",
+        "concat(d7, ' y ', e7)",
+        "concat(d8, '  ', e8)",
+        "concat(d8, ' FAX ', e8)",
+        "concat('FAX ', d8)",
+        "concat(d8, ' EXT. 12')",
+        "concat(d6, ' ESTX. 225-250')",
+        "concat(d8, ' AL 40')",
+        "concat(d8, ', casa')",
         cases(k, ["''", "'-'", "'0'"]),
     ])
 
 
+_K = "c_custkey"
+_BASES = ", ".join(
+    f"{base_name(word, key)} AS {name}"
+    for name, word, key in (
+        ("b_name", "LICEO", _K), ("b_address", "AVENIDA", f"{_K} + 3"),
+        ("b_supervisor", "MARIA", f"{_K} + 7"), ("b_director", "JUAN", f"{_K} + 11"),
+    )
+)
+
 DIRTY_TEXT = f"""
-SELECT c_custkey AS row_id,
-  {dirty('LICEO', 'c_custkey')} AS name,
-  {dirty('AVENIDA', 'c_custkey + 3')} AS address,
-  {dirty('MARIA', 'c_custkey + 7')} AS supervisor,
-  {dirty('JUAN', 'c_custkey + 11')} AS director
-FROM {{customer}}"""
+SELECT {_K} AS row_id,
+  {dirty('b_name', _K)} AS name,
+  {dirty('b_address', f'{_K} + 3')} AS address,
+  {dirty('b_supervisor', f'{_K} + 7')} AS supervisor,
+  {dirty('b_director', f'{_K} + 11')} AS director
+FROM (SELECT {_K}, {_BASES} FROM {{customer}}) t"""
 
 PHONES = f"""
-SELECT o_orderkey AS row_id, {phone('o_orderkey', 'o_custkey')} AS telefono FROM {{orders}}"""
+SELECT o_orderkey AS row_id, {phone('o_orderkey')} AS telefono
+FROM (SELECT o_orderkey, {phone_parts('o_custkey')} FROM {{orders}}) t"""
 
-_K = "c_custkey"
 _NN = "lpad(CAST(n_nationkey AS STRING), 2, '0')"
 _RR = "lpad(CAST(r_regionkey AS STRING), 2, '0')"
 _CODE = (
@@ -106,9 +123,9 @@ _ACCENTED = "CASE WHEN r_name LIKE 'A%' THEN concat('Á', substr(r_name, 2)) ELS
 _TOWN = "replace(n_name, 'NATION', 'NACION')"
 
 _SCHOOL_COLUMNS = f"""
-  CASE WHEN {_K} % 97 = 0 THEN replace({_CODE}, '-', '/')
-       WHEN {_K} % 10 = 3 THEN concat(' ', {_CODE}) ELSE {_CODE} END AS CODIGO,
-  {cases(_K, ["''", _DETAILED, _DETAILED, _DETAILED, _DETAILED, _SHORT, _SHORT, _SHORT, _SHORT,
+  CASE WHEN {_K} % 97 = 0 THEN replace(code, '-', '/')
+       WHEN {_K} % 10 = 3 THEN concat(' ', code) ELSE code END AS CODIGO,
+  {cases(_K, ["''", "detailed", "detailed", "detailed", "detailed", "short", "short", "short", "short",
               f"concat({_NN}, '-')", "'S/N'"])} AS DISTRITO,
   {cases(_K, ["r_name", "lower(r_name)", "concat(' ', r_name, ' ')", _ACCENTED])} AS DEPARTAMENTO,
   CASE WHEN {_K} % 53 = 0 THEN concat('Desconocido ', CAST(n_nationkey AS STRING))
@@ -117,11 +134,11 @@ _SCHOOL_COLUMNS = f"""
        WHEN r_name = 'MIDDLE EAST' THEN concat('ZONA ', CAST({_K} % 30 + 1 AS STRING))
        ELSE {cases(_K, [_TOWN, f"lower({_TOWN})", "replace(n_name, 'NATION', 'NACIÓN')",
                         f"concat({_TOWN}, '  ')", _TOWN])} END AS MUNICIPIO,
-  {dirty('LICEO', _K)} AS ESTABLECIMIENTO,
-  {dirty('AVENIDA', f'{_K} + 3')} AS DIRECCION,
-  {phone(_K, f'{_K} % 500 + 1000')} AS TELEFONO,
-  {dirty('MARIA', f'{_K} + 7')} AS SUPERVISOR,
-  {dirty('JUAN', f'{_K} + 11')} AS DIRECTOR,
+  {dirty('b_name', _K)} AS ESTABLECIMIENTO,
+  {dirty('b_address', f'{_K} + 3')} AS DIRECCION,
+  {phone(_K)} AS TELEFONO,
+  {dirty('b_supervisor', f'{_K} + 7')} AS SUPERVISOR,
+  {dirty('b_director', f'{_K} + 11')} AS DIRECTOR,
   CASE WHEN {_K} % 50 = 0 THEN 'BASICO' WHEN {_K} % 9 = 0 THEN 'Diversificado'
        ELSE 'DIVERSIFICADO' END AS NIVEL,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'OFICIAL' WHEN 'MACHINERY' THEN 'PRIVADO'
@@ -136,8 +153,12 @@ _SCHOOL_COLUMNS = f"""
   CASE WHEN {_K} % 211 = 0 THEN 'EUROPE NORTE'
        WHEN r_name = 'EUROPE' THEN {cases(_K, ["'EUROPE NORTE'", "'EUROPE SUR'"])}
        ELSE {_ACCENTED} END AS DEPARTAMENTAL
-FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
-  JOIN {{region}} ON n_regionkey = r_regionkey"""
+FROM (SELECT customer.*,
+    {_BASES}, {phone_parts(f'{_K} % 500 + 1000')}
+  FROM (SELECT c.*, n_nationkey, n_name, r_regionkey, r_name,
+      {_CODE} AS code, {_DETAILED} AS detailed, {_SHORT} AS short
+    FROM {{customer}} c JOIN {{nation}} n ON c_nationkey = n_nationkey
+      JOIN {{region}} r ON n_regionkey = r_regionkey) customer) t"""
 
 # Every 101st row occurs twice; row ids are even, those of the copies odd.
 SCHOOLS = f"""
@@ -194,8 +215,21 @@ FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
   JOIN {{region}} ON n_regionkey = r_regionkey"""
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when a table comes in fewer splits than there are cores.
+
+    A table of many files has splits enough and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+LARGE = {"customer", "orders", "lineitem", "part", "documents", "pages"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in LARGE else df
 
 
 def fixture(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
