@@ -315,15 +315,18 @@ def decision_summary(
     )
     n_all, n_addr, n_phone, n_both = (F.col(c) for c in ("all", "address", "phone", "both"))
     near = F.col("near")
+    counts = {
+        DECISION_MERGE: n_both,
+        DECISION_ADDRESS: F.when(near, n_addr - n_both).otherwise(0),
+        DECISION_PHONE: F.when(near, n_phone - n_both).otherwise(0),
+        DECISION_DISTINCT: F.when(near, n_all - n_addr - n_phone + n_both).otherwise(n_all - n_addr),
+        DECISION_UNCLEAR: F.when(near, 0).otherwise(n_addr - n_both),
+    }
     per_rule = F.array(
-        F.struct(F.lit(DECISION_MERGE).alias("decision"), n_both.alias("pares")),
-        F.struct(F.lit(DECISION_ADDRESS), F.when(near, n_addr - n_both).otherwise(0)),
-        F.struct(F.lit(DECISION_PHONE), F.when(near, n_phone - n_both).otherwise(0)),
-        F.struct(
-            F.lit(DECISION_DISTINCT),
-            F.when(near, n_all - n_addr - n_phone + n_both).otherwise(n_all - n_addr),
-        ),
-        F.struct(F.lit(DECISION_UNCLEAR), F.when(near, 0).otherwise(n_addr - n_both)),
+        *[
+            F.struct(F.lit(rule).alias("decision"), n.cast("long").alias("pares"))
+            for rule, n in counts.items()
+        ]
     )
     return (
         kinds.select(F.inline(per_rule))

@@ -39,9 +39,15 @@ def read_text_csv(
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headed CSV, quotes doubled; the header is written even without rows."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option(
-        "emptyValue", ""
-    ).csv(path)
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_by_source(df: DataFrame, path: str, source: str = "source", mode: str = "overwrite") -> None:

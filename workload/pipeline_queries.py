@@ -1,0 +1,208 @@
+"""Fuzzy duplicates, the cleaning pipeline and the quality report."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tamiz.operators import fuzzy
+from tamiz.plans import cleaning, report
+from tamiz.plans.rules import COLUMNS, DERIVED
+
+from . import duck as d
+from .fixtures import CATALOG, PRODUCTS, RULES, SCHOOLS, duck, fixture
+from .registry import query
+from .table_queries import dim, schools
+
+FX3, FX5, CAT = duck(SCHOOLS), duck(PRODUCTS), duck(CATALOG)
+PRODUCT = dict(
+    name="name", block=("block1", "block2"), address="address", phone="phone",
+)
+_PAIR_COLS = """a AS indice_a, b AS indice_b, x.code AS codigo_a, y.code AS codigo_b,
+  x.name AS establecimiento_a, y.name AS establecimiento_b, s AS similitud_nombre,
+  coalesce(x.address = y.address, false) AS misma_direccion,
+  coalesce(x.phone = y.phone AND x.phone <> '', false) AS mismo_telefono,
+  x.status AS status_a, y.status AS status_b"""
+_PAIRS = f"""
+WITH RECURSIVE fx AS ({FX5}), {d.pairs_ctes('fx', 'name', ['block1', 'block2'])},
+full_pairs AS (SELECT {_PAIR_COLS} FROM pr JOIN fx x ON x.row_id = a JOIN fx y ON y.row_id = b),
+decided AS (SELECT *, CASE
+    WHEN misma_direccion AND mismo_telefono THEN '{fuzzy.DECISION_MERGE}'
+    WHEN misma_direccion AND similitud_nombre >= 95 THEN '{fuzzy.DECISION_ADDRESS}'
+    WHEN mismo_telefono AND similitud_nombre >= 95 THEN '{fuzzy.DECISION_PHONE}'
+    WHEN NOT misma_direccion THEN '{fuzzy.DECISION_DISTINCT}'
+    ELSE '{fuzzy.DECISION_UNCLEAR}' END AS decision FROM full_pairs)"""
+
+
+def products(spark, sf):
+    return fixture(spark, sf, PRODUCTS)
+
+
+def _pairs(spark, sf):
+    return fuzzy.fuzzy_pairs(products(spark, sf), "row_id", code="code", status="status", **PRODUCT)
+
+
+@query("fuzzy_pairs", f"{_PAIRS} SELECT *, 'pendiente de revision manual' AS decision FROM full_pairs")
+def fuzzy_pairs(spark, sf):
+    return _pairs(spark, sf)
+
+
+@query("fuzzy_decision", f"{_PAIRS} SELECT * FROM decided")
+def fuzzy_decision(spark, sf):
+    return fuzzy.with_decisions(_pairs(spark, sf))
+
+
+@query("decision_summary", f"{_PAIRS} SELECT decision, count(*) AS pares FROM decided GROUP BY 1")
+def decision_summary(spark, sf):
+    return fuzzy.decision_summary(products(spark, sf), "row_id", **PRODUCT)
+
+
+def clean_ctes() -> str:
+    """CTEs up to ``cl``: row_id, the 24 clean columns and raw columns as r_<name>."""
+    raw = ", ".join(f"{c} AS r_{c}" for c in COLUMNS)
+    texts = ", ".join(f"{d.clean_text(c)} AS {c}" for c in d.TEXTS)
+    unified = ", ".join(f"u_{c} AS ({d.unified('tx', c)})" for c in d.TEXTS)
+    joins = " ".join(f"JOIN u_{c} ON u_{c}.variant = tx.{c}" for c in d.TEXTS)
+    masked = ", ".join(
+        f"CASE WHEN NOT {d.placeholder(f'u_{c}.canonical')} THEN u_{c}.canonical END AS {c}"
+        for c in d.TEXTS[1:]
+    )
+    simple = ", ".join(f"upper({d.spaces('fx.' + c)}) AS {c}" for c in d.SIMPLE)
+    return f"""
+fx AS ({FX3}), {d.catalog_ctes(CAT)}, {d.places_cte('fx', 'pl')},
+tx AS (SELECT row_id, {texts} FROM fx), {unified},
+{d.phone_ctes('fx', 'row_id', 'TELEFONO')},
+rw AS (SELECT row_id, {raw} FROM fx),
+cl AS (SELECT fx.row_id, {d.spaces('fx.CODIGO')} AS CODIGO, nullif({d.spaces('fx.DISTRITO')}, '') AS DISTRITO,
+  pl.dep AS DEPARTAMENTO, pl.mun AS MUNICIPIO, nullif(u_ESTABLECIMIENTO.canonical, '') AS ESTABLECIMIENTO,
+  {masked}, {d.PHONE_JOINED} AS TELEFONO, {simple},
+  {d.district('fx.DISTRITO')} AS DISTRITO_FORMATO,
+  {d.district('fx.DISTRITO')} IN ('detallado', 'corto') AS DISTRITO_VALIDO,
+  pl.mun_ok AS MUNICIPIO_VALIDO, fx.TELEFONO AS TELEFONO_ORIGINAL,
+  CAST(len(numbers) AS INTEGER) AS TELEFONO_CANTIDAD, {d.PHONE_VALID} AS TELEFONO_VALIDO,
+  {d.PHONE_NOTE} AS TELEFONO_OBSERVACION, rw.* EXCLUDE (row_id)
+  FROM fx JOIN pl ON pl.row_id = fx.row_id JOIN tx ON tx.row_id = fx.row_id {joins}
+  JOIN ph_done ON ph_done.row_id = fx.row_id JOIN rw ON rw.row_id = fx.row_id)"""
+
+
+@query("clean_pipeline", f"""WITH {clean_ctes()} SELECT row_id, {', '.join(COLUMNS + DERIVED)} FROM cl""")
+def clean_pipeline(spark, sf):
+    return cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"])
+
+
+def _changed(c: str) -> str:
+    return f"{c} IS DISTINCT FROM r_{c}"
+
+
+def _affected(c: str) -> str:
+    if c == "CODIGO":
+        return f"count(*) FILTER (WHERE NOT regexp_matches(CODIGO, '{d.CODE}'))"
+    if c == "DISTRITO":
+        return "count(*) FILTER (WHERE DISTRITO_FORMATO IN ('vacio', 'incompleto'))"
+    if c in d.TEXTS[1:]:
+        return f"count(*) FILTER (WHERE {c} IS NULL)"
+    if c == "TELEFONO":
+        return ("count(*) FILTER (WHERE TELEFONO_CANTIDAD > 1) "
+                "+ count(*) FILTER (WHERE NOT TELEFONO_VALIDO)")
+    return f"count(*) FILTER (WHERE {_changed(c)})"
+
+
+_LOG = " UNION ALL ".join(f"SELECT '{c}' AS variable, {_affected(c)} AS affected FROM cl" for c in COLUMNS)
+_MAPPED = " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, count(*) AS mapped FROM u_{c} WHERE variant <> canonical" for c in d.TEXTS)
+
+
+@query("transform_log", f"""WITH {clean_ctes()}, lg AS ({_LOG}), mp AS ({_MAPPED})
+SELECT lg.variable, affected, mapped FROM lg LEFT JOIN mp ON mp.variable = lg.variable""")
+def transform_log(spark, sf):
+    raw = schools(spark, sf)
+    aligned = cleaning.clean_aligned(raw, dim(spark, sf), RULES, ["row_id"])
+    return cleaning.transform_log(aligned, raw).select("variable", "affected", "mapped")
+
+
+def _report_sql() -> str:
+    def long(src: str, prefix: str, missing) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{c}' AS col, count(*) FILTER (WHERE {missing(prefix + c)}) AS n FROM {src}" for c in COLUMNS
+        )
+
+    def shape(src: str, miss: str, variables: int) -> str:
+        return (
+            f"SELECT 'Registros' AS metric, count(*)::DOUBLE AS v FROM {src} "
+            f"UNION ALL SELECT 'Variables', {variables} "
+            f"UNION ALL SELECT 'Valores faltantes', sum(n) FROM {miss} "
+            f"UNION ALL SELECT '% faltantes', round(100.0::DOUBLE * sum(n) / ((SELECT count(*) FROM {src}) * 17), 2) FROM {miss} "
+            f"UNION ALL SELECT 'Variables con NA', count(*) FILTER (WHERE n > 0) FROM {miss}"
+        )
+
+    def rest(src: str, cols: list[str], name: str, pairs: str) -> str:
+        return (
+            "SELECT 'Duplicados exactos (fila completa)' AS metric, coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS v "
+            f"FROM (SELECT count(*) AS n FROM {src} GROUP BY {', '.join(cols)}) "
+            f"UNION ALL SELECT 'Posibles duplicados parciales (nombre similar, no identico)', count(*) FROM {pairs} "
+            f"UNION ALL SELECT 'Establecimientos unicos (ESTABLECIMIENTO)', count(DISTINCT {name}) FROM {src}"
+        )
+
+    raw_pairs = _rename(d.pairs_ctes("fx", "ESTABLECIMIENTO", ["DEPARTAMENTO", "MUNICIPIO"]), "b")
+    new_pairs = _rename(d.pairs_ctes("cl", "ESTABLECIMIENTO", ["DEPARTAMENTO", "MUNICIPIO"]), "a")
+    variants = " UNION ALL ".join(
+        f"SELECT count(DISTINCT {d.spaces(c)}) FILTER (WHERE {d.spaces(c)} <> upper({d.spaces(c)})) AS n FROM fx"
+        for c in d.SIMPLE
+    )
+    return f"""
+WITH RECURSIVE {clean_ctes()}, {raw_pairs}, {new_pairs}, lg AS ({_LOG}),
+mb AS ({long('fx', '', d.placeholder)}), ma AS ({long('cl', '', lambda c: f'{c} IS NULL')}),
+pv AS (SELECT DISTINCT {d.spaces('DEPARTAMENTO')} AS dv, {d.spaces('MUNICIPIO')} AS mv, dep, mun FROM pl),
+cats AS (SELECT (SELECT count(*) FILTER (WHERE dep <> upper(dv)) FROM (SELECT DISTINCT dv, dep FROM pv))
+  + (SELECT count(*) FILTER (WHERE mun <> upper(mv)) FROM pv) + (SELECT sum(n) FROM ({variants})) AS n),
+before AS ({shape('fx', 'mb', 17)} UNION ALL {rest('fx', COLUMNS, 'ESTABLECIMIENTO', 'pr_b')}
+  UNION ALL SELECT 'Variables con formato inconsistente', count(*) FILTER (WHERE affected > 0) FROM lg
+  UNION ALL SELECT 'Variables con tipo incorrecto', 0
+  UNION ALL SELECT 'Categorias inconsistentes (variantes de escritura)', n FROM cats
+  UNION ALL SELECT 'Errores corregidos (registros modificados)', sum(affected) FROM lg),
+after AS ({shape('cl', 'ma', 24)} UNION ALL {rest('cl', COLUMNS, 'ESTABLECIMIENTO', 'pr_a')}
+  UNION ALL SELECT m, 0 FROM (SELECT unnest(['Variables con formato inconsistente', 'Variables con tipo incorrecto',
+    'Categorias inconsistentes (variantes de escritura)', 'Errores corregidos (registros modificados)']) AS m))
+SELECT CAST(list_position([{', '.join("'" + m + "'" for m in report.METRICS)}], b.metric) AS INTEGER) AS ord,
+  b.metric, CAST(b.v AS DOUBLE) AS before, CAST(a.v AS DOUBLE) AS after
+FROM before b LEFT JOIN after a ON a.metric = b.metric ORDER BY 1"""
+
+
+def _rename(ctes: str, suffix: str) -> str:
+    """The pair CTEs under names of their own, so that two sets fit in one statement."""
+    import re
+
+    return re.sub(r"\b(keyed|cand|walk|scored|near|pr)\b", lambda m: f"{m.group(1)}_{suffix}", ctes)
+
+
+@query("quality_report", _report_sql())
+def quality_report(spark, sf):
+    return report.quality_report(schools(spark, sf), dim(spark, sf), "row_id", RULES)
+
+
+@query("duplicate_review", f"""
+WITH RECURSIVE {clean_ctes()}, {d.pairs_ctes('cl', 'ESTABLECIMIENTO', ['DEPARTAMENTO', 'MUNICIPIO'])},
+p AS (SELECT s, coalesce(x.DIRECCION = y.DIRECCION, false) AS sa, coalesce(x.TELEFONO = y.TELEFONO, false) AS sp
+  FROM pr JOIN cl x ON x.row_id = a JOIN cl y ON y.row_id = b)
+SELECT CASE WHEN sa AND sp THEN '{fuzzy.DECISION_MERGE}' WHEN sa AND s >= 95 THEN '{fuzzy.DECISION_ADDRESS}'
+  WHEN sp AND s >= 95 THEN '{fuzzy.DECISION_PHONE}' WHEN NOT sa THEN '{fuzzy.DECISION_DISTINCT}'
+  ELSE '{fuzzy.DECISION_UNCLEAR}' END AS decision, count(*) AS pares FROM p GROUP BY 1""")
+def duplicate_review(spark, sf):
+    cleaned = cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"])
+    return report.duplicate_review(cleaned, "row_id")[1]
+
+
+@query("align_metrics", """
+SELECT 1 AS ord, 'orders' AS metric, CAST(count(*) AS DOUBLE) AS before,
+  CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) AS after FROM orders
+UNION ALL SELECT 2, 'lines', CAST(count(*) AS DOUBLE), NULL FROM lineitem""")
+def align_metrics(spark, sf):
+    from .fixtures import table
+
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+
+    def count(df, name):
+        return df.agg(F.count("*").cast("double").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+    before = count(orders, "orders").unionByName(count(lines, "lines"))
+    after = count(orders.filter("o_orderstatus = 'F'"), "orders")
+    return report.align_metrics(before, after, ["orders", "lines"])
