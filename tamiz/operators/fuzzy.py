@@ -26,6 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.similarity import indel_similarity, token_sort
+from ..runtime import materialize
 
 # The five decisions, in rule order.
 DECISION_MERGE = "Probable duplicado (misma direccion y telefono): candidato a fusion, revisar"
@@ -47,15 +48,19 @@ def with_form_key(df: DataFrame, name: str, block: list[str]) -> DataFrame:
 def name_forms(df: DataFrame, name: str, block: list[str], row_col: str) -> DataFrame:
     """(form, block columns, key, len, rows): distinct sorted-token names per block.
 
-    ``form`` is the smallest row id of the group, hence unique.
+    ``form`` is the smallest row id of the group, hence unique. The table is
+    written once, since a search reads it four times.
     """
-    return (
-        with_form_key(df, name, block)
-        .groupBy(*block, "_key")
-        .agg(F.min(row_col).alias("form"), F.count("*").alias("rows"))
-        .select(
+    groups = with_form_key(df, name, block).groupBy(*block, "_key")
+    return _forms(groups.agg(F.min(row_col).alias("form"), F.count("*").alias("rows")), block)
+
+
+def _forms(grouped: DataFrame, block: list[str]) -> DataFrame:
+    return materialize(
+        grouped.select(
             "form", *block, F.col("_key").alias("key"), F.length("_key").alias("len"), "rows"
-        )
+        ),
+        "forms",
     )
 
 
@@ -272,18 +277,23 @@ def decision_summary(
     addresses and phones.
     """
     block = list(block)
-    forms = name_forms(df, name, block, row_col)
+    cells = materialize(
+        with_form_key(df, name, block)
+        .groupBy(*block, "_key", F.col(address).alias("d"), F.col(phone).alias("t"))
+        .agg(F.count("*").alias("n"), F.min(row_col).alias("first")),
+        "cells",
+    )
+    forms = _forms(
+        cells.groupBy(*block, "_key").agg(F.min("first").alias("form"), F.sum("n").alias("rows")),
+        block,
+    )
     pairs = not_identical(similar_forms(forms, block, threshold)).select(
         "form_a", "form_b", "rows_a", "rows_b",
         (F.col("similitud_nombre") >= NEAR_IDENTICAL).alias("near"),
     )
-    cells = (
-        with_form_key(df, name, block)
-        .groupBy(*block, "_key", address, phone)
-        .agg(F.count("*").alias("n"))
-        .join(forms.select("form", *block, F.col("key").alias("_key")), [*block, "_key"])
-        .select("form", F.col(address).alias("d"), F.nullif(F.col(phone), F.lit("")).alias("t"), "n")
-    )
+    pairs = materialize(pairs, "pairs")
+    cells = cells.join(forms.select("form", *block, F.col("key").alias("_key")), [*block, "_key"])
+    cells = cells.select("form", "d", F.nullif(F.col("t"), F.lit("")).alias("t"), "n")
 
     def matches(keys: list[str], label: str) -> DataFrame:
         counts = (

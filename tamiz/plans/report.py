@@ -121,7 +121,7 @@ def quality_report(
     metric. "Corrections" of the finished table are 0: none are applied to it.
     """
     block = [rules.department, rules.municipality]
-    aligned = materialize(clean_aligned(df, dim, rules, [row_col]))
+    aligned = materialize(clean_aligned(df, dim, rules, [row_col]), "clean")
     raw = aligned.select(row_col, f"{RAW}.*")
     cleaned = aligned.select(row_col, *COLUMNS, *DERIVED)
 
@@ -156,5 +156,7 @@ def duplicate_review(
     df: DataFrame, row_col: str, threshold: int = DEFAULT_THRESHOLD
 ) -> tuple[DataFrame, DataFrame]:
     """(similar pairs with their decision, number of pairs per decision)."""
-    pairs = with_decisions(fuzzy_pairs(df, row_col, threshold=threshold))
-    return pairs, decision_summary(df, row_col, threshold=threshold)
+    cols = ["CODIGO", "DEPARTAMENTO", "MUNICIPIO", "ESTABLECIMIENTO", "DIRECCION", "TELEFONO", "STATUS"]
+    rows = materialize(df.select(row_col, *cols), "review")
+    pairs = with_decisions(fuzzy_pairs(rows, row_col, threshold=threshold))
+    return pairs, decision_summary(rows, row_col, threshold=threshold)

@@ -54,14 +54,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and continue from there.
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and continue from there.
 
-    For results several later branches read. Files on shared storage survive
-    the loss of an executor, unlike cached blocks of a long lineage.
+    For results that several later branches read: the work is done once, a lost
+    executor does not bring it back, later scans read only the columns they
+    need, and joins know the size of the result.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tamiz.operators.places import PlaceRules
+from tamiz.runtime import scratch_path
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -232,9 +233,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df) if name in LARGE else df
 
 
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
-    return spark.sql(text, **used)
+    """The rows of a fixture, all of them, written once per session.
+
+    A raw table is stored data. Staging it keeps the expressions that make the
+    dirt out of the plans of the queries that clean it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, text)
+    if key not in _STAGED:
+        used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+        path = scratch_path(spark, "fixture")
+        spark.sql(text, **used).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
 
 
 def duck(text: str) -> str:
