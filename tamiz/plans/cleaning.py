@@ -111,25 +111,25 @@ def affected_rows() -> dict[str, Column]:
     return {c: out[c] for c in COLUMNS}
 
 
-def _problem(col: str) -> Column:
+def _problems() -> dict[str, Column]:
     def text(*parts) -> Column:
         return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 
-    known = {
-        "CODIGO": text(F.col("n_CODIGO"), " codes break the pattern"),
-        "DISTRITO": text(F.col("district_empty"), " empty and ", F.col("district_truncated"), " truncated"),
-        "DEPARTAMENTO": text(F.col("n_DEPARTAMENTO"), " not in canonical spelling"),
-        "MUNICIPIO": text(
-            F.col("n_MUNICIPIO"), " not in canonical spelling; ",
-            F.col("municipality_unknown"), " outside the catalogue",
-        ),
-        "TELEFONO": text(F.col("phone_many"), " with several numbers; ", F.col("phone_invalid"), " not valid"),
-    }
-    if col in known:
-        return known[col]
-    if col in PLACEHOLDER_TEXT:
-        return text(F.col(f"n_{col}"), " empty or placeholder")
-    return text(F.col(f"n_{col}"), " not in normal form")
+    out = {c: text(F.col(f"n_{c}"), " not in normal form") for c in ["ESTABLECIMIENTO", *SIMPLE_CATEGORIES]}
+    out.update({c: text(F.col(f"n_{c}"), " empty or placeholder") for c in PLACEHOLDER_TEXT})
+    out["CODIGO"] = text(F.col("n_CODIGO"), " codes break the pattern")
+    out["DISTRITO"] = text(
+        F.col("district_empty"), " empty and ", F.col("district_truncated"), " truncated"
+    )
+    out["DEPARTAMENTO"] = text(F.col("n_DEPARTAMENTO"), " not in canonical spelling")
+    out["MUNICIPIO"] = text(
+        F.col("n_MUNICIPIO"), " not in canonical spelling; ",
+        F.col("municipality_unknown"), " outside the catalogue",
+    )
+    out["TELEFONO"] = text(
+        F.col("phone_many"), " with several numbers; ", F.col("phone_invalid"), " not valid"
+    )
+    return out
 
 
 # What each step does, and why its "affected" count is defined as it is.
@@ -152,13 +152,13 @@ def transform_log(aligned: DataFrame, source: DataFrame | None = None) -> DataFr
     table) the free-text columns also state how many spellings were mapped.
     """
     one_row = aligned.agg(*counter_aggs())
-    rows = []
+    rows, problems = [], _problems()
     for col, affected in affected_rows().items():
         step, reason = STEPS.get(col, TEXT_STEP if col in PLACEHOLDER_TEXT else CATEGORY_STEP)
         rows.append(
             F.struct(
                 F.lit(col).alias("variable"),
-                _problem(col).alias("problem"),
+                problems[col].alias("problem"),
                 F.lit(step).alias("transformation"),
                 affected.alias("affected"),
                 F.lit(reason).alias("reason"),

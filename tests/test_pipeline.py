@@ -1,0 +1,112 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tamiz.operators import expectations as ex, places
+from tamiz.plans import cleaning, report, rules
+
+CATALOG = [("Petén", "Sayaxché"), ("Guatemala", "Mixco"), ("Alta Verapaz", "Cobán")]
+
+
+def school(i, **changes):
+    row = dict(
+        CODIGO=f"16-01-{i:04d}-46", DISTRITO="01-403", DEPARTAMENTO="PETEN", MUNICIPIO="SAYAXCHE",
+        ESTABLECIMIENTO=f"LICEO {chr(65 + i)}{chr(75 + i)}", DIRECCION=f"CALLE {i}", TELEFONO="22334455",
+        SUPERVISOR="ANA", DIRECTOR="EVA", NIVEL="DIVERSIFICADO", SECTOR="PRIVADO", AREA="URBANA",
+        STATUS="ABIERTA", MODALIDAD="MONOLINGUE", JORNADA="DOBLE", PLAN="DIARIO(REGULAR)",
+        DEPARTAMENTAL="PETÉN",
+    )
+    row.update(changes)
+    return (i, *[row[c] for c in rules.COLUMNS])
+
+
+ROWS = [
+    school(0),
+    school(1, DISTRITO="", DIRECTOR="---", TELEFONO=""),
+    school(2, DISTRITO="01-", DEPARTAMENTO="Ciudad Capital", MUNICIPIO="Zona 3", DIRECTOR="S/D",
+           DEPARTAMENTAL="GUATEMALA NORTE"),
+    school(3, ESTABLECIMIENTO='"COLEGIO JOSÈ"', TELEFONO="22202870-73"),
+    school(4, ESTABLECIMIENTO="COLEGIO JOSE", SUPERVISOR=" Ana​"),
+    school(5, MUNICIPIO="OTRO", AREA="Urbana", ESTABLECIMIENTO="---"),
+]
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    schema = "row_id long, " + ", ".join(f"{c} string" for c in rules.COLUMNS)
+    return spark.createDataFrame(ROWS, schema)
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return places.catalog_dim(spark.createDataFrame(CATALOG, "department string, municipality string"))
+
+
+@pytest.fixture(scope="module")
+def clean(raw, dim):
+    return cleaning.clean(raw, dim, keep=["row_id"])
+
+
+def test_shape_and_values(clean):
+    assert clean.columns == ["row_id", *rules.COLUMNS, *rules.DERIVED]
+    rows = {r["row_id"]: r for r in clean.collect()}
+    assert len(rows) == len(ROWS)
+    assert (rows[0]["DEPARTAMENTO"], rows[0]["MUNICIPIO"], rows[0]["MUNICIPIO_VALIDO"]) == ("PETÉN", "SAYAXCHÉ", True)
+    assert (rows[1]["DISTRITO"], rows[1]["DIRECTOR"], rows[1]["TELEFONO"]) == (None, None, None)
+    assert (rows[2]["DISTRITO"], rows[2]["DISTRITO_VALIDO"], rows[2]["MUNICIPIO"]) == ("01-", False, "ZONA 3")
+    assert rows[3]["ESTABLECIMIENTO"] == rows[4]["ESTABLECIMIENTO"] == "COLEGIO JOSÉ"
+    assert (rows[3]["TELEFONO"], rows[3]["TELEFONO_CANTIDAD"]) == ("22202870; 22202873", 2)
+    assert rows[5]["ESTABLECIMIENTO"] == "---" and rows[5]["MUNICIPIO_VALIDO"] is False
+    assert rows[5]["AREA"] == "URBANA"
+
+
+def test_log(raw, dim):
+    aligned = cleaning.clean_aligned(raw, dim, keep=["row_id"])
+    log = {r["variable"]: r for r in cleaning.transform_log(aligned, raw).collect()}
+    assert list(log) == rules.COLUMNS
+    want = {"CODIGO": 0, "DISTRITO": 2, "DEPARTAMENTO": 6, "MUNICIPIO": 5, "ESTABLECIMIENTO": 2,
+            "DIRECCION": 0, "TELEFONO": 2, "SUPERVISOR": 0, "DIRECTOR": 2, "AREA": 1}
+    assert {c: log[c]["affected"] for c in want} == want
+    assert log["ESTABLECIMIENTO"]["mapped"] == 1
+    assert log["DISTRITO"]["problem"] == "1 empty and 1 truncated"
+
+
+def test_report(raw, dim):
+    rows = report.quality_report(raw, dim, "row_id").collect()
+    assert [r["metric"] for r in rows] == report.METRICS
+    by = {r["metric"]: (r["before"], r["after"]) for r in rows}
+    assert by["Registros"] == (6, 6) and by["Variables"] == (17, 24)
+    assert by["Valores faltantes"] == (5, 4)  # a placeholder name stays text
+    assert by["% faltantes"] == (4.9, 3.92)
+    assert by["Errores corregidos (registros modificados)"] == (20, 0)
+
+
+def test_clean_table_meets_the_expectations(clean):
+    row_rules = [
+        *ex.no_edge_spaces([c for c in rules.COLUMNS if c != "TELEFONO"]),
+        *ex.in_domain(rules.DOMAINS), ex.has_pattern("CODIGO"), ex.not_null("CODIGO"),
+        ex.flag_coherent("TELEFONO", "TELEFONO_VALIDO"), ex.integer_text("TELEFONO_CANTIDAD"),
+    ]
+    official = clean.sparkSession.createDataFrame(
+        [(rules.DEPARTMENT_ACCENTS.get(n, n),) for _, n in rules.DEPARTMENT_CODES], "name string"
+    )
+    parts = [
+        ex.check(clean, row_rules), ex.expect_not_empty(clean), ex.expect_columns(clean, rules.COLUMNS),
+        ex.expect_no_duplicates(clean, rules.COLUMNS), ex.expect_unique(clean, "CODIGO"),
+        ex.expect_referential(clean, "DEPARTAMENTO", official, "name"),
+        ex.expect_phone_parts(clean, "TELEFONO"), ex.expect_text(clean, "CODIGO"),
+        ex.expect_no_case_variants(clean, rules.CATEGORICAL),
+    ]
+    for part in parts:
+        assert [tuple(r) for r in part.filter("failures > 0").collect()] == []
+
+
+def test_raw_table_fails_them(raw):
+    broken = raw.withColumn("STATUS", F.when(F.col("row_id") == 1, "abierta ").otherwise(F.col("STATUS")))
+    found = {(r["rule"], r["column"]): (r["failures"], r["example"]) for r in ex.check(
+        broken, [*ex.in_domain(rules.DOMAINS), *ex.no_edge_spaces(["STATUS", "SUPERVISOR"])]).collect()}
+    assert found[("domain", "STATUS")] == (1, "abierta ")
+    assert found[("domain", "AREA")] == (1, "Urbana")
+    assert found[("edge_spaces", "STATUS")][0] == 1
+    missing = ex.expect_columns(raw.drop("PLAN"), rules.COLUMNS).filter("failures > 0").collect()
+    assert [r["column"] for r in missing] == ["PLAN"]
+    assert ex.expect_not_empty(raw.limit(0)).first()["failures"] == 1
