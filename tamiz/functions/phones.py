@@ -208,7 +208,9 @@ def clean_phones(df: DataFrame, col: str = "TELEFONO") -> DataFrame:
 def explode_phones(df: DataFrame, id_col: str, col: str = "TELEFONO") -> DataFrame:
     """One row per usable number: (id, position from 0, number)."""
     parsed = parse_phones(df.select(id_col, col), col, "phone")
-    return parsed.select(id_col, F.posexplode("phone.numbers").alias("pos", "number"))
+    # The outer form with a filter behind it keeps the parse from running twice.
+    numbers = F.posexplode_outer("phone.numbers").alias("pos", "number")
+    return parsed.select(id_col, numbers).filter("pos IS NOT NULL")
 
 
 def suspicious_phones(df: DataFrame, row_col: str, col: str = "TELEFONO") -> DataFrame:

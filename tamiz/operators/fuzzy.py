@@ -134,9 +134,11 @@ def similar_forms(
     grams = _gram_rows(usable, block, threshold)
     x = F.col("k") * F.col("w") - F.col("q")
     gap = F.col("n") - F.col("m")
+    # The exploded sides are many times larger than their estimate, which knows
+    # only the table they come from: never broadcast them.
     candidates = (
         pieces.join(
-            grams,
+            grams.hint("merge"),
             (pieces["sig"] == grams["sig"])
             & (
                 (F.col("m") < F.col("n"))
@@ -156,6 +158,10 @@ def similar_forms(
         .distinct()
     )
 
+    # Substitutions make the Levenshtein distance at most the Indel distance, so it
+    # rules out pairs in the JVM; -1 says that it exceeds the limit.
+    budget = max_edits(F.length("key_a") + F.length("key_b"), threshold)
+
     def side(suffix: str) -> DataFrame:
         return forms.select(
             F.col("form").alias(f"form_{suffix}"),
@@ -168,6 +174,7 @@ def similar_forms(
         candidates.join(side("a"), "form_a")
         .join(side("b"), "form_b")
         .filter(F.col("block_a") == F.col("block_b"))  # a signature is only a hash
+        .filter(F.call_function("levenshtein", "key_a", "key_b", budget) >= 0)
         .withColumn("similarity", indel_similarity("key_a", "key_b"))
         .filter(F.col("similarity") >= threshold)
     )

@@ -11,13 +11,14 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.codes import CODE_PATTERN
-from ..functions.text import normalize_text
+from ..functions.text import let, normalize_text
 
 SCRIPT_BLOCK = r"(?is)<script\b.*?</script>"
 COMMENT = r"(?s)<!--.*?-->"
 TABLE_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 TABLE_CELL = r"(?is)<td\b[^>]*>(.*?)</td\s*>"
 TAG = r"(?s)<[^>]*>"
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 # The header row's first cell, and a cell it must contain.
 HEADER_FIRST = "CODIGO"
@@ -26,13 +27,13 @@ HEADER_MEMBER = "ESTABLECIMIENTO"
 
 def unescape_html(col: Column) -> Column:
     """Resolve named (HTML 4) and numeric character references that end in ``;``."""
-    names = F.create_map(
-        *[x for n, cp in sorted(name2codepoint.items()) for x in (F.lit(n), F.lit(chr(cp)))]
-    )
-    names = F.map_concat(names, F.create_map(F.lit("apos"), F.lit("'")))
+    entities = sorted({**name2codepoint, "apos": ord("'")}.items())
+    names = F.create_map(*[x for n, cp in entities for x in (F.lit(n), F.lit(chr(cp)))])
 
     def decoded(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        return let(F.regexp_extract(piece, REFERENCE, 1), lambda ref: resolve(piece, ref))
+
+    def resolve(piece: Column, ref: Column) -> Column:
         number = F.when(
             ref.rlike("^#[xX]"), F.conv(F.substring(ref, F.lit(3), F.length(ref)), 16, 10)
         ).otherwise(F.substring(ref, F.lit(2), F.length(ref)))
@@ -42,18 +43,15 @@ def unescape_html(col: Column) -> Column:
             code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
             F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
         )
-        text = F.when(ref.startswith("#"), character).when(ref != "", F.try_element_at(names, ref))
         rest = F.substring(piece, F.length(ref) + 2, F.length(piece))
-        return F.when(text.isNotNull(), F.concat(text, rest)).otherwise(
-            F.concat(F.lit("&"), piece)
-        )
+        known = F.when(ref.startswith("#"), character).when(ref != "", F.try_element_at(names, ref))
+        return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
 
-    pieces = F.split(col, "&")
-    head = F.get(pieces, F.lit(0))
-    tail = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)
-    return F.when(
-        F.contains(col, F.lit("&")), F.array_join(F.concat(F.array(head), tail), "")
-    ).otherwise(col)
+    # Every piece but the first follows an ampersand.
+    pieces = F.transform(
+        F.split(col, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(decoded(piece))
+    )
+    return F.array_join(pieces, "")
 
 
 def read_html_files(spark: SparkSession, path: str, charset: str = "ISO-8859-1") -> DataFrame:
@@ -101,7 +99,10 @@ def header_index(rows: Column) -> Column:
 
 def html_table_rows(docs: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """(keys, pos, cells): one row per table row."""
-    return docs.select(*keys, F.posexplode(table_rows(F.col(html))).alias("pos", "cells"))
+    # The outer form, with a filter behind it, parses each document once; for the
+    # plain form the optimizer adds a test of the array and parses it twice.
+    rows = F.posexplode_outer(table_rows(F.col(html))).alias("pos", "cells")
+    return docs.select(*keys, rows).filter("pos IS NOT NULL")
 
 
 def html_header_index(docs: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
@@ -133,7 +134,7 @@ def html_records(
         F.transform(F.col("_rows"), lambda r, i: F.struct(i.alias("pos"), r.alias("cells"))),
         lambda r: (r["pos"] > F.col("_header")) & F.get(r["cells"], F.lit(0)).rlike(pattern),
     )
-    rows = parsed.select(*keys, F.explode(data).alias("_r"))
+    rows = parsed.select(*keys, F.explode_outer(data).alias("_r")).filter("_r IS NOT NULL")
     padded = F.slice(F.concat(F.col("_r.cells"), F.array_repeat(F.lit(""), width)), 1, width)
     rows = rows.select(*keys, F.col("_r.pos").alias("pos"), padded.alias("_cells"))
     return rows.select(
