@@ -15,6 +15,9 @@ joined on (block, w, text of the piece, parity, coarse piece number) and the
 exact shift and length conditions are part of the join condition. Every string
 yields a number of rows linear in its length, whatever the block size.
 
+The condition also compares the letters of the two strings: 64-bit marks that
+differ in no more bits than there are edits, see ``letter_marks``.
+
 Rows with the same sorted-token text are one *form*; work on pairs of forms is
 independent of how often each form occurs.
 """
@@ -25,7 +28,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.similarity import indel_similarity, token_sort
+from ..functions.similarity import indel_similarity, letter_marks, token_sort
 from ..runtime import materialize
 
 # The five decisions, in rule order.
@@ -37,6 +40,7 @@ DECISION_UNCLEAR = "Indeterminado: requiere revision manual"
 DECISION_PENDING = "pendiente de revision manual"
 NEAR_IDENTICAL = 95.0
 DEFAULT_THRESHOLD = 90
+MARKS = ["letters_1", "letters_2"]
 
 
 def with_form_key(df: DataFrame, name: str, block: list[str]) -> DataFrame:
@@ -46,7 +50,7 @@ def with_form_key(df: DataFrame, name: str, block: list[str]) -> DataFrame:
 
 
 def name_forms(df: DataFrame, name: str, block: list[str], row_col: str) -> DataFrame:
-    """(form, block columns, key, len, rows): distinct sorted-token names per block.
+    """(form, block columns, key, len, rows, marks): distinct sorted-token names per block.
 
     ``form`` is the smallest row id of the group, hence unique. The table is
     written once, since a search reads it four times.
@@ -56,12 +60,11 @@ def name_forms(df: DataFrame, name: str, block: list[str], row_col: str) -> Data
 
 
 def _forms(grouped: DataFrame, block: list[str]) -> DataFrame:
-    return materialize(
-        grouped.select(
-            "form", *block, F.col("_key").alias("key"), F.length("_key").alias("len"), "rows"
-        ),
-        "forms",
+    marked = grouped.select(
+        "form", *block, F.col("_key").alias("key"), F.length("_key").alias("len"), "rows",
+        letter_marks("_key").alias("marks"),
     )
+    return materialize(marked.select("form", *block, "key", "len", "rows", "marks.*"), "forms")
 
 
 def max_edits(total_length: Column, threshold: int) -> Column:
@@ -80,7 +83,7 @@ def _log2_bucket(k: Column) -> Column:
 def _piece_rows(forms: DataFrame, block: list[str], threshold: int) -> DataFrame:
     """One row per leading piece of each form (the longer side of a pair)."""
     rows = forms.withColumn("w", piece_width(F.col("len"), threshold)).select(
-        "form", "len", "w", "key", *block,
+        "form", "len", "w", "key", *block, *MARKS,
         F.explode(F.sequence(F.lit(0), max_edits(2 * F.col("len"), threshold))).alias("k"),
     )
     gram = F.substring(F.col("key"), F.col("k") * F.col("w") + 1, F.col("w"))
@@ -88,6 +91,7 @@ def _piece_rows(forms: DataFrame, block: list[str], threshold: int) -> DataFrame
     return rows.select(
         F.xxhash64(*block, "w", gram, parity, _log2_bucket(F.col("k"))).alias("sig"),
         F.col("form").alias("form_s"), F.col("len").alias("n"), "k", "w",
+        *[F.col(c).alias(f"{c}_s") for c in MARKS],
     )
 
 
@@ -99,7 +103,7 @@ def _gram_rows(forms: DataFrame, block: list[str], threshold: int) -> DataFrame:
         F.transform(F.sequence(F.col("len"), longest), lambda n: piece_width(n, threshold))
     )
     rows = forms.select(
-        "form", "len", "key", *block, longest.alias("longest"), F.explode(widths).alias("w")
+        "form", "len", "key", *block, *MARKS, longest.alias("longest"), F.explode(widths).alias("w")
     ).filter(F.col("len") >= F.col("w"))
     rows = rows.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("len") - F.col("w"))).alias("q")
@@ -120,6 +124,7 @@ def _gram_rows(forms: DataFrame, block: list[str], threshold: int) -> DataFrame:
     return rows.select(
         F.xxhash64(*block, "w", gram, parity, "kb").alias("sig"),
         F.col("form").alias("form_r"), F.col("len").alias("m"), "q",
+        *[F.col(c).alias(f"{c}_r") for c in MARKS],
     )
 
 
@@ -129,11 +134,13 @@ def similar_forms(
     """(form_a, form_b, similarity, rows_a, rows_b) of different forms at or above the threshold."""
     if not 50 < threshold <= 100:
         raise ValueError("the threshold must lie above 50 and not above 100")
-    usable = forms.filter("len > 0").select("form", "key", "len", *block)
+    usable = forms.filter("len > 0").select("form", "key", "len", *block, *MARKS)
     pieces = _piece_rows(usable, block, threshold)
     grams = _gram_rows(usable, block, threshold)
     x = F.col("k") * F.col("w") - F.col("q")
     gap = F.col("n") - F.col("m")
+    flips = sum(F.bit_count(F.col(f"{c}_s").bitwiseXOR(F.col(f"{c}_r"))) for c in MARKS)
+    allowed = (100 - threshold) * (F.col("m") + F.col("n"))
     # The exploded sides are many times larger than their estimate, which knows
     # only the table they come from: never broadcast them.
     candidates = (
@@ -146,10 +153,8 @@ def similar_forms(
             )
             & (F.abs(x) <= F.col("k"))
             & ((x - F.col("k")) % 2 == 0)
-            & (
-                100 * (F.col("k") + F.abs(gap - x))
-                <= (100 - threshold) * (F.col("m") + F.col("n"))
-            ),
+            & (100 * (F.col("k") + F.abs(gap - x)) <= allowed)
+            & (100 * flips <= allowed),
         )
         .select(
             F.least("form_s", "form_r").alias("form_a"),

@@ -114,7 +114,7 @@ def test_decision_rules(spark):
 
 
 def test_threshold_range(spark):
-    forms = spark.createDataFrame([], "form long, b int, key string, len int, rows long")
+    forms = spark.createDataFrame([], "form long, b int, key string, len int, rows long, letters_1 long, letters_2 long")
     with pytest.raises(ValueError):
         fuzzy.similar_forms(forms, ["b"], 50)
 
@@ -125,3 +125,20 @@ def test_every_threshold_has_enough_pieces():
             edits = (100 - t) * 2 * n // 100
             width = n // (edits + 1)
             assert width >= 1 and n // width >= edits + 1
+
+
+def test_letter_marks_bound_the_edits(spark):
+    from tamiz.functions.similarity import letter_marks
+
+    rnd = random.Random(11)
+    pairs = []
+    for _ in range(300):
+        a = "".join(rnd.choice("AÁBCDEEE Ñ1é") for _ in range(rnd.randint(1, 40)))
+        pairs.append((a, mutate(rnd, mutate(rnd, a))))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    marked = df.select("a", "b", letter_marks("a").alias("x"), letter_marks("b").alias("y"))
+    flips = F.bit_count(F.col("x.letters_1").bitwiseXOR(F.col("y.letters_1"))) + F.bit_count(
+        F.col("x.letters_2").bitwiseXOR(F.col("y.letters_2"))
+    )
+    for row in marked.select("a", "b", flips.alias("f")).collect():
+        assert row["f"] <= len(row["a"]) + len(row["b"]) - 2 * lcs_length(row["a"], row["b"])
