@@ -17,7 +17,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = [
     "clean_text", "fold_key", "phone_clean", "missing_report", "profile_columns", "exact_dups",
     "repeated_ids", "unify_variants", "canonical_lookup", "repeated_names", "row_lineage",
-    "html_records", "page_fields_map", "clean_pipeline", "transform_log", "fuzzy_pairs",
+    "html_records", "page_fields_map", "clean_table", "transform_log", "fuzzy_pairs",
     "decision_summary", "quality_report",
 ]
 

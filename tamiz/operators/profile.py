@@ -85,8 +85,9 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def repeated_ids(df: DataFrame, key: str) -> DataFrame:
     """Non-blank identifiers that occur more than once, in order."""
+    blank = is_blank(F.col(key)) if dict(df.dtypes)[key] == "string" else F.col(key).isNull()
     return (
-        df.filter(~is_blank(F.col(key).cast("string")))
+        df.filter(~blank)
         .groupBy(key)
         .agg(F.count("*").alias("repeticiones"))
         .filter("repeticiones > 1")

@@ -45,6 +45,17 @@ def variant_map(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+def mapped_spellings(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(variable, mapped): how many spellings of each column another one replaces.
+
+    All columns in one scan. Of the n spellings of a key, n - 1 are replaced.
+    """
+    values = df.select(*cols).unpivot([], cols, "variable", "value").filter("value IS NOT NULL")
+    keys = values.distinct().groupBy("variable", fold_ascii(F.col("value")).alias("key"))
+    per_key = keys.agg((F.count("*") - 1).alias("surplus"))
+    return per_key.groupBy("variable").agg(F.sum("surplus").alias("mapped"))
+
+
 def apply_canonical(df: DataFrame, col: str, canonical: DataFrame) -> DataFrame:
     """Replace values whose folded key has a canonical spelling; others and NULL stay.
 

@@ -9,7 +9,7 @@ from ..functions.phones import clean_phones
 from ..functions.text import clean_spaces, clean_text, is_placeholder, normalize_category, null_where
 from ..operators.places import PlaceRules, standardize_places
 from ..operators.profile import ordinal
-from ..operators.unify import apply_canonical, canonical_variants, unify_variants, variant_map
+from ..operators.unify import apply_canonical, canonical_variants, mapped_spellings, unify_variants
 from .rules import COLUMNS, DERIVED, FREE_TEXT, PLACEHOLDER_TEXT, SIMPLE_CATEGORIES
 
 RAW = "_raw"
@@ -166,12 +166,8 @@ def transform_log(aligned: DataFrame, source: DataFrame | None = None) -> DataFr
         )
     log = one_row.select(F.inline(F.array(*rows)))
     if source is not None:
-        mapped = None
-        for col in FREE_TEXT:
-            spellings = source.select(clean_text(F.col(col)).alias(col))
-            n = variant_map(spellings, col).agg(F.count("*").alias("mapped"))
-            n = n.select(F.lit(col).alias("variable"), "mapped")
-            mapped = n if mapped is None else mapped.unionByName(n)
+        spellings = source.select(*[clean_text(F.col(c)).alias(c) for c in FREE_TEXT])
+        mapped = mapped_spellings(spellings, FREE_TEXT)
         log = log.join(mapped, "variable", "left")
     else:
         log = log.withColumn("mapped", F.lit(None).cast("bigint"))

@@ -84,8 +84,8 @@ cl AS (SELECT fx.row_id, {d.spaces('fx.CODIGO')} AS CODIGO, nullif({d.spaces('fx
   JOIN ph_done ON ph_done.row_id = fx.row_id JOIN rw ON rw.row_id = fx.row_id)"""
 
 
-@query("clean_pipeline", f"""WITH {clean_ctes()} SELECT row_id, {', '.join(COLUMNS + DERIVED)} FROM cl""")
-def clean_pipeline(spark, sf):
+@query("clean_table", f"""WITH {clean_ctes()} SELECT row_id, {', '.join(COLUMNS + DERIVED)} FROM cl""")
+def clean_table(spark, sf):
     return cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"])
 
 
