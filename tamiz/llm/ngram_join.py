@@ -213,6 +213,11 @@ def classes(
     component is the smallest known id, or null. An empty table gives an empty result. Sets are
     told apart by 64-bit fingerprints and tokens by 64-bit hashes.
     """
+    return _classes(docs, words, num, den, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, n, rep, root, component_id): root names the class of a set, also of one without an id."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     index = materialize(_index(docs, words), "sets")
     sets = materialize(
@@ -295,19 +300,37 @@ def classes(
     merged = components(by_group)
     of_set = sets.join(merged, sets.g == merged.node, "left").select("rep", "doc_id", F.coalesce("root", "g").alias("root"))
     least = of_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = of_set.join(least, "root").select("rep", "component_id")
+    named = of_set.join(least, "root").select("rep", "root", "component_id")
     return index.join(named, "rep", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
+        "doc_id", "n", "rep", "root",
         F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    )
+
+
+def _fingerprinted(docs: DataFrame, words: int) -> DataFrame:
+    """The rows of ``docs`` with the fingerprint of their set."""
+    place = docs.columns.index("text")
+    names = [f"c{i}" for i in range(len(docs.columns))] + ["rep_"]
+
+    def run(parts):
+        for batch in parts:
+            reps = [fingerprint(t) if len(t) else None for t in token_sets(batch.column(place).cast(pa.string()), words)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(reps, pa.int64())], names=names)
+
+    schema = docs.toDF(*names[:-1]).schema.add("rep_", "long")
+    return docs.mapInArrow(run, schema)
 
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, ...) that are the first of their class, columns as they were.
+    """The rows of ``docs`` (doc_id, text, ...) without all but one of each class, columns as they were.
 
-    A row stays when its id is the smallest of its class or null. Of repeated rows with that id all
-    stay, as the ids do not tell them apart.
+    The row with the smallest id of its class stays; of repeated rows with that id and one text,
+    one stays. A class that has only null ids keeps one row; rows without a word all stay.
     """
-    kept = classes(docs, words, num, den).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi").unionByName(docs.where("doc_id is null"))
+    found = materialize(_classes(docs, words, num, den, "doc_id", "text"), "classes")
+    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    known = docs.join(ids, docs["doc_id"].cast("long") == ids["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    unnamed = found.where("doc_id is null and component_id is null and rep is not null").groupBy("root").agg(F.min("rep").alias("kept_rep"))
+    null = _fingerprinted(docs.where("doc_id is null"), words).join(unnamed, F.col("rep_") == F.col("kept_rep"), "left")
+    null = null.where("rep_ is null").unionByName(null.where("kept_rep is not null").dropDuplicates(["rep_"]))
+    return known.union(null.drop("rep_", "root", "kept_rep"))

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, pieces
+from . import (
+    embedding_dedup,
+    language,
+    licenses,
+    mixing,
+    ngram_join,
+    pieces,
+    substring_dedup,
+    topk,
+    toxicity,
+    url_filter,
+)
+from . import sql as oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,11 +46,75 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-@query("op6_ngram_join")
+@query("op1_language")
+def op1_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"), piece_model())
+
+
+#: (host, path, verdict): fixed values of the query.
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query("op2_url_filter", oracle.URL_FILTER)
+def op2_url_filter(spark, sf_dir):
+    """The list holds the URLs that were spread with a feed's tracking parameter; it grows with ``pages``."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, pages.where(F.col("url").contains("utm_source=")).select("url"), RULES)
+
+
+@query("op3_mixing")
+def op3_mixing(spark, sf_dir):
+    """Target weights: the square roots of the sources' sizes."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op4_licenses", oracle.LICENSES)
+def op4_licenses(spark, sf_dir):
+    """Documents as files: source / thousand / fifty / name; the first of each directory is its licence file."""
+    i = F.col("doc_id")
+    name = (
+        F.when(i % 1000 == 0, F.lit("LICENSE"))
+        .when(i % 50 == 0, F.concat(F.floor(i / 50).cast("string"), F.lit("/LICENSE")))
+        .otherwise(F.concat(F.floor(i / 50).cast("string"), F.lit("/"), i.cast("string"), F.lit(".txt")))
+    )
+    files = table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "source", F.floor(i / 1000).cast("string"), name).alias("path"), "text"
+    )
+    return licenses.scan(files)
+
+
+@query("op5_embedding_dedup", oracle.EMBEDDING_DEDUP)
+def op5_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+@query("op6_ngram_join", oracle.NGRAM_JOIN)
 def op6_ngram_join(spark, sf_dir):
     return ngram_join.classes(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_substring_dedup", oracle.SUBSTRING_DEDUP)
+def op8_substring_dedup(spark, sf_dir):
+    out = substring_dedup.remove(table(spark, sf_dir, "documents"), window=50)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op9_topk", oracle.TOPK)
+def op9_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
+
+
 @query("op10_pieces")
 def op10_pieces(spark, sf_dir):
     out = pieces.encode(table(spark, sf_dir, "documents"), piece_model())

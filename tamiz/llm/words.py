@@ -55,7 +55,7 @@ class Words:
     """The words of a list of texts: hashes, byte spans, first word of each text."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool):
-        self.data = data
+        self.data, self.offsets = data, offsets
         keep = ~_SPACE[data]
         before = np.zeros(len(data), dtype=bool)  # the byte before belongs to the same word
         before[1:] = keep[:-1]
@@ -89,11 +89,40 @@ class Words:
             i = j
         return mix(out)
 
-    def text(self, i: int, keep: np.ndarray) -> bytes:
-        """The kept words of text ``i``, joined by one space."""
-        a = self.first[i]
-        spans = np.flatnonzero(keep) + a
-        return b" ".join(bytes(self.data[s:e]) for s, e in zip(self.start[spans], self.end[spans], strict=True))
+    def joined(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of the texts made of the kept words, one space between two."""
+        data, mask = self.data.copy(), np.zeros(len(self.data) + 1, dtype=np.int8)
+        start, end = self.start[keep], self.end[keep]
+        total = np.concatenate(([0], np.cumsum(keep)))[self.first]  # kept words before each text
+        gap = np.ones(len(start), dtype=bool)
+        gap[total[1:][total[1:] > total[:-1]] - 1] = False  # none after a text's last word
+        data[end[gap]] = 32
+        mask[start] += 1
+        np.subtract.at(mask, end + gap, 1)
+        mask = np.cumsum(mask[:-1], dtype=np.int8) > 0
+        before = np.concatenate(([0], np.cumsum(mask)))
+        return data[mask], before[self.offsets]
+
+    def without(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of the texts without the other words and the white space after them."""
+        last = np.zeros(len(self.start), dtype=bool)
+        last[self.first[1:][self.first[1:] > self.first[:-1]] - 1] = True
+        follow = np.append(self.start[1:], 0)
+        text = np.searchsorted(self.offsets, self.start, side="right") - 1
+        follow[last] = self.offsets[text[last] + 1]
+        mask = np.zeros(len(self.data) + 1, dtype=np.int32)
+        np.add.at(mask, self.start[~keep], 1)
+        np.subtract.at(mask, follow[~keep], 1)
+        mask = np.cumsum(mask[:-1]) == 0
+        before = np.concatenate(([0], np.cumsum(mask)))
+        return self.data[mask], before[self.offsets]
+
+
+def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """A string column over bytes and offsets."""
+    return pa.LargeStringArray.from_buffers(
+        len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets, dtype=np.int64)), pa.py_buffer(np.ascontiguousarray(data))
+    )
 
 
 def batches(text: pa.Array, size: int = 8 * CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -116,13 +145,23 @@ def batches(text: pa.Array, size: int = 8 * CHUNK) -> Iterator[tuple[int, int, n
 
 
 def windows(hashes: np.ndarray, length: int, factor: int) -> np.ndarray:
-    """A hash of every run of ``length`` consecutive hashes (not mixed)."""
-    if len(hashes) < length:
+    """A hash of every run of ``length`` consecutive hashes (not mixed), by doubling the length."""
+    n = len(hashes) - length + 1
+    if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(len(hashes) - length + 1, dtype=np.uint64)
-    for k in range(length):  # Horner's rule, one pass for each word
-        out = out * _U(factor) + hashes[k : len(hashes) - length + 1 + k]
-    return out
+    out, have, double, size = None, 0, hashes, 1
+    while True:
+        if length & size:
+            if out is None:
+                out, have = double[:n], size
+            else:
+                step = _U(pow(factor, size, 1 << 64))
+                out = out * step + double[have : have + n]
+                have += size
+        if 2 * size > length:
+            return out
+        double = double[:-size] * _U(pow(factor, size, 1 << 64)) + double[size:]
+        size *= 2
 
 
 def signed(x: np.ndarray) -> np.ndarray:
