@@ -7,7 +7,7 @@
 3. The matrix has a row for each token block and a column for each group. Two sets above the
    threshold differ in at most ``H`` tokens, so when the token space is cut into more than ``H``
    blocks, at least one block is equal in both (``blocks``). A set is a query for a group that
-   shares a block with it; no other pair can meet the threshold.
+   shares enough blocks with it for their sizes; no other pair can meet the threshold.
 4. For groups of several sets the union of their tokens is stored. The overlap of query and
    union bounds the overlap with every member; groups below the bound stay closed.
 5. Members of open groups that share a block with the query are compared token by token.
@@ -198,6 +198,19 @@ def _fits(n_a: str, n_b: str, num: int, den: int):
     return (F.col(n_a) * den >= F.col(n_b) * num) & (F.col(n_b) * den >= F.col(n_a) * num)
 
 
+def _least_shared(ends: list[int], num: int, den: int, n: str, lo: str, hi: str):
+    """Blocks that a set of size ``n`` shares with a set of a size from ``lo`` to ``hi`` above the threshold.
+
+    All blocks for the smaller one's level, without the spare ones, less the largest difference.
+    """
+    low = F.greatest(F.col(lo), F.ceil(F.col(n) * num / den))
+    high = F.least(F.col(hi), F.floor(F.col(n) * den / num))
+    level = F.size(F.filter(F.array(*(F.lit(e) for e in ends)), lambda e: e <= F.least(F.col(n), low)))
+    needed = F.array(*(F.lit(max(0, block_count(ends, k, num, den) - SPARE)) for k in range(len(ends) - 1)))
+    differ = F.floor((F.col(n) + high) * (den - num) / (den + num))
+    return F.greatest(F.lit(1), F.element_at(needed, level) - differ)
+
+
 def classes(
     docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -227,6 +240,7 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
         "distinct",
     )
     largest = sets.agg(F.max("n")).first()[0] or 1
+    ends = levels(num, den, largest)
 
     # 2. groups of similar sets: most typical set of each min-hash bucket
     bucket = sets.select("rep", "n", "doc_id", F.posexplode("mins").alias("slot", "value"))
@@ -263,7 +277,9 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
         matrix.select("block", "rep", "doc_id", "n", F.col("g").alias("own"))
         .join(columns, "block").where("own > g")
         .where((F.col("n") * den >= F.col("lo") * num) & (F.col("hi") * den >= F.col("n") * num))
-        .groupBy("rep", "doc_id", "n", "own", "g", "several").agg(F.count("*").alias("shared"))
+        .groupBy("rep", "doc_id", "n", "own", "g", "several")
+        .agg(F.count("*").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        .where(F.col("shared") >= _least_shared(ends, num, den, "n", "lo", "hi"))
     )
     visits = materialize(visits, "visits")
 
@@ -289,7 +305,8 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     )
     pairs = (
         query.join(matrix.select("block", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("g").alias("og")), ["block", "og"])
-        .where(_fits("na", "nb", num, den)).select("a", "b").distinct()
+        .where(_fits("na", "nb", num, den)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
+        .where(F.col("shared") >= _least_shared(ends, num, den, "na", "nb", "nb")).select("a", "b")
     )
     links = _meets(materialize(pairs, "pairs"), tokens, num, den)
     by_group = (
