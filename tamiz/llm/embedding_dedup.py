@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tamiz.runtime import materialize
 
+from .cells import groups, joined
 from .components import components
 
 #: Members of a bucket that are compared in one block.
@@ -99,40 +100,6 @@ def _coded(points: DataFrame, tables: int, hashes: int, probes: int, seed: int)
     )
 
 
-def _groups(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Consecutive rows that agree in the first ``keys`` columns."""
-    rest = None
-    for batch in parts:
-        table = pa.Table.from_batches([batch])
-        if rest is not None:
-            table = pa.concat_tables([rest, table]).combine_chunks()
-        if not table.num_rows:
-            continue
-        change = np.zeros(table.num_rows, dtype=bool)
-        change[0] = True
-        for k in range(keys):
-            v = table.column(k).to_numpy()
-            change[1:] |= v[1:] != v[:-1]
-        cuts = np.flatnonzero(change)
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield table.slice(a, b - a)
-        rest = table.slice(cuts[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
-def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest member reachable from each of n members by the links (a, b)."""
-    least = np.arange(n)
-    while True:
-        before = least.copy()
-        np.minimum.at(least, a, least[b])
-        np.minimum.at(least, b, least[a])
-        least = least[least]
-        if (least == before).all():
-            return least
-
-
 def _first_shared(ca: np.ndarray, cb: np.ndarray, table: int, code: int) -> np.ndarray:
     """Whether (table, code) is the first bucket that the rows of ca and cb share."""
     same = ca[:, : table + 1, :, None] == cb[:, : table + 1, None, :]
@@ -145,7 +112,7 @@ def _verified(cells: DataFrame, cosine: float, tables: int, probes: int) -> Data
     """(point, links, other): link counts of the cells' members, and a member of the same class."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in _groups(parts, 5):
+        for cell in groups(parts, 5):
             table, code, dim = (cell.column(k)[0].as_py() for k in (1, 2, 10))
             lo, hi = cell.column(3)[0].as_py(), cell.column(4)[0].as_py()
             block, point, copies = (cell.column(k).to_numpy() for k in (5, 6, 7))
@@ -167,7 +134,7 @@ def _verified(cells: DataFrame, cosine: float, tables: int, probes: int) -> Data
             links = np.zeros(len(point), dtype=np.int64)
             np.add.at(links, a, copies[b])
             np.add.at(links, b, copies[a])
-            other = point[_joined(len(point), a, b)]
+            other = point[joined(len(point), a, b)]
             some = links > 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(point[some]), pa.array(links[some]), pa.array(other[some])], names=["point", "links", "other"]

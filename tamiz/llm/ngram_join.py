@@ -3,17 +3,18 @@
 1. Every document becomes a set of 64-bit shingle hashes. Documents with equal sets are one
    *set* from here on, named by a 64-bit fingerprint of the set.
 2. Similar sets are partitioned into groups: each set is compared with the most typical set of
-   each of its min-hash buckets and joins it when the pair meets the threshold.
+   each of its min-hash buckets and joins the most typical one that it resembles.
 3. The matrix has a row for each token block and a column for each group. Two sets above the
    threshold differ in at most ``H`` tokens, so when the token space is cut into more than ``H``
    blocks, at least one block is equal in both (``blocks``). A set is a query for a group that
-   shares enough blocks with it for their sizes; no other pair can meet the threshold.
+   shares enough blocks with it for their sizes; no other pair of groups can hold a link.
 4. For groups of several sets the union of their tokens is stored. The overlap of query and
    union bounds the overlap with every member; groups below the bound stay closed.
-5. Members of open groups that share a block with the query are compared token by token.
+5. The members of a group are compared with each other and with the queries that opened it, in
+   cells of two blocks of rows. A cell counts common tokens by a product of token matrices and
+   returns which of its rows belong together, not pairs.
 
-Links between groups are merged to classes. No step lists the pairs inside a group, and copies
-of one text are never paired at all.
+No step lists the pairs inside a group, and copies of one text are never paired at all.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tamiz.runtime import materialize
 
+from .cells import groups, joined
 from .components import components
 from .words import Words, batches, mix, signed, windows
 
@@ -38,6 +40,10 @@ MIN_HASHES = 8
 _TURN = np.random.default_rng(11).integers(1, 1 << 62, MIN_HASHES, dtype=np.uint64) * _U(2) + _U(1)
 #: Blocks above the needed number; sets with at most that many empty blocks need not send them.
 SPARE = 3
+#: Sets join a group when they resemble its typical set this much.
+RESEMBLES = (2, 5)
+#: A block of a group's members or queries; token columns multiplied at a time.
+BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 1 << 19, 256, 8192
 #: A side of at most this many rows is broadcast, a larger one joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 
@@ -170,27 +176,79 @@ def small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def _meets(pairs: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the pairs (a, b) of sets whose Jaccard similarity is at least num / den."""
-    left = tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
-    right = tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets in ``a`` with all in ``b``, by token matrices."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    common = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    at = [np.searchsorted(common, x) for x in (*a, *b)]
+    hit = [i[(i < len(common)) & (common[np.minimum(i, len(common) - 1)] == x)] if len(common) else i[:0] for i, x in zip(at, (*a, *b), strict=True)]
+    for lo in range(0, len(common), COLUMNS):
+        m = np.zeros((len(hit), min(COLUMNS, len(common) - lo)), dtype=np.float32)
+        for row, i in enumerate(hit):
+            m[row, i[np.searchsorted(i, lo) : np.searchsorted(i, lo + COLUMNS)] - lo] = 1
+        out += m[: len(a)] @ m[len(a) :].T
+    return out
 
-    def run(parts):
-        for batch in parts:
-            keep = []
-            a, b = batch.column(2), batch.column(3)
-            av, ao = a.values.to_numpy(), a.offsets.to_numpy()
-            bv, bo = b.values.to_numpy(), b.offsets.to_numpy()
-            for i in range(batch.num_rows):
-                x, y = av[ao[i] : ao[i + 1]], bv[bo[i] : bo[i + 1]]
-                both = len(x) + len(y) - len(np.union1d(x, y)) if len(x) and len(y) else 0
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(keep, pa.bool_())), batch.column(1).filter(pa.array(keep, pa.bool_()))],
-                names=["a", "b"],
-            )
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+def _compared(cells: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): for each set that has a link in its cell, a set of the same class.
+
+    ``cells`` has (g, lo, hi, block, member, rep, tokens). Blocks lo and hi are compared, unless both
+    hold only queries.
+    """
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in groups(parts, 3):
+            lo, hi = cell.column(1)[0].as_py(), cell.column(2)[0].as_py()
+            block, rep = cell.column(3).to_numpy(), cell.column(5).to_numpy()
+            lists = cell.column(6).combine_chunks()
+            values, cuts = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            sets = [values[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
+            first, second = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+            if not len(first) or not len(second):
+                continue
+            size = np.diff(cuts)
+            both = _overlaps([sets[i] for i in first], [sets[i] for i in second])
+            close = den * both >= num * (size[first][:, None] + size[second][None, :] - both)
+            if lo == hi:
+                close = np.triu(close, 1)
+            a, b = np.nonzero(close)
+            if len(a):
+                least = joined(len(rep), first[a], second[b])
+                moved = np.flatnonzero(least != np.arange(len(rep)))
+                yield pa.RecordBatch.from_arrays([pa.array(rep[moved]), pa.array(rep[least[moved]])], names=["a", "b"])
+
+    return cells.mapInArrow(run, "a long, b long")
+
+
+def _cells(sets: DataFrame, opened: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The cells of every group with several sets or with queries, see ``_compared``.
+
+    Members take the first blocks of their group, queries the following ones; blocks have about
+    BLOCK_TOKENS tokens or BLOCK_SETS sets.
+    """
+    size = F.ceil(F.greatest(F.sum("n") / BLOCK_TOKENS, F.count("*") / BLOCK_SETS))
+    queries = opened.groupBy("g").agg(size.alias("query_blocks"))
+    held = sets.groupBy("g").agg(F.count("*").alias("held"), size.alias("blocks")).join(queries, "g", "left")
+    held = held.where("held > 1 or query_blocks is not null").select("g", "blocks", F.coalesce("query_blocks", F.lit(0)).alias("query_blocks"))
+    members = sets.select("g", "rep").join(held, "g").select(
+        "g", "rep", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), F.lit(True).alias("member"), (F.col("blocks") + F.col("query_blocks")).alias("others")
+    )
+    asking = opened.select("g", "rep").join(held, "g").select(
+        "g", "rep", (F.col("blocks") + F.pmod(F.xxhash64("rep"), F.col("query_blocks"))).alias("block"), F.lit(False).alias("member"), F.col("blocks").alias("others")
+    )
+    rows = members.unionByName(asking).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
+    rows = rows.select("g", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "member", "rep")
+    cells = rows.join(tokens, "rep").select("g", "lo", "hi", "block", "member", "rep", "tokens")
+    return cells.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
+
+
+def _alike(pairs: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of the pairs (a, b, ...) of sets whose Jaccard similarity is at least num / den."""
+    left = tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
+    right = tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
+    both = F.size(F.array_intersect("ta", "tb"))
+    return pairs.join(left, "a").join(right, "b").where(both * den >= (F.size("ta") + F.size("tb") - both) * num).select(*pairs.columns)
 
 
 def _fits(n_a: str, n_b: str, num: int, den: int):
@@ -242,7 +300,7 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     largest = sets.agg(F.max("n")).first()[0] or 1
     ends = levels(num, den, largest)
 
-    # 2. groups of similar sets: most typical set of each min-hash bucket
+    # 2. groups of similar sets: the most typical set of each min-hash bucket
     bucket = sets.select("rep", "n", "doc_id", F.posexplode("mins").alias("slot", "value"))
     held = bucket.groupBy("slot", "value").agg(F.count("*").alias("held")).where("held > 1")
     shared = materialize(bucket.join(held, ["slot", "value"]), "buckets")
@@ -251,18 +309,19 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     lead = shared.groupBy("slot", "value").agg(F.max(F.struct("weight", "rep", "n", "doc_id")).alias("lead"))
     stars = (
         shared.join(lead, ["slot", "value"])
-        .select("rep", "n", "doc_id", F.col("lead.rep").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.doc_id").alias("db"))
-        .where("rep <> b").where(_fits("n", "nb", num, den)).distinct()
-    )
+        .select(F.col("rep").alias("a"), "n", "doc_id", F.col("lead.rep").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.doc_id").alias("db"), "lead.weight")
+        .where("a <> b").where(_fits("n", "nb", *RESEMBLES)).distinct()
+    )
     stars = materialize(stars, "stars")
-    wanted = stars.select("doc_id", "rep").unionByName(stars.select(F.col("db").alias("doc_id"), F.col("b").alias("rep"))).distinct()
-    tokens = materialize(_tokens(docs, words, materialize(wanted, "wanted")), "tokens")
-    starred = materialize(_meets(stars.select(F.col("rep").alias("a"), "b"), tokens, num, den), "starred")
-    group = materialize(components(starred), "groups")
+    wanted = stars.select("doc_id", F.col("a").alias("rep")).unionByName(stars.select(F.col("db").alias("doc_id"), F.col("b").alias("rep")))
+    tokens = _tokens(docs, words, materialize(wanted.distinct(), "wanted"))
+    alike = _alike(stars.select("a", "b", "weight"), materialize(tokens, "tokens"), *RESEMBLES)
+    group = alike.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("lead")).select(F.col("a").alias("node"), F.col("lead.b").alias("root"))
     sets = sets.select("rep", "doc_id", "n").join(group, sets.rep == group.node, "left").select(
-        "rep", "doc_id", "n", F.coalesce("root", "rep").alias("g"), F.col("root").isNotNull().alias("several")
+        "rep", "doc_id", "n", F.coalesce("root", "rep").alias("g")
     )
-    sets = materialize(sets, "grouped")
+    several = sets.groupBy("g").agg((F.count("*") > 1).alias("several"))
+    sets = materialize(sets.join(several, "g").select("rep", "doc_id", "n", "g", "several"), "grouped")
 
     # 3. matrix of token blocks and groups, rows that occur in one set only left out
     cells = _blocks(docs, words, num, den, largest)
@@ -284,38 +343,24 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     visits = materialize(visits, "visits")
 
     # 4. bound by the union of the group's tokens
-    members = sets.join(visits.select("g").distinct(), "g", "left_semi").select("doc_id", "rep")
+    visited = visits.select("g").distinct()
+    members = sets.where("several").select("doc_id", "rep").unionByName(sets.join(visited, "g", "left_semi").select("doc_id", "rep"))
     wanted = members.unionByName(visits.select("doc_id", "rep")).distinct()
     tokens = materialize(_tokens(docs, words, materialize(wanted, "wanted")), "tokens")
     union = (
-        sets.where("several").join(visits.select("g").distinct(), "g", "left_semi").join(tokens, "rep")
+        sets.where("several").join(visited, "g", "left_semi").join(tokens, "rep")
         .select("g", F.explode("tokens").alias("token")).distinct()
-    )
+    )
     asks = visits.where("several").select("rep", "n", "g").join(tokens, "rep").select("rep", "n", "g", F.explode("tokens").alias("token"))
     open_several = asks.join(union, ["g", "token"]).groupBy("rep", "n", "g").agg(F.count("*").alias("overlap")).where(
         F.col("overlap") * den >= F.col("n") * num
     )
-    opened = materialize(
-        open_several.select("rep", "g").unionByName(visits.where("not several").select("rep", "g")), "opened"
-    )
+    opened = open_several.select("rep", "n", "g").unionByName(visits.where("not several").select("rep", "n", "g"))
 
-    # 5. compare with the members that share a block
-    query = matrix.select("block", F.col("rep").alias("a"), F.col("n").alias("na")).join(
-        opened.select(F.col("rep").alias("a"), F.col("g").alias("og")), "a"
-    )
-    pairs = (
-        query.join(matrix.select("block", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("g").alias("og")), ["block", "og"])
-        .where(_fits("na", "nb", num, den)).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
-        .where(F.col("shared") >= _least_shared(ends, num, den, "na", "nb", "nb")).select("a", "b")
-    )
-    links = _meets(materialize(pairs, "pairs"), tokens, num, den)
-    by_group = (
-        links.join(sets.select(F.col("rep").alias("a"), F.col("g").alias("ga")), "a")
-        .join(sets.select(F.col("rep").alias("b"), F.col("g").alias("gb")), "b")
-        .select(F.col("ga").alias("a"), F.col("gb").alias("b"))
-    )
-    merged = components(by_group)
-    of_set = sets.join(merged, sets.g == merged.node, "left").select("rep", "doc_id", F.coalesce("root", "g").alias("root"))
+    # 5. compare the members of groups with each other and with the queries
+    links = _compared(_cells(sets, materialize(opened, "opened"), tokens), num, den)
+    merged = components(links)
+    of_set = sets.join(merged, sets.rep == merged.node, "left").select("rep", "doc_id", F.coalesce("root", "rep").alias("root"))
     least = of_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = of_set.join(least, "root").select("rep", "root", "component_id")
     return index.join(named, "rep", "left").select(
