@@ -42,6 +42,8 @@ _TURN = np.random.default_rng(11).integers(1, 1 << 62, MIN_HASHES, dtype=np.uint
 SPARE = 3
 #: Sets join a group when they resemble its typical set this much.
 RESEMBLES = (2, 5)
+#: A group's token union is stored in parts of at most about so many tokens.
+UNION_PART = 1 << 16
 #: A block of a group's members or queries; token columns multiplied at a time.
 BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 1 << 19, 256, 8192
 #: A side of at most this many rows is broadcast, a larger one joined by a shuffle.
@@ -347,14 +349,17 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     members = sets.where("several").select("doc_id", "rep").unionByName(sets.join(visited, "g", "left_semi").select("doc_id", "rep"))
     wanted = members.unionByName(visits.select("doc_id", "rep")).distinct()
     tokens = materialize(_tokens(docs, words, materialize(wanted, "wanted")), "tokens")
+    parts = sets.where("several").groupBy("g").agg(F.ceil(F.sum("n") / UNION_PART).alias("parts")).join(visited, "g", "left_semi")
+    parts = materialize(parts, "parts")
     union = (
-        sets.where("several").join(visited, "g", "left_semi").join(tokens, "rep")
-        .select("g", F.explode("tokens").alias("token")).distinct()
+        sets.join(parts, "g").join(tokens, "rep").select("g", "parts", F.explode("tokens").alias("token")).distinct()
+        .groupBy("g", F.pmod("token", "parts").alias("part")).agg(F.collect_list("token").alias("union"))
     )
-    asks = visits.where("several").select("rep", "n", "g").join(tokens, "rep").select("rep", "n", "g", F.explode("tokens").alias("token"))
-    open_several = asks.join(union, ["g", "token"]).groupBy("rep", "n", "g").agg(F.count("*").alias("overlap")).where(
-        F.col("overlap") * den >= F.col("n") * num
+    asks = visits.where("several").select("rep", "n", "g").join(parts, "g").select(
+        "rep", "n", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
     )
+    overlap = asks.join(tokens, "rep").join(union, ["g", "part"]).select("rep", "n", "g", F.size(F.array_intersect("tokens", "union")).alias("both"))
+    open_several = overlap.groupBy("rep", "n", "g").agg(F.sum("both").alias("overlap")).where(F.col("overlap") * den >= F.col("n") * num)
     opened = open_several.select("rep", "n", "g").unionByName(visits.where("not several").select("rep", "n", "g"))
 
     # 5. compare the members of groups with each other and with the queries
