@@ -1,4 +1,4 @@
-"""Connected components as Spark jobs: alternating large-star and small-star steps."""
+"""Connected components as Spark jobs, by alternating large-star and small-star steps; small join sides."""
 
 from __future__ import annotations
 
@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from tamiz.runtime import materialize
 
 
+#: A side of at most this many rows of numbers is broadcast, a larger one joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """The table, marked for broadcast when it is counted to be within BROADCAST_ROWS."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def _step(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges (a, b) with a > b; a node's minimum is combined before the shuffle."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tamiz.runtime import materialize
 
 from .cells import groups, joined
-from .components import components
+from .components import components, small
 from .words import Words, batches, mix, signed, windows
 
 _U = np.uint64
@@ -46,8 +46,6 @@ RESEMBLES = (2, 5)
 UNION_PART = 1 << 16
 #: A block of a group's members or queries; token columns multiplied at a time.
 BLOCK_TOKENS, BLOCK_SETS, COLUMNS = 1 << 19, 256, 8192
-#: A side of at most this many rows is broadcast, a larger one joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
 
 
 def levels(num: int, den: int, largest: int) -> list[int]:
@@ -173,11 +171,6 @@ def _tokens(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["rep"])
 
 
-def small(table: DataFrame) -> DataFrame:
-    """The table, marked for broadcast when it is counted to be within BROADCAST_ROWS."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-
-
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets in ``a`` with all in ``b``, by token matrices."""
     out = np.zeros((len(a), len(b)), dtype=np.float32)

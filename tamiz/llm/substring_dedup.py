@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tamiz.runtime import materialize
 
+from .components import small
 from .words import Words, batches, mix, signed, strings, windows
 
 _U = np.uint64
@@ -136,9 +137,8 @@ def _candidates(docs: DataFrame, alive: DataFrame, length: int, last: int, seede
                         names=["h1", "h2", "doc_id", "at"],
                     )
 
-    return docs.select("doc_id", "text").join(alive, "doc_id").select("doc_id", "text", "texts", "ats").mapInArrow(
-        run, "h1 long, h2 long, doc_id long, at long"
-    )
+    rows = docs.select("doc_id", "text").join(small(alive.select("doc_id")), "doc_id", "left_semi").join(alive, "doc_id")
+    return rows.select("doc_id", "text", "texts", "ats").mapInArrow(run, "h1 long, h2 long, doc_id long, at long")
 
 
 def _places(found: DataFrame, texts: DataFrame, how: str) -> DataFrame:
@@ -192,21 +192,23 @@ def remove(
     shared = seeds.groupBy("h1").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1")
     alive = seeds.join(shared, "h1").select("doc_id", "at")
 
-    text = texts.select("doc_id", "texts")
     if len(sizes) == 1:  # the window itself is the first length
         least = seeds.groupBy("h1").agg(F.min("doc_id").alias("lo"))
         alive = seeds.join(least, "h1").where("lo < doc_id").select("doc_id", "at")
     for level, (last, length) in enumerate(zip(sizes, sizes[1:], strict=False)):
-        wins = _candidates(docs, _places(alive, text, "inner"), length, last, seeded=level == 0)
-        ends = wins.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-        rows = wins.join(ends, ["h1", "h2"])
-        alive = (rows.where("lo < doc_id") if length == window else rows).select("doc_id", "at")
-        if length != window:
-            alive = materialize(alive, "alive")
-            if alive.isEmpty():
-                break
-
-    side = _places(alive, text, "left")
+        places = materialize(_places(alive, texts, "inner"), "alive")
+        if places.isEmpty():
+            break
+        wins = _candidates(docs, places, length, last, seeded=level == 0)
+        if length == window:
+            least = wins.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"))
+            alive = wins.join(least, ["h1", "h2"]).where("lo < doc_id").select("doc_id", "at")
+        else:
+            ends = wins.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+            alive = wins.join(ends, ["h1", "h2"]).select("doc_id", "at")
+
+    side = _places(alive, texts, "left").where(F.col("ats").isNotNull() | F.exists("texts", lambda t: t.whole))
+    side = materialize(side, "covered")
     out_schema = docs.select("doc_id", "text").schema.add("n_words", "long").add("n_removed", "long")
     out_schema = out_schema.add("spans", SPANS)
     if carry:
@@ -245,9 +247,12 @@ def remove(
                     names=["doc_id", "text", "n_words", "n_removed", "spans", "carried"][: 5 + bool(carry)],
                 )
 
-    # rows with an id first: the shuffle of their texts is the one that the candidates use
-    known = docs.where("doc_id is not null").join(side, "doc_id", "left")
-    unknown = docs.where("doc_id is null").select("*", *(F.lit(None).cast(side.schema[c].dataType).alias(c) for c in ("texts", "ats")))
-    rows = known.unionByName(unknown).select("doc_id", "text", "texts", "ats", *(["carried"] if carry else []))
+    # only texts that lose something are shuffled, unless their ids are too many to broadcast
+    ids = side.select("doc_id")
+    touched = docs.join(small(ids), "doc_id", "left_semi").join(side, "doc_id").select(*docs.columns, "texts", "ats")
+    plain = docs.join(small(ids), "doc_id", "left_anti").select(
+        *docs.columns, *(F.lit(None).cast(side.schema[c].dataType).alias(c) for c in ("texts", "ats"))
+    )
+    rows = touched.unionByName(plain).select("doc_id", "text", "texts", "ats", *(["carried"] if carry else []))
     out = rows.mapInArrow(run, out_schema)
     return out.select("doc_id", "text", "n_words", "n_removed", "spans", *(F.col("carried").getField(c).alias(c) for c in carry))
