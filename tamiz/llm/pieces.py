@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Runs kept per Python worker, and the longest run kept.
+#: Runs in each of the two tables kept per Python worker, and the longest run kept.
 KEPT_RUNS, KEPT_CHARS = 400_000, 32
+NEVER = float("inf")
 #: Characters given to the library at a time.
 SLICE = 1 << 20
 
@@ -39,26 +42,41 @@ class Agenda:
         self.byte_ids, self.unknown = byte_ids, unknown
         inside = re.compile(f"[^{SPACE}]{SPACE}")
         self.by_runs = not any(inside.search(p) for p in pieces)
-        self.runs = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        self.runs = re.compile(f"{SPACE}+[^{SPACE}]*")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def symbols(self, run: str) -> list[str]:
         """Pieces and unmerged characters of one run, from left to right."""
+        return self._short(run) if len(run) <= KEPT_CHARS else self._long(run)
+
+    def _short(self, run: str) -> list[str]:
+        """The agenda as a plain list in the order of the pairs: the first of the best comes next."""
+        sym, cost = list(run), self.cost
+        agenda = [cost.get(run[i : i + 2], NEVER) for i in range(len(sym) - 1)]
+        while agenda and (best := min(agenda)) != NEVER:
+            i = agenda.index(best)
+            sym[i] += sym.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = cost.get(sym[i - 1] + sym[i], NEVER)
+            if i < len(agenda):
+                agenda[i] = cost.get(sym[i] + sym[i + 1], NEVER)
+        return sym
+
+    def _long(self, run: str) -> list[str]:
+        """The agenda as a heap over linked symbols."""
         sym: list[str | None] = list(run)
         n, cost = len(sym), self.cost
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            c = cost.get(run[i : i + 2])
-            if c is not None:
-                agenda.append((c, i, i + 1, 2))
+        agenda = [(c, i, i + 1, 2) for i in range(n - 1) if (c := cost.get(run[i : i + 2])) is not None]
         heapq.heapify(agenda)
         while agenda:
             _, i, j, size = heapq.heappop(agenda)
             a, b = sym[i], sym[j]
             if a is None or b is None or len(a) + len(b) != size or after[i] != j:
-                continue
+                continue  # a symbol is gone or has grown
             merged = sym[i] = a + b
             sym[j] = None
             k = after[i] = after[j]
@@ -77,35 +95,52 @@ class Agenda:
         return [s for s in sym if s is not None]
 
     def _packed(self, run: str) -> bytes:
-        out = []
+        out = array("I")
         for s in self.symbols(run):
             i = self.ids.get(s)
             if i is not None:
                 out.append(i)
             elif self.byte_ids:
-                out.extend(self.byte_ids[x] for x in s.encode("utf-8"))
+                out.extend([self.byte_ids[x] for x in s.encode("utf-8")])
             else:
                 out.append(self.unknown)
-        return np.array(out, dtype="<u4").tobytes()
+        return pack(out)
+
+    def _run(self, rest: str) -> bytes:
+        """Ids of the run of a space mark and ``rest``: from the table, the one before it, or the agenda."""
+        ids = self.known.get(rest)
+        if ids is None:
+            ids = self.older.get(rest)
+            if ids is None:
+                ids = self._packed(SPACE + rest)
+            if len(rest) < KEPT_CHARS:
+                if len(self.known) >= KEPT_RUNS:
+                    self.older, self.known = self.known, {}
+                self.known[rest] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a text without begin and end, packed as little-endian 32-bit integers."""
         if not text:
             return b""
-        marked = SPACE + text.replace(" ", SPACE)
         if not self.by_runs:
-            return self._packed(marked)
-        known, out = self.known, []
-        for run in self.runs.findall(marked):
-            ids = known.get(run)
-            if ids is None:
-                ids = self._packed(run)
-                if len(run) <= KEPT_CHARS:
-                    if len(known) >= KEPT_RUNS:
-                        known.clear()
-                    known[run] = ids
-            out.append(ids)
-        return b"".join(out)
+            return self._packed(SPACE + text.replace(" ", SPACE))
+        if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
+            rests = [run[1:] for run in self.runs.findall(SPACE + text.replace(" ", SPACE))]
+        else:
+            rests = text.split(" ")
+        try:
+            return b"".join(map(self.known.__getitem__, rests))
+        except KeyError:
+            return b"".join(map(self._run, rests))
+
+
+def pack(ids) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 _MODELS: dict[str, tuple] = {}
@@ -155,7 +190,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp, agenda = load(model_path)
-        begin, end = (np.array([i], dtype="<u4").tobytes() for i in (sp.bos_id(), sp.eos_id()))
+        begin, end = (pack([i]) for i in (sp.bos_id(), sp.eos_id()))
         for batch in parts:
             at = 0
             for texts in _slices([t or "" for t in batch.column(1).to_pylist()]):
@@ -163,7 +198,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 packed = []
                 for text, ids in zip(texts, want, strict=True):
                     own = begin + agenda.encode(text) + end
-                    if own != np.array(ids, dtype="<u4").tobytes():
+                    if own != pack(ids):
                         raise ValueError(f"agenda and library differ on a text of {len(text)} characters: {text[:80]!r}")
                     packed.append(own)
                 decoded = sp.decode(want, num_threads=1)
