@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Runs in each of the two tables kept per Python worker, and the longest run kept.
-KEPT_RUNS, KEPT_CHARS = 400_000, 32
+KEPT_RUNS, KEPT_CHARS = 500_000, 32
 NEVER = float("inf")
 #: Characters given to the library at a time.
 SLICE = 1 << 20
@@ -106,18 +106,9 @@ class Agenda:
                 out.append(self.unknown)
         return pack(out)
 
-    def _run(self, rest: str) -> bytes:
-        """Ids of the run of a space mark and ``rest``: from the table, the one before it, or the agenda."""
-        ids = self.known.get(rest)
-        if ids is None:
-            ids = self.older.get(rest)
-            if ids is None:
-                ids = self._packed(SPACE + rest)
-            if len(rest) < KEPT_CHARS:
-                if len(self.known) >= KEPT_RUNS:
-                    self.older, self.known = self.known, {}
-                self.known[rest] = ids
-        return ids
+    def _ids(self, rest: str) -> bytes:
+        """Ids of the run of a space mark and ``rest``, from the older table or the agenda."""
+        return self.older.get(rest) or self._packed(SPACE + rest)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text without begin and end, packed as little-endian 32-bit integers."""
@@ -132,7 +123,16 @@ class Agenda:
         try:
             return b"".join(map(self.known.__getitem__, rests))
         except KeyError:
-            return b"".join(map(self._run, rests))
+            if len(self.known) >= KEPT_RUNS:
+                self.older, self.known = self.known, {}
+        known = self.known
+        new = set(rests).difference(known)
+        known.update((r, self._ids(r)) for r in new)
+        out = b"".join(map(known.__getitem__, rests))
+        for r in new:
+            if len(r) >= KEPT_CHARS:
+                del known[r]
+        return out
 
 
 def pack(ids) -> bytes:
