@@ -193,6 +193,16 @@ def vocabulary(model_path: str) -> list[str]:
     ]
 
 
+def first_by_hash(rows: DataFrame, group: str, sample: int) -> DataFrame:
+    """The rows (id, ...) with the ``sample`` smallest hashes of the id in each group, found in two
+    steps so that no task gets a whole group."""
+    for part in (["part"], []):
+        order = Window.partitionBy(group, *part).orderBy(F.xxhash64("id"), "id")
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)))
+        rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).drop("n", "part")
+    return rows
+
+
 def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """(languages, probabilities) learned from rows that are not held out and have a language.
 
@@ -200,11 +210,8 @@ def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str =
     gets a number for each piece and language, as many as the vocabulary and the languages allow.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
-        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).select("id", "lang").distinct()
-    )
+    learnable = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
+    chosen = first_by_hash(learnable, "lang", sample).select("id", "lang").distinct()
     text = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,9 +18,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .language import held_out
+from .language import first_by_hash, held_out
 
 #: The bound of the training sample: rows for each label, and the longest text among them.
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
@@ -131,8 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
     size = rows.select("id", F.length("text").alias("chars")).where(
         F.col("id").isNotNull() & ~held_out("id") & (F.col("chars") > 0) & (F.col("chars") <= longest)
     )
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
-    chosen = size.join(known, "id").select("id", "toxic").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
+    chosen = first_by_hash(size.join(known, "id").select("id", "toxic").distinct(), "toxic", sample)
     picked = rows.where(F.length("text") <= longest).join(F.broadcast(chosen.select("id", "toxic")), "id").select("id", "toxic", "text")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
