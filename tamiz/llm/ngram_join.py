@@ -3,7 +3,7 @@
 1. Every document becomes a set of 64-bit shingle hashes. Documents with equal sets are one
    *set* from here on, named by a 64-bit fingerprint of the set.
 2. Similar sets are partitioned into groups: each set is compared with the most typical set of
-   each of its min-hash buckets and joins the most typical one that it resembles.
+   each of its min-hash buckets and joins the most typical one with enough equal min-hashes.
 3. The matrix has a row for each token block and a column for each group. Two sets above the
    threshold differ in at most ``H`` tokens, so when the token space is cut into more than ``H``
    blocks, at least one block is equal in both (``blocks``). A set is a query for a group that
@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.runtime import materialize
 
@@ -36,12 +37,12 @@ from .words import Words, batches, mix, signed, windows
 _U = np.uint64
 _FACTOR = 0xD6E8FEB86659FD93
 #: Odd multipliers of the min-hashes.
-MIN_HASHES = 8
+MIN_HASHES = 16
 _TURN = np.random.default_rng(11).integers(1, 1 << 62, MIN_HASHES, dtype=np.uint64) * _U(2) + _U(1)
 #: Blocks above the needed number; sets with at most that many empty blocks need not send them.
 SPARE = 3
-#: Sets join a group when they resemble its typical set this much.
-RESEMBLES = (2, 5)
+#: Equal min-hashes that let a set join the group of a typical set; any partition gives the same links.
+RESEMBLES = 6
 #: A group's token union is stored in parts of at most about so many tokens.
 UNION_PART = 1 << 16
 #: A block of a group's members or queries; token columns multiplied at a time.
@@ -153,22 +154,26 @@ def _blocks(docs: DataFrame, words: int, num: int, den: int, largest: int) -> Da
 
 
 def _tokens(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """(rep, tokens) of the wanted (doc_id, rep): their texts are read again, a join decides which."""
+    """(rep, tokens, ...) of the wanted (doc_id, rep, ...), one row for each id: their texts are read
+    again, a join decides which. Repeated rows give repeated sets."""
+    names = ["rep", "tokens", *wanted.columns[2:]]
 
     def run(parts):
         for batch in parts:
-            reps, packed = [], []
-            wants = batch.column(2).to_pylist()
-            for want, tokens in zip(wants, token_sets(batch.column(1), words), strict=True):
+            keep, packed = [], []
+            wants = batch.column(1).to_pylist()
+            for i, (want, tokens) in enumerate(zip(wants, token_sets(batch.column(0), words), strict=True)):
                 if len(tokens) and fingerprint(tokens) == want:
-                    reps.append(want)
+                    keep.append(i)
                     packed.append(signed(tokens))
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(packed, pa.list_(pa.int64()))], names=["rep", "tokens"])
+            kept = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(1), pa.array(packed, pa.list_(pa.int64())), *kept.columns[2:]], names=names)
 
-    wanted = small(wanted)
-    rows = docs.join(wanted.withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id") == F.col("wanted_id"))
-    rows = rows.select("doc_id", "text", "rep").mapInArrow(run, "rep long, tokens array<long>")
-    return rows.dropDuplicates(["rep"])
+    schema = T.StructType().add("rep", "long").add("tokens", T.ArrayType(T.LongType()))
+    for c in wanted.columns[2:]:
+        schema = schema.add(wanted.schema[c])
+    rows = docs.join(small(wanted).withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id") == F.col("wanted_id"))
+    return rows.select("text", *wanted.columns[1:]).mapInArrow(run, schema)
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -216,7 +221,7 @@ def _compared(cells: DataFrame, num: int, den: int) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long")
 
 
-def _cells(sets: DataFrame, opened: DataFrame, tokens: DataFrame) -> DataFrame:
+def _cells(docs: DataFrame, words: int, sets: DataFrame, opened: DataFrame) -> DataFrame:
     """The cells of every group with several sets or with queries, see ``_compared``.
 
     Members take the first blocks of their group, queries the following ones; blocks have about
@@ -226,26 +231,19 @@ def _cells(sets: DataFrame, opened: DataFrame, tokens: DataFrame) -> DataFrame:
     queries = opened.groupBy("g").agg(size.alias("query_blocks"))
     held = sets.groupBy("g").agg(F.count("*").alias("held"), size.alias("blocks")).join(queries, "g", "left")
     held = held.where("held > 1 or query_blocks is not null").select("g", "blocks", F.coalesce("query_blocks", F.lit(0)).alias("query_blocks"))
-    members = sets.select("g", "rep").join(held, "g").select(
-        "g", "rep", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), F.lit(True).alias("member"), (F.col("blocks") + F.col("query_blocks")).alias("others")
+    members = sets.select("g", "rep", "doc_id").join(held, "g").select(
+        "g", "rep", "doc_id", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), F.lit(True).alias("member"), (F.col("blocks") + F.col("query_blocks")).alias("others")
     )
-    asking = opened.select("g", "rep").join(held, "g").select(
-        "g", "rep", (F.col("blocks") + F.pmod(F.xxhash64("rep"), F.col("query_blocks"))).alias("block"), F.lit(False).alias("member"), F.col("blocks").alias("others")
+    asking = opened.select("g", "rep", "doc_id").join(held, "g").select(
+        "g", "rep", "doc_id", (F.col("blocks") + F.pmod(F.xxhash64("rep"), F.col("query_blocks"))).alias("block"), F.lit(False).alias("member"), F.col("blocks").alias("others")
     )
     rows = members.unionByName(asking).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
-    rows = rows.select("g", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "member", "rep")
-    cells = rows.join(tokens, "rep").select("g", "lo", "hi", "block", "member", "rep", "tokens")
+    place = F.struct("g", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "member").alias("cell")
+    wanted = materialize(rows.select("doc_id", "rep", place).groupBy("doc_id", "rep").agg(F.collect_list("cell").alias("cells")), "wanted")
+    cells = _tokens(docs, words, wanted).select("rep", "tokens", F.explode("cells").alias("c")).select("c.*", "rep", "tokens")
     return cells.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
 
 
-def _alike(pairs: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the pairs (a, b, ...) of sets whose Jaccard similarity is at least num / den."""
-    left = tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta"))
-    right = tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    return pairs.join(left, "a").join(right, "b").where(both * den >= (F.size("ta") + F.size("tb") - both) * num).select(*pairs.columns)
-
-
 def _fits(n_a: str, n_b: str, num: int, den: int):
     """Sizes that allow the threshold."""
     return (F.col(n_a) * den >= F.col(n_b) * num) & (F.col(n_b) * den >= F.col(n_a) * num)
@@ -296,22 +294,18 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     ends = levels(num, den, largest)
 
     # 2. groups of similar sets: the most typical set of each min-hash bucket
-    bucket = sets.select("rep", "n", "doc_id", F.posexplode("mins").alias("slot", "value"))
+    bucket = sets.select("rep", "n", "mins", F.posexplode("mins").alias("slot", "value"))
     held = bucket.groupBy("slot", "value").agg(F.count("*").alias("held")).where("held > 1")
     shared = materialize(bucket.join(held, ["slot", "value"]), "buckets")
     typical = shared.groupBy("rep").agg(F.sum(F.log2("held")).alias("weight"))
     shared = shared.join(typical, "rep")
-    lead = shared.groupBy("slot", "value").agg(F.max(F.struct("weight", "rep", "n", "doc_id")).alias("lead"))
-    stars = (
-        shared.join(lead, ["slot", "value"])
-        .select(F.col("rep").alias("a"), "n", "doc_id", F.col("lead.rep").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.doc_id").alias("db"), "lead.weight")
-        .where("a <> b").where(_fits("n", "nb", *RESEMBLES)).distinct()
+    lead = shared.groupBy("slot", "value").agg(F.max(F.struct("weight", "rep", "n", "mins")).alias("lead"))
+    equal = F.size(F.filter(F.zip_with("mins", "lead.mins", lambda x, y: x == y), lambda e: e))
+    group = (
+        shared.join(lead, ["slot", "value"]).where((F.col("rep") != F.col("lead.rep")) & (equal >= RESEMBLES))
+        .groupBy("rep").agg(F.max(F.struct("lead.weight", "lead.rep")).alias("lead"))
+        .select(F.col("rep").alias("node"), F.col("lead.rep").alias("root"))
     )
-    stars = materialize(stars, "stars")
-    wanted = stars.select("doc_id", F.col("a").alias("rep")).unionByName(stars.select(F.col("db").alias("doc_id"), F.col("b").alias("rep")))
-    tokens = _tokens(docs, words, materialize(wanted.distinct(), "wanted"))
-    alike = _alike(stars.select("a", "b", "weight"), materialize(tokens, "tokens"), *RESEMBLES)
-    group = alike.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("lead")).select(F.col("a").alias("node"), F.col("lead.b").alias("root"))
     sets = sets.select("rep", "doc_id", "n").join(group, sets.rep == group.node, "left").select(
         "rep", "doc_id", "n", F.coalesce("root", "rep").alias("g")
     )
@@ -339,8 +333,8 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
 
     # 4. bound by the union of the group's tokens
     visited = visits.select("g").distinct()
-    members = sets.where("several").select("doc_id", "rep").unionByName(sets.join(visited, "g", "left_semi").select("doc_id", "rep"))
-    wanted = members.unionByName(visits.select("doc_id", "rep")).distinct()
+    members = sets.where("several").join(visited, "g", "left_semi").select("doc_id", "rep")
+    wanted = members.unionByName(visits.where("several").select("doc_id", "rep")).distinct()
     tokens = materialize(_tokens(docs, words, materialize(wanted, "wanted")), "tokens")
     parts = sets.where("several").groupBy("g").agg(F.ceil(F.sum("n") / UNION_PART).alias("parts")).join(visited, "g", "left_semi")
     parts = materialize(parts, "parts")
@@ -348,15 +342,17 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
         sets.join(parts, "g").join(tokens, "rep").select("g", "parts", F.explode("tokens").alias("token")).distinct()
         .groupBy("g", F.pmod("token", "parts").alias("part")).agg(F.collect_list("token").alias("union"))
     )
-    asks = visits.where("several").select("rep", "n", "g").join(parts, "g").select(
-        "rep", "n", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    asks = visits.where("several").select("rep", "doc_id", "n", "g").join(parts, "g").select(
+        "rep", "doc_id", "n", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    )
+    overlap = asks.join(tokens, "rep").join(union, ["g", "part"]).select(
+        "rep", "doc_id", "n", "g", F.size(F.array_intersect("tokens", "union")).alias("both")
     )
-    overlap = asks.join(tokens, "rep").join(union, ["g", "part"]).select("rep", "n", "g", F.size(F.array_intersect("tokens", "union")).alias("both"))
-    open_several = overlap.groupBy("rep", "n", "g").agg(F.sum("both").alias("overlap")).where(F.col("overlap") * den >= F.col("n") * num)
-    opened = open_several.select("rep", "n", "g").unionByName(visits.where("not several").select("rep", "n", "g"))
+    open_several = overlap.groupBy("rep", "doc_id", "n", "g").agg(F.sum("both").alias("overlap")).where(F.col("overlap") * den >= F.col("n") * num)
+    opened = open_several.select("rep", "doc_id", "n", "g").unionByName(visits.where("not several").select("rep", "doc_id", "n", "g"))
 
     # 5. compare the members of groups with each other and with the queries
-    links = _compared(_cells(sets, materialize(opened, "opened"), tokens), num, den)
+    links = _compared(_cells(docs, words, sets, materialize(opened, "opened")), num, den)
     merged = components(links)
     of_set = sets.join(merged, sets.rep == merged.node, "left").select("rep", "doc_id", F.coalesce("root", "rep").alias("root"))
     least = of_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
