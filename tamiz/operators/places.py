@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import clean_spaces, fold_key
+from ..sources.tables import read_text_csv
 
 
 @dataclass(frozen=True)
@@ -24,9 +25,8 @@ class PlaceRules:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """A catalogue from a headed UTF-8 CSV file with department and municipality."""
-    schema = "department string, municipality string"
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    """A catalogue from a headed UTF-8 CSV file with the columns department and municipality."""
+    return read_text_csv(spark, path, ["department", "municipality"], multi_line=False, blank_as_null=True)
 
 
 def catalog_dim(catalog: DataFrame) -> DataFrame:

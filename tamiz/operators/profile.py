@@ -155,18 +155,17 @@ def value_list(df: DataFrame, values: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame([(v,) for v in values], "value string")
 
 
-# The joined list of unexpected values is one report cell. Beyond this many the
-# cell stays NULL and unexpected_values() lists them all as rows.
-INLINE_VALUES = 1000
-
-
 def catalog_validation(
     df: DataFrame,
     domains: dict[str, list[str]],
     catalogs: dict[str, DataFrame],
     catalog_label: str = " departamentos locales",
 ) -> DataFrame:
-    """Expected and unexpected values per column, against lists and catalogue tables."""
+    """Expected and unexpected values per column, against lists and catalogue tables.
+
+    One row for each unexpected value of a column, with their number; a column
+    without any has one row with ``''`` and 0.
+    """
     spark = df.sparkSession
     names = list(domains) + list(catalogs)
     checks = spark.createDataFrame(
@@ -192,24 +191,16 @@ def catalog_validation(
         .join(known, ["column", "value"], "left_anti")
     )
     counts = observed.groupBy("column").agg(F.count("*").alias("unexpected_count"))
-    short = counts.filter(F.col("unexpected_count") <= INLINE_VALUES).select("column")
-    lists = (
-        observed.join(short, "column", "left_semi")
-        .groupBy("column")
-        .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("listed"))
-    )
-    found = counts.join(lists, "column", "left")
     return (
-        checks.join(found, "column", "left")
+        checks.join(counts, "column", "left")
+        .join(observed, "column", "left")
         .select(
             "column",
             F.col("expected").alias("expected_values"),
-            F.when(F.col("unexpected_count").isNull(), F.lit(""))
-            .otherwise(F.col("listed"))
-            .alias("unexpected_values"),
+            F.coalesce("value", F.lit("")).alias("unexpected_value"),
             F.coalesce("unexpected_count", F.lit(0)).alias("unexpected_count"),
         )
-        .orderBy(ordinal(F.col("column"), names))
+        .orderBy(ordinal(F.col("column"), names), "unexpected_value")
     )
 
 

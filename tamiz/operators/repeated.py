@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+# Report columns and the columns they count.
 DETAILS = {
     "direcciones_distintas": "DIRECCION",
     "status_distintos": "STATUS",
     "jornadas_distintas": "JORNADA",
     "planes_distintos": "PLAN",
 }
-CHUNK = 10_000  # row positions per list of codes; bounds every collected list
+CHUNK = 10_000  # codes per part of a list; bounds every collected list
 
 
 def _members(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,22 +41,34 @@ def repeated_codes(
     df: DataFrame, row_col: str, name: str = "ESTABLECIMIENTO",
     block=("DEPARTAMENTO", "MUNICIPIO"), code: str = "CODIGO",
 ) -> DataFrame:
-    """Codes of each group in row order, as consecutive parts.
+    """Codes of each group of two or more rows in row order, as consecutive parts.
 
-    A part covers a fixed range of row positions, so a group of any size is
-    listed in full while no single list can outgrow ``CHUNK``. The parts in
-    order, joined by ``'; '``, are the whole list.
+    A part has up to ``CHUNK`` codes, so a group of any size is listed in full
+    while no single list can outgrow it. The parts in order, joined by
+    ``'; '``, are the whole list. Rows are ranked inside ranges of row
+    positions and the rows of earlier ranges are added, so that no task orders
+    a whole group.
     """
     keys = [*block, name]
-    chunked = _members(df, keys).withColumn("part", F.floor(F.col(row_col) / CHUNK))
-    return chunked.groupBy(*keys, "part").agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col(row_col).alias("r"), F.col(code).alias("c")))),
-                lambda s: s["c"],
-            ),
-            "; ",
-        ).alias("codigos")
+    rows = _members(df, keys).select(
+        *keys, F.col(row_col).alias("_r"), F.col(code).alias("_c"), F.floor(F.col(row_col) / CHUNK).alias("_range")
+    )
+    sizes = rows.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        *keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(group).alias("_all")
+    ).filter("_all >= 2")
+    rank = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy("_r"))
+    placed = rows.withColumn("_rank", rank).join(sizes, [*keys, "_range"])
+    return (
+        placed.withColumn("part", F.floor((F.col("_before") + F.col("_rank") - 1) / CHUNK))
+        .groupBy(*keys, "part")
+        .agg(
+            F.array_join(
+                F.transform(F.array_sort(F.collect_list(F.struct("_r", "_c"))), lambda s: s["_c"]), "; "
+            ).alias("codigos")
+        )
     )
 
 
@@ -66,26 +79,19 @@ def repeated_names(
 ) -> DataFrame:
     """Repeated names, most distinct addresses first, with their codes joined in row order.
 
-    ``codigos`` is NULL for groups above ``CHUNK`` rows, whose list would not
-    fit a cell; :func:`repeated_codes` lists those in parts.
+    One row for each part of a group's list, see :func:`repeated_codes`; up to
+    ``CHUNK`` rows that is one row, part 0.
     """
     keys = [*block, name]
-    groups = repeated_groups(df, name, block, details)
-    small = groups.filter(F.col("registros") <= CHUNK).select(*keys)
-    listed = (
-        df.join(small, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(row_col).alias("r"), F.col(code).alias("c")))).alias("m"))
-        .select(*keys, F.array_join(F.transform("m", lambda s: s["c"]), "; ").alias("codigos"))
-    )
     first_detail = next(iter(details))
     return (
-        groups.join(listed, keys, "left")
+        repeated_groups(df, name, block, details)
+        .join(repeated_codes(df, row_col, name, block, code), keys)
         .select(
             F.col(block[0]).alias("departamento"),
             F.col(block[1]).alias("municipio"),
             F.col(name).alias("establecimiento"),
-            "registros", *details, "codigos",
+            "registros", *details, F.col("part").alias("parte"), "codigos",
         )
-        .orderBy(F.desc(first_detail), F.desc("registros"), "departamento", "municipio", "establecimiento")
+        .orderBy(F.desc(first_detail), F.desc("registros"), "departamento", "municipio", "establecimiento", "parte")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import materialize
@@ -34,35 +36,60 @@ def ingest_summary(records: DataFrame, source: str = "source", status: str = "es
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target, system = _path(spark, path)
+    return system.exists(target)
+
+
+def _drop_sources(spark: SparkSession, table: str, sources: set[str]) -> None:
+    """Remove the partitions of the given sources; the table's folder has one for each."""
+    target, system = _path(spark, table)
+    for status in system.listStatus(target) if sources else ():
+        name = status.getPath().getName()
+        if status.isDirectory() and unquote(name.partition("=")[2]) in sources:
+            system.delete(status.getPath(), True)
 
 
 def ingest(
     spark: SparkSession, pattern: str, table: str, manifest: str, columns: list[str],
     force: bool = False,
 ) -> DataFrame:
-    """Parse new or changed files into ``table``; with ``force`` all files.
+    """Bring ``table`` up to date with the files of ``pattern``; with ``force`` read all files again.
 
-    Returns the ingest summary. Sources that are not read again keep their
-    partition of the table.
+    A source is all files with one stem. When one of them is new, has changed
+    or is gone, the whole source is read again; the other sources keep their
+    partition. A source that ends without records or without files loses its
+    partition. Returns the ingest summary: every source that has files, also
+    with zero rows, and the total.
     """
     files = spark.read.format("binaryFile").load(pattern)
-    known = None
-    if not force and _exists(spark, manifest):
-        known = materialize(spark.read.parquet(manifest))
-    todo = files if known is None else new_sources(files, known)
-    records = html_records(decode_files(todo), ["source"], columns)
+    source = source_name(F.col("path")).alias("source")
+    seen = materialize(files.select(*FILE_KEY, source), "files")
+    known = seen.limit(0)
+    if _exists(spark, manifest):
+        known = materialize(spark.read.parquet(manifest), "manifest")
+    base = known.limit(0) if force else known
+    touched = new_sources(seen, base).select("source").unionByName(new_sources(known, seen).select("source"))
+    touched = materialize(touched.distinct(), "touched")
+    todo = decode_files(files).join(touched, "source", "left_semi")
+    records = materialize(html_records(todo, ["source"], columns), "records")
     write_by_source(records, table)
-    seen = files.select(*FILE_KEY, source_name(F.col("path")).alias("source"))
-    done = seen if known is None else new_sources(seen, known)
-    status = done.select("source").distinct().withColumn("estado", F.lit(STATUS_DONE))
-    status = materialize(status)
+    empty = touched.join(records.select("source"), "source", "left_anti")
+    _drop_sources(spark, table, {r["source"] for r in empty.collect()})
     seen.write.mode("overwrite").parquet(manifest)
-    stored = spark.read.parquet(table).select("source")
-    counted = stored.join(status, "source", "left").select(
-        F.col("source").cast("string").alias("source"),
-        F.coalesce("estado", F.lit(STATUS_SKIPPED)).alias("estado"),
+    stored = spark.read.schema(records.schema).parquet(table)
+    counts = stored.groupBy("source").agg(F.count("*").alias("filas"))
+    status = F.when(F.col("touched").isNotNull(), F.lit(STATUS_DONE)).otherwise(F.lit(STATUS_SKIPPED))
+    per_source = (
+        seen.select("source").distinct()
+        .join(touched.withColumn("touched", F.lit(True)), "source", "left")
+        .join(counts, "source", "left")
+        .select("source", status.alias("estado"), F.coalesce("filas", F.lit(0)).alias("filas"))
     )
-    return ingest_summary(counted)
+    total = per_source.agg(F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"))
+    return per_source.unionByName(total.select(F.lit(TOTAL).alias("source"), F.lit("").alias("estado"), "filas"))

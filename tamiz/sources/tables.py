@@ -12,28 +12,34 @@ CHUNK = 100_000
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, columns: list[str],
-    blank_as_null: bool = False, stripped: bool = False, multi_line: bool = True,
+    spark: SparkSession, path: str, columns: list[str], multi_line: bool,
+    blank_as_null: bool = False, stripped: bool = False,
 ) -> DataFrame:
-    """A headed UTF-8 CSV with every column as text.
-
-    Empty cells are ``''`` unless ``blank_as_null``. Quotes are doubled, not
-    escaped by a backslash. ``multi_line`` allows line breaks inside cells but
-    reads each file as one split; turn it off for large files without them.
+    """Columns of a headed UTF-8 CSV, all as text, found by their names in the header.
+
+    Other columns are left out and the order in the file does not matter; a
+    missing column raises ValueError, and so does reading files whose headers
+    differ. Empty cells are ``''`` unless ``blank_as_null``. Quotes are
+    doubled, not escaped by a backslash. ``multi_line`` allows line breaks
+    inside cells but reads each file as one split; without it large files are
+    split.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns)
     df = (
-        spark.read.schema(schema)
-        .option("header", True)
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    cells = [F.col(f"`{c}`") for c in columns]
     if blank_as_null:
-        return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
-    filled = [F.coalesce(F.col(c), F.lit("")) for c in columns]
+        return df.select(*[F.nullif(v, F.lit("")).alias(c) for c, v in zip(columns, cells)])
+    filled = [F.coalesce(v, F.lit("")) for v in cells]
     return df.select(*[(strip(v) if stripped else v).alias(c) for c, v in zip(columns, filled)])
 
 

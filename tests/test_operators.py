@@ -85,9 +85,10 @@ def test_repeated_names_and_codes(spark, monkeypatch):
     whole = "; ".join(f"c{i}" for i in range(50))
     assert (row["registros"], row["direcciones_distintas"], row["codigos"]) == (50, 3, whole)
     monkeypatch.setattr(repeated, "CHUNK", 7)
-    (row,) = repeated.repeated_names(df, "i").collect()
-    assert row["registros"] == 50 and row["codigos"] is None
-    parts = repeated.repeated_codes(df, "i").filter("ESTABLECIMIENTO = 'N'").orderBy("part").collect()
+    rows = repeated.repeated_names(df, "i").collect()
+    assert {r["registros"] for r in rows} == {50} and [r["parte"] for r in rows] == list(range(8))
+    assert "; ".join(r["codigos"] for r in rows) == whole
+    parts = repeated.repeated_codes(df, "i").orderBy("part").collect()
     assert "; ".join(p["codigos"] for p in parts) == whole and len(parts) == 8
 
 
@@ -114,13 +115,15 @@ def test_number_rows_over_chunks(spark):
     assert got == {k: i for i, k in enumerate(sorted(rows), 2)}
 
 
-def test_catalog_validation_beyond_the_inline_limit(spark, monkeypatch):
-    monkeypatch.setattr(profile, "INLINE_VALUES", 2)
-    df = spark.createDataFrame([("a", "u"), ("b", "v"), ("c", "ok")], "x string, y string")
+def test_catalog_validation_lists_every_value(spark):
+    rows = [(f"a{i}", "u") for i in range(1500)] + [("ok", "v"), ("ok", "ok")]
+    df = spark.createDataFrame(rows, "x string, y string")
     ok = profile.value_list(df, ["OK"])
-    got = {r["column"]: (r["unexpected_values"], r["unexpected_count"])
-           for r in profile.catalog_validation(df, {"x": ["OK"]}, {"y": ok}).collect()}
-    assert got == {"x": (None, 3), "y": ("U, V", 2)}
+    report = profile.catalog_validation(df, {"x": ["OK"]}, {"y": ok})
+    got = [tuple(r) for r in report.select("column", "unexpected_value", "unexpected_count").collect()]
+    assert got == [("x", v, 1500) for v in sorted(f"A{i}" for i in range(1500))] + [("y", "U", 2), ("y", "V", 2)]
+    clean = profile.catalog_validation(df.filter("x = 'ok'"), {"x": ["OK"]}, {})
+    assert [tuple(r) for r in clean.collect()] == [("x", "OK", "", 0)]
 
 
 def test_value_counts_match_counter(spark):

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tamiz.plans.rules import COLUMNS
@@ -86,6 +87,30 @@ def test_incremental_ingest(spark, tmp_path):
     assert {r["source"] for r in ingest.source_catalog(files).collect()} == {"A", "B", "C"}
 
 
+def test_ingest_keeps_the_table_equal_to_the_files(spark, tmp_path):
+    raw, table, manifest = (str(tmp_path / n) for n in ("raw", "table", "manifest"))
+    for folder, name, code in (("1", "a", "01"), ("2", "a", "02"), ("1", "b", "03"), ("1", "07", "04"), ("1", "x y=é", "05")):
+        write(f"{raw}/{folder}", name, page(f"16-01-00{code}-46"))
+    args = (spark, f"{raw}/*/*.xls", table, manifest, COLUMNS)
+    done, skipped = ingest.STATUS_DONE, ingest.STATUS_SKIPPED
+
+    def codes():
+        columns = ", ".join(f"`{c}` string" for c in [*COLUMNS, "source"])
+        return sorted((r["source"], r["CODIGO"][6:10]) for r in spark.read.schema(columns).parquet(table).collect())
+
+    assert _status(ingest.ingest(*args)) == {
+        "a": (done, 2), "b": (done, 1), "07": (done, 1), "x y=é": (done, 1), ingest.TOTAL: ("", 5)}
+    write(f"{raw}/1", "a", page("16-01-0011-46"))  # the other file of this stem stays
+    write(f"{raw}/1", "b", page())  # no records left
+    os.remove(f"{raw}/1/07.xls")
+    assert _status(ingest.ingest(*args)) == {"a": (done, 2), "b": (done, 0), "x y=é": (skipped, 1), ingest.TOTAL: ("", 3)}
+    assert codes() == [("a", "0002"), ("a", "0011"), ("x y=é", "0005")]
+    os.remove(f"{raw}/1/x y=é.xls")
+    assert _status(ingest.ingest(*args, force=True)) == {"a": (done, 2), "b": (done, 0), ingest.TOTAL: ("", 2)}
+    assert codes() == [("a", "0002"), ("a", "0011")]
+    assert _status(ingest.ingest(*args)) == {"a": (skipped, 2), "b": (skipped, 0), ingest.TOTAL: ("", 2)}
+
+
 def test_streaming_ingest(spark, tmp_path):
     raw, table, check = (str(tmp_path / n) for n in ("raw", "table", "check"))
     write(raw, "a", page("16-01-0001-46"))
@@ -101,11 +126,21 @@ def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     tables.write_csv(spark.createDataFrame(rows, "k string, a string, b string"), path)
     cols = ["k", "a", "b"]
-    got = sorted(tuple(r) for r in tables.read_text_csv(spark, path, cols).collect())
+    got = sorted(tuple(r) for r in tables.read_text_csv(spark, path, cols, True).collect())
     assert got == [(k, a or "", b) for k, a, b in rows]
-    nulls = tables.read_text_csv(spark, path, cols, blank_as_null=True)
+    nulls = tables.read_text_csv(spark, path, cols, True, blank_as_null=True)
     assert nulls.filter(F.col("a").isNull()).count() == 2
-    assert tables.read_text_csv(spark, path, cols, stripped=True).filter("b = 'x,\"y\"'").count() == 1
+    assert tables.read_text_csv(spark, path, cols, True, stripped=True).filter("b = 'x,\"y\"'").count() == 1
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    path = str(tmp_path / "n.csv")
+    with open(path, "w") as handle:
+        handle.write("b,extra,a\n1,2,3\n4,5,\n")
+    got = [tuple(r) for r in tables.read_text_csv(spark, path, ["a", "b"], False).collect()]
+    assert got == [("3", "1"), ("", "4")]
+    with pytest.raises(ValueError, match="no column c"):
+        tables.read_text_csv(spark, path, ["a", "c"], False)
 
 
 def test_empty_report_has_a_header(spark, tmp_path):

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
+from tamiz.plans.rules import COLUMNS, FREE_TEXT, SIMPLE_CATEGORIES  # noqa: F401
+
 SP = (
     r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 SP_IN = SP[1:-1]
 INVIS = r"[\x{A0}\x{200B}\x{200C}\x{200D}\x{2060}\x{FEFF}\x{9}]"
+# The placeholder texts, restated for an oracle of its own.
 MISSING = "('N/A','NA','N.A','NULL','NONE','SIN DATO','SIN DATOS','S/D','SD','SIN REGISTRO')"
 DIAG = "('','-','--','---','----','SIN DATO','N/A','NA')"
 CODE = r"^[0-9]{2}-[0-9]{2}-[0-9]{4}-[0-9]{2}$"
 
-COLUMNS = (
-    "CODIGO DISTRITO DEPARTAMENTO MUNICIPIO ESTABLECIMIENTO DIRECCION TELEFONO SUPERVISOR "
-    "DIRECTOR NIVEL SECTOR AREA STATUS MODALIDAD JORNADA PLAN DEPARTAMENTAL"
-).split()
-SIMPLE = "NIVEL SECTOR AREA STATUS MODALIDAD JORNADA PLAN DEPARTAMENTAL".split()
-TEXTS = "ESTABLECIMIENTO DIRECCION SUPERVISOR DIRECTOR".split()
+SIMPLE, TEXTS = SIMPLE_CATEGORIES, FREE_TEXT
 
 
 def let(value: str, name: str, body: str) -> str:

@@ -180,11 +180,20 @@ def csv_text_scan(spark, sf):
     df = fixture(spark, sf, DIRTY_TEXT)
     path = scratch_path(spark, "csv")
     tables.write_csv(df.select(*_CSV), path)
-    plain = tables.read_text_csv(spark, path, _CSV)
-    stripped = tables.read_text_csv(spark, path, _CSV, stripped=True)
+    plain = tables.read_text_csv(spark, path, _CSV, multi_line=True)
+    stripped = tables.read_text_csv(spark, path, _CSV, multi_line=True, stripped=True)
     return plain.drop("director").join(stripped.select("row_id", "director"), "row_id")
 
 
+@query("csv_by_name", f"""
+SELECT CAST(row_id AS VARCHAR) AS row_id, nullif(director, '') AS director, nullif(address, '') AS address FROM ({FX1})""")
+def csv_by_name(spark, sf):
+    """Columns in another order than wanted and one too many; blanks as NULL."""
+    path = scratch_path(spark, "csv")
+    tables.write_csv(fixture(spark, sf, DIRTY_TEXT).select("supervisor", "address", "row_id", "director"), path)
+    return tables.read_text_csv(spark, path, ["row_id", "director", "address"], multi_line=True, blank_as_null=True)
+
+
 @query("sink_roundtrip", """
 SELECT n_name AS source, count(*) AS filas, CAST(sum(c_custkey) AS BIGINT) AS keys, min(c_name) AS first_name
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")

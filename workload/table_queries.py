@@ -177,9 +177,9 @@ known AS (SELECT * FROM (VALUES ('NIVEL', 'DIVERSIFICADO'), ('AREA', 'RURAL'), (
 l AS (SELECT DISTINCT col, upper(v) AS v FROM ({longform('fx', ['NIVEL', 'AREA', 'DEPARTAMENTO', 'DEPARTAMENTAL'], d.norm)})),
 bad AS (SELECT l.col, v FROM l LEFT JOIN known k ON k.col = l.col AND k.value = v
   WHERE v <> '' AND k.value IS NULL)
-SELECT checks.col AS "column", expected AS expected_values,
-  coalesce(string_agg(v, ', ' ORDER BY v), '') AS unexpected_values, count(v) AS unexpected_count
-FROM checks LEFT JOIN bad ON bad.col = checks.col GROUP BY 1, 2""")
+SELECT checks.col AS "column", expected AS expected_values, coalesce(v, '') AS unexpected_value,
+  count(v) OVER (PARTITION BY checks.col) AS unexpected_count
+FROM checks LEFT JOIN bad ON bad.col = checks.col""")
 def catalog_validation(spark, sf):
     regions = table(spark, sf, "region").select(text.normalize_upper(F.col("r_name")).alias("value"))
     return profile.catalog_validation(
@@ -280,19 +280,26 @@ def dependency_check(spark, sf):
 _KEYS = "DEPARTAMENTO, MUNICIPIO, ESTABLECIMIENTO"
 
 
+_PARTS = f"""numbered AS (SELECT *, (row_number() OVER (PARTITION BY {_KEYS} ORDER BY row_id) - 1) // 10000 AS part,
+  count(*) OVER (PARTITION BY {_KEYS}) AS members FROM ({FX3})),
+parts AS (SELECT {_KEYS}, CAST(part AS BIGINT) AS part, string_agg(CODIGO, '; ' ORDER BY row_id) AS codigos
+  FROM numbered WHERE members >= 2 GROUP BY {_KEYS}, 4)"""
+
+
 @query("repeated_names", f"""
-SELECT DEPARTAMENTO AS departamento, MUNICIPIO AS municipio, ESTABLECIMIENTO AS establecimiento,
+WITH {_PARTS}, sizes AS (SELECT {_KEYS},
   count(*) AS registros, count(DISTINCT DIRECCION) AS direcciones_distintas,
   count(DISTINCT STATUS) AS status_distintos, count(DISTINCT JORNADA) AS jornadas_distintas,
-  count(DISTINCT PLAN) AS planes_distintos, string_agg(CODIGO, '; ' ORDER BY row_id) AS codigos
-FROM ({FX3}) GROUP BY {_KEYS} HAVING count(*) >= 2""")
+  count(DISTINCT PLAN) AS planes_distintos
+FROM ({FX3}) GROUP BY {_KEYS} HAVING count(*) >= 2)
+SELECT DEPARTAMENTO AS departamento, MUNICIPIO AS municipio, ESTABLECIMIENTO AS establecimiento, registros,
+  direcciones_distintas, status_distintos, jornadas_distintas, planes_distintos, part AS parte, codigos
+FROM sizes JOIN parts USING ({_KEYS})""")
 def repeated_names(spark, sf):
     return repeated.repeated_names(schools(spark, sf), "row_id")
 
 
-@query("repeated_codes", f"""
-SELECT {_KEYS}, CAST(floor(row_id / 10000) AS BIGINT) AS part, string_agg(CODIGO, '; ' ORDER BY row_id) AS codigos
-FROM ({FX3}) GROUP BY {_KEYS}, 4""")
+@query("repeated_codes", f"WITH {_PARTS} SELECT * FROM parts")
 def repeated_codes(spark, sf):
     return repeated.repeated_codes(schools(spark, sf), "row_id")
 
