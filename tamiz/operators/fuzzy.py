@@ -1,7 +1,9 @@
 """Near-duplicate names inside a block (for example department + municipality).
 
 The result is exact: every pair whose token-sort similarity reaches the
-threshold is found. No block is ever compared all against all.
+threshold is found. Rows meet through shared pieces of their names, not all
+against all; names that share a common word at a fitting place do all meet, so
+the join's work grows with the square of their number.
 
 How candidates are found. For sorted-token strings r (length m) and s (length
 n >= m) with similarity of at least t percent, the number of insertions and
