@@ -8,6 +8,7 @@ backward passes give the expected number of times that a piece is used in each l
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +20,15 @@ from pyspark.sql.window import Window
 
 from tamiz.runtime import materialize
 
+from .worker import kept
+
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Training rows for each language, chosen by a hash of the id: the bound of the sample.
 SAMPLE = 2000
 #: Expectation-maximisation rounds, and the weight of the mean of all languages in each.
 ROUNDS, SMOOTHING = 2, 500.0
 #: Words kept with their scores per Python worker; longer words are scored each time.
-KEPT_WORDS, KEPT_CHARS = 300_000, 40
+KEPT_WORDS, KEPT_CHARS = 200_000, 40
 #: Ids with this remainder of crc32 modulo 3 are held out.
 HELD_OUT = 1
 
@@ -50,7 +53,7 @@ class Lattice:
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(word, from, to, piece) of every fitting piece; a word starts with the space mark."""
-        which, start, end, piece = [], [], [], []
+        which, start, end, piece = array("q"), array("q"), array("q"), array("q")
         index, starts = self.index, self.starts
         for w, word in enumerate(words):
             s = "▁" + word
@@ -72,7 +75,7 @@ class Lattice:
                     start.append(i)
                     end.append(i + 1)
                     piece.append(0)
-        return tuple(np.array(x, dtype=np.int64) for x in (which, start, end, piece))
+        return tuple(np.frombuffer(x, dtype=np.int64) for x in (which, start, end, piece))
 
 
 def _pass(n_words: int, longest: int, from_: np.ndarray, to: np.ndarray, which: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,16 +261,11 @@ def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str =
     return languages, probability
 
 
-_MODELS: dict = {}
-
-
 def _model(shared) -> Model:
-    """The model of a broadcast, once per Python worker; a worker keeps the latest."""
+    """The model of a broadcast, once per Python worker."""
     value = shared.value
-    if _MODELS.get("of") is not value:
-        path, languages, probability = value
-        _MODELS.update(of=value, model=Model(Lattice(vocabulary(path)), languages, probability))
-    return _MODELS["model"]
+    path, languages, probability = value
+    return kept("language", value, lambda: Model(Lattice(vocabulary(path)), languages, probability))
 
 
 def predict(

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .worker import kept
+
 SPACE = "▁"
 #: Runs in each of the two tables kept per Python worker, and the longest run kept.
 KEPT_RUNS, KEPT_CHARS = 500_000, 32
@@ -143,24 +145,23 @@ def pack(ids) -> bytes:
     return out.tobytes()
 
 
-_MODELS: dict[str, tuple] = {}
-
-
 def load(path: str):
-    """(library processor, Agenda) of a model file, once per process."""
-    if path not in _MODELS:
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = sp.get_piece_size()
-        byte_ids = [i for i in range(size) if sp.is_byte(i)]
-        plain = {
-            sp.id_to_piece(i): (i, sp.get_score(i))
-            for i in range(size)
-            if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))
-        }
-        _MODELS[path] = sp, Agenda(plain, byte_ids, sp.unk_id())
-    return _MODELS[path]
+    """(library processor, Agenda) of a model file, once per Python worker."""
+    return kept("pieces", path, lambda: _load(path))
+
+
+def _load(path: str):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    size = sp.get_piece_size()
+    byte_ids = [i for i in range(size) if sp.is_byte(i)]
+    plain = {
+        sp.id_to_piece(i): (i, sp.get_score(i))
+        for i in range(size)
+        if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))
+    }
+    return sp, Agenda(plain, byte_ids, sp.unk_id())
 
 
 def _slices(texts: list[str]) -> Iterator[list[str]]:

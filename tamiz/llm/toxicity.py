@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language import first_by_hash, held_out
+from .worker import kept
 
 #: The bound of the training sample: rows for each label, and the longest text among them.
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
@@ -174,15 +175,10 @@ class Scorer:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -700, 700))))
 
 
-_SCORERS: dict = {}
-
-
 def _scorer(shared) -> Scorer:
-    """The scorer of a broadcast, once per Python worker; a worker keeps the latest."""
+    """The scorer of a broadcast, once per Python worker."""
     value = shared.value
-    if _SCORERS.get("of") is not value:
-        _SCORERS.update(of=value, scorer=Scorer(*value))
-    return _SCORERS["scorer"]
+    return kept("toxicity", value, lambda: Scorer(*value))
 
 
 def predict(docs: DataFrame, rows: np.ndarray, bias: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .worker import release
+
 #: Bytes hashed at a time. A longer single word is hashed by blake2b instead.
 CHUNK = 1 << 20
 _U = np.uint64
@@ -125,8 +127,9 @@ def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     )
 
 
-def batches(text: pa.Array, size: int = 8 * CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def batches(text: pa.Array, size: int = 2 * CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices ``(from, to, bytes, offsets)`` of a string column, about ``size`` bytes each; null is empty."""
+    release()
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
     if not pa.types.is_large_string(text.type):
