@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 from tamiz.runtime import materialize
 
+from .components import small
 from .worker import kept
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -214,7 +215,7 @@ def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str =
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
     learnable = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
-    chosen = first_by_hash(learnable, "lang", sample).select("id", "lang").distinct()
+    chosen = small(materialize(first_by_hash(learnable, "lang", sample).select("id", "lang").distinct(), "sample"))
     text = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -315,11 +315,10 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     # 3. matrix of token blocks and groups, rows that occur in one set only left out
     cells = _blocks(docs, words, num, den, largest)
     rows = cells.groupBy("block").agg(F.count("*").alias("held")).where("held > 1").select("block")
-    matrix = cells.join(rows, "block").distinct().join(sets, "rep")
-    matrix = materialize(matrix, "matrix")
+    matrix = materialize(cells.join(rows, "block").distinct().join(sets.select("rep", "g"), "rep"), "matrix")
     # copies of one text may have counted twice, and groups hold most shared rows alone
     between = matrix.groupBy("block").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("block")
-    matrix = materialize(matrix.join(between, "block"), "between")
+    matrix = materialize(matrix.drop("g").join(between, "block").join(sets, "rep"), "between")
     columns = matrix.groupBy("block", "g", "several").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     visits = (
         matrix.select("block", "rep", "doc_id", "n", F.col("g").alias("own"))
