@@ -4,12 +4,12 @@
 2. near_duplicates: of documents alike in five-word shingles (Jaccard 0.8 or more) the first stays.
 3. substrings: passages of 50 words or more that stand in an earlier document are cut out.
 4. mixing: the rows become one stream in which the sources keep their target weights.
-5. pieces: every text as SentencePiece ids, with the text decoded from them.
+5. pieces: every text as SentencePiece ids, with the text decoded from them and its place in the stream.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamiz.llm import language, mixing, ngram_join, pieces, substring_dedup
@@ -41,8 +41,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = pieces.encode(docs, piece_model())
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
+    """A table that says the places (``position``) keeps them."""
+    place = ("position",) if "position" in docs.columns else ()
+    out = pieces.encode(docs, piece_model(), carry=place)
+    return out.select(*place, "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [
@@ -57,11 +59,26 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def placed(spark: SparkSession, path: str) -> DataFrame:
+    """The table written to ``path`` with ``position``, the place of each row from 0 on, in the order it was written.
+
+    Parts follow one another by number; Spark reads them in any order.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file_"), F.col("_metadata.row_index").alias("row_"))
+    part = F.regexp_extract("file_", r"part-(\d+)", 1).cast("long")
+    before = Window.orderBy(part, "file_").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("file_").agg(F.count("*").alias("size"))
+    files = files.select("file_", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before_"))
+    return rows.join(files, "file_").withColumn("position", F.col("before_") + F.col("row_")).drop("file_", "row_", "before_")
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; what each of the others keeps is written as a table and read again."""
+    """The last stage's rows with their ``position`` in the stream; what each of the others keeps is
+    written as a table and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+    docs = placed(spark, path)
     return STAGES[-1][1](spark, docs, sf_dir)

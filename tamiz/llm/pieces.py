@@ -176,10 +176,12 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids, decoded) of every row: ids with begin and end, packed; their text as the library decodes it.
+def encode(
+    docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(id, ids, decoded, *carry) of every row: ids with begin and end, packed; their text as the library decodes it.
 
-    Reads only the two named columns, so any other columns cannot clash. A null text is
+    Reads only the named columns, so any other columns cannot clash; those in ``carry`` stay as they are. A null text is
     empty: begin and end only. A null id stays null. Repeated rows give repeated results, an
     empty table an empty one. One pass without a shuffle; memory is bounded by an Arrow
     batch, or by one text where a single text is larger. Raises ValueError when the
@@ -203,14 +205,16 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                         raise ValueError(f"agenda and library differ on a text of {len(text)} characters: {text[:80]!r}")
                     packed.append(own)
                 decoded = sp.decode(want, num_threads=1)
-                rows = batch.column(0).slice(at, len(texts))
+                rows, *others = (c.slice(at, len(texts)) for c in (batch.column(0), *batch.columns[2:]))
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [rows, pa.array(packed, pa.binary()), pa.array(decoded, pa.string())], names=[id_col, "ids", "decoded"]
+                    [rows, pa.array(packed, pa.binary()), pa.array(decoded, pa.string()), *others],
+                    names=[id_col, "ids", "decoded", *carry],
                 )
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        run, f"`{id_col}` {id_type}, ids binary, decoded string"
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return docs.select(F.col(id_col), F.col(text_col).cast("string"), *carry).mapInArrow(
+        run, f"`{id_col}` {id_type}, ids binary, decoded string{carried}"
     )
 
 

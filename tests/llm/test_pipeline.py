@@ -68,3 +68,25 @@ def test_odd_rows(spark):
     assert {r.doc_id for r in kept} == {4, 5, 6, 7, 8, None}
     assert 8 not in {r.doc_id for r in cut}
     check(spark, docs.limit(0))
+
+
+def test_positions_are_the_stream(spark, tmp_path, monkeypatch):
+    """run()'s positions are the mixer's order, each source within one block of its target until one ends."""
+    sizes = {"a": 3000, "b": 1200, "c": 500}
+    rows = [(i, f"{s} text {i}", "en", s, 1) for s in sizes for i in range(ord(s) * 10_000, ord(s) * 10_000 + sizes[s])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(pipeline, "STAGES", [s for s in pipeline.STAGES if s[0] in ("mixing", "pieces")])
+    got = {r.position: r.doc_id for r in pipeline.run(spark, str(tmp_path)).collect()}
+    assert sorted(got) == list(range(len(rows)))
+    plan = sorted(pipeline.mixing.mix(docs).collect(), key=lambda r: r.position)
+    assert [got[p] for p in sorted(got)] == [r.doc_id for r in plan]
+    share, period = pipeline.mixing.shares(pipeline.mixing.temperature(sizes, 0.5))
+    share = {k[-1]: n / period for k, n in share.items()}
+    seen, at = dict.fromkeys(sizes, 0), 0
+    while all(seen[s] + 64 <= sizes[s] for s in sizes):  # whole blocks, the first phase
+        for p in range(at, at + 64):
+            seen[chr(got[p] // 10_000)] += 1
+        at += 64
+        assert all(abs(seen[s] - share[s] * at) < 64 for s in sizes)
+    assert at > 1000
