@@ -105,6 +105,20 @@ def _pass(n_words: int, longest: int, from_: np.ndarray, to: np.ndarray, which:
     return alpha, scale
 
 
+def _alike(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Indexes of words of like length together, about 200,000 places at a time."""
+    order = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        longest = int(lengths[order[at]]) + 1
+        upto = at
+        while upto < len(order) and (int(lengths[order[upto]]) + 2) * (upto - at + 1) <= 200_000 and lengths[order[upto]] <= longest + 3:
+            upto += 1
+        upto = max(upto, at + 1)
+        yield order[at:upto]
+        at = upto
+
+
 class Model:
     """Languages, and the probability of each piece in each (pieces x languages)."""
 
@@ -117,16 +131,7 @@ class Model:
         """log of the summed probability of all segmentations, (words x languages)."""
         out = np.zeros((len(words), len(self.languages)))
         lengths = np.array([len(w) for w in words])
-        order = np.argsort(lengths, kind="stable")
-        at = 0
-        while at < len(order):  # words of like length together, about 200,000 places at a time
-            longest = int(lengths[order[at]]) + 1
-            upto = at
-            while upto < len(order) and (int(lengths[order[upto]]) + 2) * (upto - at + 1) <= 200_000 and lengths[order[upto]] <= longest + 3:
-                upto += 1
-            upto = max(upto, at + 1)
-            part = order[at:upto]
-            at = upto
+        for part in _alike(lengths):
             longest = int(lengths[part].max()) + 1
             which, a, b, piece = self.lattice.edges([words[i] for i in part])
             alpha, scale = _pass(len(part), longest, a, b, which, self.probability[piece])
@@ -137,9 +142,10 @@ class Model:
     def expected(self, words: list[str], language: int, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece over the words, by forward and backward passes."""
         out = np.zeros(self.lattice.size)
-        for at in range(0, len(words), 5000):
-            some = words[at : at + 5000]
-            lengths = np.array([len(w) for w in some]) + 1
+        sizes = np.array([len(w) for w in words])
+        for part in _alike(sizes):
+            some = [words[i] for i in part]
+            lengths = sizes[part] + 1
             longest = int(lengths.max())
             which, a, b, piece = self.lattice.edges(some)
             p = self.probability[piece, language][:, None]
@@ -149,7 +155,7 @@ class Model:
             after = lengths[which] - b
             log = fs[which, a] + bs[which, after] - total[which]
             post = fore[which, a, 0] * p[:, 0] * back[which, after, 0] * np.exp(log)
-            out += np.bincount(piece, post * counts[at : at + 5000][which], self.lattice.size)
+            out += np.bincount(piece, post * counts[part][which], self.lattice.size)
         return out
 
     def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:

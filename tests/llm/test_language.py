@@ -45,6 +45,21 @@ def test_forward_and_expected_counts():
     assert np.isfinite(long).all() and (long < -1000).all()
 
 
+def test_a_long_word_in_training_stands_alone(monkeypatch):
+    """Places held at once are bounded by the longest word, not by it times the words around it."""
+    lattice = language.Lattice(PIECES)
+    model = language.Model(lattice, ["x"], np.full((lattice.size, 1), 1.0 / lattice.size))
+    places, whole = [], language._pass
+    monkeypatch.setattr(language, "_pass", lambda n, longest, *rest: places.append(n * longest) or whole(n, longest, *rest))
+    words = ["ab" * (1 + i % 5) for i in range(3000)] + ["ab" * 1500]
+    counts = np.arange(1, len(words) + 1)
+    got = model.expected(words, 0, counts)
+    assert max(places) <= 200_000
+    alone = sum(model.expected([w], 0, counts[[i]]) for i, w in enumerate(words) if i % 300 == 0 or len(w) > 10)
+    some = [i for i, w in enumerate(words) if i % 300 == 0 or len(w) > 10]
+    assert np.allclose(model.expected([words[i] for i in some], 0, counts[some]), alone) and np.isfinite(got).all()
+
+
 def test_score_does_not_depend_on_the_kept_words(monkeypatch):
     lattice = language.Lattice(PIECES)
     p = np.random.default_rng(1).random((lattice.size, 2))
