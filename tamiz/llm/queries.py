@@ -14,6 +14,7 @@ from . import (
     mixing,
     ngram_join,
     pieces,
+    sharding,
     substring_dedup,
     topk,
     toxicity,
@@ -124,3 +125,8 @@ def op10_pieces(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op11_sharding", oracle.SHARDING)
+def op11_sharding(spark, sf_dir):
+    return sharding.assign(table(spark, sf_dir, "documents"), shards=40)

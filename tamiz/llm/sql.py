@@ -100,3 +100,27 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.e, x.e) A
   FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.e) = len(x.e) WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+#: CRC-32 (reversed polynomial 0xEDB88320) of the bytes that a list of two-digit hex strings names.
+_CRC_TABLE = """list_transform(range(256), lambda n: list_reduce(range(8),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n))"""
+
+SHARDING = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS tab),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+o AS (SELECT doc_id, text, md5(text) AS key, octet_length(encode(text)) + 16 AS size, row_number() OVER w - 1 AS idx,
+    sum(octet_length(encode(text)) + 16) OVER w - octet_length(encode(text)) - 16 AS start
+  FROM d WINDOW w AS (ORDER BY md5(text), doc_id ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT sum(size) AS total FROM o),
+m AS (SELECT o.*, least(39, (2 * start + size) * 40 // (2 * total)) AS own FROM o, t),
+cut AS (SELECT i, (SELECT count(*) FROM m WHERE own < i) AS c FROM range(1, 40) x(i)),
+g AS (SELECT key, min(idx) AS first, count(*) AS n, min(start) AS start, sum(size) AS bytes FROM o GROUP BY key),
+edge AS (SELECT i, CASE WHEN g.key IS NULL OR bytes * 40 > 0.02 * total THEN c
+    WHEN (2 * g.start + bytes) * 40 < 2 * total * i THEN first + n ELSE first END AS c
+  FROM cut LEFT JOIN g ON first < c AND c < first + n, t),
+s AS (SELECT o.*, (SELECT count(*) FROM edge WHERE c <= idx) AS shard FROM o)
+SELECT doc_id, CAST(size AS BIGINT) AS size, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'),
+    lambda x: CAST('0x' || x AS BIGINT)), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32,
+  'bytes' AS law, CAST(shard AS INTEGER) AS shard, CAST(idx - coalesce((SELECT max(c) FROM edge WHERE i = shard), 0) AS BIGINT) AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM s, crc"""
