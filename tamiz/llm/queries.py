@@ -13,6 +13,7 @@ from . import (
     licenses,
     mixing,
     ngram_join,
+    periodic_runs,
     pieces,
     sharding,
     substring_dedup,
@@ -130,3 +131,33 @@ def op10_pieces(spark, sf_dir):
 @query("op11_sharding", oracle.SHARDING)
 def op11_sharding(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents; a tenth of them, by a hash of the id, repeat a stretch of words to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    some = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w")).withColumn("n", F.size("w"))
+    some = some.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    some = some.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    loop = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times))
+    new = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(loop, F.lit(1), F.col("n") - F.col("a")))
+    return some.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(new, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    out = periodic_runs.find(looped(table(spark, sf_dir, "documents")), least=12)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("(1000 * longest.length) div -longest.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
