@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     embedding_dedup,
+    hard_negatives,
     language,
     licenses,
     mixing,
@@ -161,3 +162,10 @@ def op12_periodic_runs(spark, sf_dir):
         F.expr("(1000 * longest.length) div -longest.period").alias("exponent_milli"),
         "runs_sha256", "collapsed_sha256",
     )
+
+
+@query("op13_hard_negatives", oracle.HARD_NEGATIVES)
+def op13_hard_negatives(spark, sf_dir):
+    """A seventh of the labels are wrong on purpose, by a rule on the id."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, label_col=label)

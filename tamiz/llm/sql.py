@@ -124,3 +124,15 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, xor(list_reduce(list_transform(rege
   'bytes' AS law, CAST(shard AS INTEGER) AS shard, CAST(idx - coalesce((SELECT max(c) FROM edge WHERE i = shard), 0) AS BIGINT) AS slot,
   CAST(NULL AS INTEGER) AS grown_shard
 FROM s, crc"""
+
+HARD_NEGATIVES = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND {_FINE}),
+s AS (SELECT q.vec_id AS anchor_id, x.vec_id, x.label = q.label AS same, CAST(list_inner_product(q.e, x.e) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.e) = len(x.e) WHERE q.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE same) WHERE n <= 5),
+r AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5"""
