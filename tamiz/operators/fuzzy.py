@@ -1,21 +1,26 @@
 """Near-duplicate names inside a block (for example department + municipality).
 
 The result is exact: every pair whose token-sort similarity reaches the
-threshold is found. Rows meet through shared pieces of their names, not all
-against all; names that share a common word at a fitting place do all meet, so
-the join's work grows with the square of their number.
+threshold is found. Rows meet through rare pieces of their names, not all
+against all and not through the words that most names of a block have.
 
 How candidates are found. For sorted-token strings r (length m) and s (length
 n >= m) with similarity of at least t percent, the number of insertions and
-deletions between them is at most D = floor((100 - t)(m + n) / 100). Cut s into
-pieces of w characters, with more than D pieces. Walk the pieces from the left
-and take the first piece at which the edits so far are fewer than the pieces so
-far: it is piece k with exactly k edits before it and none inside. So it occurs
-unchanged in r, shifted by x places with |x| <= k and x = k (mod 2), and at
-least |n - m - x| edits follow it. Pieces of s and w-grams of r are therefore
-joined on (block, w, text of the piece, parity, coarse piece number) and the
-exact shift and length conditions are part of the join condition. Every string
-yields a number of rows linear in its length, whatever the block size.
+deletions between them is at most D = floor((100 - t)(m + n) / 100). Cut s, from
+its first to its last character, into D + 1 pieces or more, at any places. Walk the
+pieces from the left and take the first piece at whose end the edits so far are
+no more than the pieces before it: it is piece k with exactly k edits before it
+and none inside. So every gram of that piece occurs unchanged in r, shifted by x places
+with |x| <= k and x = k (mod 2), and at least |n - m - x| edits follow it.
+
+The cuts are chosen so that each piece holds a gram (up to four characters)
+that is rare in its block, which the gram counts of the block tell: a common
+word is part of some longer piece and never a signature by itself. The counts
+are held in a fixed number of hashed counters; they steer the choice of the cuts
+and not the result. Signatures of s and grams of r are joined on (block, width, text,
+parity, zone of places, zone of lengths); the exact shift and length conditions are part of the
+join condition. Every string yields a number of rows linear in its length,
+whatever the block size.
 
 The condition also compares the letters of the two strings: 64-bit marks that
 differ in no more bits than there are edits, see ``letter_marks``.
@@ -28,8 +33,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.signatures import WIDEST, piece_chooser
 from ..functions.similarity import indel_similarity, letter_marks, token_sort
 from ..runtime import materialize
 
@@ -43,6 +50,8 @@ DECISION_PENDING = "pendiente de revision manual"
 NEAR_IDENTICAL = 95.0
 DEFAULT_THRESHOLD = 90
 MARKS = ["letters_1", "letters_2"]
+#: Hashed counters of grams.
+COUNTERS = 1 << 16
 
 
 def with_form_key(df: DataFrame, name: str, block: list[str]) -> DataFrame:
@@ -78,92 +87,116 @@ def piece_width(length: Column, threshold: int) -> Column:
     return F.floor(length / (max_edits(2 * length, threshold) + 1)).cast("int")
 
 
-def _log2_bucket(k: Column) -> Column:
-    return F.floor(F.log2(k + 1)).cast("int")
+def shortest_gram(length: Column, threshold: int) -> Column:
+    """Width of the narrowest gram that may stand for a piece."""
+    return F.least(F.lit(2), piece_width(length, threshold))
+
+
+def _grams(q: Column, block: list[str], make) -> Column:
+    """``make(place, gram)`` of the grams of ``q`` characters of ``key``, from the left."""
+    places = F.when(F.col("len") >= q, F.sequence(F.lit(0), F.col("len") - q)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda p: make(p, F.substring(F.col("key"), p + 1, q)))
+
+
+def with_pieces(forms: DataFrame, block: list[str], threshold: int) -> DataFrame:
+    """The forms with ``pieces``, an array of (k, q, at): the rare gram that stands for piece k, its width and place."""
+    shortest = shortest_gram(F.col("len"), threshold)
+    cells = {
+        f"cells_{q}": F.when(
+            F.lit(q) >= shortest,
+            _grams(F.lit(q), block, lambda p, gram, q=q: F.pmod(F.xxhash64(*block, F.lit(q), gram), F.lit(COUNTERS)).cast("int")),
+        ).otherwise(F.array().cast("array<int>"))
+        for q in range(1, WIDEST + 1)
+    }
+    celled = forms.select("*", *[c.alias(name) for name, c in cells.items()])
+    counted = celled.select(F.explode(F.concat(*cells)).alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    counters = np.zeros(COUNTERS, dtype=np.int64)
+    for row in counted.collect():  # COUNTERS rows at most
+        counters[row["cell"]] = row["n"]
+    choose = piece_chooser(counters)
+    wanted = max_edits(2 * F.col("len"), threshold) + 1
+    return celled.select(*forms.columns, choose(F.col("len"), wanted, shortest, *cells).alias("pieces"))
+
+
+def _zone(value: Column, threshold: int) -> Column:
+    """Places and lengths are compared by zones first: narrow ones where few edits are allowed."""
+    return F.floor(value / (4 if threshold >= 85 else 16)).cast("int")
+
+
+def _signature(block: list[str], q: Column, gram: Column, parity: Column, place: Column, length: Column) -> Column:
+    """``place`` and ``length`` are the zones of the gram's place and of the length in the shorter text."""
+    return F.xxhash64(*block, q, gram, F.pmod(parity, F.lit(2)), place, length).alias("sig")
 
 
 def _piece_rows(forms: DataFrame, block: list[str], threshold: int) -> DataFrame:
-    """One row per leading piece of each form (the longer side of a pair)."""
-    rows = forms.withColumn("w", piece_width(F.col("len"), threshold)).select(
-        "form", "len", "w", "key", *block, *MARKS,
-        F.explode(F.sequence(F.lit(0), max_edits(2 * F.col("len"), threshold))).alias("k"),
-    )
-    gram = F.substring(F.col("key"), F.col("k") * F.col("w") + 1, F.col("w"))
-    parity = F.when(F.col("w") % 2 == 0, F.col("k") % 2).otherwise(F.lit(0))
+    """A row for each piece of each form (the longer side of a pair), zone its gram may have moved to and zone of lengths."""
+    rows = with_pieces(forms, block, threshold).select("form", "len", "key", *block, *MARKS, F.inline("pieces"))
+
+    def zones(low: Column, high: Column) -> Column:
+        return F.explode(F.sequence(_zone(low, threshold), _zone(high, threshold)))
+
+    rows = rows.select("*", zones(F.greatest(F.col("at") - F.col("k"), F.lit(0)), F.col("at") + F.col("k")).alias("place"))
+    shortest = F.ceil(F.col("len") * threshold / (200 - threshold))  # of the lengths that so many edits allow
+    rows = rows.select("*", zones(shortest, F.col("len")).alias("length"))
+    gram = F.substring(F.col("key"), F.col("at") + 1, F.col("q"))
     return rows.select(
-        F.xxhash64(*block, "w", gram, parity, _log2_bucket(F.col("k"))).alias("sig"),
-        F.col("form").alias("form_s"), F.col("len").alias("n"), "k", "w",
+        _signature(block, F.col("q"), gram, F.col("at") - F.col("k"), F.col("place"), F.col("length")),
+        F.col("form").alias("form_s"), F.col("len").alias("n"), "k", F.col("at").alias("at_s"),
         *[F.col(c).alias(f"{c}_s") for c in MARKS],
     )
 
 
 def _gram_rows(forms: DataFrame, block: list[str], threshold: int) -> DataFrame:
-    """One or two rows per w-gram of each form (the shorter side of a pair)."""
+    """A row for each gram of each form (the shorter side of a pair) that may stand for a piece of a longer one."""
     # Largest n with floor((100 - t)(m + n) / 100) >= n - m, the least edits for such lengths.
     longest = F.floor((200 - threshold) * F.col("len") / threshold).cast("int")
-    widths = F.array_distinct(
-        F.transform(F.sequence(F.col("len"), longest), lambda n: piece_width(n, threshold))
-    )
-    rows = forms.select(
-        "form", "len", "key", *block, *MARKS, longest.alias("longest"), F.explode(widths).alias("w")
-    ).filter(F.col("len") >= F.col("w"))
-    rows = rows.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("len") - F.col("w"))).alias("q")
-    )
-    # k pieces of w characters, shifted by at most k: k (w - 1) <= q <= k (w + 1).
-    last = max_edits(2 * F.col("longest"), threshold)
-    low = F.ceil(F.col("q") / (F.col("w") + 1)).cast("int")
-    high = F.least(
-        last, F.when(F.col("w") > 1, F.floor(F.col("q") / (F.col("w") - 1)).cast("int")).otherwise(last)
-    )
-    rows = rows.withColumn("low", low).withColumn("high", high)
-    rows = rows.filter((F.col("low") <= F.col("high")) & ((F.col("w") % 2 == 0) | (F.col("q") % 2 == 0)))
-    rows = rows.select(
-        "*", F.explode(F.sequence(_log2_bucket(F.col("low")), _log2_bucket(F.col("high")))).alias("kb")
-    )
-    gram = F.substring(F.col("key"), F.col("q") + 1, F.col("w"))
-    parity = F.when(F.col("w") % 2 == 0, F.col("q") % 2).otherwise(F.lit(0))
+    narrow = F.exists(F.sequence(F.col("len"), longest), lambda n: shortest_gram(n, threshold) == 1)
+    widths = F.sequence(F.when(narrow, 1).otherwise(2), F.lit(WIDEST))
+    rows = forms.select("form", "len", "key", *block, *MARKS, F.explode(widths).alias("q"))
+    rows = rows.filter(F.col("len") >= F.col("q")).select("*", F.explode(F.sequence(F.lit(0), F.col("len") - F.col("q"))).alias("at"))
+    gram = F.substring(F.col("key"), F.col("at") + 1, F.col("q"))
     return rows.select(
-        F.xxhash64(*block, "w", gram, parity, "kb").alias("sig"),
-        F.col("form").alias("form_r"), F.col("len").alias("m"), "q",
+        _signature(block, F.col("q"), gram, F.col("at"), _zone(F.col("at"), threshold), _zone(F.col("len"), threshold)),
+        F.col("form").alias("form_r"), F.col("len").alias("m"), F.col("at").alias("at_r"),
         *[F.col(c).alias(f"{c}_r") for c in MARKS],
     )
 
 
-def similar_forms(
-    forms: DataFrame, block: list[str], threshold: int = DEFAULT_THRESHOLD
-) -> DataFrame:
-    """(form_a, form_b, similarity, rows_a, rows_b) of different forms at or above the threshold."""
-    if not 50 < threshold <= 100:
-        raise ValueError("the threshold must lie above 50 and not above 100")
+def matches(forms: DataFrame, block: list[str], threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """(form_s, form_r) of forms that share a signature and may reach the threshold, once for each signature shared."""
     usable = forms.filter("len > 0").select("form", "key", "len", *block, *MARKS)
     pieces = _piece_rows(usable, block, threshold)
     grams = _gram_rows(usable, block, threshold)
-    x = F.col("k") * F.col("w") - F.col("q")
+    x = F.col("at_s") - F.col("at_r")
     gap = F.col("n") - F.col("m")
     flips = sum(F.bit_count(F.col(f"{c}_s").bitwiseXOR(F.col(f"{c}_r"))) for c in MARKS)
     allowed = (100 - threshold) * (F.col("m") + F.col("n"))
     # The exploded sides are many times larger than their estimate, which knows
     # only the table they come from: never broadcast them.
-    candidates = (
-        pieces.join(
-            grams.hint("merge"),
-            (pieces["sig"] == grams["sig"])
-            & (
-                (F.col("m") < F.col("n"))
-                | ((F.col("m") == F.col("n")) & (F.col("form_s") < F.col("form_r")))
-            )
-            & (F.abs(x) <= F.col("k"))
-            & ((x - F.col("k")) % 2 == 0)
-            & (100 * (F.col("k") + F.abs(gap - x)) <= allowed)
-            & (100 * flips <= allowed),
+    return pieces.join(
+        grams.hint("merge"),
+        (pieces["sig"] == grams["sig"])
+        & (
+            (F.col("m") < F.col("n"))
+            | ((F.col("m") == F.col("n")) & (F.col("form_s") < F.col("form_r")))
         )
-        .select(
-            F.least("form_s", "form_r").alias("form_a"),
-            F.greatest("form_s", "form_r").alias("form_b"),
-        )
-        .distinct()
-    )
+        & (F.abs(x) <= F.col("k"))
+        & ((x - F.col("k")) % 2 == 0)
+        & (100 * (F.col("k") + F.abs(gap - x)) <= allowed)
+        & (100 * flips <= allowed),
+    ).select("form_s", "form_r")
+
+
+def similar_forms(
+    forms: DataFrame, block: list[str], threshold: int = DEFAULT_THRESHOLD
+) -> DataFrame:
+    """(form_a, form_b, similarity, rows_a, rows_b) of different forms at or above the threshold."""
+    if not 50 < threshold <= 100:
+        raise ValueError("the threshold must lie above 50 and not above 100")
+    candidates = matches(forms, block, threshold).select(
+        F.least("form_s", "form_r").alias("form_a"),
+        F.greatest("form_s", "form_r").alias("form_b"),
+    ).distinct()
 
     # Substitutions make the Levenshtein distance at most the Indel distance, so it
     # rules out pairs in the JVM; -1 says that it exceeds the limit.

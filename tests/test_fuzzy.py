@@ -4,9 +4,22 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.functions.similarity import lcs_length
+from tamiz.functions.similarity import lcs_lengths
 from tamiz.operators import fuzzy
 
+
+
+def lcs_length(a, b):
+    """By the full table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
 WORDS = "COLEGIO LICEO MIXTO PRIVADO SAN JOSE LA PAZ ÑANDÚ CENTRO EDUCATIVO A BC URBANA RURAL".split()
 
 
@@ -142,3 +155,45 @@ def test_letter_marks_bound_the_edits(spark):
     )
     for row in marked.select("a", "b", flips.alias("f")).collect():
         assert row["f"] <= len(row["a"]) + len(row["b"]) - 2 * lcs_length(row["a"], row["b"])
+
+
+def test_lcs_of_a_batch():
+    import pandas as pd
+
+    rnd = random.Random(5)
+    sizes = [0, 1, 5, 40, 63, 64, 65, 130]
+    text = lambda: "".join(rnd.choice("ABCDE ÑÉ\U0001f600") for _ in range(rnd.choice(sizes)))
+    pairs = [(text(), text()) for _ in range(150)]
+    pairs += [(a, mutate(rnd, a)) for a, _ in pairs if a]
+    a, b = (pd.Series(x) for x in zip(*pairs))
+    for cells in (1, 5000, 1 << 20):
+        assert lcs_lengths(a, b, cells).tolist() == [lcs_length(x, y) for x, y in pairs]
+    assert lcs_lengths(a[:0], b[:0]).tolist() == []
+
+
+def test_pieces_cover_what_is_asked(spark):
+    rnd = random.Random(6)
+    rows = [(i, 1, " ".join(sorted(rnd.choice(WORDS) for _ in range(rnd.randint(1, 9))))) for i in range(300)]
+    forms = fuzzy.name_forms(spark.createDataFrame(rows, "i long, b int, n string"), "n", ["b"], "i")
+    for threshold in (55, 80, 90, 100):
+        for r in fuzzy.with_pieces(forms, ["b"], threshold).collect():
+            edits = (100 - threshold) * 2 * r["len"] // 100
+            assert [p["k"] for p in r["pieces"]] == list(range(edits + 1))
+            spans = [(p["at"], p["at"] + p["q"]) for p in r["pieces"]]
+            assert all(1 <= p["q"] <= 4 for p in r["pieces"]) and spans[-1][1] <= r["len"]
+            assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))  # pieces, hence their grams, do not overlap
+
+
+def shared_prefix(spark, n):
+    """Names of one block with three common words and two or three of their own."""
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("BCDFGLMNPRST") + rnd.choice("AEIOU") for _ in range(rnd.randint(2, 4)))
+    rows = [(i, 1, "ESCUELA OFICIAL RURAL " + " ".join(word() for _ in range(rnd.choice([2, 3])))) for i in range(n)]
+    return fuzzy.name_forms(spark.createDataFrame(rows, "i long, b int, n string"), "n", ["b"], "i")
+
+
+def test_common_words_are_no_signature(spark):
+    forms = shared_prefix(spark, 4000)
+    assert fuzzy.matches(forms, ["b"]).count() < 0.006 * 4000**2
+    signatures = fuzzy._piece_rows(forms, ["b"], 90).join(fuzzy._gram_rows(forms, ["b"], 90).hint("merge"), "sig")
+    assert signatures.count() < 0.2 * 4000**2
