@@ -1,13 +1,14 @@
-"""Incremental ingest of HTML-table files into a table partitioned by source."""
+"""Incremental ingest of HTML-table files into a table of snapshots by source."""
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..runtime import materialize
-from .html_tables import decode_files, html_records, source_name
+from . import snapshots
+from .html_tables import decode_files, parsed_records, rejects, source_name
 from .tables import write_by_source
 
 # What happened to a source, and the label of the total.
@@ -17,9 +18,9 @@ TOTAL = "Total consolidado"
 FILE_KEY = ["path", "modificationTime", "length"]
 
 
-def source_catalog(paths: DataFrame, path: str = "path") -> DataFrame:
-    """Upper-cased file stems, distinct."""
-    return paths.select(F.upper(source_name(F.col(path))).alias("source")).distinct()
+def source_catalog(paths: DataFrame, path: str = "path", source: Callable[[Column], Column] = source_name) -> DataFrame:
+    """Upper-cased source names, by default file stems, distinct."""
+    return paths.select(F.upper(source(F.col(path))).alias("source")).distinct()
 
 
 def new_sources(sources: DataFrame, manifest: DataFrame, keys: list[str] = FILE_KEY) -> DataFrame:
@@ -27,69 +28,96 @@ def new_sources(sources: DataFrame, manifest: DataFrame, keys: list[str] = FILE_
     return sources.join(manifest.select(*keys).distinct(), keys, "left_anti")
 
 
+def with_total(per_source: DataFrame, source: str, status: str) -> DataFrame:
+    total = per_source.agg(F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"))
+    return per_source.unionByName(total.select(F.lit(TOTAL).alias(source), F.lit("").alias(status), "filas"))
+
+
 def ingest_summary(records: DataFrame, source: str = "source", status: str = "estado") -> DataFrame:
     """Rows per source with its status, and the total over all sources."""
-    per_source = records.groupBy(source, status).agg(F.count("*").alias("filas"))
-    total = per_source.agg(F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"))
-    return per_source.unionByName(
-        total.select(F.lit(TOTAL).alias(source), F.lit("").alias(status), "filas")
-    )
+    return with_total(records.groupBy(source, status).agg(F.count("*").alias("filas")), source, status)
 
 
-def _path(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+def list_files(spark: SparkSession, pattern: str, source: Callable[[Column], Column] = source_name) -> DataFrame:
+    """(path, modificationTime, length, source) of the files; their content is not read."""
+    files = spark.read.format("binaryFile").load(pattern)
+    return files.select(*FILE_KEY, source(F.col("path")).alias("source"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target, system = _path(spark, path)
-    return system.exists(target)
+def _read(spark: SparkSession, files: DataFrame, charset: str) -> DataFrame:
+    """(source, path, html) of the listed files and no others."""
+    paths = [r["path"] for r in files.select("path").collect()]  # the driver has listed them anyway
+    content = spark.read.format("binaryFile").load(paths) if paths else spark.read.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary"
+    ).load([])
+    return decode_files(content, charset).drop("source").join(files.select("path", "source"), "path").select("source", "path", "html")
 
 
-def _drop_sources(spark: SparkSession, table: str, sources: set[str]) -> None:
-    """Remove the partitions of the given sources; the table's folder has one for each."""
-    target, system = _path(spark, table)
-    for status in system.listStatus(target) if sources else ():
-        name = status.getPath().getName()
-        if status.isDirectory() and unquote(name.partition("=")[2]) in sources:
-            system.delete(status.getPath(), True)
+def write_snapshot(
+    spark: SparkSession, root: str, todo: DataFrame, kept: DataFrame, columns: list[str], label: str,
+    charset: str = "ISO-8859-1", unclosed: str = "end", before_publish: Callable[[int], None] | None = None,
+) -> int:
+    """Read the files ``todo``, keep the entries ``kept`` of the file list, publish both as the next snapshot.
+
+    Each file is read and parsed once. Documents without a header row go to the
+    reject table and end nothing.
+    """
+    number = snapshots.current(spark, root) + 1
+    docs = _read(spark, todo, charset)
+    if todo.isEmpty():
+        read = spark.createDataFrame([], snapshots.FILES)
+    else:
+        parsed = materialize(parsed_records(docs, ["source", "path"], columns, unclosed=unclosed), "records")
+        found = parsed.filter("pos IS NOT NULL").select("source", "path", "pos", *columns)
+        write_by_source(found, snapshots.batch_path(root, "data", number))
+        counts = parsed.groupBy("path").agg(
+            F.max("rows").cast("bigint").alias("rows"), F.count("pos").alias("filas"), F.max("header").cast("bigint").alias("header")
+        )
+        read = materialize(todo.join(counts, "path", "left").withColumn("batch", F.lit(number).cast("bigint")), "files")
+        bad = _read(spark, read.filter("header IS NULL"), charset)
+        rejects(bad, ["source", "path"], unclosed=unclosed).write.mode("overwrite").parquet(
+            snapshots.batch_path(root, "rejects", number)
+        )
+    names = [f.partition(" ")[0] for f in snapshots.FILES.split(", ")]
+    files = read.select(*names).unionByName(kept.select(*names))
+    files.write.mode("overwrite").parquet(snapshots.snapshot_path(root, number))
+    if before_publish is not None:
+        before_publish(number)
+    snapshots.publish(spark, root, number, label)
+    return number
 
 
 def ingest(
-    spark: SparkSession, pattern: str, table: str, manifest: str, columns: list[str],
-    force: bool = False,
+    spark: SparkSession, pattern: str, root: str, columns: list[str], force: bool = False,
+    source: Callable[[Column], Column] = source_name, charset: str = "ISO-8859-1", unclosed: str = "end",
+    before_publish: Callable[[int], None] | None = None,
 ) -> DataFrame:
-    """Bring ``table`` up to date with the files of ``pattern``; with ``force`` read all files again.
-
-    A source is all files with one stem. When one of them is new, has changed
-    or is gone, the whole source is read again; the other sources keep their
-    partition. A source that ends without records or without files loses its
-    partition. Returns the ingest summary: every source that has files, also
-    with zero rows, and the total.
+    """Bring the table at ``root`` up to date with the files of ``pattern``; with ``force`` read all files again.
+
+    A source is all files of one name, by default one stem. When one of them is
+    new, has changed or is gone, the whole source is read again; the others
+    keep their folder. The result is one new snapshot, or none when nothing
+    changed; see :mod:`.snapshots`. Returns the ingest summary: every source that has
+    files, also with zero rows, and the total.
+    ``before_publish`` is called with the number of a snapshot that is written but not yet published.
     """
-    files = spark.read.format("binaryFile").load(pattern)
-    source = source_name(F.col("path")).alias("source")
-    seen = materialize(files.select(*FILE_KEY, source), "files")
-    known = seen.limit(0)
-    if _exists(spark, manifest):
-        known = materialize(spark.read.parquet(manifest), "manifest")
+    seen = materialize(list_files(spark, pattern, source), "files")
+    known = snapshots.file_list(spark, root)
     base = known.limit(0) if force else known
     touched = new_sources(seen, base).select("source").unionByName(new_sources(known, seen).select("source"))
     touched = materialize(touched.distinct(), "touched")
-    todo = decode_files(files).join(touched, "source", "left_semi")
-    records = materialize(html_records(todo, ["source"], columns), "records")
-    write_by_source(records, table)
-    empty = touched.join(records.select("source"), "source", "left_anti")
-    _drop_sources(spark, table, {r["source"] for r in empty.collect()})
-    seen.write.mode("overwrite").parquet(manifest)
-    stored = spark.read.schema(records.schema).parquet(table)
-    counts = stored.groupBy("source").agg(F.count("*").alias("filas"))
-    status = F.when(F.col("touched").isNotNull(), F.lit(STATUS_DONE)).otherwise(F.lit(STATUS_SKIPPED))
-    per_source = (
-        seen.select("source").distinct()
-        .join(touched.withColumn("touched", F.lit(True)), "source", "left")
-        .join(counts, "source", "left")
-        .select("source", status.alias("estado"), F.coalesce("filas", F.lit(0)).alias("filas"))
+    if not touched.isEmpty():
+        todo = materialize(seen.join(touched, "source", "left_semi"), "todo")
+        kept = known.join(touched, "source", "left_anti")
+        write_snapshot(spark, root, todo, kept, columns, "load", charset, unclosed, before_publish)
+    return summary(spark, root, touched)
+
+
+def summary(spark: SparkSession, root: str, touched: DataFrame) -> DataFrame:
+    """Rows of every source of the last snapshot; those in ``touched`` were read again."""
+    files = snapshots.file_list(spark, root).groupBy("source").agg(F.sum("filas").alias("filas"))
+    status = F.when(F.col("_touched"), F.lit(STATUS_DONE)).otherwise(F.lit(STATUS_SKIPPED))
+    per_source = files.join(touched.select("source", F.lit(True).alias("_touched")), "source", "left").select(
+        "source", status.alias("estado"), F.coalesce("filas", F.lit(0)).alias("filas")
     )
-    total = per_source.agg(F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"))
-    return per_source.unionByName(total.select(F.lit(TOTAL).alias("source"), F.lit("").alias("estado"), "filas"))
+    return with_total(per_source, "source", "estado")

@@ -1,23 +1,72 @@
 """Continuous form of the incremental ingest.
 
 The file source keeps its own record of finished files in the checkpoint, so
-each run picks up what is new and ends. The transforms are stateless.
+each run picks up what is new and ends. A batch that is run again after a
+failure changes nothing, see :func:`ingest_batch`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.html_tables import decode_files, html_records
+from ..runtime import materialize
+from ..sources import snapshots
+from ..sources.html_tables import decode_files, html_records, source_name
+from ..sources.ingest import FILE_KEY, write_snapshot
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def stream_files(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
+    """Files as they arrive in ``folder`` and the folders below it, at most ``max_files`` a batch."""
+    files = spark.readStream.format("binaryFile").schema(BINARY_FILE)
+    return files.option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).load(folder)
+
+
 def stream_records(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
     """Records of HTML-table files as they arrive in ``folder``."""
-    files = spark.readStream.format("binaryFile").schema(BINARY_FILE).load(folder)
-    return html_records(decode_files(files), ["source"], columns)
+    return html_records(decode_files(stream_files(spark, folder)), ["source"], columns)
+
+
+def ingest_batch(
+    files: DataFrame, batch_id: int, root: str, columns: list[str],
+    source: Callable[[Column], Column] = source_name, charset: str = "ISO-8859-1", unclosed: str = "end",
+) -> bool:
+    """Replace the sources that a batch of new files touches; False when the batch is in the table already.
+
+    The batch id is part of the published marker: a batch that was published is
+    skipped, one that was not is written again under the same number. Earlier
+    files of a touched source are read again together with the new ones, from the list in
+    the last snapshot, so the source stays one folder and equals its files.
+    """
+    spark, label = files.sparkSession, f"stream-{batch_id}"
+    if any(of == label for _, of in snapshots.markers(spark, root)):
+        return False
+    new = materialize(files.select(*FILE_KEY, source(F.col("path")).alias("source")), "batch")
+    known = snapshots.file_list(spark, root)
+    touched = new.select("source").distinct()
+    earlier = known.join(touched, "source", "left_semi").join(new.select("path"), "path", "left_anti")
+    todo = materialize(new.unionByName(earlier.select(*new.columns)), "todo")
+    write_snapshot(spark, root, todo, known.join(touched, "source", "left_anti"), columns, label, charset, unclosed)
+    return True
+
+
+def run_ingest(spark: SparkSession, folder: str, root: str, columns: list[str], checkpoint: str, max_files: int = 1000, **options) -> StreamingQuery:
+    """Bring the table at ``root`` up to date with the files that have arrived, then stop."""
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        ingest_batch(batch, batch_id, root, columns, **options)
+
+    return (
+        stream_files(spark, folder, max_files).select(*FILE_KEY)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(replace)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def run_available(records: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamiz.plans.rules import COLUMNS
-from tamiz.sources import html_tables, ingest, pages, tables
-from tamiz.streaming.incremental import run_available, stream_records
+from tamiz.sources import html_tables, ingest, pages, snapshots, tables
+from tamiz.streaming.incremental import ingest_batch, run_available, run_ingest, stream_records
 
 HEADER = "<tr>" + "".join(f"<td>{c.title()}</td>" for c in COLUMNS) + "</tr>"
 
@@ -37,22 +37,42 @@ def test_latin1_files(spark, tmp_path):
 
 
 def test_document_without_header(spark):
-    docs = spark.createDataFrame([("a", "<table><tr><td>x</td></tr></table>")], "source string, html string")
-    assert html_tables.html_header_index(docs, ["source"]).first()["header"] is None
+    docs = spark.createDataFrame([("a", "<table><tr><td>x</td></tr></table>"), ("b", ""), ("c", None)], "source string, html string")
+    assert {r["header"] for r in html_tables.html_header_index(docs, ["source"]).collect()} == {None}
     assert html_tables.html_records(docs, ["source"], COLUMNS, strict=False).count() == 0
-    try:
+    with pytest.raises(Exception, match="no header row"):
         html_tables.html_records(docs, ["source"], COLUMNS).collect()
-    except Exception as exc:
-        assert "no header row" in str(exc)
-    else:
-        raise AssertionError("a document without header must fail")
+    bad = {r["source"]: (r["reason"], r["rows"], r["first"]) for r in html_tables.rejects(docs, ["source"]).collect()}
+    assert bad["a"] == (html_tables.NO_HEADER, 1, "x") and bad["b"][0] == bad["c"][0] == html_tables.NO_TABLE
 
 
-def test_entities(one):
-    values = ["a &amp; b", "&lt;x&gt;", "&#209;&#xd1;&Ntilde;", "A&B &nada; &#0; &;", "&nbsp;", "x", "&#128512;", None]
-    assert one(html_tables.unescape_html, values) == [
-        "a & b", "<x>", "ÑÑÑ", "A&B &nada; &#0; &;", " ", "x", "\U0001f600", None,
-    ]
+def test_references(one):
+    from html import unescape
+
+    values = ["x&nbsp y &ntilde z &#147;q&#148;", "a &amp; b &AMP c", "&lt;x&gt;", "&#209;&#xd1;&Ntilde;", "A&B &nada; &#0; &;", "&notit; &notin;",
+              "&hellip;&#x1F600 &#55296; &#1; &#11; &#13;x", "&#99999999999999999999; &#0147;", "x", "", "&", "&&amp;&", "&#xFDD0;|&#x1FFFE;|&#128;|&#129;",
+              "&CounterClockwiseContourIntegral;", "&copy2 &copysr; &NotEqualTilde;"]
+    assert one(html_tables.unescape_html, [*values, None]) == [*map(unescape, values), None]
+    assert unescape(values[0]) == "x\xa0 y ñ z “q”"
+
+
+LOOSE = [
+    ("<tr><td>a</td><td>b<tr><td>c</td></tr>", [["a", "b"], ["c"]], [["c"]]),
+    ("<table><tr><td>x&nbsp y &ntilde z &#147;q&#148;</td></tr></table>", [["x y ñ z “q”"]], [["x y ñ z “q”"]]),
+    ("<tr><th>h</th><td>1 <b>2</b><td>a < b</tr>tail<td>z</table><td>no", [["1 2", "a < b"], ["z"], ["no"]], []),
+    ("<TR ><TD a='1'>k</TD >\n<track><td>\n l </td>n</TR><tr></tr><tr/><td>m</td></tr>", [["k", "l"], ["m"]], [["k", "l"], ["m"]]),
+    ("<!-- <tr><td>c</td></tr> --><script>'<tr><td>s'</script>", [], []),
+    ("", [], []),
+    (None, None, None),
+]
+
+
+def test_loose_markup(one):
+    texts = [t for t, _, _ in LOOSE]
+    assert one(html_tables.table_rows, texts) == [e for _, e, _ in LOOSE]
+    assert one(lambda c: html_tables.table_rows(c, "drop"), texts) == [d for _, _, d in LOOSE]
+    with pytest.raises(ValueError):
+        html_tables.table_rows(F.col("x"), "guess")
 
 
 def test_page_fields(one):
@@ -68,47 +88,87 @@ def _status(summary):
     return {r["source"]: (r["estado"], r["filas"]) for r in summary.collect()}
 
 
+DONE, SKIPPED = ingest.STATUS_DONE, ingest.STATUS_SKIPPED
+
+
+def codes(spark, root, number=None):
+    rows = snapshots.records(spark, root, COLUMNS, number)
+    return sorted((r["source"], r["CODIGO"][6:10]) for r in rows.collect())
+
+
 def test_incremental_ingest(spark, tmp_path):
-    raw, table, manifest = (str(tmp_path / n) for n in ("raw", "table", "manifest"))
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
     write(raw, "a", page("16-01-0001-46", "16-01-0002-46"))
     write(raw, "b", page("16-01-0003-46"))
-    args = (spark, f"{raw}/*.xls", table, manifest, COLUMNS)
-    done, skipped = ingest.STATUS_DONE, ingest.STATUS_SKIPPED
-    assert _status(ingest.ingest(*args)) == {"a": (done, 2), "b": (done, 1), ingest.TOTAL: ("", 3)}
+    args = (spark, f"{raw}/*.xls", root, COLUMNS)
+    assert _status(ingest.ingest(*args)) == {"a": (DONE, 2), "b": (DONE, 1), ingest.TOTAL: ("", 3)}
     write(raw, "c", page("16-01-0004-46"))
     assert _status(ingest.ingest(*args)) == {
-        "a": (skipped, 2), "b": (skipped, 1), "c": (done, 1), ingest.TOTAL: ("", 4),
+        "a": (SKIPPED, 2), "b": (SKIPPED, 1), "c": (DONE, 1), ingest.TOTAL: ("", 4),
     }
     write(raw, "b", page("16-01-0003-46", "16-01-0005-46"))
-    assert _status(ingest.ingest(*args))["b"] == (done, 2)
-    assert _status(ingest.ingest(*args, force=True))["a"] == (done, 2)
-    assert spark.read.parquet(table).count() == 5
-    files = spark.read.format("binaryFile").load(f"{raw}/*.xls")
-    assert {r["source"] for r in ingest.source_catalog(files).collect()} == {"A", "B", "C"}
+    assert _status(ingest.ingest(*args))["b"] == (DONE, 2)
+    assert snapshots.current(spark, root) == 3
+    assert _status(ingest.ingest(*args))["b"] == (SKIPPED, 2)
+    assert snapshots.current(spark, root) == 3  # nothing changed, nothing written
+    assert _status(ingest.ingest(*args, force=True))["a"] == (DONE, 2)
+    assert len(codes(spark, root)) == 5 and len(codes(spark, root, 1)) == 3
+    assert {r["source"] for r in ingest.source_catalog(ingest.list_files(spark, f"{raw}/*.xls")).collect()} == {"A", "B", "C"}
+    assert snapshots.expire(spark, root, keep=1) == [1, 2, 3]
+    assert len(codes(spark, root)) == 5 and snapshots.markers(spark, root) == [(4, "load")]
 
 
 def test_ingest_keeps_the_table_equal_to_the_files(spark, tmp_path):
-    raw, table, manifest = (str(tmp_path / n) for n in ("raw", "table", "manifest"))
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
     for folder, name, code in (("1", "a", "01"), ("2", "a", "02"), ("1", "b", "03"), ("1", "07", "04"), ("1", "x y=é", "05")):
         write(f"{raw}/{folder}", name, page(f"16-01-00{code}-46"))
-    args = (spark, f"{raw}/*/*.xls", table, manifest, COLUMNS)
-    done, skipped = ingest.STATUS_DONE, ingest.STATUS_SKIPPED
-
-    def codes():
-        columns = ", ".join(f"`{c}` string" for c in [*COLUMNS, "source"])
-        return sorted((r["source"], r["CODIGO"][6:10]) for r in spark.read.schema(columns).parquet(table).collect())
-
+    args = (spark, f"{raw}/*/*.xls", root, COLUMNS)
     assert _status(ingest.ingest(*args)) == {
-        "a": (done, 2), "b": (done, 1), "07": (done, 1), "x y=é": (done, 1), ingest.TOTAL: ("", 5)}
+        "a": (DONE, 2), "b": (DONE, 1), "07": (DONE, 1), "x y=é": (DONE, 1), ingest.TOTAL: ("", 5)}
     write(f"{raw}/1", "a", page("16-01-0011-46"))  # the other file of this stem stays
     write(f"{raw}/1", "b", page())  # no records left
     os.remove(f"{raw}/1/07.xls")
-    assert _status(ingest.ingest(*args)) == {"a": (done, 2), "b": (done, 0), "x y=é": (skipped, 1), ingest.TOTAL: ("", 3)}
-    assert codes() == [("a", "0002"), ("a", "0011"), ("x y=é", "0005")]
+    assert _status(ingest.ingest(*args)) == {"a": (DONE, 2), "b": (DONE, 0), "x y=é": (SKIPPED, 1), ingest.TOTAL: ("", 3)}
+    assert codes(spark, root) == [("a", "0002"), ("a", "0011"), ("x y=é", "0005")]
     os.remove(f"{raw}/1/x y=é.xls")
-    assert _status(ingest.ingest(*args, force=True)) == {"a": (done, 2), "b": (done, 0), ingest.TOTAL: ("", 2)}
-    assert codes() == [("a", "0002"), ("a", "0011")]
-    assert _status(ingest.ingest(*args)) == {"a": (skipped, 2), "b": (skipped, 0), ingest.TOTAL: ("", 2)}
+    assert _status(ingest.ingest(*args, force=True)) == {"a": (DONE, 2), "b": (DONE, 0), ingest.TOTAL: ("", 2)}
+    assert codes(spark, root) == [("a", "0002"), ("a", "0011")]
+    assert _status(ingest.ingest(*args)) == {"a": (SKIPPED, 2), "b": (SKIPPED, 0), ingest.TOTAL: ("", 2)}
+
+
+def test_headerless_file_goes_to_the_rejects(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
+    write(raw, "a", page("16-01-0001-46"))
+    write(raw, "b", b"<table><tr><td>x<td>y</table>")
+    args = (spark, f"{raw}/*.xls", root, COLUMNS)
+    assert _status(ingest.ingest(*args)) == {"a": (DONE, 1), "b": (DONE, 0), ingest.TOTAL: ("", 1)}
+    bad = snapshots.rejected(spark, root).collect()
+    assert [(r["source"], r["reason"], r["rows"], r["first"]) for r in bad] == [("b", html_tables.NO_HEADER, 1, "x | y")]
+    write(raw, "b", page("16-01-0002-46"))
+    assert _status(ingest.ingest(*args))["b"] == (DONE, 1)
+    assert snapshots.rejected(spark, root).count() == 0 and codes(spark, root) == [("a", "0001"), ("b", "0002")]
+
+
+def test_a_run_that_ends_before_publishing_changes_nothing(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
+    write(raw, "a", page("16-01-0001-46"))
+    write(raw, "b", page("16-01-0002-46"))
+    args = (spark, f"{raw}/*.xls", root, COLUMNS)
+    ingest.ingest(*args)
+    write(raw, "a", page("16-01-0003-46", "16-01-0004-46"))
+    os.remove(f"{raw}/b.xls")
+
+    def stop(number):
+        raise KeyboardInterrupt(number)
+
+    with pytest.raises(KeyboardInterrupt):
+        ingest.ingest(*args, before_publish=stop)
+    assert snapshots.current(spark, root) == 1 and codes(spark, root) == [("a", "0001"), ("b", "0002")]
+    assert {r["source"] for r in snapshots.file_list(spark, root).collect()} == {"a", "b"}
+    write(raw, "c", page("16-01-0005-46"))  # the next run overwrites what the other left
+    assert _status(ingest.ingest(*args)) == {"a": (DONE, 2), "c": (DONE, 1), ingest.TOTAL: ("", 3)}
+    assert codes(spark, root) == [("a", "0003"), ("a", "0004"), ("c", "0005")]
+    assert snapshots.markers(spark, root) == [(1, "load"), (2, "load")]
 
 
 def test_streaming_ingest(spark, tmp_path):
@@ -121,6 +181,31 @@ def test_streaming_ingest(spark, tmp_path):
         assert spark.read.parquet(table).count() == expected
 
 
+def test_streaming_ingest_replaces_sources(spark, tmp_path):
+    raw, root, check = (str(tmp_path / n) for n in ("raw", "table", "check"))
+    write(f"{raw}/1", "a", page("16-01-0001-46"))
+    write(f"{raw}/1", "b", page("16-01-0002-46"))
+    run_ingest(spark, raw, root, COLUMNS, check).awaitTermination()
+    assert codes(spark, root) == [("a", "0001"), ("b", "0002")]
+    write(f"{raw}/2", "a", page("16-01-0003-46"))  # a second file of a known source
+    for _ in range(2):
+        run_ingest(spark, raw, root, COLUMNS, check).awaitTermination()
+        assert codes(spark, root) == [("a", "0001"), ("a", "0003"), ("b", "0002")]
+    assert [label for _, label in snapshots.markers(spark, root)] == ["stream-0", "stream-1"]
+
+
+def test_a_batch_run_again_changes_nothing(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
+    write(raw, "a", page("16-01-0001-46"))
+    files = spark.read.format("binaryFile").load(f"{raw}/*.xls")
+    assert ingest_batch(files, 0, root, COLUMNS)
+    before = codes(spark, root)
+    assert not ingest_batch(files, 0, root, COLUMNS)
+    assert codes(spark, root) == before == [("a", "0001")] and snapshots.current(spark, root) == 1
+    assert ingest_batch(files, 1, root, COLUMNS)  # the same file in another batch is replaced, not added
+    assert codes(spark, root) == before
+
+
 def test_csv_round_trip(spark, tmp_path):
     rows = [("1", 'say "hi"', "a\nb"), ("2", "", ' x,"y" '), ("3", '"all"', "NA"), ("4", None, "ñ")]
     path = str(tmp_path / "t.csv")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tamiz.plans.rules import COLUMNS
-from tamiz.runtime import scratch_path
-from tamiz.sources import html_tables, ingest, pages, tables
-from tamiz.streaming.incremental import run_available
+from tamiz.runtime import materialize, scratch_path
+from tamiz.sources import html_tables, ingest, pages, snapshots, tables
+from tamiz.streaming.incremental import run_available, run_ingest
 
 from . import duck as d
 from .fixtures import DIRTY_TEXT, HTML_FILES, duck, fixture, table
@@ -127,18 +127,121 @@ def row_lineage(spark, sf):
     return tables.number_rows(_sources(spark, sf), "source", "pos")
 
 
-@query("source_catalog", """
-SELECT 'CUSTOMER' AS source UNION ALL SELECT 'ORDERS' UNION ALL SELECT 'PART' UNION ALL SELECT 'SUPPLIER'""")
+#: A raw file holds the customers of one nation whose keys lie in one range of so many.
+KEYS_IN_FILE = 500
+_CODE = "concat(lpad(CAST(k % 90 + 10 AS STRING), 2, '0'), '-01-', lpad(CAST(k % 10000 AS STRING), 4, '0'), '-46')"
+#: Raw rows (stem, file, n, k): nation, number of its file, number of the nation, customer.
+_RAW = f"""SELECT n_name AS stem, CAST(floor(c_custkey / {KEYS_IN_FILE}) AS INT) AS file, n_nationkey AS n, c_custkey AS k
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
+
+def _markup(rows):
+    """(stem, file, value): one HTML document for each raw file, cells and rows closed or not; value is its markup."""
+    code = F.expr(_CODE)
+    closed = F.concat(F.lit("<tr><td>"), code, F.lit("</td><td>x</td></tr>"))
+    loose = F.concat(F.lit("<tr><td>"), code, F.lit("<td>x"))
+    body = F.array_join(F.array_sort(F.collect_list(F.when(F.col("k") % 2 == 0, closed).otherwise(loose))), "")
+    head = "<table><tr><td>Listado</td></tr><tr><td>Codigo</td><td>DISTRITO</td><td>Establecimiento</td></tr>"
+    # nations by number: 4 of 5 have no header row in their first file
+    header = F.when((F.first("n") % 5 == 4) & (F.col("file") == 0), F.lit("<table>")).otherwise(F.lit(head))
+    return rows.groupBy("stem", "file").agg(F.concat(header, F.coalesce(body, F.lit("")), F.lit("</table>")).alias("value"))
+
+
+def _write_markup(docs, path):
+    docs.repartition("stem", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stem", "file").text(path)
+
+
+def _stem(path):
+    """The raw files of a nation are those of its folder."""
+    return F.regexp_extract(path, "/stem=([^/]+)/", 1)
+
+
+def _raw_files(spark, sf):
+    """The raw files of all customers, written once more for each caller, and their rows."""
+    joined = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = joined.select(
+        F.col("n_name").alias("stem"), F.floor(F.col("c_custkey") / KEYS_IN_FILE).cast("int").alias("file"),
+        F.col("n_nationkey").alias("n"), F.col("c_custkey").alias("k"),
+    )
+    path = scratch_path(spark, "raw")
+    _write_markup(_markup(rows), path)
+    return path, rows
+
+
+@query("source_catalog", f"""
+SELECT upper(stem) AS source, count(DISTINCT file) AS files FROM ({_RAW}) GROUP BY 1""")
 def source_catalog(spark, sf):
-    files = [
-        spark.read.parquet(f"{sf}/{n}.parquet").select(F.col("_metadata.file_path").alias("path"))
-        for n in ("customer", "orders", "part", "supplier")
-    ]
-    # A table stored as a folder of parts is named by the folder.
-    named = tables.consolidate(files).select(
-        F.regexp_replace("path", r"(\.parquet)/.*$", "$1").alias("path")
+    """From the names of raw files; their content is not read."""
+    path, _ = _raw_files(spark, sf)
+    files = ingest.list_files(spark, f"{path}/*/*/*.txt", _stem)
+    counts = files.groupBy(F.upper("source").alias("source")).agg(F.count("*").alias("files"))
+    return ingest.source_catalog(files, source=_stem).join(counts, "source")
+
+
+# What a nation's files hold after the changes, by its number: 0 as before, 1 one of several files changed, 2 emptied,
+# 3 gone, 4 as before, with a file that is rejected.
+_AFTER = "n % 5 <> 3 AND NOT (n % 5 = 1 AND file = 0 AND k % 3 <> 0) AND n % 5 <> 2"
+_LOADED = "NOT (n % 5 = 4 AND file = 0)"
+
+
+@query("ingest_cycle", f"""
+WITH raw AS ({_RAW}),
+first AS (SELECT stem, n, count(*) FILTER ({_LOADED}) AS filas FROM raw GROUP BY 1, 2),
+after AS (SELECT stem, n, count(*) FILTER ({_AFTER} AND {_LOADED}) AS filas FROM raw WHERE n % 5 <> 3 GROUP BY 1, 2),
+runs AS (SELECT 1 AS run, stem AS source, '{ingest.STATUS_DONE}' AS estado, filas FROM first
+  UNION ALL SELECT 2, stem, '{ingest.STATUS_SKIPPED}', filas FROM first
+  UNION ALL SELECT 3, stem, CASE WHEN n % 5 IN (1, 2) THEN '{ingest.STATUS_DONE}' ELSE '{ingest.STATUS_SKIPPED}' END, filas FROM after
+  UNION ALL SELECT 4, stem, '{ingest.STATUS_DONE}', filas FROM after)
+SELECT run, source, estado, filas, CAST(NULL AS BIGINT) AS codes FROM runs
+UNION ALL SELECT run, '{ingest.TOTAL}', '', CAST(sum(filas) AS BIGINT), NULL FROM runs GROUP BY run
+UNION ALL SELECT 5, stem, 'table', count(*), CAST(sum(CAST(substr({_CODE.replace('STRING', 'VARCHAR')}, 7, 4) AS BIGINT)) AS BIGINT)
+  FROM raw WHERE {_AFTER} AND {_LOADED} GROUP BY stem
+UNION ALL SELECT 5, stem, 'rejected', count(*), NULL FROM raw WHERE NOT ({_LOADED}) GROUP BY stem""")
+def ingest_cycle(spark, sf):
+    """First load, nothing new, changed, emptied and deleted files, all again by force; then the table and its rejects."""
+    path, rows = _raw_files(spark, sf)
+    args = (spark, f"{path}/*/*/*.txt", scratch_path(spark, "ingest"), COLUMNS)
+    root, runs = args[2], []
+
+    def load(**options):
+        out = ingest.ingest(*args, source=_stem, **options)
+        runs.append(materialize(out.select(F.lit(len(runs) + 1).alias("run"), "source", "estado", "filas"), "run"))
+
+    load()
+    load()
+    files = rows.select("stem", "file", "n").distinct()
+    changed = files.filter("n % 5 = 2 OR (n % 5 = 1 AND file = 0)").join(
+        rows.filter(_AFTER).select("stem", "file", "k"), ["stem", "file"], "left"
+    )
+    _write_markup(_markup(changed), path)
+    for r in files.filter("n % 5 = 3").select("stem").distinct().collect():  # nations
+        snapshots.delete(spark, f"{path}/stem={r['stem']}")
+    load()
+    load(force=True)
+    records = snapshots.records(spark, root, COLUMNS)
+    stored = records.groupBy("source").agg(
+        F.count("*").alias("filas"), F.sum(F.substring("CODIGO", 7, 4).cast("bigint")).alias("codes")
+    )
+    bad = snapshots.rejected(spark, root).groupBy("source").agg(F.sum("rows").alias("filas"))
+    return tables.consolidate(runs).withColumn("codes", F.lit(None).cast("bigint")).unionByName(
+        stored.select(F.lit(5).alias("run"), "source", F.lit("table").alias("estado"), "filas", "codes")
+    ).unionByName(
+        bad.select(F.lit(5).alias("run"), "source", F.lit("rejected").alias("estado"), "filas", F.lit(None).cast("bigint").alias("codes"))
+    )
+
+
+@query("ingest_stream", f"""
+SELECT stem AS source, count(*) AS filas, CAST(sum(CAST(substr({_CODE.replace('STRING', 'VARCHAR')}, 7, 4) AS BIGINT)) AS BIGINT) AS codes
+FROM ({_RAW}) WHERE {_LOADED} GROUP BY stem""")
+def ingest_stream(spark, sf):
+    """The same files as a stream of small batches that replace the sources they touch; a run without new files changes nothing."""
+    path, rows = _raw_files(spark, sf)
+    root, checkpoint = scratch_path(spark, "ingest"), scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        run_ingest(spark, path, root, COLUMNS, checkpoint, max_files=200, source=_stem).awaitTermination()
+    return snapshots.records(spark, root, COLUMNS).groupBy("source").agg(
+        F.count("*").alias("filas"), F.sum(F.substring("CODIGO", 7, 4).cast("bigint")).alias("codes")
     )
-    return ingest.source_catalog(named)
 
 
 @query("ingest_summary", f"""
