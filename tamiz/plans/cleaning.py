@@ -9,7 +9,8 @@ from ..functions.phones import clean_phones
 from ..functions.text import clean_spaces, clean_text, is_placeholder, normalize_category, null_where
 from ..operators.places import PlaceRules, standardize_places
 from ..operators.profile import ordinal
-from ..operators.unify import apply_canonical, canonical_variants, mapped_spellings, unify_variants
+from ..operators.unify import mapped_spellings, unify_columns, unify_variants
+from ..runtime import materialize
 from .rules import COLUMNS, DERIVED, FREE_TEXT, PLACEHOLDER_TEXT, SIMPLE_CATEGORIES
 
 RAW = "_raw"
@@ -27,20 +28,26 @@ def clean_name(df: DataFrame, col: str) -> DataFrame:
     return out.withColumn(col, F.nullif(F.col(col), F.lit("")))
 
 
-def _unified(df: DataFrame, source: DataFrame, col: str) -> DataFrame:
-    """Unify ``col`` of ``df`` by the spellings of ``source``, a narrow scan of that column."""
-    spellings = source.select(clean_text(F.col(col)).alias(col))
-    return apply_canonical(df, col, canonical_variants(spellings, col))
+def cleaned_text(df: DataFrame, *keep: str) -> DataFrame:
+    """The free-text columns after cleaning, before spellings are unified."""
+    return df.select(*keep, *[clean_text(F.col(c)).alias(c) for c in FREE_TEXT])
 
 
 def clean_aligned(
-    df: DataFrame, dim: DataFrame, rules: PlaceRules = PlaceRules(), keep: list[str] = []
+    df: DataFrame, dim: DataFrame, rules: PlaceRules = PlaceRules(), keep: list[str] = [],
+    row_col: str | None = None, spellings: DataFrame | None = None,
 ) -> DataFrame:
     """The cleaned columns with struct ``_raw`` (the input row) beside them.
 
-    Steps are projections, the catalogue lookup and one join per free-text
-    column. ``keep`` names further columns, such as a row id, to carry along.
+    Steps are projections, the catalogue lookup and one join for the spellings
+    of all free-text columns. ``keep`` names further columns, such as a row id, to
+    carry along. ``row_col`` is a column that names each row; without one the input is
+    written once with a number for each row. ``spellings`` is the state of
+    earlier batches, see :func:`..operators.unify.spelling_state`.
     """
+    if row_col is None:
+        row_col = "_row"
+        df = materialize(df.select(*dict.fromkeys([*keep, *COLUMNS]), F.monotonically_increasing_id().alias(row_col)), "numbered")
     simple = {
         "CODIGO": clean_spaces(F.col("CODIGO")),
         "DISTRITO": district_value(F.col("DISTRITO")),
@@ -49,15 +56,14 @@ def clean_aligned(
     }
     kind = classify_format(F.col("DISTRITO"))
     out = df.select(
-        *keep,
+        *dict.fromkeys([*keep, row_col]),
         *[simple[c].alias(c) if c in simple else F.col(c) for c in COLUMNS],
         kind.alias("DISTRITO_FORMATO"),
         kind.isin(VALID_CLASSES).alias("DISTRITO_VALIDO"),
         F.struct(*COLUMNS).alias(RAW),
     )
     out = standardize_places(out, dim, rules)
-    for col in FREE_TEXT:
-        out = _unified(out, df, col)
+    out = unify_columns(out, row_col, FREE_TEXT, cleaned_text(df, row_col), spellings)
     out = clean_phones(out, "TELEFONO")
     masked = {c: null_where(F.col(c), is_placeholder(F.col(c))) for c in PLACEHOLDER_TEXT}
     masked["ESTABLECIMIENTO"] = F.nullif(F.col("ESTABLECIMIENTO"), F.lit(""))
@@ -67,10 +73,11 @@ def clean_aligned(
 
 
 def clean(
-    df: DataFrame, dim: DataFrame, rules: PlaceRules = PlaceRules(), keep: list[str] = []
+    df: DataFrame, dim: DataFrame, rules: PlaceRules = PlaceRules(), keep: list[str] = [],
+    row_col: str | None = None, spellings: DataFrame | None = None,
 ) -> DataFrame:
     """The clean table: the 17 original and 7 derived columns."""
-    return clean_aligned(df, dim, rules, keep).drop(RAW)
+    return clean_aligned(df, dim, rules, keep, row_col, spellings).drop(RAW)
 
 
 def changed(col: str) -> Column:
@@ -166,8 +173,7 @@ def transform_log(aligned: DataFrame, source: DataFrame | None = None) -> DataFr
         )
     log = one_row.select(F.inline(F.array(*rows)))
     if source is not None:
-        spellings = source.select(*[clean_text(F.col(c)).alias(c) for c in FREE_TEXT])
-        mapped = mapped_spellings(spellings, FREE_TEXT)
+        mapped = mapped_spellings(cleaned_text(source), FREE_TEXT)
         log = log.join(mapped, "variable", "left")
     else:
         log = log.withColumn("mapped", F.lit(None).cast("bigint"))

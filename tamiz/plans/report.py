@@ -121,7 +121,7 @@ def quality_report(
     metric. "Corrections" of the finished table are 0: none are applied to it.
     """
     block = [rules.department, rules.municipality]
-    aligned = materialize(clean_aligned(df, dim, rules, [row_col]), "clean")
+    aligned = materialize(clean_aligned(df, dim, rules, [row_col], row_col), "clean")
     raw = aligned.select(row_col, f"{RAW}.*")
     cleaned = aligned.select(row_col, *COLUMNS, *DERIVED)
 

@@ -59,6 +59,35 @@ def test_shape_and_values(clean):
     assert rows[5]["AREA"] == "URBANA"
 
 
+def test_rows_without_a_name_of_their_own(raw, dim, clean):
+    """The same table whether the rows have an id, or get a number on the way; repeated ids need the latter."""
+    named = cleaning.clean(raw, dim, keep=["row_id"], row_col="row_id")
+    assert sorted(map(tuple, named.collect())) == sorted(map(tuple, clean.collect()))
+    twice = raw.unionByName(raw).drop("row_id")
+    assert cleaning.clean(twice, dim).count() == 2 * len(ROWS)
+
+
+def test_spellings_of_earlier_batches(spark, raw, dim):
+    from tamiz.operators import unify
+
+    first, second = raw.filter("row_id = 3"), raw.filter("row_id = 4")
+    alone = cleaning.clean(second, dim, row_col="row_id", keep=["row_id"]).first()
+    assert alone["ESTABLECIMIENTO"] == "COLEGIO JOSE"
+    state = unify.spelling_state(cleaning.cleaned_text(first), rules.FREE_TEXT)
+    later = cleaning.clean(second, dim, row_col="row_id", keep=["row_id"], spellings=state).first()
+    assert later["ESTABLECIMIENTO"] == "COLEGIO JOSÉ"
+    whole = unify.spelling_state(cleaning.cleaned_text(raw), rules.FREE_TEXT)
+    parts = [unify.spelling_state(cleaning.cleaned_text(raw.filter(f"row_id % 2 = {i}")), rules.FREE_TEXT) for i in (0, 1)]
+    assert {repr(r) for r in unify.merged_states(parts).collect()} == {repr(r) for r in whole.collect()}
+
+
+def test_wide_rows_are_not_shuffled(raw, dim):
+    """The clean table needs no exchange of whole rows while catalogue and replacements are small."""
+    plan = cleaning.clean(raw, dim, keep=["row_id"], row_col="row_id")._jdf.queryExecution().executedPlan().toString()
+    assert "TELEFONO" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "CODIGO" in line]
+
+
 def test_log(raw, dim):
     aligned = cleaning.clean_aligned(raw, dim, keep=["row_id"])
     log = {r["variable"]: r for r in cleaning.transform_log(aligned, raw).collect()}

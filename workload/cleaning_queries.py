@@ -86,7 +86,7 @@ cl AS (SELECT fx.row_id, {d.spaces('fx.CODIGO')} AS CODIGO, nullif({d.spaces('fx
 
 @query("clean_table", f"""WITH {clean_ctes()} SELECT row_id, {', '.join(COLUMNS + DERIVED)} FROM cl""")
 def clean_table(spark, sf):
-    return cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"])
+    return cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"], "row_id")
 
 
 def _changed(c: str) -> str:
@@ -115,7 +115,7 @@ _MAPPED = " UNION ALL ".join(
 SELECT lg.variable, affected, mapped FROM lg LEFT JOIN mp ON mp.variable = lg.variable""")
 def transform_log(spark, sf):
     raw = schools(spark, sf)
-    aligned = cleaning.clean_aligned(raw, dim(spark, sf), RULES, ["row_id"])
+    aligned = cleaning.clean_aligned(raw, dim(spark, sf), RULES, ["row_id"], "row_id")
     return cleaning.transform_log(aligned, raw).select("variable", "affected", "mapped")
 
 
@@ -187,7 +187,7 @@ SELECT CASE WHEN sa AND sp THEN '{fuzzy.DECISION_MERGE}' WHEN sa AND s >= 95 THE
   WHEN sp AND s >= 95 THEN '{fuzzy.DECISION_PHONE}' WHEN NOT sa THEN '{fuzzy.DECISION_DISTINCT}'
   ELSE '{fuzzy.DECISION_UNCLEAR}' END AS decision, count(*) AS pares FROM p GROUP BY 1""")
 def duplicate_review(spark, sf):
-    cleaned = cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"])
+    cleaned = cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"], "row_id")
     return report.duplicate_review(cleaned, "row_id")[1]
 
 
