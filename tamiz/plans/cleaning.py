@@ -14,6 +14,8 @@ from ..runtime import materialize
 from .rules import COLUMNS, DERIVED, FREE_TEXT, PLACEHOLDER_TEXT, SIMPLE_CATEGORIES
 
 RAW = "_raw"
+# Fixed value: a finished phone cell.
+PHONE_LIST = r"^[0-9]+(; [0-9]+)*\z"
 
 
 def clean_free_text(df: DataFrame, col: str) -> DataFrame:
@@ -152,13 +154,27 @@ TEXT_STEP = ("text cleaned, accent variants unified, placeholders to NULL", "a p
 CATEGORY_STEP = ("spaces and case normalised", "the check is explicit, not assumed")
 
 
-def transform_log(aligned: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def still_changed() -> dict[str, Column]:
+    """By column: does a cell of the finished table still differ from its normal form?"""
+    out = {c: F.col(c) != clean_text(F.col(c)) for c in FREE_TEXT}
+    out.update({c: F.col(c) != normalize_category(F.col(c)) for c in ["DEPARTAMENTO", "MUNICIPIO", *SIMPLE_CATEGORIES]})
+    out["CODIGO"] = F.col("CODIGO") != clean_spaces(F.col("CODIGO"))
+    out["DISTRITO"] = F.col("DISTRITO") != district_value(F.col("DISTRITO"))
+    out["TELEFONO"] = ~F.col("TELEFONO").rlike(PHONE_LIST)
+    return {c: out[c] for c in COLUMNS}
+
+
+def transform_log(aligned: DataFrame, source: DataFrame | None = None, counters: dict[str, int] | None = None) -> DataFrame:
     """One row per column: problem, transformation, affected rows, reason.
 
-    All counters come from a single aggregation. With ``source`` (the raw
+    All counters come from a single aggregation, or are given as ``counters`` when they were
+    taken while the table was written. With ``source`` (the raw
     table) the free-text columns also state how many spellings were mapped.
     """
-    one_row = aligned.agg(*counter_aggs())
+    if counters is None:
+        one_row = aligned.agg(*counter_aggs())
+    else:
+        one_row = aligned.sparkSession.range(1).select(*[F.lit(counters[name]).cast("bigint").alias(name) for name in log_counters()])
     rows, problems = [], _problems()
     for col, affected in affected_rows().items():
         step, reason = STEPS.get(col, TEXT_STEP if col in PLACEHOLDER_TEXT else CATEGORY_STEP)

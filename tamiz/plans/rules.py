@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import astuple, dataclass, fields
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import normalize_text
 from ..operators.profile import missing_report, ordinal
@@ -55,6 +55,14 @@ DEPARTMENT_ACCENTS = {
     "PETEN": "PETÉN", "QUICHE": "QUICHÉ", "SACATEPEQUEZ": "SACATEPÉQUEZ", "SOLOLA": "SOLOLÁ",
     "SUCHITEPEQUEZ": "SUCHITEPÉQUEZ", "TOTONICAPAN": "TOTONICAPÁN",
 }
+
+
+def official_departments(spark: SparkSession) -> DataFrame:
+    """(code, name, official): department codes with the plain and the accented name."""
+    rows = [(code, name, DEPARTMENT_ACCENTS.get(name, name)) for code, name in DEPARTMENT_CODES]
+    return spark.createDataFrame(rows, "code string, name string, official string")
+
+
 # Departments whose regional office column is split into zones.
 DEPENDENCIES = {
     "GUATEMALA": (

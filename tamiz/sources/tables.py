@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip
+from ..runtime import materialize
 
 CHUNK = 100_000
 
@@ -82,21 +83,24 @@ def number_rows(
 ) -> DataFrame:
     """Consecutive numbers in (source, pos) order; ``pos`` is a unique integer per source.
 
-    Rows are ranked inside ranges of ``chunk`` positions, and each range starts
-    at the number of rows before it. Only the table of range sizes, smaller
-    than the data by the factor ``chunk``, is ordered as a whole.
+    Rows are ranked inside ranges of ``chunk`` positions and written once; the input
+    is read once. The ranges, fewer than the rows by the factor ``chunk``, are sorted into
+    partitions by (source, range) and summed inside each, and the driver adds the
+    sums of the partitions before it: one number for each.
     """
-    chunked = df.withColumn("_chunk", F.floor(F.col(pos) / chunk))
-    sizes = chunked.groupBy(source, "_chunk").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy(source, "_chunk").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    inside = F.row_number().over(Window.partitionBy(source, "_chunk").orderBy(pos))
+    ranked = materialize(df.withColumn("_chunk", F.floor(F.col(pos) / chunk)).withColumn("_rank", inside), "ranked")
+    sizes = ranked.groupBy(source, "_chunk").agg(F.count("*").alias("_n")).repartitionByRange(source, "_chunk")
+    sizes = materialize(sizes.withColumn("_part", F.spark_partition_id()), "sizes")
+    earlier, so_far = {}, 0
+    for part, n in sorted(map(tuple, sizes.groupBy("_part").agg(F.sum("_n")).collect())):
+        earlier[part], so_far = so_far, so_far + n
+    before = Window.partitionBy("_part").orderBy(source, "_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    of_part = F.try_element_at(F.create_map(*[F.lit(int(x)) for pair in (earlier or {0: 0}).items() for x in pair]), F.col("_part"))
     offsets = sizes.select(
         F.col(source).alias("_s"), F.col("_chunk").alias("_c"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        (of_part + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_before"),
     )
-    inside = F.row_number().over(Window.partitionBy(source, "_chunk").orderBy(pos))
-    ranked = chunked.withColumn("_rank", inside)
     joined = ranked.join(
         offsets, F.col(source).eqNullSafe(F.col("_s")) & (F.col("_chunk") == F.col("_c"))
     )

@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.operators import expectations as ex, places
-from tamiz.plans import cleaning, report, rules
+from tamiz.operators import consistency, expectations as ex, places
+from tamiz.plans import cleaning, deliver, report, rules
+from tamiz.plans.expectations import expect_clean
 
 CATALOG = [("Petén", "Sayaxché"), ("Guatemala", "Mixco"), ("Alta Verapaz", "Cobán")]
 
@@ -109,33 +110,88 @@ def test_report(raw, dim):
     assert by["Errores corregidos (registros modificados)"] == (20, 0)
 
 
+def test_finished_table_is_measured(raw, dim):
+    """Cells that the cleaning would still change count, whatever table is looked at."""
+    aligned = cleaning.clean_aligned(raw, dim, keep=["row_id"], row_col="row_id")
+    spoiled = aligned.withColumn("STATUS", F.when(F.col("row_id") < 3, F.lit("Abierta ")).otherwise(F.col("STATUS")))
+    spoiled = spoiled.withColumn("TELEFONO", F.when(F.col("row_id") == 4, F.lit("22-33")).otherwise(F.col("TELEFONO")))
+    _, counts = report.measured(spoiled)
+    assert {c: counts[f"again_{c}"] for c in rules.COLUMNS if counts[f"again_{c}"]} == {"STATUS": 3, "TELEFONO": 1}
+    _, counts = report.measured(aligned)
+    assert not any(counts[f"again_{c}"] for c in rules.COLUMNS) and counts["rows"] == 6
+
+
+def test_published_set(spark, raw, dim, tmp_path):
+    root = str(tmp_path / "out")
+
+    def stop(number):
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        deliver.publish(raw, dim, "row_id", root, before_publish=stop)
+    with pytest.raises(FileNotFoundError):
+        deliver.read(spark, root, "clean")
+    deliver.publish(raw, dim, "row_id", root)
+    assert deliver.read(spark, root, "clean").columns == ["row_id", *rules.COLUMNS, *rules.DERIVED]
+    assert deliver.read(spark, root, "clean").count() == len(ROWS)
+    log = deliver.read(spark, root, "transform_log").collect()
+    assert {r["variable"]: r["affected"] for r in log}["DISTRITO"] == "2"
+    assert all(r["problem"] and r["transformation"] and r["reason"] for r in log)
+    by = {r["metric"]: (r["before"], r["after"]) for r in deliver.read(spark, root, "quality_report").collect()}
+    assert by["Registros"] == ("6.0", "6.0") and len(by) == 12
+    assert deliver.read(spark, root, "repeated_names").count() == 1  # the two spellings of one school
+    pairs = deliver.read(spark, root, "duplicate_pairs")  # none, yet a report with a header
+    assert pairs.count() == 0 and pairs.columns[:2] == ["indice_a", "indice_b"]
+    assert deliver.read(spark, root, "duplicate_decisions").columns == ["decision", "pares"]
+    number = deliver.publish(raw.filter("row_id < 3"), dim, "row_id", root)
+    assert number == 2 and deliver.read(spark, root, "clean").count() == 3
+
+
+def test_two_groups_of_departments(clean):
+    def groups(df):
+        return {r["grupo"]: r["consistente"] for r in consistency.dependency_check(df, rules.DEPENDENCIES).collect()}
+
+    assert groups(clean) == {"GUATEMALA": True, "QUICHE": True, "consistente": True}
+    office = F.when(F.col("row_id") == 0, F.lit("QUICHÉ NORTE")).otherwise(F.col("DEPARTAMENTAL"))
+    assert groups(clean.withColumn("DEPARTAMENTAL", office)) == {"GUATEMALA": True, "QUICHE": False, "consistente": False}
+
+
 def test_clean_table_meets_the_expectations(clean):
-    row_rules = [
-        *ex.no_edge_spaces([c for c in rules.COLUMNS if c != "TELEFONO"]),
-        *ex.in_domain(rules.DOMAINS), ex.has_pattern("CODIGO"), ex.not_null("CODIGO"),
-        ex.flag_coherent("TELEFONO", "TELEFONO_VALIDO"), ex.integer_text("TELEFONO_CANTIDAD"),
-    ]
-    official = clean.sparkSession.createDataFrame(
-        [(rules.DEPARTMENT_ACCENTS.get(n, n),) for _, n in rules.DEPARTMENT_CODES], "name string"
-    )
-    parts = [
-        ex.check(clean, row_rules), ex.expect_not_empty(clean), ex.expect_columns(clean, rules.COLUMNS),
-        ex.expect_no_duplicates(clean, rules.COLUMNS), ex.expect_unique(clean, "CODIGO"),
-        ex.expect_referential(clean, "DEPARTAMENTO", official, "name"),
-        ex.expect_phone_parts(clean, "TELEFONO"), ex.expect_text(clean, "CODIGO"),
-        ex.expect_no_case_variants(clean, rules.CATEGORICAL),
-    ]
-    for part in parts:
-        assert [tuple(r) for r in part.filter("failures > 0").collect()] == []
+    result = expect_clean(clean).collect()
+    assert len({(r["rule"], r["column"]) for r in result}) == len(result) == 56
+    assert [tuple(r) for r in result if r["failures"]] == []
+    assert all(r["sample"] == [] for r in result)
 
 
 def test_raw_table_fails_them(raw):
     broken = raw.withColumn("STATUS", F.when(F.col("row_id") == 1, "abierta ").otherwise(F.col("STATUS")))
-    found = {(r["rule"], r["column"]): (r["failures"], r["example"]) for r in ex.check(
+    found = {(r["rule"], r["column"]): (r["failures"], r["sample"]) for r in ex.check(
         broken, [*ex.in_domain(rules.DOMAINS), *ex.no_edge_spaces(["STATUS", "SUPERVISOR"])]).collect()}
-    assert found[("domain", "STATUS")] == (1, "abierta ")
-    assert found[("domain", "AREA")] == (1, "Urbana")
+    assert found[("domain", "STATUS")] == (1, ["abierta "])
+    assert found[("domain", "AREA")] == (1, ["Urbana"])
+    assert found[("domain", "SECTOR")] == (0, [])
     assert found[("edge_spaces", "STATUS")][0] == 1
     missing = ex.expect_columns(raw.drop("PLAN"), rules.COLUMNS).filter("failures > 0").collect()
     assert [r["column"] for r in missing] == ["PLAN"]
     assert ex.expect_not_empty(raw.limit(0)).first()["failures"] == 1
+
+
+def test_samples_are_the_smallest_values_each_once(spark):
+    rows = [(i % 40, f"bad {i % 40:02d}" if i % 2 else "12345678; 9; x") for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, v string")
+    got = ex.check(df, [ex.has_pattern("v", "^[0-9]"), ex.not_null("k")]).collect()
+    by = {r["rule"]: (r["failures"], r["sample"]) for r in got}
+    assert by == {"pattern": (200, [f"bad {i:02d}" for i in range(1, 20, 2)]), "not_null": (0, [])}
+    parts = ex.expect_phone_parts(df.filter("k % 2 = 0"), "v").first()
+    assert (parts["failures"], parts["sample"]) == (400, ["9", "x"])
+    unique = ex.expect_unique(df, "k").first()
+    assert unique["failures"] == 360 and unique["sample"] == sorted(str(i) for i in range(40))[:10]
+    wrong = ex.expect_boolean(df, "k").first()
+    assert (wrong["failures"], wrong["sample"]) == (1, ["int"]) and ex.expect_text(df, "v").first()["failures"] == 0
+    flagged = df.select("v", (F.col("k") > 0).alias("f")).withColumn("v", F.when(F.col("v") != "bad 01", F.col("v")))
+    assert ex.check(flagged, [ex.flag_coherent("v", "f")]).first()["sample"] == ["true"]
+
+
+def test_official_departments(spark):
+    found = {r["code"]: r["official"] for r in rules.official_departments(spark).collect()}
+    assert len(found) == 23 and found["17"] == "PETÉN" and found["01"] == "GUATEMALA"

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tamiz.operators import fuzzy
-from tamiz.plans import cleaning, report
-from tamiz.plans.rules import COLUMNS, DERIVED
-
-from . import duck as d
+from tamiz.operators import expectations as ex, fuzzy, profile
+from tamiz.plans import cleaning, deliver, report
+from tamiz.plans.expectations import expect_clean
+from tamiz.plans.rules import COLUMNS, DERIVED, DOMAINS
+from tamiz.runtime import scratch_path
+from tamiz.sources.tables import consolidate
+
+from . import duck as d, table_queries as t
 from .fixtures import CATALOG, PRODUCTS, RULES, SCHOOLS, duck, fixture
 from .registry import query
 from .table_queries import dim, schools
@@ -86,9 +89,46 @@ cl AS (SELECT fx.row_id, {d.spaces('fx.CODIGO')} AS CODIGO, nullif({d.spaces('fx
 
 @query("clean_table", f"""WITH {clean_ctes()} SELECT row_id, {', '.join(COLUMNS + DERIVED)} FROM cl""")
 def clean_table(spark, sf):
+    return _cleaned(spark, sf)
+
+
+def _cleaned(spark, sf):
     return cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"], "row_id")
 
 
+def _edge(c: str) -> str:
+    return t.dq_sql("edge_spaces", c, f"{c} <> {d.strip(c)}", c, "cl")
+
+
+@query("dq_clean", f"""WITH {clean_ctes()}, official AS (SELECT DISTINCT dc AS name FROM deps WHERE dc <> 'EUROPE')
+{t.dq_union([
+    t.dq_single('not_empty', '*', 'count(*) = 0', 'cl'), t.dq_columns(COLUMNS), t.dq_dups('cl'),
+    *[_edge(c) for c in COLUMNS if c != 'TELEFONO'], *[t.dq_domain(c, v, 'cl') for c, v in DOMAINS.items()],
+    t.dq_sql('pattern', 'CODIGO', f"NOT regexp_matches(CODIGO, '{d.CODE}')", 'CODIGO', 'cl'),
+    t.dq_sql('not_null', 'CODIGO', 'CODIGO IS NULL', 'CODIGO', 'cl'),
+    t.dq_sql('referential', 'DEPARTAMENTO', 'DEPARTAMENTO NOT IN (SELECT name FROM official)', 'DEPARTAMENTO', 'cl'),
+    t.dq_parts('TELEFONO', 'cl'), t.dq_sql('flag_coherence', 'TELEFONO_VALIDO', 'TELEFONO IS NULL AND TELEFONO_VALIDO', "'true'", 'cl'),
+    *t.dq_case('cl'), "SELECT 'boolean_type', 'TELEFONO_VALIDO', 0, NULL", "SELECT 'text_type', 'CODIGO', 0, NULL",
+    t.dq_sql('integer', 'TELEFONO_CANTIDAD', 'try_cast(TELEFONO_CANTIDAD AS INTEGER) IS NULL AND TELEFONO_CANTIDAD IS NOT NULL', "''", 'cl'),
+])}""")
+def dq_clean(spark, sf):
+    """All expectations on the finished table, with its real flag and number count; one department is not on the official list."""
+    cleaned = _cleaned(spark, sf)
+    official = dim(spark, sf).select(F.col("dept_canonical").alias("name")).filter("name <> 'EUROPE'").distinct()
+    return t.joined(expect_clean(cleaned, official, "name"))
+
+
+@query("dq_flag_coherence", f"""WITH {clean_ctes()}, few AS (SELECT TELEFONO_VALIDO, CASE WHEN TELEFONO_CANTIDAD < 2 THEN TELEFONO END AS TELEFONO FROM cl)
+{t.dq_union([t.dq_sql('flag_coherence', 'TELEFONO_VALIDO', 'TELEFONO IS NULL AND TELEFONO_VALIDO', "'true'", 'few'), "SELECT 'boolean_type', 'TELEFONO_VALIDO', 0, NULL",
+             "SELECT 'boolean_type', 'TELEFONO', 1, 'string'"])}""")
+def dq_flag_coherence(spark, sf):
+    """The real flag against a table that has lost the cells with several numbers."""
+    one = F.when(F.col("TELEFONO_CANTIDAD") < 2, F.col("TELEFONO")).alias("TELEFONO")
+    df = _cleaned(spark, sf).select("TELEFONO_VALIDO", one)
+    kinds = ex.expect_boolean(df, "TELEFONO_VALIDO").unionByName(ex.expect_boolean(df, "TELEFONO"))
+    return t.joined(ex.check(df, [ex.flag_coherent("TELEFONO", "TELEFONO_VALIDO")]).unionByName(kinds))
+
+
 def _changed(c: str) -> str:
     return f"{c} IS DISTINCT FROM r_{c}"
 
@@ -119,6 +159,15 @@ def transform_log(spark, sf):
     return cleaning.transform_log(aligned, raw).select("variable", "affected", "mapped")
 
 
+def _again(c: str) -> str:
+    """Does a finished cell still differ from its normal form?"""
+    if c == "TELEFONO":
+        return "NOT regexp_full_match(TELEFONO, '[0-9]+(; [0-9]+)*')"
+    if c in ("CODIGO", "DISTRITO"):
+        return f"{c} <> {d.spaces(c)}"
+    return f"{c} <> {d.clean_text(c) if c in d.TEXTS else 'upper(' + d.spaces(c) + ')'}"
+
+
 def _report_sql() -> str:
     def long(src: str, prefix: str, missing) -> str:
         return " UNION ALL ".join(
@@ -148,20 +197,23 @@ def _report_sql() -> str:
         f"SELECT count(DISTINCT {d.spaces(c)}) FILTER (WHERE {d.spaces(c)} <> upper({d.spaces(c)})) AS n FROM fx"
         for c in d.SIMPLE
     )
+    again = " UNION ALL ".join(f"SELECT '{c}' AS col, count(*) FILTER (WHERE {_again(c)}) AS n FROM cl" for c in COLUMNS)
     return f"""
 WITH RECURSIVE {clean_ctes()}, {raw_pairs}, {new_pairs}, lg AS ({_LOG}),
 mb AS ({long('fx', '', d.placeholder)}), ma AS ({long('cl', '', lambda c: f'{c} IS NULL')}),
 pv AS (SELECT DISTINCT {d.spaces('DEPARTAMENTO')} AS dv, {d.spaces('MUNICIPIO')} AS mv, dep, mun FROM pl),
 cats AS (SELECT (SELECT count(*) FILTER (WHERE dep <> upper(dv)) FROM (SELECT DISTINCT dv, dep FROM pv))
   + (SELECT count(*) FILTER (WHERE mun <> upper(mv)) FROM pv) + (SELECT sum(n) FROM ({variants})) AS n),
+again AS ({again}),
 before AS ({shape('fx', 'mb', 17)} UNION ALL {rest('fx', COLUMNS, 'ESTABLECIMIENTO', 'pr_b')}
   UNION ALL SELECT 'Variables con formato inconsistente', count(*) FILTER (WHERE affected > 0) FROM lg
   UNION ALL SELECT 'Variables con tipo incorrecto', 0
   UNION ALL SELECT 'Categorias inconsistentes (variantes de escritura)', n FROM cats
   UNION ALL SELECT 'Errores corregidos (registros modificados)', sum(affected) FROM lg),
 after AS ({shape('cl', 'ma', 24)} UNION ALL {rest('cl', COLUMNS, 'ESTABLECIMIENTO', 'pr_a')}
-  UNION ALL SELECT m, 0 FROM (SELECT unnest(['Variables con formato inconsistente', 'Variables con tipo incorrecto',
-    'Categorias inconsistentes (variantes de escritura)', 'Errores corregidos (registros modificados)']) AS m))
+  UNION ALL SELECT 'Variables con formato inconsistente', count(*) FILTER (WHERE n > 0) FROM again
+  UNION ALL SELECT 'Errores corregidos (registros modificados)', sum(n) FROM again
+  UNION ALL SELECT m, 0 FROM (SELECT unnest(['Variables con tipo incorrecto', 'Categorias inconsistentes (variantes de escritura)']) AS m))
 SELECT CAST(list_position([{', '.join("'" + m + "'" for m in report.METRICS)}], b.metric) AS INTEGER) AS ord,
   b.metric, CAST(b.v AS DOUBLE) AS before, CAST(a.v AS DOUBLE) AS after
 FROM before b LEFT JOIN after a ON a.metric = b.metric ORDER BY 1"""
@@ -185,10 +237,50 @@ p AS (SELECT s, coalesce(x.DIRECCION = y.DIRECCION, false) AS sa, coalesce(x.TEL
   FROM pr JOIN cl x ON x.row_id = a JOIN cl y ON y.row_id = b)
 SELECT CASE WHEN sa AND sp THEN '{fuzzy.DECISION_MERGE}' WHEN sa AND s >= 95 THEN '{fuzzy.DECISION_ADDRESS}'
   WHEN sp AND s >= 95 THEN '{fuzzy.DECISION_PHONE}' WHEN NOT sa THEN '{fuzzy.DECISION_DISTINCT}'
-  ELSE '{fuzzy.DECISION_UNCLEAR}' END AS decision, count(*) AS pares FROM p GROUP BY 1""")
+  ELSE '{fuzzy.DECISION_UNCLEAR}' END AS decision, count(*) AS pares, count(*) AS listed,
+  CAST(sum(s * 10) AS BIGINT) AS tenths FROM p GROUP BY 1""")
 def duplicate_review(spark, sf):
-    cleaned = cleaning.clean(schools(spark, sf), dim(spark, sf), RULES, ["row_id"], "row_id")
-    return report.duplicate_review(cleaned, "row_id")[1]
+    """The counted decisions beside the listed pairs they stand for; phones come from few numbers, so that some are shared."""
+    cleaned = _cleaned(spark, sf)
+    pairs, decisions = report.duplicate_review(cleaned, "row_id")
+    listed = pairs.groupBy("decision").agg(
+        F.count("*").alias("listed"), F.sum(F.round(F.col("similitud_nombre") * 10).cast("bigint")).alias("tenths")
+    )
+    return decisions.join(listed, "decision", "full")
+
+
+def _report_rows(src: str, name: str, columns: list[str]) -> str:
+    return f"SELECT '{name}' AS report, count(*) AS n, '{','.join(columns)}' AS header FROM {src}"
+
+
+@query("published_reports", f"""
+WITH RECURSIVE {clean_ctes()}, lg AS ({_LOG}),
+rep AS (SELECT count(*) AS n FROM cl WHERE DEPARTAMENTO IS NOT NULL AND MUNICIPIO IS NOT NULL AND ESTABLECIMIENTO IS NOT NULL
+  GROUP BY DEPARTAMENTO, MUNICIPIO, ESTABLECIMIENTO HAVING count(*) > 1),
+far AS (SELECT count(DISTINCT DIRECCION) AS d FROM cl WHERE DEPARTAMENTO IS NOT NULL AND MUNICIPIO IS NOT NULL AND ESTABLECIMIENTO IS NOT NULL
+  GROUP BY DEPARTAMENTO, MUNICIPIO, ESTABLECIMIENTO HAVING count(*) > 1 AND count(DISTINCT DIRECCION) > 1),
+none AS (SELECT * FROM cl WHERE false)
+{_report_rows('cl', 'clean', ['row_id', *COLUMNS, *DERIVED])}
+UNION ALL {_report_rows('lg', 'transform_log', deliver.LOG)}
+UNION ALL SELECT 'quality_report', 12, '{','.join(deliver.METRICS)}'
+UNION ALL {_report_rows('none', 'duplicate_pairs', deliver.PAIRS)}
+UNION ALL {_report_rows('rep', 'repeated_names', deliver.NAMES)}
+UNION ALL {_report_rows('none', 'duplicate_decisions', deliver.DECISIONS)}
+UNION ALL SELECT 'repeated names at several addresses', count(*), '' FROM far
+UNION ALL SELECT 'affected cells', CAST(sum(affected) AS BIGINT), '' FROM lg""")
+def published_reports(spark, sf):
+    """Table and five reports, written, published and read back; at a threshold of 100 no pair is similar and not identical."""
+    root = scratch_path(spark, "reports")
+    deliver.publish(schools(spark, sf), dim(spark, sf), "row_id", root, RULES, threshold=100)
+    found = []
+    for name in ("clean", *deliver.REPORTS):
+        df = deliver.read(spark, root, name)
+        found.append(df.agg(F.lit(name).alias("report"), F.count("*").alias("n"), F.lit(",".join(df.columns)).alias("header")))
+    names, log = deliver.read(spark, root, "repeated_names"), deliver.read(spark, root, "transform_log")
+    far = profile.count_where(names, (F.col("direcciones_distintas").cast("int") > 1) & (F.col("parte") == 0))
+    found.append(far.select(F.lit("repeated names at several addresses").alias("report"), "n", F.lit("").alias("header")))
+    found.append(log.agg(F.lit("affected cells").alias("report"), F.sum(F.col("affected").cast("bigint")).alias("n"), F.lit("").alias("header")))
+    return consolidate(found)
 
 
 @query("align_metrics", """

@@ -277,6 +277,26 @@ def dependency_check(spark, sf):
     return consistency.dependency_check(places.standardize_places(df, dim(spark, sf), RULES), REGIONAL)
 
 
+#: Two groups: the one of the fixture, and one that no other row breaks.
+_TWO = {"EUROPE": REGIONAL["EUROPE"], "ASIA": (["ÁSIA"], ["ASIA", "ÁSIA", "EUROPE NORTE"])}
+
+
+def _group_sql(label: str, members: list[str], allowed: list[str]) -> str:
+    a, b = (f"{c} IN ({', '.join(repr(x) for x in v)})" for c, v in (("dep", members), (f"upper({d.spaces('DEPARTAMENTAL')})", allowed)))
+    return (f"SELECT '{label}' AS g, coalesce(bool_and({b}) FILTER (WHERE {a}), true) AS i, "
+            f"coalesce(bool_or({b}) FILTER (WHERE NOT ({a})), false) AS o FROM pl")
+
+
+@query("dependency_groups", f"""{_PLACES}, s AS ({' UNION ALL '.join(_group_sql(g, *v) for g, v in _TWO.items())})
+SELECT g AS grupo, i AS miembros_en_conjunto, o AS otros_en_conjunto, i AND NOT o AS consistente FROM s
+UNION ALL SELECT 'consistente', bool_and(i), bool_or(o), bool_and(i) AND NOT bool_or(o) FROM s""")
+def dependency_groups(spark, sf):
+    df = schools(spark, sf).select(
+        "DEPARTAMENTO", "MUNICIPIO", text.normalize_category(F.col("DEPARTAMENTAL")).alias("DEPARTAMENTAL")
+    )
+    return consistency.dependency_check(places.standardize_places(df, dim(spark, sf), RULES), _TWO)
+
+
 _KEYS = "DEPARTAMENTO, MUNICIPIO, ESTABLECIMIENTO"
 
 
@@ -304,116 +324,140 @@ def repeated_codes(spark, sf):
     return repeated.repeated_codes(schools(spark, sf), "row_id")
 
 
-# ---- expectations, on raw rows so that they fail --------------------------
+# ---- expectations, on raw rows so that they fail; ``dq_clean`` runs them on the cleaned table ----
+
+
+def joined(df):
+    """Samples as text, for comparison."""
+    return df.withColumn("sample", F.array_join("sample", " | "))
+
+
+def dq_values(rule: str, col: str, values: str) -> str:
+    """The result row of one rule, from a query of the failing values (v, n)."""
+    return f"""SELECT '{rule}' AS rule, '{col}' AS "column", CAST(coalesce(sum(n), 0) AS BIGINT) AS failures,
+  array_to_string((list_sort(list(v) FILTER (v IS NOT NULL)))[1:{ex.SAMPLE}], ' | ') AS sample FROM ({values})"""
 
 
 def dq_sql(rule: str, col: str, failed: str, value: str, src: str = "fx") -> str:
-    return (
-        f"SELECT '{rule}' AS rule, '{col}' AS \"column\", count(*) FILTER (WHERE {failed}) AS failures, "
-        f"min(CASE WHEN {failed} THEN {value} END) AS example FROM {src}"
-    )
+    return dq_values(rule, col, f"SELECT {value} AS v, count(*) AS n FROM {src} WHERE {failed} GROUP BY 1")
+
+
+def dq_union(parts: list[str]) -> str:
+    """Empty samples as ''."""
+    rows = " UNION ALL ".join(f"({p})" for p in parts)
+    return f"""SELECT rule, "column", failures, coalesce(sample, '') AS sample FROM ({rows})"""
+
+
+def dq_single(rule: str, col: str, failures: str, src: str) -> str:
+    return f"""SELECT '{rule}' AS rule, '{col}' AS "column", CAST({failures} AS BIGINT) AS failures, CAST(NULL AS VARCHAR) AS sample FROM {src}"""
+
+
+def dq_columns(cols: list[str]) -> str:
+    return f"SELECT 'column_present', c, 0, NULL FROM (SELECT unnest({cols!r}) AS c)"
+
+
+def dq_dups(src: str) -> str:
+    return dq_single("exact_duplicates", "*", "coalesce(sum(CASE WHEN n > 1 THEN n END), 0)", f"(SELECT count(*) AS n FROM {src} GROUP BY {', '.join(COLS)})")
+
+
+def dq_case(src: str) -> list[str]:
+    return [
+        dq_values("case_variants", c, f"SELECT min({c}) AS v, count(DISTINCT {c}) - 1 AS n FROM {src} WHERE {c} IS NOT NULL "
+                  f"GROUP BY upper({c}) HAVING count(DISTINCT {c}) > 1") for c in _CASE
+    ]
+
+
+def dq_parts(col: str, src: str) -> str:
+    parts = f"SELECT {d.strip('x')} AS x FROM (SELECT unnest(string_split({col}, ';')) AS x FROM {src})"
+    return dq_sql("multi_value", col, "x <> '' AND NOT regexp_full_match(x, '[0-9]{7,8}')", "x", f"({parts})")
 
 
 _FX = f"WITH fx AS ({FX3}) "
 _EDGE = [c for c in COLS if c != "TELEFONO"]
+_CASE = ["DEPARTAMENTO", "NIVEL", "SECTOR", "AREA", "STATUS", "MODALIDAD", "JORNADA", "PLAN"]
 
 
-@query("dq_structure", f"""{_FX}
-SELECT 'not_empty' AS rule, '*' AS "column", CAST(count(*) = 0 AS BIGINT) AS failures, CAST(NULL AS VARCHAR) AS example FROM fx
-UNION ALL SELECT 'column_present', c, 0, NULL FROM (SELECT unnest({COLS!r}) AS c)""")
+@query("dq_structure", _FX + dq_union([dq_single("not_empty", "*", "count(*) = 0", "fx"), dq_columns(COLS)]))
 def dq_structure(spark, sf):
     df = schools(spark, sf)
-    return ex.expect_not_empty(df).unionByName(ex.expect_columns(df, COLS))
+    return joined(ex.expect_not_empty(df).unionByName(ex.expect_columns(df, COLS)))
 
 
-@query("dq_exact_dups", f"""{_FX}
-SELECT 'exact_duplicates' AS rule, '*' AS "column",
-  CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS failures, CAST(NULL AS VARCHAR) AS example
-FROM (SELECT count(*) AS n FROM fx GROUP BY {', '.join(COLS)})""")
+@query("dq_exact_dups", _FX + dq_union([dq_dups("fx")]))
 def dq_exact_dups(spark, sf):
-    return ex.expect_no_duplicates(schools(spark, sf), COLS)
+    return joined(ex.expect_no_duplicates(schools(spark, sf), COLS))
 
 
-@query("dq_unique", f"""{_FX}
-SELECT 'unique' AS rule, 'CODIGO' AS "column", CAST(coalesce(sum(CASE WHEN n > 1 THEN n - 1 END), 0) AS BIGINT) AS failures,
-  min(CASE WHEN n > 1 THEN CODIGO END) AS example FROM (SELECT CODIGO, count(*) AS n FROM fx GROUP BY 1)""")
+@query("dq_unique", _FX + dq_union([dq_values("unique", "CODIGO", "SELECT CODIGO AS v, count(*) - 1 AS n FROM fx GROUP BY 1 HAVING count(*) > 1")]))
 def dq_unique(spark, sf):
-    return ex.expect_unique(schools(spark, sf), "CODIGO")
+    return joined(ex.expect_unique(schools(spark, sf), "CODIGO"))
 
 
-@query("dq_edge_spaces", _FX + " UNION ALL ".join(
-    dq_sql("edge_spaces", c, f"{c} <> {d.strip(c)}", c) for c in _EDGE))
+@query("dq_edge_spaces", _FX + dq_union([dq_sql("edge_spaces", c, f"{c} <> {d.strip(c)}", c) for c in _EDGE]))
 def dq_edge_spaces(spark, sf):
-    return ex.check(schools(spark, sf), ex.no_edge_spaces(_EDGE))
+    return joined(ex.check(schools(spark, sf), ex.no_edge_spaces(_EDGE)))
+
 
+def dq_domain(c: str, values: list[str], src: str = "fx") -> str:
+    return dq_sql("domain", c, f"{c} NOT IN ({', '.join(repr(x) for x in values)})", c, src)
 
-@query("dq_domains", _FX + " UNION ALL ".join(
-    dq_sql("domain", c, f"{c} NOT IN ({', '.join(repr(x) for x in v)})", c) for c, v in r.DOMAINS.items()))
+
+@query("dq_domains", _FX + dq_union([dq_domain(c, v) for c, v in r.DOMAINS.items()]))
 def dq_domains(spark, sf):
-    return ex.check(schools(spark, sf), ex.in_domain(r.DOMAINS))
+    return joined(ex.check(schools(spark, sf), ex.in_domain(r.DOMAINS)))
 
 
-@query("dq_pattern", _FX + dq_sql("pattern", "CODIGO", f"NOT regexp_matches(CODIGO, '{d.CODE}')", "CODIGO"))
+@query("dq_pattern", _FX + dq_union([dq_sql("pattern", "CODIGO", f"NOT regexp_matches(CODIGO, '{d.CODE}')", "CODIGO")]))
 def dq_pattern(spark, sf):
-    return ex.check(schools(spark, sf), [ex.has_pattern("CODIGO")])
+    return joined(ex.check(schools(spark, sf), [ex.has_pattern("CODIGO")]))
 
 
 @query("dq_not_null", f"WITH fx AS (SELECT nullif({d.spaces('DISTRITO')}, '') AS DISTRITO, CODIGO FROM ({FX3})) "
-       + " UNION ALL ".join(dq_sql("not_null", c, f"{c} IS NULL", "CAST(NULL AS VARCHAR)") for c in ("CODIGO", "DISTRITO")))
+       + dq_union([dq_sql("not_null", c, f"{c} IS NULL", "CAST(NULL AS VARCHAR)") for c in ("CODIGO", "DISTRITO")]))
 def dq_not_null(spark, sf):
     from tamiz.functions.codes import district_value
 
     df = schools(spark, sf).select("CODIGO", district_value(F.col("DISTRITO")).alias("DISTRITO"))
-    return ex.check(df, [ex.not_null("CODIGO"), ex.not_null("DISTRITO")])
+    return joined(ex.check(df, [ex.not_null("CODIGO"), ex.not_null("DISTRITO")]))
 
 
-@query("dq_referential", _FX + dq_sql(
-    "referential", "DEPARTAMENTO", "DEPARTAMENTO NOT IN (SELECT r_name FROM region)", "DEPARTAMENTO"))
+@query("dq_referential", _FX + dq_union([dq_sql(
+    "referential", "DEPARTAMENTO", "DEPARTAMENTO NOT IN (SELECT r_name FROM region)", "DEPARTAMENTO")]))
 def dq_referential(spark, sf):
-    return ex.expect_referential(schools(spark, sf), "DEPARTAMENTO", table(spark, sf, "region"), "r_name")
+    return joined(ex.expect_referential(schools(spark, sf), "DEPARTAMENTO", table(spark, sf, "region"), "r_name"))
+
 
+# Raw cells hold no ';': the separators they have stand for it.
+_SEMI = f"WITH fx AS (SELECT row_id, translate(TELEFONO, ',/-', ';;;') AS TELEFONO FROM ({FX3})) "
 
-@query("dq_multi_value", f"""{_FX}, p AS (SELECT {d.strip('x')} AS x FROM (SELECT unnest(string_split(TELEFONO, ';')) AS x FROM fx))
-SELECT 'multi_value' AS rule, 'TELEFONO' AS "column", count(*) AS failures, min(x) AS example
-FROM p WHERE x <> '' AND NOT regexp_full_match(x, '[0-9]{{7,8}}')""")
+
+def _separated(spark, sf):
+    return schools(spark, sf).select("row_id", F.translate("TELEFONO", ",/-", ";;;").alias("TELEFONO"))
+
+
+@query("dq_multi_value", _SEMI + dq_union([dq_parts("TELEFONO", "fx")]))
 def dq_multi_value(spark, sf):
-    return ex.expect_phone_parts(schools(spark, sf), "TELEFONO")
+    return joined(ex.expect_phone_parts(_separated(spark, sf), "TELEFONO"))
 
 
-@query("dq_first_errors", f"""{_FX}
+@query("dq_first_errors", f"""{_SEMI}
 SELECT row_id, CAST(pos AS BIGINT) AS pos, part FROM (SELECT row_id, pos - 1 AS pos, {d.strip('parts[pos]')} AS part FROM (
   SELECT row_id, string_split(TELEFONO, ';') AS parts, unnest(range(1, len(string_split(TELEFONO, ';')) + 1)) AS pos FROM fx))
 WHERE part <> '' AND NOT regexp_full_match(part, '[0-9]{{7,8}}') ORDER BY row_id, pos LIMIT 10""")
 def dq_first_errors(spark, sf):
-    out = ex.first_phone_errors(schools(spark, sf), "TELEFONO", "row_id", 10)
+    out = ex.first_phone_errors(_separated(spark, sf), "TELEFONO", "row_id", 10)
     return out.withColumn("pos", F.col("pos").cast("bigint"))
 
 
-@query("dq_flag_coherence", f"WITH src AS ({FX3}), fx AS (SELECT nullif(TELEFONO, '') AS t, "
-       "regexp_full_match(TELEFONO, '[0-9;-]*') AS f FROM src) "
-       + dq_sql("flag_coherence", "f", "t IS NULL AND f", "CAST(f AS VARCHAR)"))
-def dq_flag_coherence(spark, sf):
-    phone = F.col("TELEFONO")
-    df = schools(spark, sf).select(
-        F.nullif(phone, F.lit("")).alias("t"), phone.rlike("^[0-9;-]*$").alias("f")
-    )
-    return ex.check(df, [ex.flag_coherent("t", "f")])
-
-
-_CASE = ["DEPARTAMENTO", "NIVEL", "SECTOR", "AREA", "STATUS", "MODALIDAD", "JORNADA", "PLAN"]
-
-
-@query("dq_case_variants", f"""{_FX}, l AS (SELECT DISTINCT col, v FROM ({longform('fx', _CASE, lambda c: c)})),
-g AS (SELECT col, upper(v) AS u, count(*) AS n, min(v) AS e FROM l GROUP BY 1, 2)
-SELECT 'case_variants' AS rule, col AS "column", CAST(sum(n - 1) AS BIGINT) AS failures,
-  min(CASE WHEN n > 1 THEN e END) AS example FROM g GROUP BY 2""")
+@query("dq_case_variants", _FX + dq_union(dq_case("fx")))
 def dq_case_variants(spark, sf):
-    return ex.expect_no_case_variants(schools(spark, sf), _CASE)
+    return joined(ex.expect_no_case_variants(schools(spark, sf), _CASE))
 
 
-@query("dq_types", f"""{_FX}
-SELECT 'text_type' AS rule, 'CODIGO' AS "column", CAST(0 AS BIGINT) AS failures, 'string' AS example
-UNION ALL {dq_sql('integer', 'TELEFONO', "TELEFONO <> '' AND NOT regexp_full_match(TELEFONO, '[0-9]+')", 'TELEFONO')}""")
+@query("dq_types", _FX + dq_union(["SELECT 'text_type' AS rule, 'CODIGO' AS \"column\", 0 AS failures, NULL AS sample",
+       "SELECT 'text_type', 'row_id', 1, 'bigint'",
+       dq_sql("integer", "TELEFONO", "TELEFONO <> '' AND NOT regexp_full_match(TELEFONO, '[0-9]+')", "TELEFONO")]))
 def dq_types(spark, sf):
     df = schools(spark, sf).withColumn("TELEFONO", F.nullif(F.col("TELEFONO"), F.lit("")))
-    return ex.expect_text(df, "CODIGO").unionByName(ex.check(df, [ex.integer_text("TELEFONO")]))
+    text = ex.expect_text(df, "CODIGO").unionByName(ex.expect_text(df.withColumn("row_id", F.col("row_id").cast("bigint")), "row_id"))
+    return joined(text.unionByName(ex.check(df, [ex.integer_text("TELEFONO")])))
