@@ -23,7 +23,10 @@ HEADLINE = [
 
 
 def main() -> None:
-    spark = local_session(CPUS, "tamiz-bench")
+    # The small staged tables are split for all cores, as large ones are by their size.
+    spark = local_session(CPUS, "tamiz-bench", conf={
+        "spark.sql.files.minPartitionNum": CPUS, "spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "64k",
+    })
     spark.sparkContext.setLogLevel("OFF")
     from workload import fixtures
     from workload.all_queries import QUERIES

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from ..operators import expectations as ex
-from .rules import COLUMNS, DOMAINS, SIMPLE_CATEGORIES, official_departments
+from ..operators.consistency import dependency_check
+from .rules import COLUMNS, DEPENDENCIES, DOMAINS, SIMPLE_CATEGORIES, official_departments
 
 #: Categories checked for spellings that differ by case.
 CASED = ["DEPARTAMENTO", *[c for c in SIMPLE_CATEGORIES if c != "DEPARTAMENTAL"]]
@@ -32,3 +33,8 @@ def expect_clean(
         ex.expect_referential(df, "DEPARTAMENTO", departments, key), ex.expect_phone_parts(df, "TELEFONO"),
         ex.expect_no_case_variants(df, CASED), ex.expect_boolean(df, "TELEFONO_VALIDO"), ex.expect_text(df, "CODIGO"),
     ])
+
+
+def check_offices(df: DataFrame) -> DataFrame:
+    """Do department and regional office of the finished table agree, for the departments that have several offices?"""
+    return dependency_check(df, DEPENDENCIES)

@@ -20,11 +20,13 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cpus: int | str = "*", app: str = "tamiz", memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", app: str = "tamiz", memory: str = "8g", conf: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
     n = "8" if cpus == "*" else str(cpus)
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
-    for key, value in RECOMMENDED_CONF.items():
+    for key, value in {**RECOMMENDED_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", n)

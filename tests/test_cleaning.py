@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.operators import consistency, expectations as ex, places
+from tamiz.operators import expectations as ex, places
 from tamiz.plans import cleaning, deliver, report, rules
-from tamiz.plans.expectations import expect_clean
+from tamiz.plans.expectations import check_offices, expect_clean
 
 CATALOG = [("Petén", "Sayaxché"), ("Guatemala", "Mixco"), ("Alta Verapaz", "Cobán")]
 
@@ -149,7 +149,7 @@ def test_published_set(spark, raw, dim, tmp_path):
 
 def test_two_groups_of_departments(clean):
     def groups(df):
-        return {r["grupo"]: r["consistente"] for r in consistency.dependency_check(df, rules.DEPENDENCIES).collect()}
+        return {r["grupo"]: r["consistente"] for r in check_offices(df).collect()}
 
     assert groups(clean) == {"GUATEMALA": True, "QUICHE": True, "consistente": True}
     office = F.when(F.col("row_id") == 0, F.lit("QUICHÉ NORTE")).otherwise(F.col("DEPARTAMENTAL"))

@@ -151,12 +151,34 @@ _MAPPED = " UNION ALL ".join(
     f"SELECT '{c}' AS variable, count(*) AS mapped FROM u_{c} WHERE variant <> canonical" for c in d.TEXTS)
 
 
-@query("transform_log", f"""WITH {clean_ctes()}, lg AS ({_LOG}), mp AS ({_MAPPED})
-SELECT lg.variable, affected, mapped FROM lg LEFT JOIN mp ON mp.variable = lg.variable""")
+def _problem(c: str) -> str:
+    """What the log says of a column, with its counts."""
+    def count(condition: str) -> str:
+        return f"count(*) FILTER (WHERE {condition})"
+
+    texts = {
+        "CODIGO": [_affected(c), " codes break the pattern"],
+        "DISTRITO": [count("DISTRITO_FORMATO = 'vacio'"), " empty and ", count("DISTRITO_FORMATO = 'incompleto'"), " truncated"],
+        "DEPARTAMENTO": [_affected(c), " not in canonical spelling"],
+        "MUNICIPIO": [_affected(c), " not in canonical spelling; ", count("NOT MUNICIPIO_VALIDO"), " outside the catalogue"],
+        "TELEFONO": [count("TELEFONO_CANTIDAD > 1"), " with several numbers; ", count("NOT TELEFONO_VALIDO"), " not valid"],
+    }
+    parts = texts.get(c, [_affected(c), " empty or placeholder" if c in d.TEXTS[1:] else " not in normal form"])
+    return " || ".join(f"'{p}'" if i % 2 else f"({p})" for i, p in enumerate(parts))
+
+
+def _log_row(c: str) -> str:
+    other = cleaning.TEXT_STEP if c in d.TEXTS else cleaning.CATEGORY_STEP
+    step, reason = cleaning.STEPS.get(c, other)
+    return f"SELECT '{c}' AS variable, {_problem(c)} AS problem, '{step}' AS transformation, {_affected(c)} AS affected, '{reason}' AS reason FROM cl"
+
+
+@query("transform_log", f"""WITH {clean_ctes()}, lg AS ({' UNION ALL '.join(_log_row(c) for c in COLUMNS)}), mp AS ({_MAPPED})
+SELECT lg.*, mapped FROM lg LEFT JOIN mp ON mp.variable = lg.variable""")
 def transform_log(spark, sf):
     raw = schools(spark, sf)
     aligned = cleaning.clean_aligned(raw, dim(spark, sf), RULES, ["row_id"], "row_id")
-    return cleaning.transform_log(aligned, raw).select("variable", "affected", "mapped")
+    return cleaning.transform_log(aligned, raw)
 
 
 def _again(c: str) -> str:

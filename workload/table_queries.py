@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import astuple, fields
+
 from pyspark.sql import functions as F
 
 from tamiz.functions import text
@@ -200,12 +202,17 @@ def preview_limit(spark, sf):
     )
 
 
+_RULE_NAMES = [f.name for f in fields(r.Rule)]
+_RULE_ROWS = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in astuple(rule)) + ")" for rule in r.RULES)
+
+
 @query("plan_table", f"""
-WITH fx AS ({FX3}), l AS ({longform('fx', COLS, lambda c: c)})
-SELECT col AS variable, count(*) FILTER (WHERE {d.norm('v')} = '') AS missing_count,
-  count(*) FILTER (WHERE v <> {d.norm('v')}) AS untidy_count FROM l GROUP BY 1""")
+WITH fx AS ({FX3}), l AS ({longform('fx', COLS, lambda c: c)}), texts({', '.join(_RULE_NAMES)}) AS (VALUES {_RULE_ROWS}),
+n AS (SELECT col AS variable, count(*) FILTER (WHERE {d.norm('v')} = '') AS missing_count,
+  count(*) FILTER (WHERE v <> {d.norm('v')}) AS untidy_count FROM l GROUP BY 1)
+SELECT texts.*, missing_count, untidy_count FROM texts LEFT JOIN n USING (variable)""")
 def plan_table(spark, sf):
-    return r.plan_table(schools(spark, sf)).select("variable", "missing_count", "untidy_count")
+    return r.plan_table(schools(spark, sf))
 
 
 # ---- catalogues -----------------------------------------------------------
