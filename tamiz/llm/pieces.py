@@ -6,8 +6,8 @@ join the agenda, entries whose symbols are gone are skipped. Symbols that are no
 back to byte pieces.
 
 When no piece holds a space mark after another character, no merge can cross the start of a
-run of space marks. A text is then encoded run by run, and runs that come again are taken
-from a bounded table; the result is the same as over the whole text.
+run of space marks. A text is then encoded run by run, each different run of some 16 MB of texts
+once, and the agendas of short runs are worked off together; the result is the same as over the whole text.
 
 Every Arrow batch is encoded by the sentencepiece library too; a difference raises.
 """
@@ -19,20 +19,24 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .worker import kept
 
 SPACE = "▁"
-#: Runs in each of the two tables kept per Python worker, and the longest run kept.
-KEPT_RUNS, KEPT_CHARS = 500_000, 32
+#: Longest run whose agenda is a row of a matrix, and symbols worked off together.
+SHORT_CHARS, CELLS = 32, 1 << 17
 NEVER = float("inf")
-#: Characters given to the library at a time.
-SLICE = 1 << 20
+#: No symbol; a character that is in no piece.
+NONE, STRANGE = -1, -2
+#: Bytes of text encoded at a time, and given to the library at a time.
+PART, SLICE = 1 << 24, 1 << 20
 
 
 class Agenda:
@@ -45,12 +49,103 @@ class Agenda:
         inside = re.compile(f"[^{SPACE}]{SPACE}")
         self.by_runs = not any(inside.search(p) for p in pieces)
         self.runs = re.compile(f"{SPACE}+[^{SPACE}]*")
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # symbols as numbers: pieces first, then characters that only occur inside pieces, then other ASCII
+        names = list(pieces)
+        number = {p: i for i, p in enumerate(names)}
+        for p in names:
+            for c in p:
+                number.setdefault(c, len(number))
+        ids = [*self.ids.values(), *[-1] * (len(number) - len(names))]
+        for c in map(chr, range(128)):
+            if c not in number:
+                number[c] = len(number)
+                ids.append(byte_ids[ord(c)] if byte_ids else unknown)
+        self.id_of = np.array(ids, dtype=np.int64)
+        self.symbol = np.full(sys.maxunicode + 1, STRANGE, dtype=np.int64)
+        for p, i in number.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        pairs = sorted(
+            (number[p[:k]] << 32 | number[p[k:]], i) for i, p in enumerate(names) for k in range(1, len(p)) if p[:k] in number and p[k:] in number
+        )
+        self.pair = np.array([k for k, _ in pairs] or [-1], dtype=np.int64)
+        self.merged = np.array([i for _, i in pairs] or [0], dtype=np.int64)
+        self.merged_cost = np.array([self.cost[names[i]] for _, i in pairs] or [NEVER])
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cost, piece) of the symbols a and b together, cost NEVER where they form no piece."""
+        key = np.where((a >= 0) & (b >= 0), a << 32 | b, -2)
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, self.merged_cost[at], NEVER), self.merged[at]
+
+    def _block(self, sym: np.ndarray) -> np.ndarray:
+        """Symbols (runs x places) after all merges, NONE behind the last; runs are of one length.
+
+        A row of pair costs is a run's agenda; in each step every run merges the first of its best pairs.
+        """
+        out = np.full(sym.shape, NONE, dtype=np.int64)
+        row = np.arange(len(sym))
+        cost, piece = self._pairs(sym[:, :-1], sym[:, 1:])
+        while True:
+            width = sym.shape[1]
+            best = cost.argmin(axis=1) if width > 1 else np.zeros(len(sym), dtype=np.int64)
+            go = cost[np.arange(len(sym)), best] < NEVER if width > 1 else np.zeros(len(sym), dtype=bool)
+            out[row[~go], :width] = sym[~go]
+            if not go.any():
+                return out
+            row, sym, cost, piece, best = row[go], sym[go], cost[go], piece[go], best[go]
+            n = np.arange(len(sym))
+            merged = piece[n, best]
+            places = np.arange(width - 1)
+            take = places + (places > best[:, None])
+            sym = np.take_along_axis(sym, take, axis=1)
+            sym[n, best] = merged
+            take = np.minimum(take[:, : width - 2], width - 2)
+            cost, piece = np.take_along_axis(cost, take, axis=1), np.take_along_axis(piece, take, axis=1)
+            for at, some in ((best - 1, best > 0), (best, best < width - 2)):
+                r, at = n[some], at[some]
+                cost[r, at], piece[r, at] = self._pairs(sym[r, at], sym[r, at + 1])
+
+    def _many(self, rests: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of the runs of a space mark and each of the ``rests``."""
+        length = pc.utf8_length(rests).to_numpy(zero_copy_only=False).astype(np.int64)
+        chars = np.frombuffer("".join(rests.to_pylist()).encode("utf-32-le"), dtype="<u4")
+        start = np.cumsum(length) - length
+        order = np.argsort(length, kind="stable")
+        size = np.zeros(len(length), dtype=np.int64)
+        parts, alone = [], []
+        i = 0
+        while i < len(order):
+            n = int(length[order[i]])
+            if n >= SHORT_CHARS:
+                alone.append(order[i:])
+                break
+            j = min(int(np.searchsorted(length[order], n, side="right")), i + max(1, CELLS // (n + 1)))
+            rows = order[i:j]
+            i = j
+            sym = np.full((len(rows), n + 1), self.symbol[ord(SPACE)], dtype=np.int64)
+            sym[:, 1:] = self.symbol[chars[start[rows][:, None] + np.arange(n)]]
+            sym = self._block(sym)
+            ids = np.where(sym == NONE, 0, self.id_of[np.maximum(sym, 0)])
+            strange = (ids < 0).any(axis=1) | (sym == STRANGE).any(axis=1)
+            alone.append(rows[strange])
+            rows, ids, held = rows[~strange], ids[~strange], (sym != NONE)[~strange]
+            size[rows] = held.sum(axis=1)
+            parts.append((rows, ids[held]))
+        rows = np.concatenate(alone) if alone else np.zeros(0, dtype=np.int64)
+        packed = [self._packed(SPACE + r) for r in rests.take(pa.array(rows)).to_pylist()]
+        size[rows] = [len(p) // 4 for p in packed]
+        parts.append((rows, np.frombuffer(b"".join(packed), dtype="<u4")))
+        ends = np.concatenate(([0], np.cumsum(size)))
+        out = np.empty(ends[-1], dtype="<u4")
+        for rows, ids in parts:
+            many = size[rows]
+            out[np.repeat(ends[rows] - np.cumsum(many) + many, many) + np.arange(len(ids))] = ids
+        return out, ends
 
     def symbols(self, run: str) -> list[str]:
         """Pieces and unmerged characters of one run, from left to right."""
-        return self._short(run) if len(run) <= KEPT_CHARS else self._long(run)
+        return self._short(run) if len(run) <= SHORT_CHARS else self._long(run)
 
     def _short(self, run: str) -> list[str]:
         """The agenda as a plain list in the order of the pairs: the first of the best comes next."""
@@ -108,33 +203,42 @@ class Agenda:
                 out.append(self.unknown)
         return pack(out)
 
-    def _ids(self, rest: str) -> bytes:
-        """Ids of the run of a space mark and ``rest``, from the older table or the agenda."""
-        return self.older.get(rest) or self._packed(SPACE + rest)
-
     def encode(self, text: str) -> bytes:
         """Ids of a text without begin and end, packed as little-endian 32-bit integers."""
         if not text:
             return b""
         if not self.by_runs:
             return self._packed(SPACE + text.replace(" ", SPACE))
-        if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
-            rests = [run[1:] for run in self.runs.findall(SPACE + text.replace(" ", SPACE))]
-        else:
-            rests = text.split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, rests))
-        except KeyError:
-            if len(self.known) >= KEPT_RUNS:
-                self.older, self.known = self.known, {}
-        known = self.known
-        new = set(rests).difference(known)
-        known.update((r, self._ids(r)) for r in new)
-        out = b"".join(map(known.__getitem__, rests))
-        for r in new:
-            if len(r) >= KEPT_CHARS:
-                del known[r]
-        return out
+        return b"".join(map(self._packed, self.runs.findall(SPACE + text.replace(" ", SPACE))))
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of texts without begin and end: text i has ids[offsets[i]:offsets[i + 1]].
+
+        Texts whose runs all begin with one mark are split by spaces, the others one by one.
+        """
+        n = len(texts)
+        plain = np.zeros(n, dtype=bool)
+        if self.by_runs and n:
+            odd = pc.match_substring_regex(texts, f"^ |  | $|{SPACE}|^$")
+            plain = ~odd.to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        values = lists.flatten().dictionary_encode()
+        table, ends = self._many(values.dictionary)
+        single = [self.encode(t) for t in texts.filter(pa.array(~plain)).to_pylist()]
+        table = np.concatenate((table, np.frombuffer(b"".join(single), dtype="<u4")))
+        size = np.concatenate((np.diff(ends), np.array([len(p) // 4 for p in single], dtype=np.int64)))
+        start = np.cumsum(size) - size
+        # each text is a list of entries of the table
+        entries = np.ones(n, dtype=np.int64)
+        entries[plain] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        cuts = np.concatenate(([0], np.cumsum(entries)))
+        entry = np.empty(cuts[-1], dtype=np.int64)
+        of_plain = np.repeat(plain, entries)
+        entry[of_plain] = values.indices.to_numpy(zero_copy_only=False)
+        entry[~of_plain] = len(ends) - 1 + np.arange(len(single))
+        long = size[entry]
+        total = np.concatenate(([0], np.cumsum(long)))
+        return table[np.repeat(start[entry] - total[:-1], long) + np.arange(total[-1])], total[cuts]
 
 
 def pack(ids) -> bytes:
@@ -164,16 +268,25 @@ def _load(path: str):
     return sp, Agenda(plain, byte_ids, sp.unk_id())
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= SLICE:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def _slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """About ``most`` bytes each, one text at least."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = size[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(size, done + most, side="right")))
+        yield texts.slice(at, upto - at)
+        at = upto
+
+
+def enclosed(ids: np.ndarray, offsets: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with a begin and an end id around each text."""
+    n = len(offsets) - 1
+    cuts = offsets + 2 * np.arange(n + 1)
+    out = np.empty(len(ids) + 2 * n, dtype="<u4")
+    out[cuts[:-1]], out[cuts[1:] - 1] = begin, end
+    out[np.arange(len(ids)) + 1 + 2 * np.repeat(np.arange(n), np.diff(offsets))] = ids
+    return out, cuts
 
 
 def encode(
@@ -193,24 +306,32 @@ def encode(
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp, agenda = load(model_path)
-        begin, end = (pack([i]) for i in (sp.bos_id(), sp.eos_id()))
         for batch in parts:
             at = 0
-            for texts in _slices([t or "" for t in batch.column(1).to_pylist()]):
-                want = sp.encode(texts, out_type=int, add_bos=True, add_eos=True, num_threads=1)
-                packed = []
-                for text, ids in zip(texts, want, strict=True):
-                    own = begin + agenda.encode(text) + end
-                    if own != pack(ids):
+            for part in _slices(batch.column(1).cast(pa.large_string()).fill_null(""), PART):
+                own, ends = enclosed(*agenda.encode_all(part), sp.bos_id(), sp.eos_id())
+                first = 0
+                for texts in _slices(part, SLICE):
+                    cuts = ends[first : first + len(texts) + 1]
+                    ids, cuts = own[cuts[0] : cuts[-1]], cuts - cuts[0]
+                    first += len(texts)
+                    plain = texts.to_pylist()
+                    want = sp.encode(plain, out_type=int, add_bos=True, add_eos=True, num_threads=1)
+                    sizes = np.fromiter(map(len, want), dtype=np.int64, count=len(want))
+                    theirs = np.fromiter(chain.from_iterable(want), dtype="<u4", count=int(sizes.sum()))
+                    if not (np.array_equal(sizes, np.diff(cuts)) and np.array_equal(ids, theirs)):
+                        text = next(t for t, w, a, b in zip(plain, want, cuts, cuts[1:], strict=False) if ids[a:b].tolist() != w)
                         raise ValueError(f"agenda and library differ on a text of {len(text)} characters: {text[:80]!r}")
-                    packed.append(own)
-                decoded = sp.decode(want, num_threads=1)
-                rows, *others = (c.slice(at, len(texts)) for c in (batch.column(0), *batch.columns[2:]))
-                at += len(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [rows, pa.array(packed, pa.binary()), pa.array(decoded, pa.string()), *others],
-                    names=[id_col, "ids", "decoded", *carry],
-                )
+                    packed = pa.LargeBinaryArray.from_buffers(
+                        pa.large_binary(), len(plain), [None, pa.py_buffer(4 * cuts), pa.py_buffer(np.ascontiguousarray(ids))]
+                    )
+                    decoded = sp.decode(want, num_threads=1)
+                    rows, *others = (c.slice(at, len(plain)) for c in (batch.column(0), *batch.columns[2:]))
+                    at += len(plain)
+                    yield pa.RecordBatch.from_arrays(
+                        [rows, packed.cast(pa.binary()), pa.array(decoded, pa.string()), *others],
+                        names=[id_col, "ids", "decoded", *carry],
+                    )
 
     carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return docs.select(F.col(id_col), F.col(text_col).cast("string"), *carry).mapInArrow(

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tamiz.llm import pieces
@@ -26,6 +28,19 @@ def test_same_as_library():
         agenda.by_runs = True
 
 
+def test_slices_equal_single_texts():
+    """Texts split by spaces together give what each gives alone."""
+    _, agenda = pieces.load(MODEL)
+    rnd = random.Random(2)
+    words = ["the", "of", "é", "日本", "x" * 40, "a\tb", "\x00", "\n\n", "a.b"]
+    texts = ODD + [" ".join(rnd.choice(words) for _ in range(rnd.randrange(1, 30))) for _ in range(400)] + [" x", "x ", "x  y", "a b▁c"]
+    for part in (texts, texts[::-1], texts[:1], []):
+        ids, cuts = agenda.encode_all(pa.array(part, pa.large_string()))
+        assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])] == [agenda.encode(t) for t in part]
+    both, cuts = pieces.enclosed(np.array([7, 8, 9], dtype="<u4"), np.array([0, 1, 1, 3]), 1, 2)
+    assert both.tolist() == [1, 7, 2, 1, 2, 1, 8, 9, 2] and cuts.tolist() == [0, 3, 5, 9]
+
+
 def test_operator(spark):
     sp, _ = pieces.load(MODEL)
     rows = [(i, t, "c", 7) for i, t in enumerate(ODD)] + [(0, "", "c", 7), (None, "null id", "c", 7), (50, None, None, None)]
