@@ -8,11 +8,11 @@ backward passes give the expected number of times that a piece is used in each l
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,10 @@ WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 SAMPLE = 2000
 #: Expectation-maximisation rounds, and the weight of the mean of all languages in each.
 ROUNDS, SMOOTHING = 2, 500.0
-#: Words kept with their scores per Python worker; longer words are scored each time.
-KEPT_WORDS, KEPT_CHARS = 200_000, 40
+#: Tokens kept with their scores per Python worker; longer ones are scored each time.
+KEPT_TOKENS, KEPT_CHARS = 200_000, 40
+#: Bytes of text scored at a time.
+SLICE = 1 << 23
 #: Ids with this remainder of crc32 modulo 3 are held out.
 HELD_OUT = 1
 
@@ -45,38 +47,47 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Lattice:
-    """All places where a piece fits into words; index 0 is any character that is no piece."""
+    """All places where a piece fits into words; index 0 is any character that is no piece.
+
+    The pieces are a trie, and all places of all words walk down it together.
+    """
 
     def __init__(self, pieces: list[str]):
         self.index = {p: i + 1 for i, p in enumerate(pieces)}
         self.size = len(pieces) + 1
-        self.starts = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        node = {"": 0}
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                node.setdefault(p[:k], len(node))
+        steps = sorted((node[t[:-1]] << 21 | ord(t[-1]), i) for t, i in node.items() if t)
+        self.step = np.array([k for k, _ in steps] or [-1], dtype=np.int64)
+        self.child = np.array([i for _, i in steps] or [0], dtype=np.int64)
+        self.piece = np.zeros(len(node), dtype=np.int64)
+        for p, i in self.index.items():
+            self.piece[node[p]] = i
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(word, from, to, piece) of every fitting piece; a word starts with the space mark."""
-        which, start, end, piece = array("q"), array("q"), array("q"), array("q")
-        index, starts = self.index, self.starts
-        for w, word in enumerate(words):
-            s = "▁" + word
-            n = len(s)
-            for i in range(n):
-                alone = True
-                j = i + 1
-                while j <= n and (t := s[i:j]) in starts:
-                    p = index.get(t)
-                    if p is not None:
-                        which.append(w)
-                        start.append(i)
-                        end.append(j)
-                        piece.append(p)
-                        alone = alone and j > i + 1
-                    j += 1
-                if alone:  # the single character is no piece
-                    which.append(w)
-                    start.append(i)
-                    end.append(i + 1)
-                    piece.append(0)
-        return tuple(np.frombuffer(x, dtype=np.int64) for x in (which, start, end, piece))
+        length = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+        chars = np.frombuffer("".join(["▁" + w for w in words]).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        first = np.cumsum(length) - length
+        word = np.repeat(np.arange(len(words)), length)
+        left = np.repeat(first + length, length) - np.arange(len(chars))  # places up to the word's end
+        at, node, found, k = np.arange(len(chars)), np.zeros(len(chars), dtype=np.int64), [], 0
+        while len(at):
+            key = node << 21 | chars[at + k]
+            step = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+            good = self.step[step] == key
+            node = np.where(good, self.child[step], 0)
+            k += 1
+            piece = self.piece[node]
+            ends = np.flatnonzero(piece) if k > 1 else np.arange(len(at))  # a character that is no piece stands alone
+            found.append((at[ends], np.full(len(ends), k), piece[ends]))
+            on = good & (left[at] > k)
+            at, node = at[on], node[on]
+        start, size, piece = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 3
+        which = word[start]
+        return which, start - first[which], start - first[which] + size, piece
 
 
 def _pass(n_words: int, longest: int, from_: np.ndarray, to: np.ndarray, which: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +136,7 @@ class Model:
     def __init__(self, lattice: Lattice, languages: list[str], probability: np.ndarray):
         self.lattice, self.languages, self.probability = lattice, languages, probability
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((0, len(languages)))
+        self.rows, self.words = np.zeros((0, len(languages))), np.zeros(0, dtype=np.int64)
 
     def log_words(self, words: list[str]) -> np.ndarray:
         """log of the summed probability of all segmentations, (words x languages)."""
@@ -158,37 +169,66 @@ class Model:
             out += np.bincount(piece, post * counts[part][which], self.lattice.size)
         return out
 
-    def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and its share of the probability among all languages, for each text."""
-        if not self.languages:
-            return ["und"] * len(texts), np.zeros(len(texts))
-        per_text = [words_of(t) for t in texts]
+    def _tokens(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(log of the probability, number of words) of each token, (tokens x languages) and (tokens)."""
+        per_token = [words_of(t) for t in tokens]
+        number: dict[str, int] = {}
+        row = np.array([number.setdefault(w, len(number)) for ws in per_token for w in ws], dtype=np.int64)
+        many = np.fromiter(map(len, per_token), dtype=np.int64, count=len(tokens))
+        rows = self.log_words(list(number))
+        out = np.zeros((len(tokens), len(self.languages)))
+        some = np.flatnonzero(many)
+        if len(some):
+            out[some] = np.add.reduceat(rows[row], (np.cumsum(many) - many)[some], axis=0)
+        return out, many
+
+    def _table(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_tokens``, from the kept tokens where they are known."""
         known = self.known
-        if len(known) >= KEPT_WORDS:
+        if len(known) >= KEPT_TOKENS:
             known.clear()
-            self.rows = np.zeros((0, len(self.languages)))
-        new, long = {}, {}
-        for ws in per_text:
-            for w in ws:
-                if w not in known and w not in new and w not in long:
-                    (new if len(w) <= KEPT_CHARS else long)[w] = None
-        if new:
-            base = len(known)
-            known.update((w, base + i) for i, w in enumerate(new))
-            self.rows = np.concatenate([self.rows, self.log_words(list(new))])
-        long = dict(zip(long, self.log_words(list(long)), strict=True)) if long else {}
-        names, shares = [], np.zeros(len(texts))
-        for i, ws in enumerate(per_text):
-            if not ws:
-                names.append("und")
-                continue
-            total = self.rows[[known[w] for w in ws if w not in long]].sum(axis=0) if not long else sum(
-                (long[w] if w in long else self.rows[known[w]] for w in ws), np.zeros(len(self.languages))
-            )
-            best = int(total.argmax())
-            names.append(self.languages[best])
-            shares[i] = 1.0 / np.exp(total - total[best]).sum()
-        return names, shares
+            self.rows, self.words = np.zeros((0, len(self.languages))), np.zeros(0, dtype=np.int64)
+        at = np.fromiter((known.get(t, -1) for t in tokens), dtype=np.int64, count=len(tokens))
+        out, many = np.zeros((len(tokens), len(self.languages))), np.zeros(len(tokens), dtype=np.int64)
+        old, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        out[old], many[old] = self.rows[at[old]], self.words[at[old]]
+        if len(new):
+            out[new], many[new] = self._tokens([tokens[i] for i in new])
+            kept_ = [i for i in new.tolist() if len(tokens[i]) <= KEPT_CHARS][: KEPT_TOKENS - len(known)]
+            known.update((tokens[i], len(self.words) + j) for j, i in enumerate(kept_))
+            self.rows, self.words = np.concatenate([self.rows, out[kept_]]), np.concatenate([self.words, many[kept_]])
+        return out, many
+
+    def score(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Language and its share of the probability among all languages, for each text.
+
+        No word holds a space, so texts are sums over tokens between spaces: each different token is looked at once.
+        """
+        n = len(texts)
+        names, shares = np.full(n, "und", dtype=object), np.zeros(n)
+        if not self.languages or not n:
+            return names.tolist(), shares
+        lists = pc.split_pattern(texts.cast(pa.large_string()).fill_null(""), " ")
+        values = lists.flatten().dictionary_encode()
+        rows, many = self._table(values.dictionary.to_pylist())
+        which = values.indices.to_numpy(zero_copy_only=False)
+        first = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))))[:-1]
+        total, words = np.add.reduceat(rows[which], first, axis=0), np.add.reduceat(many[which], first)
+        best = total.argmax(axis=1)
+        some = words > 0
+        names[some] = np.array(self.languages, dtype=object)[best[some]]
+        shares[some] = 1.0 / np.exp(total - total[np.arange(n), best][:, None]).sum(axis=1)[some]
+        return names.tolist(), shares
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of about SLICE bytes each."""
+    size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, side="right")))
+        yield at, texts.slice(at, upto - at)
+        at = upto
 
 
 def vocabulary(model_path: str) -> list[str]:
@@ -203,12 +243,12 @@ def vocabulary(model_path: str) -> list[str]:
     ]
 
 
-def first_by_hash(rows: DataFrame, group: str, sample: int) -> DataFrame:
-    """The rows (id, ...) with the ``sample`` smallest hashes of the id in each group, found in two
-    steps so that no task gets a whole group."""
+def first_by_hash(rows: DataFrame, group: str, sample: int, row: str = "id") -> DataFrame:
+    """The ``sample`` rows (id, ...) with the smallest hashes of the id in each group, found in two
+    steps so that no task gets a whole group. ``row`` tells rows of one id apart."""
     for part in (["part"], []):
-        order = Window.partitionBy(group, *part).orderBy(F.xxhash64("id"), "id")
-        rows = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)))
+        order = Window.partitionBy(group, *part).orderBy(F.xxhash64("id"), "id", row)
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("id", row, F.lit(1)), F.lit(64)))
         rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).drop("n", "part")
     return rows
 
@@ -216,13 +256,15 @@ def first_by_hash(rows: DataFrame, group: str, sample: int) -> DataFrame:
 def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """(languages, probabilities) learned from rows that are not held out and have a language.
 
-    At most ``sample`` rows of each language, those with the smallest hash of their id. The driver
+    At most ``sample`` rows of each language, those with the smallest hash of their id; rows equal in id, language
+    and text count once, so repeated ids change no bound. The driver
     gets a number for each piece and language, as many as the vocabulary and the languages allow.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    learnable = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
-    chosen = small(materialize(first_by_hash(learnable, "lang", sample).select("id", "lang").distinct(), "sample"))
     text = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = text.select("id", "lang", F.xxhash64("text").alias("h"))
+    learnable = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id")).distinct()
+    chosen = small(materialize(first_by_hash(learnable, "lang", sample, "h").select("id", "lang", "h"), "sample"))
+    text = text.withColumn("h", F.xxhash64("text"))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -234,7 +276,7 @@ def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string())], names=["lang", "word"])
 
     counts = (
-        text.join(chosen, ["id", "lang"]).select("lang", "text").mapInArrow(count, "lang string, word string")
+        text.join(chosen, ["id", "lang", "h"]).dropDuplicates(["id", "lang", "h"]).select("lang", "text").mapInArrow(count, "lang string, word string")
         .groupBy("lang", "word").agg(F.count("*").alias("n"))
     )
     counts = materialize(counts, "words")
@@ -291,10 +333,10 @@ def predict(
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)
         for batch in parts:
-            for at in range(0, batch.num_rows, 500):
-                names, shares = model.score(batch.column(1).slice(at, 500).to_pylist())
+            for at, texts in _slices(batch.column(1)):
+                names, shares = model.score(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 500), pa.array(names, pa.string()), pa.array(shares)], names=["doc_id", "lang_pred", "score"]
+                    [batch.column(0).slice(at, len(texts)), pa.array(names, pa.string()), pa.array(shares)], names=["doc_id", "lang_pred", "score"]
                 )
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -309,10 +351,12 @@ def identify(docs: DataFrame, model_path: str, sample: int = SAMPLE) -> DataFram
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def accept(docs: DataFrame, model_path: str, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, lang, ...) with a language, columns as they were.
+def accept(docs: DataFrame, model_path: str, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang, ...) whose text has a language, columns as they were.
 
-    A row goes when its text is ``und`` or no language has at least ``least`` of the probability.
+    A row goes when its text is null or has no letter; however close the languages are, a text with letters
+    stays, and so it does when no language was learned, for instance because no row outside the held-out third has
+    one. Null ids and repeated rows stay; an empty table gives an empty result.
     """
     languages, probability = train(docs, model_path, sample)
     shared = docs.sparkSession.sparkContext.broadcast((model_path, languages, probability))
@@ -321,10 +365,11 @@ def accept(docs: DataFrame, model_path: str, least: float = 0.5, sample: int = S
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)
         for batch in parts:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                names, shares = model.score(rows.column(place).to_pylist())
-                keep = [n != "und" and s >= least for n, s in zip(names, shares, strict=True)]
-                yield rows.filter(pa.array(keep, pa.bool_()))
+            for at, texts in _slices(batch.column(place)):
+                if languages:
+                    keep = [name != "und" for name in model.score(texts)[0]]
+                else:
+                    keep = [bool(words_of(t)) for t in texts.to_pylist()]
+                yield batch.slice(at, len(texts)).filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

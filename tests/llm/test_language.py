@@ -6,7 +6,9 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tamiz.llm import language
 from tamiz.llm.queries import piece_model, table
@@ -63,12 +65,21 @@ def test_a_long_word_in_training_stands_alone(monkeypatch):
 def test_score_does_not_depend_on_the_kept_words(monkeypatch):
     lattice = language.Lattice(PIECES)
     p = np.random.default_rng(1).random((lattice.size, 2))
-    texts = ["ab ba", None, "12 !", "a" * 60 + " ab", "b b b", "ab ba"]
-    names, shares = language.Model(lattice, ["x", "y"], p).score(texts)
+    texts = pa.array(["ab ba", None, "12 !", "a" * 60 + " ab", "b b b", "ab ba", "", "ab\nba", "ab  ba "])
+    model = language.Model(lattice, ["x", "y"], p)
+    names, shares = model.score(texts)
     assert names[1] == names[2] == "und" and shares[1] == shares[2] == 0 and names[0] == names[5]
-    monkeypatch.setattr(language, "KEPT_CHARS", 1)
-    again = language.Model(lattice, ["x", "y"], p).score(texts)
-    assert names == again[0] and np.allclose(shares, again[1])
+    assert names[6] == "und" and np.allclose(shares[7:], shares[0])  # other white space and more of it
+    for i, t in enumerate(texts.to_pylist()):
+        total = model.log_words(language.words_of(t)).sum(axis=0)
+        if language.words_of(t):
+            assert names[i] == model.languages[total.argmax()] and np.isclose(shares[i], 1 / np.exp(total - total.max()).sum())
+    for name, value in (("KEPT_CHARS", 1), ("KEPT_TOKENS", 2)):
+        monkeypatch.setattr(language, name, value)
+        other = language.Model(lattice, ["x", "y"], p)
+        for _ in range(3):
+            again = other.score(texts)
+            assert names == again[0] and np.allclose(shares, again[1])
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -82,6 +93,17 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.98 * len(held)
 
 
+def test_repeated_ids_do_not_widen_the_sample(spark):
+    rows = [(0, f"word{i} of it", "en") for i in range(300)] + [(0, "word1 of it", "en")] * 50 + [(i, "der die das", "de") for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 0 in learned
+    text = docs.select(F.col("doc_id").alias("id"), "lang", F.xxhash64("text").alias("h")).distinct()
+    assert language.first_by_hash(text, "lang", 10, "h").groupBy("lang").count().where("count <> 10").count() == 0
+    languages, _ = language.train(docs, piece_model(), sample=10)
+    assert languages == ["de", "en"]
+
+
 def test_odd_rows(spark):
     rows = [(1, "the of and", "en"), (2, "der die das", "de"), (3, None, "en"), (4, "", None), (5, "...", "de"), (None, "the", "en"),
             (6, "the the the", None), (6, "the the the", None), (7, "x" * 100_000, None)]
@@ -91,7 +113,9 @@ def test_odd_rows(spark):
     pred = {r[0]: r[2] for r in got}
     assert pred[3] == pred[4] == pred[5] == "und" and "und" not in (pred[1], pred[2], pred[6], pred[7], pred[None])
     kept = language.accept(docs, piece_model())
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= {1, 2, 6, 7, None}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, 6, 7, None}
+    nameless = language.accept(docs.withColumn("lang", docs["lang"].substr(9, 1)).where("lang is null or lang = ''").withColumn("lang", F.lit(None).cast("string")), piece_model())
+    assert {r.doc_id for r in nameless.collect()} == {1, 2, 6, 7, None}  # nothing learned, nothing lost
     assert language.identify(docs.limit(0), piece_model()).count() == 0
     bare = language.identify(docs.withColumn("lang", docs["lang"].substr(9, 1)).where("lang is null"), piece_model())
     assert {r.lang_pred for r in bare.collect()} == {"und"}
