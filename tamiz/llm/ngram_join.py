@@ -1,7 +1,7 @@
 """Exact Jaccard join of documents on word shingles, by a token-group matrix.
 
 1. Every document becomes a set of 64-bit shingle hashes. Documents with equal sets are one
-   *set* from here on, named by a 64-bit fingerprint of the set.
+   *set* from here on, told apart by a 128-bit fingerprint of the set.
 2. Similar sets are partitioned into groups: each set is compared with the most typical set of
    each of its min-hash buckets and joins the most typical one with enough equal min-hashes.
 3. The matrix has a row for each token block and a column for each group. Two sets above the
@@ -43,6 +43,8 @@ _TURN = np.random.default_rng(11).integers(1, 1 << 62, MIN_HASHES, dtype=np.uint
 SPARE = 3
 #: Equal min-hashes that let a set join the group of a typical set; any partition gives the same links.
 RESEMBLES = 6
+#: Sets are never larger: levels of sizes end there.
+LARGEST = 1 << 40
 #: A group's token union is stored in parts of at most about so many tokens.
 UNION_PART = 1 << 16
 #: A block of a group's members or queries; token columns multiplied at a time.
@@ -108,72 +110,151 @@ def token_sets(text: pa.Array, words: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, dtype=np.uint64)
 
 
-def fingerprint(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell sets apart, as two signed numbers."""
+    d = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _index(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, rep, mins) of every row; an empty set has no rep."""
+def _index(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n, k1, k2, mins, blocks) of every row; an empty set has no k1 and k2.
+
+    Texts are read and cut into tokens here once; of equal sets in a batch one has its blocks.
+    """
+    ends = levels(num, den, LARGEST)
 
     def run(parts):
         for batch in parts:
-            n, rep, mins = [], [], []
+            at, seen = 0, set()
+            n, k1, k2, mins, found, held = [], [], [], [], [], 0
+
+            def out():
+                nonlocal at, n, k1, k2, mins, found, held
+                size = np.array([len(x) for x in found], dtype=np.int64)
+                cuts = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
+                values = signed(np.concatenate(found)) if held else np.zeros(0, dtype=np.int64)
+                part = pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(n)), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                     pa.array(mins, pa.list_(pa.int64())), pa.ListArray.from_arrays(cuts, pa.array(values))],
+                    names=["doc_id", "n", "k1", "k2", "mins", "blocks"],
+                )
+                at += len(n)
+                n, k1, k2, mins, found, held = [], [], [], [], [], 0
+                return part
+
             for tokens in token_sets(batch.column(1), words):
+                key = fingerprint(tokens) if len(tokens) else (None, None)
                 n.append(len(tokens))
-                rep.append(fingerprint(tokens) if len(tokens) else None)
+                k1.append(key[0])
+                k2.append(key[1])
                 mins.append(signed(np.array([(tokens * t).min() for t in _TURN])) if len(tokens) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(rep, pa.int64()), pa.array(mins, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "rep", "mins"],
-            )
+                new = len(tokens) and key not in seen
+                seen.add(key)
+                found.append(blocks(tokens, ends, num, den) if new else np.zeros(0, dtype=np.uint64))
+                held += len(found[-1])
+                if held > 500_000:
+                    yield out()
+            if n:
+                yield out()
 
-    return docs.mapInArrow(run, "doc_id long, n long, rep long, mins array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, mins array<long>, blocks array<long>")
 
 
-def _blocks(docs: DataFrame, words: int, num: int, den: int, largest: int) -> DataFrame:
-    """(block, rep) of every row, one row for each block."""
-    ends = levels(num, den, largest)
+def _shared(rows: DataFrame) -> DataFrame:
+    """(block, k1) of the ``rows`` (block, k1) whose block is in another set too, each once.
+
+    One pass over rows sorted by block: neighbours are compared, nothing is held but the last row.
+    """
 
     def run(parts):
+        last, told = None, True  # the last row, and whether it went out
         for batch in parts:
-            found, reps, held = [], [], 0
-            for tokens in token_sets(batch.column(1), words):
-                if not len(tokens):
-                    continue
-                out = blocks(tokens, ends, num, den)
-                found.append(out)
-                reps.append(np.full(len(out), fingerprint(tokens), dtype=np.int64))
-                held += len(out)
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found))), pa.array(np.concatenate(reps))], names=["block", "rep"])
-                    found, reps, held = [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found))), pa.array(np.concatenate(reps))], names=["block", "rep"])
+            if not batch.num_rows:
+                continue
+            block, k = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if last is not None:
+                block, k = np.concatenate(([last[0]], block)), np.concatenate(([last[1]], k))
+            first = np.concatenate(([True], (block[1:] != block[:-1]) | (k[1:] != k[:-1])))
+            block, k = block[first], k[first]
+            same = block[1:] == block[:-1]
+            keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+            if last is not None and told:
+                keep[0] = False
+            told = bool(keep[-1]) or (len(block) == 1 and last is not None and told)
+            last = (block[-1], k[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(block[keep]), pa.array(k[keep])], names=["block", "k1"])
+
+    parts = rows.repartition("block").sortWithinPartitions("block", "k1")
+    return parts.mapInArrow(run, "block long, k1 long")
+
+
+def _keyed(docs: DataFrame, words: int, *carry: str) -> DataFrame:
+    """(k1, k2, tokens, carry) of the rows of ``docs`` that have a word."""
+
+    def run(parts):
+        for batch in parts:
+            sets = list(token_sets(batch.column(0), words))
+            keep = [i for i, t in enumerate(sets) if len(t)]
+            keys = [fingerprint(sets[i]) for i in keep]
+            kept = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
+                 pa.array([signed(sets[i]) for i in keep], pa.list_(pa.int64())), *kept.columns[1:]],
+                names=["k1", "k2", "tokens", *carry],
+            )
 
-    return docs.mapInArrow(run, "block long, rep long")
+    schema = T.StructType().add("k1", "long").add("k2", "long").add("tokens", T.ArrayType(T.LongType()))
+    for c in carry:
+        schema = schema.add(docs.schema[c])
+    return docs.select("text", *carry).mapInArrow(run, schema)
 
 
 def _tokens(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """(rep, tokens, ...) of the wanted (doc_id, rep, ...), one row for each id: their texts are read
-    again, a join decides which. Repeated rows give repeated sets."""
-    names = ["rep", "tokens", *wanted.columns[2:]]
+    """(rep, tokens, ...) of the wanted (rep, doc_id, k1, k2, ...), one row for each.
+
+    The texts of the wanted ids are read again; sets that only rows with a null id have are found by their
+    fingerprint among those. Ids alone are broadcast, if at all.
+    """
+    rest = [c for c in wanted.columns if c not in ("rep", "doc_id", "k1", "k2")]
+    known = wanted.where("doc_id is not null").withColumnRenamed("doc_id", "wanted_id")
+    ids = known.select(F.col("wanted_id").alias("doc_id")).distinct()
+    found = _keyed(docs.join(small(ids), "doc_id", "left_semi"), words, "doc_id").withColumnRenamed("doc_id", "found_id")
+    on = (F.col("found_id") == F.col("wanted_id")) & (found["k1"] == known["k1"]) & (found["k2"] == known["k2"])
+    out = known.join(found, on).select("rep", "tokens", *rest)
+    unnamed = wanted.where("doc_id is null").drop("doc_id")
+    if not unnamed.isEmpty():
+        lost = _keyed(docs.where("doc_id is null"), words).join(small(unnamed.select("k1", "k2")), ["k1", "k2"], "left_semi")
+        out = out.unionByName(unnamed.join(lost.dropDuplicates(["k1", "k2"]), ["k1", "k2"]).select("rep", "tokens", *rest))
+    return out
+
+
+def _unions(rows: DataFrame) -> DataFrame:
+    """(g, part, union) of ``rows`` (g, parts, tokens): the tokens of each group, dealt to its parts by remainder.
+
+    Tokens of one group are united in the batches first. A part gets at most its share of all
+    tokens of the group, about UNION_PART.
+    """
 
     def run(parts):
         for batch in parts:
-            keep, packed = [], []
-            wants = batch.column(1).to_pylist()
-            for i, (want, tokens) in enumerate(zip(wants, token_sets(batch.column(0), words), strict=True)):
-                if len(tokens) and fingerprint(tokens) == want:
-                    keep.append(i)
-                    packed.append(signed(tokens))
-            kept = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([kept.column(1), pa.array(packed, pa.list_(pa.int64())), *kept.columns[2:]], names=names)
+            g, n_parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            lists = batch.column(2)
+            values = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(g)), np.diff(lists.offsets.to_numpy()))
+            part = np.mod(values, n_parts[owner])
+            order = np.lexsort((values, part, g[owner]))
+            gs, part, values = g[owner][order], part[order], values[order]
+            new = np.ones(len(values), dtype=bool)
+            new[1:] = (gs[1:] != gs[:-1]) | (part[1:] != part[:-1]) | (values[1:] != values[:-1])
+            gs, part, values = gs[new], part[new], values[new]
+            heads = np.flatnonzero(np.concatenate(([True], (gs[1:] != gs[:-1]) | (part[1:] != part[:-1])))) if len(gs) else np.zeros(0, dtype=np.int64)
+            cuts = pa.array(np.append(heads, len(values)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gs[heads]), pa.array(part[heads]), pa.ListArray.from_arrays(cuts, pa.array(values))], names=["g", "part", "tokens"]
+            )
 
-    schema = T.StructType().add("rep", "long").add("tokens", T.ArrayType(T.LongType()))
-    for c in wanted.columns[2:]:
-        schema = schema.add(wanted.schema[c])
-    rows = docs.join(small(wanted).withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id") == F.col("wanted_id"))
-    return rows.select("text", *wanted.columns[1:]).mapInArrow(run, schema)
+    united = rows.select("g", "parts", "tokens").mapInArrow(run, "g long, part long, tokens array<long>")
+    return united.groupBy("g", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -231,16 +312,18 @@ def _cells(docs: DataFrame, words: int, sets: DataFrame, opened: DataFrame) -> D
     queries = opened.groupBy("g").agg(size.alias("query_blocks"))
     held = sets.groupBy("g").agg(F.count("*").alias("held"), size.alias("blocks")).join(queries, "g", "left")
     held = held.where("held > 1 or query_blocks is not null").select("g", "blocks", F.coalesce("query_blocks", F.lit(0)).alias("query_blocks"))
-    members = sets.select("g", "rep", "doc_id").join(held, "g").select(
-        "g", "rep", "doc_id", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), F.lit(True).alias("member"), (F.col("blocks") + F.col("query_blocks")).alias("others")
+    name = ["rep", "doc_id", "k1", "k2"]
+    members = sets.select("g", *name).join(held, "g").select(
+        "g", *name, F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), F.lit(True).alias("member"), (F.col("blocks") + F.col("query_blocks")).alias("others")
     )
-    asking = opened.select("g", "rep", "doc_id").join(held, "g").select(
-        "g", "rep", "doc_id", (F.col("blocks") + F.pmod(F.xxhash64("rep"), F.col("query_blocks"))).alias("block"), F.lit(False).alias("member"), F.col("blocks").alias("others")
+    asking = opened.select("g", "rep").join(held, "g").join(sets.select(*name), "rep").select(
+        "g", *name, (F.col("blocks") + F.pmod(F.xxhash64("rep"), F.col("query_blocks"))).alias("block"), F.lit(False).alias("member"), F.col("blocks").alias("others")
     )
     rows = members.unionByName(asking).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
     place = F.struct("g", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "member").alias("cell")
-    wanted = materialize(rows.select("doc_id", "rep", place).groupBy("doc_id", "rep").agg(F.collect_list("cell").alias("cells")), "wanted")
-    cells = _tokens(docs, words, wanted).select("rep", "tokens", F.explode("cells").alias("c")).select("c.*", "rep", "tokens")
+    rows = materialize(rows.select(*name, place), "places")
+    wanted = materialize(rows.select(*name).distinct(), "wanted")
+    cells = rows.select("rep", "cell").join(_tokens(docs, words, wanted), "rep").select("cell.*", "rep", "tokens")
     return cells.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
 
 
@@ -273,23 +356,23 @@ def classes(
 
     Reads only the two named columns, so extra columns cannot clash. A null or blank text has an
     empty set, links with nothing and is its own component. Repeated rows and equal texts are one
-    set and so one component. A row with a null id takes part in links but gives no id: its
-    component is the smallest known id, or null. An empty table gives an empty result. Sets are
-    told apart by 64-bit fingerprints and tokens by 64-bit hashes.
+    set and so one component. A row with a null id takes part in links like any other but gives no id: its
+    component is the smallest known id, or null. Rows with one id and different texts are sets of their
+    own. An empty table gives an empty result. Sets are
+    told apart by 128-bit fingerprints and tokens by 64-bit hashes.
     """
     return _classes(docs, words, num, den, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, rep, root, component_id): root names the class of a set, also of one without an id."""
+    """(doc_id, n, k1, k2, root, component_id): root names the class of a set, also of one without an id."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    index = materialize(_index(docs, words), "sets")
-    sets = materialize(
-        index.where("rep is not null").groupBy("rep").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("mins").alias("mins")
-        ),
-        "distinct",
+    index = materialize(_index(docs, words, num, den), "index")
+    narrow = index.select("doc_id", "n", "k1", "k2")
+    distinct = index.where("k1 is not null").groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("mins").alias("mins")
     )
+    sets = materialize(distinct.select(F.monotonically_increasing_id().alias("rep"), "*"), "distinct")
     largest = sets.agg(F.max("n")).first()[0] or 1
     ends = levels(num, den, largest)
 
@@ -306,25 +389,24 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
         .groupBy("rep").agg(F.max(F.struct("lead.weight", "lead.rep")).alias("lead"))
         .select(F.col("rep").alias("node"), F.col("lead.rep").alias("root"))
     )
-    sets = sets.select("rep", "doc_id", "n").join(group, sets.rep == group.node, "left").select(
-        "rep", "doc_id", "n", F.coalesce("root", "rep").alias("g")
-    )
+    name = ["rep", "doc_id", "k1", "k2", "n"]
+    sets = sets.select(*name).join(group, sets.rep == group.node, "left").select(*name, F.coalesce("root", "rep").alias("g"))
     several = sets.groupBy("g").agg((F.count("*") > 1).alias("several"))
-    sets = materialize(sets.join(several, "g").select("rep", "doc_id", "n", "g", "several"), "grouped")
+    sets = materialize(sets.join(several, "g").select(*name, "g", "several"), "grouped")
 
     # 3. matrix of token blocks and groups, rows that occur in one set only left out
-    cells = _blocks(docs, words, num, den, largest)
-    rows = cells.groupBy("block").agg(F.count("*").alias("held")).where("held > 1").select("block")
-    matrix = materialize(cells.join(rows, "block").distinct().join(sets.select("rep", "g"), "rep"), "matrix")
-    # copies of one text may have counted twice, and groups hold most shared rows alone
+    rows = _shared(index.select(F.explode("blocks").alias("block"), "k1"))
+    # a set whose first half of the fingerprint is another's too brings both: too many candidates, never too few
+    matrix = materialize(rows.join(sets.select("k1", "rep", "n", "g", "several"), "k1").drop("k1"), "matrix")
+    # groups hold most shared rows alone
     between = matrix.groupBy("block").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("block")
-    matrix = materialize(matrix.drop("g").join(between, "block").join(sets, "rep"), "between")
+    matrix = materialize(matrix.join(between, "block"), "between")
     columns = matrix.groupBy("block", "g", "several").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     visits = (
-        matrix.select("block", "rep", "doc_id", "n", F.col("g").alias("own"))
+        matrix.select("block", "rep", "n", F.col("g").alias("own"))
         .join(columns, "block").where("own > g")
         .where((F.col("n") * den >= F.col("lo") * num) & (F.col("hi") * den >= F.col("n") * num))
-        .groupBy("rep", "doc_id", "n", "own", "g", "several")
+        .groupBy("rep", "n", "own", "g", "several")
         .agg(F.count("*").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .where(F.col("shared") >= _least_shared(ends, num, den, "n", "lo", "hi"))
     )
@@ -332,60 +414,73 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
 
     # 4. bound by the union of the group's tokens
     visited = visits.select("g").distinct()
-    members = sets.where("several").join(visited, "g", "left_semi").select("doc_id", "rep")
-    wanted = members.unionByName(visits.where("several").select("doc_id", "rep")).distinct()
+    members = sets.where("several").join(visited, "g", "left_semi").select("rep")
+    wanted = members.unionByName(visits.where("several").select("rep")).distinct().join(sets.select("rep", "doc_id", "k1", "k2"), "rep")
     tokens = materialize(_tokens(docs, words, materialize(wanted, "wanted")), "tokens")
     parts = sets.where("several").groupBy("g").agg(F.ceil(F.sum("n") / UNION_PART).alias("parts")).join(visited, "g", "left_semi")
     parts = materialize(parts, "parts")
-    union = (
-        sets.join(parts, "g").join(tokens, "rep").select("g", "parts", F.explode("tokens").alias("token")).distinct()
-        .groupBy("g", F.pmod("token", "parts").alias("part")).agg(F.collect_list("token").alias("union"))
-    )
-    asks = visits.where("several").select("rep", "doc_id", "n", "g").join(parts, "g").select(
-        "rep", "doc_id", "n", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    union = _unions(sets.select("rep", "g").join(parts, "g").join(tokens, "rep"))
+    asks = visits.where("several").select("rep", "n", "g").join(parts, "g").select(
+        "rep", "n", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
     )
     overlap = asks.join(tokens, "rep").join(union, ["g", "part"]).select(
-        "rep", "doc_id", "n", "g", F.size(F.array_intersect("tokens", "union")).alias("both")
+        "rep", "n", "g", F.size(F.array_intersect("tokens", "union")).alias("both")
     )
-    open_several = overlap.groupBy("rep", "doc_id", "n", "g").agg(F.sum("both").alias("overlap")).where(F.col("overlap") * den >= F.col("n") * num)
-    opened = open_several.select("rep", "doc_id", "n", "g").unionByName(visits.where("not several").select("rep", "doc_id", "n", "g"))
+    open_several = overlap.groupBy("rep", "n", "g").agg(F.sum("both").alias("overlap")).where(F.col("overlap") * den >= F.col("n") * num)
+    opened = open_several.select("rep", "n", "g").unionByName(visits.where("not several").select("rep", "n", "g"))
 
     # 5. compare the members of groups with each other and with the queries
     links = _compared(_cells(docs, words, sets, materialize(opened, "opened")), num, den)
     merged = components(links)
-    of_set = sets.join(merged, sets.rep == merged.node, "left").select("rep", "doc_id", F.coalesce("root", "rep").alias("root"))
+    of_set = sets.join(merged, sets.rep == merged.node, "left").select("k1", "k2", "doc_id", F.coalesce("root", "rep").alias("root"))
     least = of_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = of_set.join(least, "root").select("rep", "root", "component_id")
-    return index.join(named, "rep", "left").select(
-        "doc_id", "n", "rep", "root",
-        F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    named = of_set.join(least, "root").select("k1", "k2", "root", "component_id")
+    return narrow.join(named, ["k1", "k2"], "left").select(
+        "doc_id", "n", "k1", "k2", "root",
+        F.when(F.col("k1").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
 def _fingerprinted(docs: DataFrame, words: int) -> DataFrame:
-    """The rows of ``docs`` with the fingerprint of their set."""
+    """The rows of ``docs`` with the fingerprint (k1_, k2_) of their set."""
     place = docs.columns.index("text")
-    names = [f"c{i}" for i in range(len(docs.columns))] + ["rep_"]
+    names = [f"c{i}" for i in range(len(docs.columns))] + ["k1_", "k2_"]
 
     def run(parts):
         for batch in parts:
-            reps = [fingerprint(t) if len(t) else None for t in token_sets(batch.column(place).cast(pa.string()), words)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(reps, pa.int64())], names=names)
+            keys = [fingerprint(t) if len(t) else (None, None) for t in token_sets(batch.column(place).cast(pa.string()), words)]
+            added = [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
-    schema = docs.toDF(*names[:-1]).schema.add("rep_", "long")
-    return docs.mapInArrow(run, schema)
+    schema = docs.toDF(*names[:-2]).schema.add("k1_", "long").add("k2_", "long")
+    return docs.mapInArrow(run, schema).toDF(*docs.columns, "k1_", "k2_")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, ...) without all but one of each class, columns as they were.
 
-    The row with the smallest id of its class stays; of repeated rows with that id and one text,
-    one stays. A class that has only null ids keeps one row; rows without a word all stay.
+    The row with the smallest id of its class stays. Where rows share that id, one row stays, and a class
+    that has only null ids keeps one row; rows without a word all stay.
     """
     found = materialize(_classes(docs, words, num, den, "doc_id", "text"), "classes")
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    known = docs.join(ids, docs["doc_id"].cast("long") == ids["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
-    unnamed = found.where("doc_id is null and component_id is null and rep is not null").groupBy("root").agg(F.min("rep").alias("kept_rep"))
-    null = _fingerprinted(docs.where("doc_id is null"), words).join(unnamed, F.col("rep_") == F.col("kept_rep"), "left")
-    null = null.where("rep_ is null").unionByName(null.where("kept_rep is not null").dropDuplicates(["rep_"]))
-    return known.union(null.drop("rep_", "root", "kept_rep"))
+    # of each class the smallest id, and of several sets with that id one
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2")
+    first = found.where("k1 is not null").groupBy("root").agg(F.min(order).alias("first")).select("first.*")
+    often = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    blank = found.where("k1 is null and doc_id is not null").select("doc_id")
+    once = materialize(
+        first.where("not unnamed").select("doc_id").unionByName(blank).distinct().join(often, "doc_id", "left_anti"), "kept"
+    )
+    docs_id = docs["doc_id"].cast("long")
+    known = docs.join(small(once.withColumnRenamed("doc_id", "kept_id")), docs_id == F.col("kept_id"), "left_semi")
+    # rows that share an id, or have none, are told apart by their fingerprints
+    often = materialize(often, "often")
+    shared = docs.join(small(often.withColumnRenamed("doc_id", "often_id")), docs_id == F.col("often_id"), "left_semi").unionByName(docs.where("doc_id is null"))
+    keyed = _fingerprinted(shared, words)
+    same = (
+        keyed["doc_id"].cast("long").eqNullSafe(F.col("first_id")) & (keyed["k1_"] == F.col("first_k1")) & (keyed["k2_"] == F.col("first_k2"))
+    )
+    firsts = first.select(F.col("doc_id").alias("first_id"), F.col("k1").alias("first_k1"), F.col("k2").alias("first_k2"))
+    kept = keyed.where("k1_ is not null").join(firsts, same, "left_semi").dropDuplicates(["doc_id", "k1_", "k2_"])
+    kept = kept.unionByName(keyed.where("k1_ is null")).drop("k1_", "k2_")
+    return known.unionByName(kept)

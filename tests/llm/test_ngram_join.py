@@ -85,6 +85,53 @@ def test_odd_rows(spark):
     assert ngram_join.one_of_each(blank).count() == 3
 
 
+def test_null_and_repeated_ids_keep_their_links(spark):
+    """Sets that only rows without an id have, and texts of one id that are alike others."""
+    rnd = random.Random(8)
+    word = [f"w{i}" for i in range(500)]
+    base = [[rnd.choice(word) for _ in range(60)] for _ in range(4)]
+
+    def near(k, changes=1):
+        text = list(base[k])
+        for _ in range(changes):
+            text[rnd.randrange(60)] = rnd.choice(word)
+        return " ".join(text)
+
+    rows = [(1, near(0)), (None, near(0)), (None, near(1)), (None, near(1)), (2, near(2, 0)), (2, near(0)), (2, near(3)), (3, near(3)), (3, near(3)),
+            (4, near(2)), (None, near(2)), (7, near(1)), (7, near(1)), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 5, 1, 2)
+    assert sorted(map(tuple, ngram_join.classes(docs, 5, 1, 2).collect()), key=repr) == want
+    kept = [tuple(r) for r in ngram_join.one_of_each(docs, 5, 1, 2).collect()]
+    classes = {}
+    for (d, t), i in zip(rows, [next(k for k in range(4) if sum(x in t.split() for x in base[k]) > 45) if t else None for _, t in rows]):
+        classes.setdefault(i, []).append((d, t))
+    assert len(kept) == 5 and (7, "") in kept
+    for k in range(4):
+        mine = [r for r in kept if r in classes[k]]
+        assert len(mine) == 1 and mine[0][0] == min(d for d, _ in classes[k] if d is not None)
+
+
+def test_shared_rows_across_batches(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(40), rnd.randrange(6)) for _ in range(150)] + [(99, 1)] * 30 + [(98, 1), (98, 2)]
+    limit = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("1", "2", "7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = [tuple(r) for r in ngram_join._shared(spark.createDataFrame(rows, "block long, k1 long")).collect()]
+            want = {(b, k) for b, k in rows if len({k2 for b2, k2 in rows if b2 == b}) > 1}
+            assert sorted(got) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+
+
+def test_unions(spark):
+    rows = [(1, 3, [1, 2, 3]), (1, 3, [3, 4, 1]), (2, 1, [-5, 7]), (2, 1, [7]), (3, 2, [])]
+    got = {(r["g"], r["part"]): sorted(r["union"]) for r in ngram_join._unions(spark.createDataFrame(rows, "g long, parts long, tokens array<long>")).collect()}
+    assert got == {(1, 0): [3], (1, 1): [1, 4], (1, 2): [2], (2, 0): [-5, 7]}
+
+
 def test_blocks_share_one_above_the_threshold():
     rnd = np.random.default_rng(3)
     ends = ngram_join.levels(85, 100, 5000)
