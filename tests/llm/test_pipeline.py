@@ -81,10 +81,11 @@ def test_positions_are_the_stream(spark, tmp_path, monkeypatch):
     assert sorted(got) == list(range(len(rows)))
     plan = sorted(pipeline.mixing.mix(docs).collect(), key=lambda r: r.position)
     assert [got[p] for p in sorted(got)] == [r.doc_id for r in plan]
-    share, period = pipeline.mixing.shares(pipeline.mixing.temperature(sizes, 0.5))
-    share = {k[-1]: n / period for k, n in share.items()}
+    counts = {f"={k}": n for k, n in sizes.items()}
+    weight = {k[1:]: w for k, w in pipeline.mixing.targets(counts, None, 0.5).items()}
+    share = {k: w / sum(weight.values()) for k, w in weight.items()}
     seen, at = dict.fromkeys(sizes, 0), 0
-    while all(seen[s] + 64 <= sizes[s] for s in sizes):  # whole blocks, the first phase
+    while all(seen[s] + 64 <= sizes[s] for s in sizes):  # whole blocks, before a source ends
         for p in range(at, at + 64):
             seen[chr(got[p] // 10_000)] += 1
         at += 64
