@@ -1,12 +1,18 @@
-"""Licence scans: sparse TF-IDF cosine of notice lines to templates, inherited along directories.
+"""Licence scans: sparse TF-IDF cosine of notices, headers and licence files to templates, inherited along directories.
 
-Every line of every file is a unit. The terms are those of the templates; their document
-frequencies are counted over all lines. A line's other tokens share one weight, that of a term that
+Lines are lists of tokens; lines without one, such as empty comment lines, do not count. Units of a file:
+
+- notices: one to NOTICE_LINES adjacent lines anywhere, against one-line templates;
+- headers: windows of adjacent lines that start among the first HEADER_STARTS, against whole licence texts and standard headers;
+- a file named as a licence file: also its whole text, against the same.
+
+The terms are those of the templates; their document
+frequencies are counted over all lines. A unit's other tokens share one weight, that of a term that
 occurs nowhere, so that prose around a notice lowers its cosine.
 
-A cosine of at least ``least`` needs one of a template's heavier terms: the lighter ones, taken
-together, stay below it for any line. Only lines with such a term are scored; the others cannot
-reach the threshold.
+Two exact filters come first. A cosine of at least ``least`` needs one of a template's heavier terms: the lighter ones, taken
+together, stay below it for any unit. And it needs terms that hold ``least`` squared of the template's squared weight, hence
+so many different terms at least. Units that fail cannot reach the threshold and are not scored.
 
 A file without a notice of its own takes the licence of the nearest directory above it that has a
 licence file. Everything is Column expressions and joins.
@@ -40,7 +46,69 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("all-rights-reserved", "All rights reserved."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 ]
+_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+    "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. "
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission. "
+)
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+    "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER "
+    "OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+    "by the Free Software Foundation, either version {} of the License, or (at your option) any later version. This program is distributed "
+    "in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+    "PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public "
+    "License along with this program. If not, see "
+)
+# Licence texts and standard headers, without names and years.
+TEXTS = [
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+            "(the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+            "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+            "so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+            "substantial portions of the Software. " + _WARRANTY),
+    ("BSD-2-Clause", _BSD + _BSD_WARRANTY),
+    ("BSD-3-Clause", _BSD + _BSD_THIRD + _BSD_WARRANTY),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+            "that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR "
+            "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT "
+            "SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+            "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+            "THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. "
+                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
+                   "to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
+                   "ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the "
+                   "License."),
+    ("GPL-2.0", _GNU.format(2)),
+    ("GPL-3.0", _GNU.format(3)),
+]
+#: Adjacent lines of a notice at most; lines in header windows, and the lines that they may start at.
+NOTICE_LINES, HEADER_LINES, HEADER_STARTS = 3, (5, 8, 12, 16, 22, 32), 6
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 TOKEN = "[a-z0-9]+"
 
@@ -49,30 +117,44 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TOKEN), F.lit(0))
 
 
-def template_terms(templates: list[tuple[str, str]]) -> dict[str, Counter]:
-    return {name: Counter(re.findall(TOKEN, text.lower())) for name, text in templates}
+def template_terms(templates: list[tuple[str, str]]) -> list[tuple[str, Counter]]:
+    return [(name, Counter(re.findall(TOKEN, text.lower()))) for name, text in templates]
 
 
-def weights(terms: dict[str, Counter], lines: int, held: dict[str, int]) -> tuple[dict[str, float], float]:
+def weights(vocabulary: list[str], lines: int, held: dict[str, int]) -> tuple[dict[str, float], float]:
     """idf of each term, and the weight of all other tokens."""
-    vocabulary = {t for c in terms.values() for t in c}
     return {t: math.log((1 + lines) / (1 + held.get(t, 0))) + 1 for t in vocabulary}, math.log(1 + lines) + 1
 
 
-def needed(terms: dict[str, Counter], idf: dict[str, float], least: float) -> list[str]:
-    """Terms of which a line must have one to reach ``least`` for any template."""
+def _shares(counts: Counter, idf: dict[str, float]) -> list[tuple[float, str]]:
+    """(share of the template's squared weight, term), the lightest first."""
+    weight = {t: (n * idf[t]) ** 2 for t, n in counts.items()}
+    norm = sum(weight.values())
+    return sorted((w / norm, t) for t, w in weight.items())
+
+
+def needed(terms: list[tuple[str, Counter]], idf: dict[str, float], least: float) -> list[str]:
+    """Terms of which a unit must have one to reach ``least`` for any template."""
     out: set[str] = set()
-    for counts in terms.values():
-        weight = {t: n * idf[t] for t, n in counts.items()}
-        norm = sum(w * w for w in weight.values())
+    for _, counts in terms:
         spare = 0.0
-        for t in sorted(weight, key=lambda t: (weight[t], t)):
-            spare += weight[t] ** 2 / norm
+        for share, t in _shares(counts, idf):
+            spare += share
             if spare >= least * least * (1 - 1e-9):
                 out.add(t)
     return sorted(out)
 
 
+def fewest(counts: Counter, idf: dict[str, float], least: float) -> int:
+    """Different terms of a template that a unit must have to reach ``least``."""
+    held, n = 0.0, 0
+    for share, _ in reversed(_shares(counts, idf)):
+        if held >= least * least * (1 - 1e-9):
+            break
+        held, n = held + share, n + 1
+    return n
+
+
 def _directories(path: Column) -> Column:
     """All directories above a path, the nearest first; the last is ``''``."""
     parts = F.split(path, "/")
@@ -82,55 +164,103 @@ def _directories(path: Column) -> Column:
     )
 
 
+def _words(lines: list[str]) -> Column:
+    return F.array(*(F.lit(t) for t in lines))
+
+
+def _window(start: Column, n) -> Column:
+    """The tokens of ``n`` lines from line ``start`` on, counted from 0."""
+    return F.flatten(F.slice("lines", start + 1, n))
+
+
+def _notices(files: DataFrame, some: list[str]) -> DataFrame:
+    """(path, tokens) of all windows of one to NOTICE_LINES lines that hold one of the terms ``some``."""
+    marked = files.select("path", "lines", F.transform("lines", lambda t: F.arrays_overlap(t, _words(some))).alias("has"))
+    at = F.filter(F.transform("has", lambda h, i: F.when(h, i)), lambda i: i.isNotNull())
+    hits = marked.select("path", "lines", "has", F.explode(at).alias("at"))
+    windows = F.array(*(F.struct((F.col("at") - k).alias("start"), F.lit(n).alias("n")) for n in range(1, NOTICE_LINES + 1) for k in range(n)))
+    held = hits.select("path", "lines", "has", "at", F.inline(windows)).where("start >= 0 and start + n <= size(lines)")
+    # a window with several such lines is listed with the first of them
+    first = ~F.exists(F.slice("has", F.col("start") + 1, F.col("at") - F.col("start")), lambda h: h)
+    return held.where(first).select("path", _window(F.col("start"), F.col("n")).alias("tokens"))
+
+
+def _texts(files: DataFrame, terms: list[tuple[str, Counter]], idf: dict[str, float], least: float) -> DataFrame:
+    """(path, tokens) of header windows and whole licence files with enough terms of some template."""
+
+    def enough(tokens: Column) -> Column:
+        tests = [F.size(F.array_intersect(tokens, _words(sorted(c)))) >= fewest(c, idf, least) for _, c in terms]
+        return F.greatest(*tests) if len(tests) > 1 else tests[0]
+
+    name = F.element_at(F.split("path", "/"), -1)
+    whole = files.where(name.rlike(LICENCE_FILE)).select("path", F.flatten("lines").alias("tokens"))
+    reach = HEADER_STARTS - 1 + max(HEADER_LINES)
+    heads = files.where(enough(F.flatten(F.slice("lines", 1, reach))))
+    places = F.array(*(F.struct(F.lit(i).alias("start"), F.lit(n).alias("n")) for i in range(HEADER_STARTS) for n in HEADER_LINES))
+    # a window that reaches beyond the end is the rest of the file, once for each start
+    ends = [0, *HEADER_LINES]
+    held = heads.select("path", "lines", F.inline(places)).where("start < size(lines)")
+    shorter = F.element_at(F.array(*(F.lit(e) for e in ends)), F.array_position(F.array(*(F.lit(n) for n in HEADER_LINES)), F.col("n")).cast("int"))
+    held = held.where(F.col("start") + shorter < F.size("lines"))
+    windows = held.select("path", _window(F.col("start"), F.col("n")).alias("tokens"))
+    return whole.unionByName(windows).where(enough(F.col("tokens")))
+
+
+def _scored(units: DataFrame, terms: list[tuple[str, Counter]], idf: dict[str, float], other: float, least: float) -> DataFrame:
+    """(path, license, score) of the units that reach ``least`` for a template."""
+    spark = units.sparkSession
+    table = [
+        (i, name, t, n * idf[t] / math.sqrt(sum((m * idf[u]) ** 2 for u, m in counts.items())))
+        for i, (name, counts) in enumerate(terms) for t, n in counts.items()
+    ]
+    template = spark.createDataFrame(table, "template int, license string, token string, weight double")
+    idf_of = spark.createDataFrame(sorted(idf.items()), "token string, idf double")
+    units = materialize(units.select(F.monotonically_increasing_id().alias("unit"), "path", "tokens"), "units")
+    used = (
+        units.select("unit", F.explode("tokens").alias("token")).groupBy("unit", "token").agg(F.count("*").alias("tf"))
+        .join(idf_of, "token", "left").select("unit", "token", (F.col("tf") * F.coalesce("idf", F.lit(other))).alias("w"))
+    )
+    norm = used.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dot = used.join(template, "token").groupBy("unit", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    scored = dot.join(norm, "unit").select("unit", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    return scored.where(F.col("score") >= least).join(units.select("unit", "path"), "unit").select("path", "license", "score")
+
+
 def scan(
-    files: DataFrame, least: float = 0.8, templates: list[tuple[str, str]] = TEMPLATES, path_col: str = "path", text_col: str = "text"
-) -> DataFrame:
+    files: DataFrame, least: float = 0.8, templates: list[tuple[str, str]] = TEMPLATES, texts: list[tuple[str, str]] = TEXTS,
+    path_col: str = "path", text_col: str = "text",
+) -> DataFrame:
     """(path, license, score, via, found_in) of every row of ``files``.
 
-    ``via`` is ``own`` for the licence of the best line of the file itself, with its cosine rounded
+    ``via`` is ``own`` for the licence of the best unit of the file itself, with its cosine rounded
     to six decimals; ``directory`` for one taken from the licence file in the directory
     ``found_in``, the nearest above; else ``none`` with nulls. Ties go to the first name in
     alphabetical order. Rows with one path are one file. Of several licence files in a directory
-    the one with the best line counts.
+    the one with the best unit counts.
 
     Reads only the two named columns, so extra columns cannot clash. A null or empty text has no
     notice. A null path has no directory: such rows are one file without a place. Repeated rows
     stay; an empty table gives an empty result.
     """
     rows = files.select(F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
-    terms = template_terms(templates)
-    vocabulary = sorted({t for c in terms.values() for t in c})
-    lines = rows.select("path", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("path", tokens_of(F.col("line")).alias("tokens")).where("size(tokens) > 0")
+    short, long = template_terms(templates), template_terms(texts)
+    vocabulary = sorted({t for _, c in [*short, *long] for t in c})
+    lines = F.filter(F.transform(F.split("text", "\n"), tokens_of), lambda t: F.size(t) > 0)
+    lined = rows.select("path", lines.alias("lines"))
 
     # document frequencies over all lines; '' counts the lines themselves
-    known = F.array(*(F.lit(t) for t in vocabulary))
+    known = _words(vocabulary)
     held = {
         r["term"]: r["n"]
-        for r in lines.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect("tokens", known))).alias("term"))
+        for r in lined.select(F.explode("lines").alias("tokens"))
+        .select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect("tokens", known))).alias("term"))
         .groupBy("term").agg(F.count("*").alias("n")).collect()
     }
-    idf, other = weights(terms, held.pop("", 0), held)
-    some = F.array(*(F.lit(t) for t in needed(terms, idf, least)))
-    notices = lines.where(F.arrays_overlap("tokens", some)).select(F.monotonically_increasing_id().alias("line"), "path", "tokens")
-    notices = materialize(notices, "notices")
-
-    table = [
-        (name, t, n * idf[t] / math.sqrt(sum((m * idf[u]) ** 2 for u, m in counts.items()))) for name, counts in terms.items() for t, n in counts.items()
-    ]
-    spark = files.sparkSession
-    template = spark.createDataFrame(table, "license string, token string, weight double")
-    idf_of = spark.createDataFrame(sorted(idf.items()), "token string, idf double")
-    used = (
-        notices.select("line", F.explode("tokens").alias("token")).groupBy("line", "token").agg(F.count("*").alias("tf"))
-        .join(idf_of, "token", "left").select("line", "token", (F.col("tf") * F.coalesce("idf", F.lit(other))).alias("w"))
-    )
-    norm = used.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dot = used.join(template, "token").groupBy("line", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    idf, other = weights(vocabulary, held.pop("", 0), held)
+    notices = _scored(_notices(lined, needed(short, idf, least)), short, idf, other, least)
+    whole = _scored(_texts(lined, long, idf, least), long, idf, other, least)
     scored = (
-        dot.join(norm, "line").select("line", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= least)
-        .join(notices.select("line", "path"), "line")
-        .groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
+        notices.unionByName(whole).groupBy("path").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
         .select("path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
     )
     own = materialize(scored, "licensed")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import TEMPLATES
+from .licenses import HEADER_LINES, HEADER_STARTS, NOTICE_LINES, TEMPLATES, TEXTS
 
 _HOST = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
@@ -21,29 +21,36 @@ SELECT c.page_id, host, path, rule,
   coalesce(v, CASE WHEN listed.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM c LEFT JOIN fit USING (page_id) LEFT JOIN listed ON c.canon = listed.canon"""
 
-_VALUES = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
+_VALUES = ", ".join(f"({i}, '{name}', '{text}', {i < len(TEMPLATES)})" for i, (name, text) in enumerate([*TEMPLATES, *TEXTS]))
 _TOKENS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')"
 
 LICENSES = rf"""
 WITH files AS (SELECT doc_id, text, concat_ws('/', source, doc_id // 1000,
     CASE WHEN doc_id % 1000 = 0 THEN 'LICENSE' WHEN doc_id % 50 = 0 THEN concat(doc_id // 50, '/LICENSE')
     ELSE concat(doc_id // 50, '/', doc_id, '.txt') END) AS path FROM documents),
-l AS (SELECT path, {_TOKENS.format('line')} AS toks FROM (SELECT path, unnest(string_split(text, chr(10))) AS line FROM files)),
-ln AS (SELECT row_number() OVER () AS line, path, toks FROM l WHERE len(toks) > 0),
-tpl(license, text) AS (VALUES {_VALUES}),
-tt AS (SELECT license, unnest({_TOKENS.format('text')}) AS token FROM tpl),
-tc AS (SELECT license, token, count(*) AS n FROM tt GROUP BY ALL),
-use AS (SELECT line, path, unnest(toks) AS token FROM ln),
-tf AS (SELECT line, path, token, count(*) AS n FROM use GROUP BY ALL),
-df AS (SELECT token, count(*) AS d FROM tf WHERE token IN (SELECT token FROM tc) GROUP BY token),
-total AS (SELECT count(*) AS lines FROM ln),
+ln AS (SELECT doc_id, path, list_filter(list_transform(string_split(text, chr(10)), lambda x: {_TOKENS.format('x')}), lambda t: len(t) > 0) AS ls
+  FROM files WHERE text IS NOT NULL),
+l AS (SELECT unnest(ls) AS toks FROM ln),
+tpl(id, license, text, short) AS (VALUES {_VALUES}),
+tt AS (SELECT id, license, short, unnest({_TOKENS.format('text')}) AS token FROM tpl),
+tc AS (SELECT id, license, short, token, count(*) AS n FROM tt GROUP BY ALL),
+df AS (SELECT token, count(*) AS d FROM (SELECT unnest(list_distinct(toks)) AS token FROM l) WHERE token IN (SELECT token FROM tc) GROUP BY token),
+total AS (SELECT count(*) AS lines FROM l),
 idf AS (SELECT DISTINCT tc.token, ln((1 + lines) / (1 + coalesce(d, 0))) + 1 AS idf FROM tc LEFT JOIN df USING (token), total),
-w AS (SELECT line, path, token, n * coalesce(idf, ln(1 + lines) + 1) AS w FROM tf LEFT JOIN idf USING (token), total),
+win AS (SELECT path, true AS short, ls[i:i + n - 1] AS w FROM (SELECT path, ls, unnest(range(1, len(ls) + 1)) AS i FROM ln), range(1, {NOTICE_LINES + 1}) x(n)
+    WHERE i + n - 1 <= len(ls)
+  UNION ALL SELECT path, false, ls[i:i + n - 1] FROM ln, range(1, {HEADER_STARTS + 1}) y(i), (SELECT unnest({list(HEADER_LINES)}) AS n) WHERE i <= len(ls)
+  UNION ALL SELECT path, false, ls FROM ln WHERE path LIKE '%/LICENSE' AND len(ls) > 0),
+unit AS (SELECT row_number() OVER () AS line, path, short, flatten(w) AS toks FROM win),
+-- a unit needs terms of a template; the others cannot reach the threshold
+cand AS (SELECT * FROM unit WHERE len(list_intersect(toks, (SELECT list(DISTINCT token) FROM tc))) > 0),
+tf AS (SELECT line, path, short, token, count(*) AS n FROM (SELECT line, path, short, unnest(toks) AS token FROM cand) GROUP BY ALL),
+w AS (SELECT line, path, short, token, n * coalesce(idf, ln(1 + lines) + 1) AS w FROM tf LEFT JOIN idf USING (token), total),
 norm AS (SELECT line, path, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL),
-tw AS (SELECT license, token, n * idf AS x FROM tc JOIN idf USING (token)),
-tn AS (SELECT license, sqrt(sum(x * x)) AS tnorm FROM tw GROUP BY license),
+tw AS (SELECT id, license, short, token, n * idf AS x FROM tc JOIN idf USING (token)),
+tn AS (SELECT id, sqrt(sum(x * x)) AS tnorm FROM tw GROUP BY id),
 s AS (SELECT norm.path, license, round(sum(w * x / tnorm) / norm, 6) AS score
-  FROM w JOIN tw USING (token) JOIN tn USING (license) JOIN norm USING (line) GROUP BY line, norm.path, license, norm),
+  FROM w JOIN tw USING (token, short) JOIN tn USING (id) JOIN norm USING (line) GROUP BY line, norm.path, id, license, norm),
 own AS (SELECT path, arg_min(license, (-score, license)) AS license, max(score) AS score FROM s WHERE score >= 0.8 GROUP BY path),
 place AS (SELECT regexp_replace(path, '/LICENSE$', '') AS dir, license FROM own WHERE path LIKE '%/LICENSE'),
 up AS (SELECT path, license, dir, row_number() OVER (PARTITION BY path ORDER BY length(dir) DESC) AS r

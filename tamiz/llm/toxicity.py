@@ -124,15 +124,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
     """(score of each table row, bias): what the trained model adds to the log-odds of label 1.
 
     Learned on the driver from at most ``sample`` rows of each label, those that are not held out,
-    have at most ``longest`` characters and the smallest hash of their id.
+    have at most ``longest`` characters and the smallest hash of their id. Rows equal in id, label and text count
+    once, so repeated ids change no bound.
     """
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").distinct()
-    size = rows.select("id", F.length("text").alias("chars")).where(
+    size = rows.select("id", "h", F.length("text").alias("chars")).where(
         F.col("id").isNotNull() & ~held_out("id") & (F.col("chars") > 0) & (F.col("chars") <= longest)
     )
-    chosen = first_by_hash(size.join(known, "id").select("id", "toxic").distinct(), "toxic", sample)
-    picked = rows.where(F.length("text") <= longest).join(F.broadcast(chosen.select("id", "toxic")), "id").select("id", "toxic", "text")
+    chosen = first_by_hash(size.join(known, "id").select("id", "toxic", "h").distinct(), "toxic", sample, "h")
+    picked = rows.where(F.length("text") <= longest).join(F.broadcast(chosen.select("id", "toxic", "h")), ["id", "h"])
+    picked = picked.dropDuplicates(["id", "toxic", "h"]).select("id", "toxic", "text")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
