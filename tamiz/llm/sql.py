@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from .licenses import HEADER_LINES, HEADER_STARTS, NOTICE_LINES, TEMPLATES, TEXTS
+from .url_filter import TRACKING
 
 _HOST = r"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
 
+_QUERY = r"coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '')"
+
 URL_FILTER = rf"""
 WITH p AS (
   SELECT page_id, url, coalesce({_HOST}, '') AS host, coalesce({_PATH}, '') AS path FROM pages),
-c AS (SELECT *, CASE WHEN host <> '' THEN
-    concat(regexp_replace(host, '^www\.', ''), regexp_replace(path, '(\.html)?/*$', '')) END AS canon FROM p),
+c AS (SELECT *, CASE WHEN host <> '' THEN concat(regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)?$', ''),
+    regexp_replace(path, '(\.html)?/*$', ''), CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END) END AS canon
+  FROM (SELECT *, list_sort(list_filter(string_split({_QUERY}, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '{TRACKING}'))) AS kept FROM p)),
 listed AS (SELECT DISTINCT canon FROM c WHERE contains(url, 'utm_source=') AND canon IS NOT NULL),
 rules(rhost, rpath, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
   ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),

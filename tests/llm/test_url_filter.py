@@ -18,27 +18,36 @@ def parts(url):
     return host.translate(str.maketrans(url_filter.UPPER, url_filter.LOWER)), path
 
 
+TRACKING = {"gclid", "dclid", "fbclid", "msclkid", "yclid", "mc_cid", "mc_eid", "igshid"}
+
+
 def canon(url):
     host, path = parts(url)
-    return re.sub(r"^www\.", "", host) + re.sub(r"(\.html)?/*$", "", path, count=1) if host else None
+    if not host:
+        return None
+    rest = url.split("://", 1)[1].split("#")[0]
+    query = rest.split("?", 1)[1].split("&") if "?" in rest else []
+    kept = sorted(x for x in query if x and x.split("=")[0] not in TRACKING and not x.split("=")[0].startswith("utm_"))
+    host = re.sub(r":(80|443)?$", "", re.sub(r"^www\.", "", host))
+    return host + re.sub(r"(\.html)?/*$", "", path, count=1) + ("?" + "&".join(kept) if kept else "")
 
 
-def brute(pages, listed):
+def brute(pages, listed, rules=RULES):
     block = {canon(u) for u in listed} - {None}
     out = []
     for i, url in pages:
         host, path = parts(url)
-        fits = [(len(h + p), h + p, v) for h, p, v in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-        rule, verdict = max(fits)[1:] if fits else (None, "block" if canon(url) in block else "allow")
+        fits = [(len(h + p), -k, h + p, v) for k, (h, p, v) in enumerate(rules) if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule, verdict = max(fits)[2:] if fits else (None, "block" if canon(url) in block else "allow")
         out.append((i, host, path, rule, verdict))
     return sorted(out, key=repr)
 
 
 def test_against_plain_python(spark):
     rnd = random.Random(2)
-    hosts = ["example.com", "WWW.Example.com", "a.example.com", "notexample.com", "x.net", "net", "b.org", "www.b.org", "com", "É.org", ""]
+    hosts = ["example.com", "WWW.Example.com", "a.example.com", "notexample.com", "x.net", "net", "b.org", "www.b.org", "com", "É.org", "", "b.org:80", "www.b.org:443", "b.org:8080", "b.org:"]
     paths = ["", "/", "/en", "/en/", "/EN/1", "/es/2.html", "/fr/3/", "/de//", "/q.html/", "/es/2"]
-    tails = ["", "?a=b", "#x", "?u=http://c.com/en/", "/x?y#z"]
+    tails = ["", "?a=b", "#x", "?u=http://c.com/en/", "/x?y#z", "?utm_source=f", "?b=1&a=2&gclid=q", "?a=2&&b=1#?c"]
     urls = [f"http{rnd.choice(['', 's'])}://{h}{p}{rnd.choice(tails)}" for h in hosts for p in paths]
     pages = list(enumerate(urls)) + [(900, None), (901, ""), (902, "b.org/x"), (903, "://"), (904, "a://b://c"), (None, urls[70]), (5, urls[5]),
                                      (905, "http://b.org/" + "x" * 100_000), (906, "http://b.org/line\nbreak?q")]
@@ -53,6 +62,27 @@ def test_against_plain_python(spark):
     assert sorted(map(tuple, alone.collect()), key=repr) == brute(pages, [])
 
 
+def test_canonical_forms():
+    assert canon("http://a.org/item?id=1") != canon("http://a.org/item?id=2")
+    assert canon("http://www.a.org:80/x.html?utm_source=f&b=2&a=1#z") == canon("https://a.org/x?a=1&b=2")
+
+
+def test_thousands_of_rules(spark):
+    """More rules than any expression holds, several for one host and path, and equally long ones."""
+    rnd = random.Random(6)
+    hosts = [f"h{i}.{z}" for i in range(150) for z in ("com", "org")]
+    rules = [(rnd.choice(hosts), "/" + "".join(rnd.choice("ab/") for _ in range(rnd.randrange(6))), rnd.choice(["allow", "block"])) for _ in range(5000)]
+    rules += [("com", "/", "block"), ("com", "/", "allow"), ("x.h1.com", "/a", "allow"), ("h1.com", "/a/a", "block"), ("h1.com", "/aab", "allow")]
+    pages = [(i, f"http://{rnd.choice(['', '', 'x.', 'www.'])}{rnd.choice(hosts)}/{''.join(rnd.choice('ab/') for _ in range(rnd.randrange(9)))}") for i in range(1500)]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    got = url_filter.judge(frame, frame.where("page_id % 5 = 0").select("url"), rules)
+    want = brute(pages, [u for i, u in pages if i % 5 == 0], rules)
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    assert sum(r[3] is not None for r in want) > 900
+    table = url_filter.rules_table(spark, rules)
+    assert sorted(map(tuple, url_filter.judge(frame, frame.limit(0).select("url"), table).collect()), key=repr) == brute(pages, [], rules)
+
+
 def test_filter_passes_all_listed_and_few_others(spark):
     listed = spark.range(5000).select(F.concat(F.lit("h/"), "id").alias("canon"))
     blocks = url_filter.block_count(5000)
