@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions import text
 from tamiz.operators import consistency, duplicates, expectations as ex, places, profile, repeated
-from tamiz.plans import cleaning, rules as r
+from tamiz.plans import rules as r
 
 from . import duck as d
 from .fixtures import CATALOG, DIRTY_TEXT, REGIONAL, RULES, SCHOOLS, duck, fixture, table
