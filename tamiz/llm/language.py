@@ -221,7 +221,7 @@ class Model:
         return names.tolist(), shares
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """(first row, texts) of about SLICE bytes each."""
     size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
@@ -333,7 +333,7 @@ def predict(
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)
         for batch in parts:
-            for at, texts in _slices(batch.column(1)):
+            for at, texts in slices(batch.column(1)):
                 names, shares = model.score(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)), pa.array(names, pa.string()), pa.array(shares)], names=["doc_id", "lang_pred", "score"]
@@ -365,7 +365,7 @@ def accept(docs: DataFrame, model_path: str, sample: int = SAMPLE) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)
         for batch in parts:
-            for at, texts in _slices(batch.column(place)):
+            for at, texts in slices(batch.column(place)):
                 if languages:
                     keep = [name != "und" for name in model.score(texts)[0]]
                 else:
