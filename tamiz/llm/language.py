@@ -8,6 +8,7 @@ backward passes give the expected number of times that a piece is used in each l
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ ROUNDS, SMOOTHING = 2, 500.0
 #: Tokens kept with their scores per Python worker; longer ones are scored each time.
 KEPT_TOKENS, KEPT_CHARS = 200_000, 40
 #: Bytes of text scored at a time.
-SLICE = 1 << 23
+SLICE = 1 << 22
 #: Ids with this remainder of crc32 modulo 3 are held out.
 HELD_OUT = 1
 
@@ -261,23 +262,28 @@ def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str =
     gets a number for each piece and language, as many as the vocabulary and the languages allow.
     """
     text = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    rows = text.select("id", "lang", F.xxhash64("text").alias("h"))
-    learnable = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id")).distinct()
-    chosen = small(materialize(first_by_hash(learnable, "lang", sample, "h").select("id", "lang", "h"), "sample"))
     text = text.withColumn("h", F.xxhash64("text"))
+    rows = text.select("id", "lang", "h")
+    learnable = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out("id")).groupBy("id", "lang", "h").agg(F.count("*").alias("copies"))
+    chosen = small(materialize(first_by_hash(learnable, "lang", sample, "h").select("id", "lang", "h", "copies"), "sample"))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            langs, words = [], []
-            for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = words_of(t)
-                langs += [lang] * len(found)
-                words += found
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string())], names=["lang", "word"])
+            for at in range(0, batch.num_rows, 200):
+                some = batch.slice(at, 200)
+                held: dict[tuple[str, str], float] = defaultdict(float)
+                for lang, t, copies in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                    for w in words_of(t):
+                        held[lang, w] += 1.0 / copies
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in held], pa.string()), pa.array([w for _, w in held], pa.string()), pa.array(list(held.values()), pa.float64())],
+                    names=["lang", "word", "n"],
+                )
 
+    # each of a row's copies counts for its part: together they are one row
     counts = (
-        text.join(chosen, ["id", "lang", "h"]).dropDuplicates(["id", "lang", "h"]).select("lang", "text").mapInArrow(count, "lang string, word string")
-        .groupBy("lang", "word").agg(F.count("*").alias("n"))
+        text.join(chosen, ["id", "lang", "h"]).select("lang", "text", "copies").mapInArrow(count, "lang string, word string, n double")
+        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
     counts = materialize(counts, "words")
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())

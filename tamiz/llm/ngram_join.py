@@ -377,16 +377,19 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     ends = levels(num, den, largest)
 
     # 2. groups of similar sets: the most typical set of each min-hash bucket
-    bucket = sets.select("rep", "n", "mins", F.posexplode("mins").alias("slot", "value"))
+    # buckets hold numbers only; the min-hashes are fetched once for each pair of a set and a lead
+    bucket = sets.select("rep", F.posexplode("mins").alias("slot", "value"))
     held = bucket.groupBy("slot", "value").agg(F.count("*").alias("held")).where("held > 1")
     shared = materialize(bucket.join(held, ["slot", "value"]), "buckets")
     typical = shared.groupBy("rep").agg(F.sum(F.log2("held")).alias("weight"))
     shared = shared.join(typical, "rep")
-    lead = shared.groupBy("slot", "value").agg(F.max(F.struct("weight", "rep", "n", "mins")).alias("lead"))
-    equal = F.size(F.filter(F.zip_with("mins", "lead.mins", lambda x, y: x == y), lambda e: e))
+    lead = shared.groupBy("slot", "value").agg(F.max(F.struct("weight", "rep")).alias("lead"))
+    pairs = shared.join(lead, ["slot", "value"]).where(F.col("rep") != F.col("lead.rep")).select("rep", "lead").distinct()
+    mins = sets.select("rep", "mins")
+    both = pairs.join(mins, "rep").join(mins.select(F.col("rep").alias("lead_rep"), F.col("mins").alias("lead_mins")), F.col("lead.rep") == F.col("lead_rep"))
+    equal = F.size(F.filter(F.zip_with("mins", "lead_mins", lambda x, y: x == y), lambda e: e))
     group = (
-        shared.join(lead, ["slot", "value"]).where((F.col("rep") != F.col("lead.rep")) & (equal >= RESEMBLES))
-        .groupBy("rep").agg(F.max(F.struct("lead.weight", "lead.rep")).alias("lead"))
+        both.where(equal >= RESEMBLES).groupBy("rep").agg(F.max("lead").alias("lead"))
         .select(F.col("rep").alias("node"), F.col("lead.rep").alias("root"))
     )
     name = ["rep", "doc_id", "k1", "k2", "n"]
