@@ -63,6 +63,8 @@ def write_snapshot(
     reject table and end nothing.
     """
     number = snapshots.current(spark, root) + 1
+    for kind in ("data", "rejects"):  # what a run that ended early may have left
+        snapshots.delete(spark, snapshots.batch_path(root, kind, number))
     docs = _read(spark, todo, charset)
     if todo.isEmpty():
         read = spark.createDataFrame([], snapshots.FILES)
