@@ -1,7 +1,8 @@
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tamiz.functions import codes, text
-from tamiz.functions.similarity import indel_similarity, lcs_length, token_sort
+from tamiz.functions.similarity import indel_similarity, lcs_lengths, token_sort
 
 
 def test_normalize_text(one):
@@ -72,9 +73,8 @@ def test_district_classes(one):
 
 def test_token_sort_and_lcs(one):
     assert one(token_sort, ["b  a C", "", " x "]) == ["C a b", "", "x"]
-    assert lcs_length("AGCAT", "GAC") == 2
-    assert lcs_length("", "abc") == 0
-    assert lcs_length("abc", "abc") == 3
+    a, b = pd.Series(["AGCAT", "", "abc"]), pd.Series(["GAC", "abc", "abc"])
+    assert lcs_lengths(a, b).tolist() == [2, 0, 3]
 
 
 def test_similarity_udf(spark):
