@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from tamiz.runtime import materialize
 
 from .components import small
-from .worker import kept
+from .worker import kept, trimmed
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Training rows for each language, chosen by a hash of the id: the bound of the sample.
@@ -282,7 +282,7 @@ def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str =
 
     # each of a row's copies counts for its part: together they are one row
     counts = (
-        text.join(chosen, ["id", "lang", "h"]).select("lang", "text", "copies").mapInArrow(count, "lang string, word string, n double")
+        text.join(chosen, ["id", "lang", "h"]).select("lang", "text", "copies").mapInArrow(trimmed(count), "lang string, word string, n double")
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
     counts = materialize(counts, "words")
@@ -307,7 +307,7 @@ def train(docs: DataFrame, model_path: str, sample: int = SAMPLE, id_col: str =
                         [pa.array([number[lang]] * len(used), pa.int32()), pa.array(used), pa.array(uses[used])], names=["lang", "piece", "uses"]
                     )
 
-        uses = counts.select("lang", "word", "n").mapInArrow(expect, "lang int, piece long, uses double")
+        uses = counts.select("lang", "word", "n").mapInArrow(trimmed(expect), "lang int, piece long, uses double")
         for r in uses.groupBy("lang", "piece").agg(F.sum("uses").alias("uses")).collect():
             total[r["piece"], r["lang"]] = r["uses"]
         mean = total.sum(axis=1) + 0.1
@@ -346,7 +346,7 @@ def predict(
                 )
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, lang_pred string, score double"
+        trimmed(run), f"doc_id {id_type}, lang_pred string, score double"
     )
 
 
@@ -378,4 +378,4 @@ def accept(docs: DataFrame, model_path: str, sample: int = SAMPLE) -> DataFrame:
                     keep = [bool(words_of(t)) for t in texts.to_pylist()]
                 yield batch.slice(at, len(texts)).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

@@ -33,6 +33,7 @@ from tamiz.runtime import materialize
 from .cells import groups, joined
 from .components import components, small
 from .words import Words, batches, mix, signed, windows
+from .worker import trimmed
 
 _U = np.uint64
 _FACTOR = 0xD6E8FEB86659FD93
@@ -157,7 +158,7 @@ def _index(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             if n:
                 yield out()
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, mins array<long>, blocks array<long>")
+    return docs.mapInArrow(trimmed(run), "doc_id long, n long, k1 long, k2 long, mins array<long>, blocks array<long>")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def _shared(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(block[keep]), pa.array(k[keep])], names=["block", "k1"])
 
     parts = rows.repartition("block").sortWithinPartitions("block", "k1")
-    return parts.mapInArrow(run, "block long, k1 long")
+    return parts.mapInArrow(trimmed(run), "block long, k1 long")
 
 
 def _keyed(docs: DataFrame, words: int, *carry: str) -> DataFrame:
@@ -206,7 +207,7 @@ def _keyed(docs: DataFrame, words: int, *carry: str) -> DataFrame:
     schema = T.StructType().add("k1", "long").add("k2", "long").add("tokens", T.ArrayType(T.LongType()))
     for c in carry:
         schema = schema.add(docs.schema[c])
-    return docs.select("text", *carry).mapInArrow(run, schema)
+    return docs.select("text", *carry).mapInArrow(trimmed(run), schema)
 
 
 def _tokens(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
@@ -299,7 +300,7 @@ def _compared(cells: DataFrame, num: int, den: int) -> DataFrame:
                 moved = np.flatnonzero(least != np.arange(len(rep)))
                 yield pa.RecordBatch.from_arrays([pa.array(rep[moved]), pa.array(rep[least[moved]])], names=["a", "b"])
 
-    return cells.mapInArrow(run, "a long, b long")
+    return cells.mapInArrow(trimmed(run), "a long, b long")
 
 
 def _cells(docs: DataFrame, words: int, sets: DataFrame, opened: DataFrame) -> DataFrame:
@@ -456,7 +457,7 @@ def _fingerprinted(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
     schema = docs.toDF(*names[:-2]).schema.add("k1_", "long").add("k2_", "long")
-    return docs.mapInArrow(run, schema).toDF(*docs.columns, "k1_", "k2_")
+    return docs.mapInArrow(trimmed(run), schema).toDF(*docs.columns, "k1_", "k2_")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
