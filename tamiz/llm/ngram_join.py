@@ -44,8 +44,8 @@ _TURN = np.random.default_rng(11).integers(1, 1 << 62, MIN_HASHES, dtype=np.uint
 SPARE = 3
 #: Equal min-hashes that let a set join the group of a typical set; any partition gives the same links.
 RESEMBLES = 6
-#: Sets are never larger: levels of sizes end there.
-LARGEST = 1 << 40
+#: Bits of a fingerprint that token blocks do without.
+KEY_SHIFT = 24
 #: A group's token union is stored in parts of at most about so many tokens.
 UNION_PART = 1 << 16
 #: A block of a group's members or queries; token columns multiplied at a time.
@@ -117,52 +117,55 @@ def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def _index(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, k1, k2, mins, blocks) of every row; an empty set has no k1 and k2.
-
-    Texts are read and cut into tokens here once; of equal sets in a batch one has its blocks.
-    """
-    ends = levels(num, den, LARGEST)
+def _index(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n, k1, k2, mins) of every row; an empty set has no k1, k2 and mins."""
 
     def run(parts):
         for batch in parts:
-            at, seen = 0, set()
-            n, k1, k2, mins, found, held = [], [], [], [], [], 0
-
-            def out():
-                nonlocal at, n, k1, k2, mins, found, held
-                size = np.array([len(x) for x in found], dtype=np.int64)
-                cuts = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
-                values = signed(np.concatenate(found)) if held else np.zeros(0, dtype=np.int64)
-                part = pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(n)), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                     pa.array(mins, pa.list_(pa.int64())), pa.ListArray.from_arrays(cuts, pa.array(values))],
-                    names=["doc_id", "n", "k1", "k2", "mins", "blocks"],
-                )
-                at += len(n)
-                n, k1, k2, mins, found, held = [], [], [], [], [], 0
-                return part
-
+            n, k1, k2, mins = [], [], [], []
             for tokens in token_sets(batch.column(1), words):
                 key = fingerprint(tokens) if len(tokens) else (None, None)
                 n.append(len(tokens))
                 k1.append(key[0])
                 k2.append(key[1])
                 mins.append(signed(np.array([(tokens * t).min() for t in _TURN])) if len(tokens) else None)
-                new = len(tokens) and key not in seen
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(mins, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "k1", "k2", "mins"],
+            )
+
+    return docs.mapInArrow(trimmed(run), "doc_id long, n long, k1 long, k2 long, mins array<long>")
+
+
+def _blocks(docs: DataFrame, words: int, num: int, den: int, largest: int) -> DataFrame:
+    """(block, key) of every row, one row for each block; of equal sets in a batch one sends its blocks.
+
+    ``key`` is the upper part of k1, which most often tells sets apart.
+    """
+    ends = levels(num, den, largest)
+
+    def run(parts):
+        for batch in parts:
+            found, keys, held, seen = [], [], 0, set()
+            for tokens in token_sets(batch.column(0), words):
+                key = fingerprint(tokens) if len(tokens) else None
+                if key is None or key in seen:
+                    continue
                 seen.add(key)
-                found.append(blocks(tokens, ends, num, den) if new else np.zeros(0, dtype=np.uint64))
+                found.append(blocks(tokens, ends, num, den))
+                keys.append(np.full(len(found[-1]), key[0] >> KEY_SHIFT, dtype=np.int64))
                 held += len(found[-1])
-                if held > 500_000:
-                    yield out()
-            if n:
-                yield out()
+                if held > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found))), pa.array(np.concatenate(keys))], names=["block", "key"])
+                    found, keys, held = [], [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found))), pa.array(np.concatenate(keys))], names=["block", "key"])
 
-    return docs.mapInArrow(trimmed(run), "doc_id long, n long, k1 long, k2 long, mins array<long>, blocks array<long>")
+    return docs.select("text").mapInArrow(trimmed(run), "block long, key long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """(block, k1) of the ``rows`` (block, k1) whose block is in another set too, each once.
+    """(block, key) of the ``rows`` (block, key) whose block is in another set too, each once.
 
     One pass over rows sorted by block: neighbours are compared, nothing is held but the last row.
     """
@@ -183,10 +186,10 @@ def _shared(rows: DataFrame) -> DataFrame:
                 keep[0] = False
             told = bool(keep[-1]) or (len(block) == 1 and last is not None and told)
             last = (block[-1], k[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(block[keep]), pa.array(k[keep])], names=["block", "k1"])
+            yield pa.RecordBatch.from_arrays([pa.array(block[keep]), pa.array(k[keep])], names=["block", "key"])
 
-    parts = rows.repartition("block").sortWithinPartitions("block", "k1")
-    return parts.mapInArrow(trimmed(run), "block long, k1 long")
+    parts = rows.repartition("block").sortWithinPartitions("block", "key")
+    return parts.mapInArrow(trimmed(run), "block long, key long")
 
 
 def _keyed(docs: DataFrame, words: int, *carry: str) -> DataFrame:
@@ -368,7 +371,7 @@ def classes(
 def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n, k1, k2, root, component_id): root names the class of a set, also of one without an id."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    index = materialize(_index(docs, words, num, den), "index")
+    index = materialize(_index(docs, words), "index")
     narrow = index.select("doc_id", "n", "k1", "k2")
     distinct = index.where("k1 is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("mins").alias("mins")
@@ -399,9 +402,10 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     sets = materialize(sets.join(several, "g").select(*name, "g", "several"), "grouped")
 
     # 3. matrix of token blocks and groups, rows that occur in one set only left out
-    rows = _shared(index.select(F.explode("blocks").alias("block"), "k1"))
-    # a set whose first half of the fingerprint is another's too brings both: too many candidates, never too few
-    matrix = materialize(rows.join(sets.select("k1", "rep", "n", "g", "several"), "k1").drop("k1"), "matrix")
+    rows = _shared(_blocks(docs, words, num, den, largest))
+    # a set that shares its key with another one brings both: too many candidates, never too few
+    keyed = sets.select(F.shiftright("k1", KEY_SHIFT).alias("key"), "rep", "n", "g", "several")
+    matrix = materialize(rows.join(keyed, "key").drop("key"), "matrix")
     # groups hold most shared rows alone
     between = matrix.groupBy("block").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("block")
     matrix = materialize(matrix.join(between, "block"), "between")

@@ -119,7 +119,7 @@ def test_shared_rows_across_batches(spark):
     try:
         for size in ("1", "2", "7", "10000"):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-            got = [tuple(r) for r in ngram_join._shared(spark.createDataFrame(rows, "block long, k1 long")).collect()]
+            got = [tuple(r) for r in ngram_join._shared(spark.createDataFrame(rows, "block long, key long")).collect()]
             want = {(b, k) for b, k in rows if len({k2 for b2, k2 in rows if b2 == b}) > 1}
             assert sorted(got) == sorted(want)
     finally:
