@@ -192,39 +192,50 @@ def _shared(rows: DataFrame) -> DataFrame:
     return parts.mapInArrow(trimmed(run), "block long, key long")
 
 
-def _keyed(docs: DataFrame, words: int, *carry: str) -> DataFrame:
-    """(k1, k2, tokens, carry) of the rows of ``docs`` that have a word."""
+def _keyed(docs: DataFrame, words: int) -> DataFrame:
+    """(k1, k2, tokens) of the rows of ``docs`` that have a word."""
 
     def run(parts):
         for batch in parts:
             sets = list(token_sets(batch.column(0), words))
             keep = [i for i, t in enumerate(sets) if len(t)]
             keys = [fingerprint(sets[i]) for i in keep]
-            kept = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
-                 pa.array([signed(sets[i]) for i in keep], pa.list_(pa.int64())), *kept.columns[1:]],
-                names=["k1", "k2", "tokens", *carry],
+                 pa.array([signed(sets[i]) for i in keep], pa.list_(pa.int64()))],
+                names=["k1", "k2", "tokens"],
             )
 
-    schema = T.StructType().add("k1", "long").add("k2", "long").add("tokens", T.ArrayType(T.LongType()))
-    for c in carry:
-        schema = schema.add(docs.schema[c])
-    return docs.select("text", *carry).mapInArrow(trimmed(run), schema)
+    return docs.select("text").mapInArrow(trimmed(run), "k1 long, k2 long, tokens array<long>")
 
 
 def _tokens(docs: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """(rep, tokens, ...) of the wanted (rep, doc_id, k1, k2, ...), one row for each.
+    """(rep, tokens, ...) of the wanted (rep, doc_id, k1, k2, ...), one row for each; repeated rows give repeated sets.
 
     The texts of the wanted ids are read again; sets that only rows with a null id have are found by their
     fingerprint among those. Ids alone are broadcast, if at all.
     """
     rest = [c for c in wanted.columns if c not in ("rep", "doc_id", "k1", "k2")]
+    names = ["rep", "tokens", *rest]
+
+    def run(parts):
+        for batch in parts:
+            keep, packed = [], []
+            wants = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for i, (want, tokens) in enumerate(zip(wants, token_sets(batch.column(0), words), strict=True)):
+                if len(tokens) and fingerprint(tokens) == want:
+                    keep.append(i)
+                    packed.append(signed(tokens))
+            kept = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(3), pa.array(packed, pa.list_(pa.int64())), *kept.columns[4:]], names=names)
+
+    schema = T.StructType().add("rep", "long").add("tokens", T.ArrayType(T.LongType()))
+    for c in rest:
+        schema = schema.add(wanted.schema[c])
     known = wanted.where("doc_id is not null").withColumnRenamed("doc_id", "wanted_id")
     ids = known.select(F.col("wanted_id").alias("doc_id")).distinct()
-    found = _keyed(docs.join(small(ids), "doc_id", "left_semi"), words, "doc_id").withColumnRenamed("doc_id", "found_id")
-    on = (F.col("found_id") == F.col("wanted_id")) & (found["k1"] == known["k1"]) & (found["k2"] == known["k2"])
-    out = known.join(found, on).select("rep", "tokens", *rest)
+    rows = docs.join(small(ids), "doc_id", "left_semi").join(known, F.col("doc_id") == F.col("wanted_id"))
+    out = rows.select("text", "k1", "k2", "rep", *rest).mapInArrow(trimmed(run), schema)
     unnamed = wanted.where("doc_id is null").drop("doc_id")
     if not unnamed.isEmpty():
         lost = _keyed(docs.where("doc_id is null"), words).join(small(unnamed.select("k1", "k2")), ["k1", "k2"], "left_semi")
@@ -325,9 +336,8 @@ def _cells(docs: DataFrame, words: int, sets: DataFrame, opened: DataFrame) -> D
     )
     rows = members.unionByName(asking).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
     place = F.struct("g", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "member").alias("cell")
-    rows = materialize(rows.select(*name, place), "places")
-    wanted = materialize(rows.select(*name).distinct(), "wanted")
-    cells = rows.select("rep", "cell").join(_tokens(docs, words, wanted), "rep").select("cell.*", "rep", "tokens")
+    wanted = materialize(rows.select(*name, place).groupBy(*name).agg(F.collect_list("cell").alias("cells")), "wanted")
+    cells = _tokens(docs, words, wanted).select("rep", "tokens", F.explode("cells").alias("c")).select("c.*", "rep", "tokens")
     return cells.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
 
 
