@@ -15,12 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .language import first_by_hash, held_out, slices
+from .language import first_by_hash, held_out
 from .worker import kept
 
 #: The bound of the training sample: rows for each label, and the longest text among them.
@@ -33,9 +32,7 @@ LEAST_TEXTS = 20
 STILL = 50
 #: A row is predicted toxic from this score on.
 THRESHOLD = 0.7
-KEPT_WORDS, KEPT_CHARS = 200_000, 40
-#: Words whose n-grams are hashed together.
-TOGETHER = 20_000
+KEPT_WORDS, KEPT_CHARS = 400_000, 40
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
 
@@ -155,91 +152,30 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int
     return (table @ (weights[:, 1] - weights[:, 0])).astype(np.float64), float(bias[1] - bias[0])
 
 
-_CRC = np.arange(256, dtype=np.uint32)
-for _ in range(8):
-    _CRC = np.where(_CRC & 1, _CRC >> 1 ^ np.uint32(0xEDB88320), _CRC >> 1)
-
-
-def crc32s(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """CRC-32 of the stretches of bytes, those of one size together."""
-    out = np.zeros(len(start), dtype=np.uint32)
-    order = np.argsort(size, kind="stable")
-    cuts = np.flatnonzero(np.diff(size[order], prepend=-1)).tolist() + [len(order)]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        some = order[a:b]
-        crc = np.full(len(some), 0xFFFFFFFF, dtype=np.uint32)
-        for k in range(int(size[some[0]]) if len(some) else 0):
-            crc = _CRC[(crc ^ data[start[some] + k]) & 255] ^ (crc >> 8)
-        out[some] = ~crc
-    return out
-
-
-def all_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word, row) of what ``grams`` gives for each word."""
-    data = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    byte = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))  # where each character starts
-    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
-    first = np.cumsum(n) - n
-    of = np.repeat(np.arange(len(words)), n)
-    at = np.arange(len(of))
-    left = (first + n)[of] - at  # characters up to the word's end
-    word, start, end = [np.arange(len(words))], [byte[first]], [byte[first + n]]
-    for size in range(SHORTEST, LONGEST + 1):
-        fits = np.flatnonzero((left >= size) & (n[of] > size))
-        word.append(of[fits])
-        start.append(byte[fits])
-        end.append(byte[fits + size])
-    start, end = np.concatenate(start), np.concatenate(end)
-    return np.concatenate(word), (crc32s(data, start, end - start) % np.uint32(BUCKETS)).astype(np.int64)
-
-
 class Scorer:
-    """What each word adds to the log-odds; words that come again are taken from a bounded table."""
-
     def __init__(self, rows: np.ndarray, bias: float):
         self.rows, self.bias = rows, bias
         self.known: dict[str, float] = {}
 
-    def words(self, words: list[str]) -> np.ndarray:
-        """The mean of the rows of each of the different ``words``."""
-        if len(self.known) >= KEPT_WORDS:
-            self.known.clear()
-        known = self.known
-        out = np.fromiter((known.get(w, np.nan) for w in words), dtype=np.float64, count=len(words))
-        new = np.flatnonzero(np.isnan(out))
-        for at in range(0, len(new), TOGETHER):
-            some = new[at : at + TOGETHER]
-            word, row = all_grams([words[i] for i in some])
-            out[some] = np.bincount(word, self.rows[row], len(some)) / np.bincount(word, minlength=len(some))
-        kept_ = [i for i in new.tolist() if len(words[i]) <= KEPT_CHARS][: KEPT_WORDS - len(known)]
-        known.update(zip((words[i] for i in kept_), out[kept_].tolist(), strict=True))
-        return out
-
-    def texts(self, texts: pa.Array) -> np.ndarray:
-        """The score of each text. No word holds a space: each different token between spaces is looked at once."""
-        n = len(texts)
-        lists = pc.split_pattern(texts.cast(pa.large_string()).fill_null(""), " ")
-        values = lists.flatten().dictionary_encode()
-        per_token = [words_of(t) for t in values.dictionary.to_pylist()]
-        number: dict[str, int] = {}
-        word = np.array([number.setdefault(w, len(number)) for ws in per_token for w in ws], dtype=np.int64)
-        many = np.fromiter(map(len, per_token), dtype=np.int64, count=len(per_token))
-        start = np.cumsum(many) - many
-        token = values.indices.to_numpy(zero_copy_only=False)
-        of = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        size = many[token]
-        place = np.repeat(start[token] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        pair = np.unique(np.repeat(of, size) * np.int64(max(1, len(number))) + word[place])  # distinct words of each text
-        of, word = np.divmod(pair, max(1, len(number)))
-        total = np.bincount(of, self.words(list(number))[word], n) if len(pair) else np.zeros(n)
-        z = self.bias + total / (np.bincount(of, minlength=n) + STILL)
-        return 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
-
     def word(self, word: str) -> float:
-        return float(self.words([word])[0])
+        found = self.known.get(word)
+        if found is None:
+            found = float(self.rows[grams(word)].mean())
+            if len(word) <= KEPT_CHARS:
+                if len(self.known) >= KEPT_WORDS:
+                    self.known.clear()
+                self.known[word] = found
+        return found
 
     def text(self, text: str | None) -> float:
-        return float(self.texts(pa.array([text], pa.string()))[0])
+        words = sorted(set(words_of(text)))
+        known = self.known
+        try:
+            total = sum([known[w] for w in words])
+        except KeyError:
+            total = sum([self.word(w) for w in words])
+        z = self.bias + total / (len(words) + STILL)
+        return float(1.0 / (1.0 + np.exp(-np.clip(z, -700, 700))))
 
 
 def _scorer(shared) -> Scorer:
@@ -262,10 +198,10 @@ def predict(docs: DataFrame, rows: np.ndarray, bias: float, id_col: str = "doc_i
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
         for batch in parts:
-            for at, texts in slices(batch.column(1)):
-                scores = scorer.texts(texts)
+            for at in range(0, batch.num_rows, 1000):
+                scores = np.array([scorer.text(t) for t in batch.column(1).slice(at, 1000).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],
+                    [batch.column(0).slice(at, 1000), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],
                     names=["doc_id", "score", "predicted"],
                 )
 

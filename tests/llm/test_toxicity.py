@@ -42,43 +42,6 @@ def test_planted_words_and_misspellings():
     assert scorer.text(None) == scorer.text("") == scorer.text(" !? ")
 
 
-def plain_score(rows, bias, text):
-    """By one word and one n-gram after the other."""
-    words = sorted(set(toxicity.words_of(text)))
-    total = sum(np.mean([rows[i] for i in toxicity.grams(w)]) for w in words)
-    return 1 / (1 + np.exp(-(bias + total / (len(words) + toxicity.STILL))))
-
-
-def test_scores_are_those_of_single_words(monkeypatch):
-    rows = np.random.default_rng(4).normal(size=toxicity.BUCKETS) * 3
-    texts = ["", None, "a", "ab ba ab", "x" * 300 + " ñandú-日本語", "The the\tTHE  end.", " ! ", "é" * 50, "\U0001f600 a\U0001d400b", "one two one"]
-    texts += [t for t, _ in zip(planted(40, 3)[0], range(40))]
-    want = [plain_score(rows, -0.4, t) for t in texts]
-    for kept in (200_000, 3):
-        monkeypatch.setattr(toxicity, "KEPT_WORDS", kept)
-        scorer = toxicity.Scorer(rows, -0.4)
-        for _ in range(2):
-            assert np.allclose(scorer.texts(pa.array(texts, pa.string())), want)
-    words = ["", "a", "abc", "ñandú", "日本語" * 4, "x" * 90]
-    word, row = toxicity.all_grams(words)
-    assert [sorted(row[word == i].tolist()) for i in range(len(words))] == [sorted(toxicity.grams(w)) for w in words]
-    assert scorer.texts(pa.array([], pa.string())).tolist() == []
-
-
-def test_repeated_ids_do_not_widen_the_sample(spark):
-    rows = [(0, f"word{i} and more") for i in range(500)] + [(i, "plain words") for i in range(1, 30)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
-    seen = []
-    fit = toxicity.fit
-    toxicity.fit = lambda bags, y, **k: seen.append(len(y)) or fit(bags, y, **k)
-    try:
-        toxicity.train(docs, labels, sample=5)
-    finally:
-        toxicity.fit = fit
-    assert seen and seen[0] <= 10
-
-
 def test_one_label_only():
     bags = pa.array([["a"], ["b"]], pa.list_(pa.string()))
     table_, weights, bias = toxicity.fit(bags, np.array([1, 1]))
