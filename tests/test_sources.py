@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tamiz.plans.rules import COLUMNS
 from tamiz.sources import html_tables, ingest, pages, snapshots, tables
 from tamiz.streaming.incremental import ingest_batch, run_available, run_ingest, stream_records
+from workload.all_queries import QUERIES
 
 HEADER = "<tr>" + "".join(f"<td>{c.title()}</td>" for c in COLUMNS) + "</tr>"
 
@@ -240,3 +241,12 @@ def test_write_by_source_keeps_other_sources(spark, tmp_path):
     tables.write_by_source(spark.createDataFrame([("a", 1), ("b", 2)], "source string, v int"), path)
     tables.write_by_source(spark.createDataFrame([("b", 3)], "source string, v int"), path)
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("source", "v").collect()) == [("a", 1), ("b", 3)]
+
+
+def test_stream_pages_reads_a_folder_of_files(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"u{i}", f"<title>t{i}</title>" + "<li>" * i) for i in range(6)], "page_id long, url string, html string")
+    rows.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    got = QUERIES["stream_pages"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == [(i, f"t{i}", i) for i in range(6)]
+    rows.limit(0).write.mode("overwrite").parquet(str(tmp_path / "pages.parquet"))
+    assert QUERIES["stream_pages"](spark, str(tmp_path)).count() == 0

@@ -315,7 +315,8 @@ SELECT page_id, coalesce(regexp_extract(html, '{TITLE}', 1), '') AS title,
   len(regexp_extract_all(html, '{ITEM}')) AS hits FROM pages""")
 def stream_pages(spark, sf):
     schema = spark.read.parquet(f"{sf}/pages.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf)
+    # a pattern stands for a table that is one file as well as for a folder of files
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/page[s].parquet")
     parsed = stream.select(
         F.lit("pages").alias("source"), "page_id",
         pages.first_match(F.col("html"), TITLE).alias("title"),
@@ -323,4 +324,4 @@ def stream_pages(spark, sf):
     )
     out = scratch_path(spark, "stream")
     run_available(parsed, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/table").select("page_id", "title", "hits")
+    return spark.read.schema(parsed.schema).parquet(f"{out}/table").select("page_id", "title", "hits")
