@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tamiz.plans.rules import COLUMNS
 from tamiz.sources import html_tables, ingest, pages, snapshots, tables
 from tamiz.streaming.incremental import ingest_batch, run_available, run_ingest, stream_records
+from workload import source_queries
 from workload.all_queries import QUERIES
 
 HEADER = "<tr>" + "".join(f"<td>{c.title()}</td>" for c in COLUMNS) + "</tr>"
@@ -195,6 +196,16 @@ def test_streaming_ingest_replaces_sources(spark, tmp_path):
     assert [label for _, label in snapshots.markers(spark, root)] == ["stream-0", "stream-1"]
 
 
+def test_raw_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source_queries, "ROWS_IN_TASK", 100)
+    spark.range(2000).select(F.col("id").alias("c_custkey"), (F.col("id") % 25).alias("c_nationkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(25).select(F.col("id").cast("int").alias("n_nationkey"), F.concat(F.lit("N"), "id").alias("n_name")).coalesce(1).write.parquet(str(tmp_path / "nation.parquet"))
+    path, _, parts = source_queries._raw_files(spark, str(tmp_path))
+    files = ingest.list_files(spark, f"{path}/*/*")
+    tasks = files.select(F.regexp_extract("path", r"part-(\d+)", 1)).distinct().count()
+    assert parts == 21 and files.count() == 100 and tasks > 10
+
+
 def test_a_batch_run_again_changes_nothing(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
     write(raw, "a", page("16-01-0001-46"))

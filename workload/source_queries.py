@@ -10,7 +10,7 @@ from tamiz.sources import html_tables, ingest, pages, snapshots, tables
 from tamiz.streaming.incremental import run_available, run_ingest
 
 from . import duck as d
-from .fixtures import DIRTY_TEXT, HTML_FILES, duck, fixture, table
+from .fixtures import DIRTY_TEXT, HTML_FILES, duck, fixture, spread, table
 from .registry import query
 
 FX1, FX6 = duck(DIRTY_TEXT), duck(HTML_FILES)
@@ -129,6 +129,8 @@ def row_lineage(spark, sf):
 
 #: A raw file holds the customers of one nation whose keys lie in one range of so many.
 KEYS_IN_FILE = 500
+#: Raw rows for whose files one task is enough.
+ROWS_IN_TASK = 5_000
 _CODE = "concat(lpad(CAST(k % 90 + 10 AS STRING), 2, '0'), '-01-', lpad(CAST(k % 10000 AS STRING), 4, '0'), '-46')"
 #: Raw rows (stem, file, n, k): nation, number of its file, number of the nation, customer.
 _RAW = f"""SELECT n_name AS stem, CAST(floor(c_custkey / {KEYS_IN_FILE}) AS INT) AS file, n_nationkey AS n, c_custkey AS k
@@ -147,8 +149,10 @@ def _markup(rows):
     return rows.groupBy("stem", "file").agg(F.concat(header, F.coalesce(body, F.lit("")), F.lit("</table>")).alias("value"))
 
 
-def _write_markup(docs, path):
-    docs.repartition("stem", "file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stem", "file").text(path)
+def _write_markup(docs, path, parts):
+    """Add the files to ``path``, as many at a time as there are tasks; a task moves its own into place."""
+    writer = docs.repartition(parts, "stem", "file").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.partitionBy("stem", "file").text(path)
 
 
 def _stem(path):
@@ -158,22 +162,23 @@ def _stem(path):
 
 def _raw_files(spark, sf):
     """The raw files of all customers, written once more for each caller, and their rows."""
-    joined = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    customer = table(spark, sf, "customer")
+    joined = spread(customer).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     rows = joined.select(
         F.col("n_name").alias("stem"), F.floor(F.col("c_custkey") / KEYS_IN_FILE).cast("int").alias("file"),
         F.col("n_nationkey").alias("n"), F.col("c_custkey").alias("k"),
     )
-    path = scratch_path(spark, "raw")
-    _write_markup(_markup(rows), path)
-    return path, rows
+    path, parts = scratch_path(spark, "raw"), 1 + customer.count() // ROWS_IN_TASK
+    _write_markup(_markup(rows), path, parts)
+    return path, rows, parts
 
 
 @query("source_catalog", f"""
 SELECT upper(stem) AS source, count(DISTINCT file) AS files FROM ({_RAW}) GROUP BY 1""")
 def source_catalog(spark, sf):
     """From the names of raw files; their content is not read."""
-    path, _ = _raw_files(spark, sf)
-    files = ingest.list_files(spark, f"{path}/*/*/*.txt", _stem)
+    path, _, _ = _raw_files(spark, sf)
+    files = ingest.list_files(spark, f"{path}/*/*", _stem)
     counts = files.groupBy(F.upper("source").alias("source")).agg(F.count("*").alias("files"))
     return ingest.source_catalog(files, source=_stem).join(counts, "source")
 
@@ -199,8 +204,8 @@ UNION ALL SELECT 5, stem, 'table', count(*), CAST(sum(CAST(substr({_CODE.replace
 UNION ALL SELECT 5, stem, 'rejected', count(*), NULL FROM raw WHERE NOT ({_LOADED}) GROUP BY stem""")
 def ingest_cycle(spark, sf):
     """First load, nothing new, changed, emptied and deleted files, all again by force; then the table and its rejects."""
-    path, rows = _raw_files(spark, sf)
-    args = (spark, f"{path}/*/*/*.txt", scratch_path(spark, "ingest"), COLUMNS)
+    path, rows, parts = _raw_files(spark, sf)
+    args = (spark, f"{path}/*/*", scratch_path(spark, "ingest"), COLUMNS)
     root, runs = args[2], []
 
     def load(**options):
@@ -213,9 +218,9 @@ def ingest_cycle(spark, sf):
     changed = files.filter("n % 5 = 2 OR (n % 5 = 1 AND file = 0)").join(
         rows.filter(_AFTER).select("stem", "file", "k"), ["stem", "file"], "left"
     )
-    _write_markup(_markup(changed), path)
-    for r in files.filter("n % 5 = 3").select("stem").distinct().collect():  # nations
-        snapshots.delete(spark, f"{path}/stem={r['stem']}")
+    for r in files.filter("n % 5 IN (1, 2, 3)").select("stem", "n").distinct().collect():  # nations
+        snapshots.delete(spark, f"{path}/stem={r['stem']}" + ("/file=0" if r["n"] % 5 == 1 else ""))
+    _write_markup(_markup(changed), path, parts)
     load()
     load(force=True)
     records = snapshots.records(spark, root, COLUMNS)
@@ -235,7 +240,7 @@ SELECT stem AS source, count(*) AS filas, CAST(sum(CAST(substr({_CODE.replace('S
 FROM ({_RAW}) WHERE {_LOADED} GROUP BY stem""")
 def ingest_stream(spark, sf):
     """The same files as a stream of small batches that replace the sources they touch; a run without new files changes nothing."""
-    path, rows = _raw_files(spark, sf)
+    path, _, _ = _raw_files(spark, sf)
     root, checkpoint = scratch_path(spark, "ingest"), scratch_path(spark, "checkpoint")
     for _ in range(2):
         run_ingest(spark, path, root, COLUMNS, checkpoint, max_files=200, source=_stem).awaitTermination()
