@@ -53,33 +53,40 @@ def _read(spark: SparkSession, files: DataFrame, charset: str) -> DataFrame:
     return decode_files(content, charset).drop("source").join(files.select("path", "source"), "path").select("source", "path", "html")
 
 
+def parse(docs: DataFrame, keys: list[str], columns: list[str], unclosed: str = "end") -> DataFrame:
+    """The parsed rows of ``docs``, written once; a document without data rows is one row."""
+    return materialize(parsed_records(docs, keys, columns, unclosed=unclosed), "records")
+
+
 def write_snapshot(
     spark: SparkSession, root: str, todo: DataFrame, kept: DataFrame, columns: list[str], label: str,
     charset: str = "ISO-8859-1", unclosed: str = "end", before_publish: Callable[[int], None] | None = None,
+    parsed: DataFrame | None = None,
 ) -> int:
     """Read the files ``todo``, keep the entries ``kept`` of the file list, publish both as the next snapshot.
 
-    Each file is read and parsed once. Documents without a header row go to the
-    reject table and end nothing.
+    Each file is read and parsed once, or not at all when the caller has ``parsed`` them (see :func:`parse`).
+    Documents without a header row go to the reject table and end nothing.
     """
     number = snapshots.current(spark, root) + 1
     for kind in ("data", "rejects"):  # what a run that ended early may have left
         snapshots.delete(spark, snapshots.batch_path(root, kind, number))
-    docs = _read(spark, todo, charset)
-    if todo.isEmpty():
+    if parsed is None and not todo.isEmpty():
+        parsed = parse(_read(spark, todo, charset), ["source", "path"], columns, unclosed)
+    if parsed is None:
         read = spark.createDataFrame([], snapshots.FILES)
     else:
-        parsed = materialize(parsed_records(docs, ["source", "path"], columns, unclosed=unclosed), "records")
         found = parsed.filter("pos IS NOT NULL").select("source", "path", "pos", *columns)
         write_by_source(found, snapshots.batch_path(root, "data", number))
         counts = parsed.groupBy("path").agg(
             F.max("rows").cast("bigint").alias("rows"), F.count("pos").alias("filas"), F.max("header").cast("bigint").alias("header")
         )
         read = materialize(todo.join(counts, "path", "left").withColumn("batch", F.lit(number).cast("bigint")), "files")
-        bad = _read(spark, read.filter("header IS NULL"), charset)
-        rejects(bad, ["source", "path"], unclosed=unclosed).write.mode("overwrite").parquet(
-            snapshots.batch_path(root, "rejects", number)
-        )
+        without = read.filter("header IS NULL")
+        if not without.isEmpty():
+            rejects(_read(spark, without, charset), ["source", "path"], unclosed=unclosed).write.mode("overwrite").parquet(
+                snapshots.batch_path(root, "rejects", number)
+            )
     names = [f.partition(" ")[0] for f in snapshots.FILES.split(", ")]
     files = read.select(*names).unionByName(kept.select(*names))
     files.write.mode("overwrite").parquet(snapshots.snapshot_path(root, number))

@@ -196,6 +196,31 @@ def test_streaming_ingest_replaces_sources(spark, tmp_path):
     assert [label for _, label in snapshots.markers(spark, root)] == ["stream-0", "stream-1"]
 
 
+def test_streaming_ingest_reads_earlier_files_only_when_a_source_changes(spark, tmp_path):
+    raw, root, check = (str(tmp_path / n) for n in ("raw", "table", "check"))
+    for n in (1, 2):
+        write(f"{raw}/{n}", "a", page(f"16-01-000{n}-46"))
+    run_ingest(spark, raw, root, COLUMNS, check).awaitTermination()
+    os.rename(f"{raw}/1", str(tmp_path / "away"))
+    write(f"{raw}/3", "a", page("16-01-0003-46"))  # the earlier files of its source are not needed
+    run_ingest(spark, raw, root, COLUMNS, check).awaitTermination()
+    assert codes(spark, root) == [("a", "0001"), ("a", "0002"), ("a", "0003")]
+    assert sorted(r["batch"] for r in snapshots.file_list(spark, root).collect()) == [1, 1, 2]
+    os.rename(str(tmp_path / "away"), f"{raw}/1")
+    write(f"{raw}/2", "a", page("16-01-0004-46", "16-01-0005-46"))  # a file that is known already
+    assert ingest_batch(spark.read.format("binaryFile").load(f"{raw}/2/a.xls"), 2, root, COLUMNS)
+    assert codes(spark, root) == [("a", "0001"), ("a", "0003"), ("a", "0004"), ("a", "0005")]
+    assert {r["batch"] for r in snapshots.file_list(spark, root).collect()} == {3}
+
+
+def test_a_batch_without_content_is_read_by_path(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
+    write(raw, "a", page("16-01-0001-46"))
+    files = spark.read.format("binaryFile").load(f"{raw}/*.xls")
+    assert ingest_batch(files.select(*ingest.FILE_KEY), 0, root, COLUMNS)
+    assert codes(spark, root) == [("a", "0001")]
+
+
 def test_raw_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(source_queries, "ROWS_IN_TASK", 100)
     spark.range(2000).select(F.col("id").alias("c_custkey"), (F.col("id") % 25).alias("c_nationkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
