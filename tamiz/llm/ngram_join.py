@@ -19,7 +19,9 @@ No step lists the pairs inside a group, and copies of one text are never paired
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +42,12 @@ _FACTOR = 0xD6E8FEB86659FD93
 #: Odd multipliers of the min-hashes.
 MIN_HASHES = 16
 _TURN = np.random.default_rng(11).integers(1, 1 << 62, MIN_HASHES, dtype=np.uint64) * _U(2) + _U(1)
-#: Blocks above the needed number; sets with at most that many empty blocks need not send them.
+#: Blocks above the needed number at least; sets with at most the spare number of empty blocks need not send them.
 SPARE = 3
+#: Standard deviations by which the spare blocks exceed the expected number of empty ones.
+SPARE_DEVIATIONS = 3
+#: Low bits that block signatures do without: zeros next to a row's other zeros, so that shuffles store six bytes of eight.
+BLOCK_SHIFT = 16
 #: Equal min-hashes that let a set join the group of a typical set; any partition gives the same links.
 RESEMBLES = 6
 #: Bits of a fingerprint that token blocks do without.
@@ -60,39 +66,56 @@ def levels(num: int, den: int, largest: int) -> list[int]:
     return ends
 
 
-def block_count(ends: list[int], level: int, num: int, den: int) -> int:
-    """Blocks for pairs whose smaller set is in ``level``: over the largest symmetric difference.
+def differences(ends: list[int], level: int, num: int, den: int) -> int:
+    """The largest symmetric difference of pairs whose smaller set is in ``level``. Zero: only equal sets.
 
     Sizes a <= b with b <= a * den / num and intersection >= num / den * union give a
-    difference of at most (den - num) / (den + num) * (a + b). Zero: only equal sets.
+    difference of at most (den - num) / (den + num) * (a + b).
     """
     a = ends[level + 1] - 1
-    differ = (den - num) * (a + a * den // num) // (den + num)
-    return differ + 1 + SPARE if differ else 0
+    return (den - num) * (a + a * den // num) // (den + num)
+
+
+@functools.cache
+def spare(least: int, differ: int) -> int:
+    """Blocks above ``differ + 1``, so many that sets of ``least`` tokens hardly ever have more empty ones.
+
+    Empty blocks are the same for all sets of a level: sent, each of them pairs a share of all sets. Where twice
+    the blocks would not do, SPARE.
+    """
+    for n in range(SPARE, max(SPARE, differ) + 1):
+        count = differ + 1 + n
+        load = least / count
+        empty = count * math.exp(-load)
+        if n + 1 > empty + SPARE_DEVIATIONS * math.sqrt(empty * (1 - (1 + load) * math.exp(-load))):
+            return n
+    return SPARE
 
 
 def blocks(tokens: np.ndarray, ends: list[int], num: int, den: int) -> np.ndarray:
     """Signatures of the token blocks of one set, for its own level and the one below.
 
-    ``tokens`` is sorted; a block is a range of hash values. Of ``differ + 1 + SPARE`` blocks at
-    least ``1 + SPARE`` are equal in a pair above the threshold. A set with at most SPARE empty
+    ``tokens`` is sorted; a block is a range of hash values. Of ``differ + 1 + spare`` blocks at
+    least ``1 + spare`` are equal in a pair above the threshold. A set with at most ``spare`` empty
     blocks can leave them out: one of the equal ones is then not empty.
     """
     own = int(np.searchsorted(ends, len(tokens), side="right")) - 1
     mixed = mix(tokens + _U(1))
     out = []
     for level in (own, own - 1):
-        if level < 0 or not (count := block_count(ends, level, num, den)):
+        if level < 0 or not (differ := differences(ends, level, num, den)):
             continue
+        extra = spare(ends[level], differ)
+        count = differ + 1 + extra
         block = ((tokens >> _U(32)) * _U(count)) >> _U(32)
         heads = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
         sums = np.add.reduceat(mixed, heads)
         where = block[heads] + _U(level << 40)
         out.append(mix(sums ^ mix(where + _U(1 << 20))))
-        if count - len(heads) > SPARE:
+        if count - len(heads) > extra:
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), block[heads]) + _U(level << 40)
             out.append(mix(mix(empty + _U(1 << 20)) ^ _U(0x5EED)))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+    return np.concatenate(out) >> _U(BLOCK_SHIFT) << _U(BLOCK_SHIFT) if out else np.zeros(0, dtype=np.uint64)
 
 
 def token_sets(text: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -354,7 +377,7 @@ def _least_shared(ends: list[int], num: int, den: int, n: str, lo: str, hi: str)
     low = F.greatest(F.col(lo), F.ceil(F.col(n) * num / den))
     high = F.least(F.col(hi), F.floor(F.col(n) * den / num))
     level = F.size(F.filter(F.array(*(F.lit(e) for e in ends)), lambda e: e <= F.least(F.col(n), low)))
-    needed = F.array(*(F.lit(max(0, block_count(ends, k, num, den) - SPARE)) for k in range(len(ends) - 1)))
+    needed = F.array(*(F.lit(d + 1 if (d := differences(ends, k, num, den)) else 0) for k in range(len(ends) - 1)))
     differ = F.floor((F.col(n) + high) * (den - num) / (den + num))
     return F.greatest(F.lit(1), F.element_at(needed, level) - differ)
 

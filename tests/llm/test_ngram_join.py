@@ -143,3 +143,14 @@ def test_blocks_share_one_above_the_threshold():
             both = len(np.intersect1d(a, b))
             if 100 * both >= 85 * (len(a) + len(b) - both) and len(a) != both:
                 assert len(np.intersect1d(ngram_join.blocks(a, ends, 85, 100), ngram_join.blocks(b, ends, 85, 100)))
+
+
+@pytest.mark.parametrize("num,den", [(4, 5), (85, 100)])
+def test_unrelated_sets_share_no_blocks(num, den):
+    """Empty blocks are the same in all sets of a level; sent, they pair unrelated sets by the square of their number."""
+    rnd = np.random.default_rng(3)
+    ends = ngram_join.levels(num, den, 5000)
+    for n in (60, 200, 700, 2000):
+        sent = [ngram_join.blocks(np.unique(rnd.integers(0, 1 << 64, int(n * f), dtype=np.uint64)), ends, num, den) for f in np.linspace(0.9, 1.1, 60)]
+        held = np.unique(np.concatenate([np.unique(s) for s in sent]), return_counts=True)[1]
+        assert (held > 1).sum() <= 5
