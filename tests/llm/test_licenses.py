@@ -123,3 +123,35 @@ def test_units_left_out_cannot_reach_the_threshold():
         few = licenses.fewest(x, idf, 0.8)
         assert math.sqrt(sum(sorted(weight.values())[::-1][: few - 1]) / norm) < 0.8
         assert math.sqrt(sum(sorted(weight.values())[::-1][:few]) / norm) >= 0.8 - 1e-9
+
+
+PROSE = (
+    "the of and to or in is this for with that be by as any not are on without you it under if from at may see an all so no do above use general "
+    "have will even but hope can your program published later either version option terms"
+).split()
+
+
+def test_prose_of_common_words_is_no_candidate(spark):
+    terms = licenses.template_terms(licenses.TEXTS)
+    idf, _ = licenses.weights(sorted({t for _, c in terms for t in c}), 1000, dict.fromkeys(PROSE, 700))
+    held = max(len(set(PROSE) & set(c)) - licenses.fewest(c, idf, 0.8) for _, c in terms)
+    assert held >= 0  # as many terms as a template needs, but light ones
+    for _, c in terms:
+        share = sum(s for s, t in licenses._shares(c, idf) if t in PROSE)
+        assert share < licenses.share_needed(0.8)
+    files = spark.createDataFrame([(f"p/{i}", [PROSE, ["other", "words"]] * 20) for i in range(5)], "path string, lines array<array<string>>")
+    assert licenses._texts(files, terms, idf, 0.8).count() == 0
+
+
+def test_tokens_are_not_stored(spark, monkeypatch):
+    stored = []
+
+    def spy(df, name="step"):
+        stored.append(df.columns)
+        return materialize(df, name)
+
+    materialize = licenses.materialize
+    monkeypatch.setattr(licenses, "materialize", spy)
+    got = licenses.scan(spark.createDataFrame(REAL, "path string, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(REAL)
+    assert stored and not any("tokens" in columns for columns in stored)
