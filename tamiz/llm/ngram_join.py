@@ -291,7 +291,7 @@ def _unions(rows: DataFrame) -> DataFrame:
                 [pa.array(gs[heads]), pa.array(part[heads]), pa.ListArray.from_arrays(cuts, pa.array(values))], names=["g", "part", "tokens"]
             )
 
-    united = rows.select("g", "parts", "tokens").mapInArrow(run, "g long, part long, tokens array<long>")
+    united = rows.select("g", "parts", "tokens").mapInArrow(trimmed(run), "g long, part long, tokens array<long>")
     return united.groupBy("g", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
 
 

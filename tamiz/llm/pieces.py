@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .worker import kept
+from .worker import kept, trimmed
 
 SPACE = "▁"
 #: Longest run whose agenda is a row of a matrix, and symbols worked off together.
@@ -335,7 +335,7 @@ def encode(
 
     carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return docs.select(F.col(id_col), F.col(text_col).cast("string"), *carry).mapInArrow(
-        run, f"`{id_col}` {id_type}, ids binary, decoded string{carried}"
+        trimmed(run), f"`{id_col}` {id_type}, ids binary, decoded string{carried}"
     )
 
 

@@ -27,6 +27,7 @@ from tamiz.runtime import materialize
 
 from .components import small
 from .words import Words, batches, mix, signed, strings, windows
+from .worker import trimmed
 
 _U = np.uint64
 _FACTORS = (0xD6E8FEB86659FD93, 0xA3B195354A39B70D)
@@ -85,7 +86,7 @@ def _index(docs: DataFrame, window: int, seed: int) -> DataFrame:
                     names=["doc_id", "k1", "k2", "n", "seeds", "at"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, k1 long, k2 long, n long, seeds array<long>, at array<int>")
+    return docs.mapInArrow(trimmed(run), "doc_id long, k1 long, k2 long, n long, seeds array<long>, at array<int>")
 
 
 def _variants(texts: list | None) -> dict:
@@ -138,7 +139,7 @@ def _candidates(docs: DataFrame, alive: DataFrame, length: int, last: int, seede
                     )
 
     rows = docs.select("doc_id", "text").join(small(alive.select("doc_id")), "doc_id", "left_semi").join(alive, "doc_id")
-    return rows.select("doc_id", "text", "texts", "ats").mapInArrow(run, "h1 long, h2 long, doc_id long, at long")
+    return rows.select("doc_id", "text", "texts", "ats").mapInArrow(trimmed(run), "h1 long, h2 long, doc_id long, at long")
 
 
 def _places(found: DataFrame, texts: DataFrame, how: str) -> DataFrame:
@@ -254,5 +255,5 @@ def remove(
         *docs.columns, *(F.lit(None).cast(side.schema[c].dataType).alias(c) for c in ("texts", "ats"))
     )
     rows = touched.unionByName(plain).select("doc_id", "text", "texts", "ats", *(["carried"] if carry else []))
-    out = rows.mapInArrow(run, out_schema)
+    out = rows.mapInArrow(trimmed(run), out_schema)
     return out.select("doc_id", "text", "n_words", "n_removed", "spans", *(F.col("carried").getField(c).alias(c) for c in carry))

@@ -37,6 +37,7 @@ def kept(name: str, of, make: Callable):
     same = _SLOT.get("of") is of or (isinstance(of, str) and _SLOT.get("of") == of)
     if _SLOT.get("name") != name or not same:
         _SLOT.clear()
+        trim()
         _SLOT.update(name=name, of=of, value=make())
     return _SLOT["value"]
 
