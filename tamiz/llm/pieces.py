@@ -36,7 +36,7 @@ NEVER = float("inf")
 #: No symbol; a character that is in no piece.
 NONE, STRANGE = -1, -2
 #: Bytes of text encoded at a time, and given to the library at a time.
-PART, SLICE = 1 << 24, 1 << 20
+PART, SLICE = 1 << 22, 1 << 20
 
 
 class Agenda:
