@@ -14,21 +14,24 @@ from pyspark.sql import functions as F
 
 from tamiz.llm import language, mixing, ngram_join, pieces, substring_dedup
 from tamiz.llm.queries import piece_model
-from tamiz.runtime import scratch_path
+from tamiz.runtime import scratch_path, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language.accept(docs.select(COLUMNS), piece_model())
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return ngram_join.one_of_each(docs, words=5, num=4, den=5)
 
 
 def cut_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Other white space stays as it was; a document of which nothing is left goes."""
+    small_batches(spark)
     out = substring_dedup.remove(docs, window=50, carry=("lang", "source", "n_chars"), spacing="kept")
     changed = F.col("n_removed") > 0
     return out.where(~changed | (F.col("n_removed") < F.col("n_words"))).select(
@@ -42,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A table that says the places (``position``) keeps them."""
+    small_batches(spark)
     place = ("position",) if "position" in docs.columns else ()
     out = pieces.encode(docs, piece_model(), carry=place)
     return out.select(*place, "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")

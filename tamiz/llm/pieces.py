@@ -6,7 +6,7 @@ join the agenda, entries whose symbols are gone are skipped. Symbols that are no
 back to byte pieces.
 
 When no piece holds a space mark after another character, no merge can cross the start of a
-run of space marks. A text is then encoded run by run, each different run of some 16 MB of texts
+run of space marks. A text is then encoded run by run, each different run of some 4 MB of texts
 once, and the agendas of short runs are worked off together; the result is the same as over the whole text.
 
 Every Arrow batch is encoded by the sentencepiece library too; a difference raises.
@@ -36,7 +36,7 @@ NEVER = float("inf")
 #: No symbol; a character that is in no piece.
 NONE, STRANGE = -1, -2
 #: Bytes of text encoded at a time, and given to the library at a time.
-PART, SLICE = 1 << 22, 1 << 20
+PART, SLICE = 1 << 22, 1 << 18
 
 
 class Agenda:
@@ -211,10 +211,10 @@ class Agenda:
             return self._packed(SPACE + text.replace(" ", SPACE))
         return b"".join(map(self._packed, self.runs.findall(SPACE + text.replace(" ", SPACE))))
 
-    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets) of texts without begin and end: text i has ids[offsets[i]:offsets[i + 1]].
+    def looked_up(self, texts: pa.Array) -> Looked:
+        """The ids of the different runs of the texts, and each text as a list of them.
 
-        Texts whose runs all begin with one mark are split by spaces, the others one by one.
+        Texts whose runs all begin with one mark are split by spaces, the others are one entry each.
         """
         n = len(texts)
         plain = np.zeros(n, dtype=bool)
@@ -222,23 +222,43 @@ class Agenda:
             odd = pc.match_substring_regex(texts, f"^ |  | $|{SPACE}|^$")
             plain = ~odd.to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(texts.filter(pa.array(plain)), " ")
+        many = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         values = lists.flatten().dictionary_encode()
-        table, ends = self._many(values.dictionary)
+        del lists
+        indices, words = values.indices.to_numpy(zero_copy_only=False), values.dictionary
+        del values
+        table, ends = self._many(words)
         single = [self.encode(t) for t in texts.filter(pa.array(~plain)).to_pylist()]
         table = np.concatenate((table, np.frombuffer(b"".join(single), dtype="<u4")))
         size = np.concatenate((np.diff(ends), np.array([len(p) // 4 for p in single], dtype=np.int64)))
-        start = np.cumsum(size) - size
-        # each text is a list of entries of the table
         entries = np.ones(n, dtype=np.int64)
-        entries[plain] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        entries[plain] = many
         cuts = np.concatenate(([0], np.cumsum(entries)))
-        entry = np.empty(cuts[-1], dtype=np.int64)
+        entry = np.empty(cuts[-1], dtype=np.int32)
         of_plain = np.repeat(plain, entries)
-        entry[of_plain] = values.indices.to_numpy(zero_copy_only=False)
+        entry[of_plain] = indices
         entry[~of_plain] = len(ends) - 1 + np.arange(len(single))
-        long = size[entry]
+        return Looked(table, np.cumsum(size) - size, size, entry, cuts)
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of texts without begin and end: text i has ids[offsets[i]:offsets[i + 1]]."""
+        return self.looked_up(texts).ids(0, len(texts))
+
+
+class Looked:
+    """Texts as lists of entries of a table of ids: text i has entry[cuts[i]:cuts[i + 1]], entry e the ids
+    table[start[e]:start[e] + size[e]]. Texts take far less room so than as ids."""
+
+    def __init__(self, table: np.ndarray, start: np.ndarray, size: np.ndarray, entry: np.ndarray, cuts: np.ndarray):
+        self.table, self.start, self.size, self.entry, self.cuts = table, start, size, entry, cuts
+
+    def ids(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of texts i to j."""
+        cuts = self.cuts[i : j + 1]
+        entry = self.entry[cuts[0] : cuts[-1]]
+        long = self.size[entry]
         total = np.concatenate(([0], np.cumsum(long)))
-        return table[np.repeat(start[entry] - total[:-1], long) + np.arange(total[-1])], total[cuts]
+        return self.table[np.repeat(self.start[entry] - total[:-1], long) + np.arange(total[-1])], total[cuts - cuts[0]]
 
 
 def pack(ids) -> bytes:
@@ -309,11 +329,9 @@ def encode(
         for batch in parts:
             at = 0
             for part in _slices(batch.column(1).cast(pa.large_string()).fill_null(""), PART):
-                own, ends = enclosed(*agenda.encode_all(part), sp.bos_id(), sp.eos_id())
-                first = 0
+                own, first = agenda.looked_up(part), 0
                 for texts in _slices(part, SLICE):
-                    cuts = ends[first : first + len(texts) + 1]
-                    ids, cuts = own[cuts[0] : cuts[-1]], cuts - cuts[0]
+                    ids, cuts = enclosed(*own.ids(first, first + len(texts)), sp.bos_id(), sp.eos_id())
                     first += len(texts)
                     plain = texts.to_pylist()
                     want = sp.encode(plain, out_type=int, add_bos=True, add_eos=True, num_threads=1)

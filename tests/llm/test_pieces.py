@@ -37,6 +37,9 @@ def test_slices_equal_single_texts():
     for part in (texts, texts[::-1], texts[:1], []):
         ids, cuts = agenda.encode_all(pa.array(part, pa.large_string()))
         assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])] == [agenda.encode(t) for t in part]
+        some, (i, j) = agenda.looked_up(pa.array(part, pa.large_string())), sorted((len(part) // 3, len(part) // 2))
+        ids, cuts = some.ids(i, j)
+        assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])] == [agenda.encode(t) for t in part[i:j]]
     both, cuts = pieces.enclosed(np.array([7, 8, 9], dtype="<u4"), np.array([0, 1, 1, 3]), 1, 2)
     assert both.tolist() == [1, 7, 2, 1, 2, 1, 8, 9, 2] and cuts.tolist() == [0, 3, 5, 9]
 

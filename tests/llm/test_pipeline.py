@@ -2,12 +2,15 @@
 
 import os
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pipeline = pytest.importorskip("corpus_pipeline")
 
 from tamiz.llm import pieces  # noqa: E402
 from tamiz.llm.queries import piece_model  # noqa: E402
+from tamiz.runtime import BATCH_KEY  # noqa: E402
 
 from .test_ngram_join import brute as brute_classes  # noqa: E402
 from .test_substring_dedup import brute as brute_removed  # noqa: E402
@@ -91,3 +94,29 @@ def test_positions_are_the_stream(spark, tmp_path, monkeypatch):
         at += 64
         assert all(abs(seen[s] - share[s] * at) < 64 for s in sizes)
     assert at > 1000
+
+
+def test_batches_are_small(spark):
+    """Every stage with Python workers hands them some MB at a time, however long the texts are."""
+
+    def sizes(parts):
+        for b in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"])
+
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("of the "), 6000).alias("text"), F.lit("en").alias("lang"),
+                                   F.lit("s").alias("source"), F.lit(42000).cast("long").alias("n_chars")).coalesce(1)
+    before = spark.conf.getAll.get(BATCH_KEY)
+    try:
+        for name, stage in pipeline.STAGES:
+            if name != "mixing":
+                spark.conf.unset(BATCH_KEY)
+                stage(spark, docs.limit(3), SF)
+                found = [r.size for r in docs.mapInArrow(sizes, "size long").collect()]
+                assert sum(found) > 16 << 20 and max(found) < 5 << 20, name
+        spark.conf.set(BATCH_KEY, "2m")  # the session's own bound stays
+        pipeline.encode_pieces(spark, docs, SF)
+        assert spark.conf.get(BATCH_KEY) == "2m"
+    finally:
+        spark.conf.unset(BATCH_KEY)
+        if before is not None:
+            spark.conf.set(BATCH_KEY, before)
