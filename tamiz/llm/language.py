@@ -32,7 +32,7 @@ ROUNDS, SMOOTHING = 2, 500.0
 #: Tokens kept with their scores per Python worker; longer ones are scored each time.
 KEPT_TOKENS, KEPT_CHARS = 200_000, 40
 #: Bytes of text scored at a time.
-SLICE = 1 << 22
+SLICE = 1 << 20
 #: Ids with this remainder of crc32 modulo 3 are held out.
 HELD_OUT = 1
 

@@ -83,6 +83,16 @@ def test_score_does_not_depend_on_the_kept_words(monkeypatch):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_slices_are_small():
+    """A worker scores about 1 MB of text at a time, or one longer text, each row once and in order."""
+    texts = pa.array(["of the " * n for n in (1, 400_000, 100, 0)] + ["a word " * 2000] * 500 + [None])
+    found = list(language.slices(texts))
+    assert [t for _, part in found for t in part.to_pylist()] == texts.to_pylist()
+    assert [at for at, _ in found] == np.cumsum([0, *(len(part) for _, part in found)])[:-1].tolist()
+    sizes = [sum(len(t or "") for t in part.to_pylist()) for _, part in found if len(part) > 1]
+    assert max(sizes) <= 1 << 20 < sum(sizes)
+
+
 def test_held_out_accuracy(spark):
     docs = table(spark, SF, "documents")
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
