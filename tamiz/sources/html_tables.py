@@ -165,11 +165,12 @@ def parsed_records(
     docs: DataFrame, keys: list[str], columns: list[str], html: str = "html",
     pattern: str = CODE_PATTERN, unclosed: str = "end",
 ) -> DataFrame:
-    """(keys, header, rows, pos, columns): the data rows after the header, cut or padded to ``columns``.
+    """(keys, header, rows, filas, nth, pos, columns): the data rows after the header, cut or padded to ``columns``.
 
     A document without data rows is one row whose ``pos`` is NULL, so nothing is
     lost on the way; ``header`` is NULL for a document to reject, ``rows``
-    counts its table rows. Each document is parsed once.
+    counts its table rows and ``filas`` its data rows, which ``nth`` numbers from 0
+    (see :func:`documents`). Each document is parsed once.
     """
     width = len(columns)
     parsed = docs.withColumn("_rows", table_rows(F.col(html), unclosed)).withColumn(
@@ -179,14 +180,20 @@ def parsed_records(
         F.transform(F.col("_rows"), lambda r, i: F.struct(i.alias("pos"), r.alias("cells"))),
         lambda r: (r["pos"] > F.col("_header")) & F.get(r["cells"], F.lit(0)).rlike(pattern),
     )
-    rows = parsed.select(
-        *keys, F.col("_header").alias("header"), F.size("_rows").alias("rows"), F.explode_outer(data).alias("_r")
+    rows = parsed.withColumn("_data", data).select(
+        *keys, F.col("_header").alias("header"), F.size("_rows").alias("rows"),
+        F.when(F.col("_data").isNull(), 0).otherwise(F.size("_data")).alias("filas"), F.posexplode_outer("_data").alias("nth", "_r"),
     )
     padded = F.slice(F.concat(F.col("_r.cells"), F.array_repeat(F.lit(""), width)), 1, width)
-    rows = rows.select(*keys, "header", "rows", F.col("_r.pos").alias("pos"), padded.alias("_cells"))
-    return rows.select(
-        *keys, "header", "rows", "pos", *[F.get("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns)]
-    )
+    document = [*keys, "header", "rows", "filas", "nth"]
+    rows = rows.select(*document, F.col("_r.pos").alias("pos"), padded.alias("_cells"))
+    return rows.select(*document, "pos", *[F.get("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns)])
+
+
+def documents(parsed: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rows, filas, header): one row per document of :func:`parsed_records`; nothing is shuffled or counted for it."""
+    first = parsed.filter(F.coalesce("nth", F.lit(0)) == 0)
+    return first.select(*keys, *[F.col(c).cast("bigint").alias(c) for c in ("rows", "filas", "header")])
 
 
 def html_records(
@@ -202,7 +209,7 @@ def html_records(
     known = F.col("pos").isNotNull()
     if strict:
         known = F.when(F.col("header").isNull(), F.raise_error(F.lit("no header row in document")).cast("boolean")).otherwise(known)
-    return rows.filter(known).drop("header", "rows")
+    return rows.filter(known).drop("header", "rows", "filas", "nth")
 
 
 # Why a document is rejected.

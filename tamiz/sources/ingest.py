@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, small_parts
 from . import snapshots
-from .html_tables import decode_files, parsed_records, rejects, source_name
+from .html_tables import decode_files, documents, parsed_records, rejects, source_name
 from .tables import write_by_source
 
 # What happened to a source, and the label of the total.
@@ -53,43 +55,53 @@ def _read(spark: SparkSession, files: DataFrame, charset: str) -> DataFrame:
     return decode_files(content, charset).drop("source").join(files.select("path", "source"), "path").select("source", "path", "html")
 
 
-def parse(docs: DataFrame, keys: list[str], columns: list[str], unclosed: str = "end") -> DataFrame:
-    """The parsed rows of ``docs``, written once; a document without data rows is one row."""
-    return materialize(parsed_records(docs, keys, columns, unclosed=unclosed), "records")
-
-
 def write_snapshot(
-    spark: SparkSession, root: str, todo: DataFrame, kept: DataFrame, columns: list[str], label: str,
+    spark: SparkSession, root: str, todo: DataFrame | None, kept: DataFrame, columns: list[str], label: str,
     charset: str = "ISO-8859-1", unclosed: str = "end", before_publish: Callable[[int], None] | None = None,
-    parsed: DataFrame | None = None,
+    parsed: DataFrame | None = None, last: int | None = None,
 ) -> int:
     """Read the files ``todo``, keep the entries ``kept`` of the file list, publish both as the next snapshot.
 
-    Each file is read and parsed once, or not at all when the caller has ``parsed`` them (see :func:`parse`).
+    Each file is read and parsed once, or not at all when the caller has the stored rows ``parsed`` of ``parsed_records``, each file
+    with its source and FILE_KEY; these then are the files to do. ``last`` is the number of the last snapshot when the caller knows it.
     Documents without a header row go to the reject table and end nothing.
     """
-    number = snapshots.current(spark, root) + 1
+    number = (snapshots.current(spark, root) if last is None else last) + 1
     for kind in ("data", "rejects"):  # what a run that ended early may have left
         snapshots.delete(spark, snapshots.batch_path(root, kind, number))
-    if parsed is None and not todo.isEmpty():
-        parsed = parse(_read(spark, todo, charset), ["source", "path"], columns, unclosed)
-    if parsed is None:
-        read = spark.createDataFrame([], snapshots.FILES)
-    else:
+    batch = F.lit(number).cast("bigint").alias("batch")
+    read = None
+    if parsed is not None:
+        read = documents(parsed, ["source", *FILE_KEY]).select("*", batch).coalesce(1)  # no more than a batch has files
+    elif not todo.isEmpty():
+        parsed = materialize(parsed_records(_read(spark, todo, charset), ["source", "path"], columns, unclosed=unclosed), "records")
+        counts = documents(parsed, ["path"]).groupBy("path").agg(F.max("rows").alias("rows"), F.sum("filas").alias("filas"), F.max("header").alias("header"))
+        read = materialize(todo.join(counts, "path", "left").select("*", batch), "files")
+    names = [f.partition(" ")[0] for f in snapshots.FILES.split(", ")]
+
+    def write_records() -> None:
         found = parsed.filter("pos IS NOT NULL").select("source", "path", "pos", *columns)
         write_by_source(found, snapshots.batch_path(root, "data", number))
-        counts = parsed.groupBy("path").agg(
-            F.max("rows").cast("bigint").alias("rows"), F.count("pos").alias("filas"), F.max("header").cast("bigint").alias("header")
-        )
-        read = materialize(todo.join(counts, "path", "left").withColumn("batch", F.lit(number).cast("bigint")), "files")
+
+    def write_rejects() -> None:
         without = read.filter("header IS NULL")
         if not without.isEmpty():
             rejects(_read(spark, without, charset), ["source", "path"], unclosed=unclosed).write.mode("overwrite").parquet(
                 snapshots.batch_path(root, "rejects", number)
             )
-    names = [f.partition(" ")[0] for f in snapshots.FILES.split(", ")]
-    files = read.select(*names).unionByName(kept.select(*names))
-    files.write.mode("overwrite").parquet(snapshots.snapshot_path(root, number))
+
+    def write_list(read: DataFrame) -> None:
+        files = read.select(*names).unionByName(kept.select(*names))
+        files.write.mode("overwrite").parquet(snapshots.snapshot_path(root, number))
+
+    if read is None:
+        write_list(spark.createDataFrame([], snapshots.FILES))
+    else:  # at the same time: each alone leaves most cores idle when it is small
+        with small_parts(spark), ThreadPoolExecutor(2) as pool:
+            others = [pool.submit(inheritable_thread_target(spark)(f)) for f in (write_records, write_rejects)]
+            write_list(read)
+            for other in others:
+                other.result()
     if before_publish is not None:
         before_publish(number)
     snapshots.publish(spark, root, number, label)

@@ -213,6 +213,33 @@ def test_streaming_ingest_reads_earlier_files_only_when_a_source_changes(spark,
     assert {r["batch"] for r in snapshots.file_list(spark, root).collect()} == {3}
 
 
+def test_a_stream_takes_few_tasks(spark, tmp_path):
+    raw, root, check = (str(tmp_path / n) for n in ("raw", "table", "check"))
+    for n in range(60):
+        write(f"{raw}/{n}", f"s{n % 3}", page(f"16-01-{n:04d}-46", f"16-01-{n + 60:04d}-46"))
+    query = run_ingest(spark, raw, root, COLUMNS, check, max_files=40)
+    query.awaitTermination()
+    tracker, tasks = spark.sparkContext.statusTracker(), []
+    for job in tracker.getJobIdsForGroup(str(query.runId)):
+        stages = [tracker.getStageInfo(s) for s in tracker.getJobInfo(job).stageIds]
+        tasks.append(sum(s.numCompletedTasks for s in stages if s))
+    cores = spark.sparkContext.defaultParallelism
+    assert 0 < len(tasks) <= 20 and max(tasks) <= 4 * cores  # for two batches; a task for each file or folder before
+    assert len(codes(spark, root)) == 120
+    listed = snapshots.file_list(spark, root)
+    assert sorted((r["batch"], r["filas"]) for r in listed.collect()) == [(1, 2)] * 40 + [(2, 2)] * 20
+
+
+def test_documents_of_parsed_rows(spark):
+    texts = ["<table><tr><td>x</td></tr></table>", "", None, *(page(*c).decode("latin-1") for c in ((), ("16-01-0001-46", "bad", "16-01-0002-46")))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "source int, html string")
+    parsed = html_tables.parsed_records(docs, ["source"], COLUMNS)
+    found = [tuple(r) for r in html_tables.documents(parsed, ["source"]).orderBy("source").collect()]
+    assert [f[:1] + f[2:] for f in found] == [(0, 0, None), (1, 0, None), (2, 0, None), (3, 0, 1), (4, 2, 1)]
+    assert [f[1] for f in found if f[0] != 2] == [1, 0, 3, 6]
+    assert [tuple(r) for r in parsed.filter("source = 4").orderBy("pos").select("nth", "pos").collect()] == [(0, 2), (1, 4)]
+
+
 def test_a_batch_without_content_is_read_by_path(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
     write(raw, "a", page("16-01-0001-46"))
@@ -231,6 +258,16 @@ def test_raw_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert parts == 21 and files.count() == 100 and tasks > 10
 
 
+def test_a_published_batch_is_not_read_again(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
+    write(raw, "a", page("16-01-0001-46"))
+    files = spark.read.format("binaryFile").load(f"{raw}/*.xls").select(*ingest.FILE_KEY)
+    assert ingest_batch(files, 0, root, COLUMNS)
+    os.remove(f"{raw}/a.xls")
+    assert not ingest_batch(files, 0, root, COLUMNS)
+    assert codes(spark, root) == [("a", "0001")] and snapshots.current(spark, root) == 1
+
+
 def test_a_batch_run_again_changes_nothing(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
     write(raw, "a", page("16-01-0001-46"))
