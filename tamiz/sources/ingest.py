@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -58,50 +58,58 @@ def _read(spark: SparkSession, files: DataFrame, charset: str) -> DataFrame:
 def write_snapshot(
     spark: SparkSession, root: str, todo: DataFrame | None, kept: DataFrame, columns: list[str], label: str,
     charset: str = "ISO-8859-1", unclosed: str = "end", before_publish: Callable[[int], None] | None = None,
-    parsed: DataFrame | None = None, last: int | None = None,
+    parsed: DataFrame | None = None, last: int | None = None, again: Callable[[], tuple[DataFrame, DataFrame] | None] | None = None,
 ) -> int:
     """Read the files ``todo``, keep the entries ``kept`` of the file list, publish both as the next snapshot.
 
     Each file is read and parsed once, or not at all when the caller has the stored rows ``parsed`` of ``parsed_records``, each file
     with its source and FILE_KEY; these then are the files to do. ``last`` is the number of the last snapshot when the caller knows it.
+    ``again`` is called while these files are written. It may return the entries to keep in place of ``kept``, and the stored rows of further files.
     Documents without a header row go to the reject table and end nothing.
     """
     number = (snapshots.current(spark, root) if last is None else last) + 1
     for kind in ("data", "rejects"):  # what a run that ended early may have left
         snapshots.delete(spark, snapshots.batch_path(root, kind, number))
-    batch = F.lit(number).cast("bigint").alias("batch")
-    read = None
-    if parsed is not None:
-        read = documents(parsed, ["source", *FILE_KEY]).select("*", batch).coalesce(1)  # no more than a batch has files
-    elif not todo.isEmpty():
-        parsed = materialize(parsed_records(_read(spark, todo, charset), ["source", "path"], columns, unclosed=unclosed), "records")
-        counts = documents(parsed, ["path"]).groupBy("path").agg(F.max("rows").alias("rows"), F.sum("filas").alias("filas"), F.max("header").alias("header"))
-        read = materialize(todo.join(counts, "path", "left").select("*", batch), "files")
     names = [f.partition(" ")[0] for f in snapshots.FILES.split(", ")]
+    batch = F.lit(number).cast("bigint").alias("batch")
 
-    def write_records() -> None:
+    def entries(parsed: DataFrame) -> DataFrame:
+        return documents(parsed, ["source", *FILE_KEY]).select("*", batch).coalesce(1)  # no more than a batch has files
+
+    def write_records(parsed: DataFrame, _: DataFrame, mode: str) -> None:
         found = parsed.filter("pos IS NOT NULL").select("source", "path", "pos", *columns)
-        write_by_source(found, snapshots.batch_path(root, "data", number))
+        write_by_source(found, snapshots.batch_path(root, "data", number), mode=mode)
 
-    def write_rejects() -> None:
+    def write_rejects(_: DataFrame, read: DataFrame, mode: str) -> None:
         without = read.filter("header IS NULL")
         if not without.isEmpty():
-            rejects(_read(spark, without, charset), ["source", "path"], unclosed=unclosed).write.mode("overwrite").parquet(
+            rejects(_read(spark, without, charset), ["source", "path"], unclosed=unclosed).write.mode(mode).parquet(
                 snapshots.batch_path(root, "rejects", number)
             )
 
-    def write_list(read: DataFrame) -> None:
-        files = read.select(*names).unionByName(kept.select(*names))
+    read = None
+    if parsed is not None:
+        read = entries(parsed)
+    elif not todo.isEmpty():
+        parsed = materialize(parsed_records(_read(spark, todo, charset), ["source", "path"], columns, unclosed=unclosed), "records")
+        counts = documents(parsed, ["path"]).groupBy("path").agg(F.max("rows").alias("rows"), F.sum("filas").alias("filas"), F.max("header").alias("header"))
+        read = materialize(todo.join(counts, "path", "left").select("*", batch), "files")
+    # Records, rejects and list are written at the same time: each alone leaves most cores idle when it is small.
+    with small_parts(spark), ThreadPoolExecutor(2) as pool:
+
+        def start(*args) -> list[Future]:
+            return [pool.submit(inheritable_thread_target(spark)(f), *args) for f in (write_records, write_rejects)]
+
+        others = [] if read is None else start(parsed, read, "overwrite")
+        if again is not None and (more := again()) is not None:
+            kept, further = more
+            wait(others)
+            others += start(further, entries(further), "append")
+            read = read.unionByName(entries(further))
+        files = (spark.createDataFrame([], snapshots.FILES) if read is None else read).select(*names).unionByName(kept.select(*names))
         files.write.mode("overwrite").parquet(snapshots.snapshot_path(root, number))
-
-    if read is None:
-        write_list(spark.createDataFrame([], snapshots.FILES))
-    else:  # at the same time: each alone leaves most cores idle when it is small
-        with small_parts(spark), ThreadPoolExecutor(2) as pool:
-            others = [pool.submit(inheritable_thread_target(spark)(f)) for f in (write_records, write_rejects)]
-            write_list(read)
-            for other in others:
-                other.result()
+        for other in others:
+            other.result()
     if before_publish is not None:
         before_publish(number)
     snapshots.publish(spark, root, number, label)

@@ -258,6 +258,19 @@ def test_raw_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert parts == 21 and files.count() == 100 and tasks > 10
 
 
+def test_a_replaced_source_keeps_all_its_rejects(spark, tmp_path):
+    raw, root, check = (str(tmp_path / n) for n in ("raw", "table", "check"))
+    write(f"{raw}/1", "a", b"<table><tr><td>x</table>")
+    write(f"{raw}/2", "a", page("16-01-0001-46"))
+    write(f"{raw}/3", "a", page("16-01-0002-46"))
+    run_ingest(spark, raw, root, COLUMNS, check).awaitTermination()
+    write(f"{raw}/2", "a", b"<table><tr><td>y</table>")
+    assert ingest_batch(spark.read.format("binaryFile").load(f"{raw}/2/a.xls"), 1, root, COLUMNS)
+    assert sorted(r["first"] for r in snapshots.rejected(spark, root).collect()) == ["x", "y"]
+    assert codes(spark, root) == [("a", "0002")]
+    assert sorted((r["batch"], r["filas"]) for r in snapshots.file_list(spark, root).collect()) == [(2, 0), (2, 0), (2, 1)]
+
+
 def test_a_published_batch_is_not_read_again(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "table")
     write(raw, "a", page("16-01-0001-46"))
